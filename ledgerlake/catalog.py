@@ -27,4 +27,4 @@ def query(name: str):
 
 
 # Register all query modules (import for side effects).
-from .queries import mart  # noqa: E402,F401
+from .queries import mart, settlement  # noqa: E402,F401

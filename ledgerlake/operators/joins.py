@@ -19,8 +19,8 @@ from ..functions.cleaning import paren_normalize
 
 
 def resolve_alias(keys: DataFrame, alias: DataFrame, platforms: list[str],
-                  id_col: str = "platform_shop_id", name_col: str = "platform_shop_name",
-                  use_exact_name: bool = True) -> DataFrame:
+                  id_col: str = "platform_shop_id",
+                  name_col: str = "platform_shop_name") -> DataFrame:
     """Left-join distinct fact keys ``(id_col, name_col)`` to matching alias rows.
 
     Returns ``keys`` columns + ``store_short_name`` (null when unmatched).  A
@@ -33,15 +33,16 @@ def resolve_alias(keys: DataFrame, alias: DataFrame, platforms: list[str],
     a = (alias.where(F.col("platform").isin(*platforms))
          .select(F.col("platform_store_id").cast("string").alias("_a_id"),
                  F.col("store_name").alias("_a_name"),
-                 F.col("store_short_name"))
-         .withColumn("_a_row", F.monotonically_increasing_id()))
-    k = keys.select(id_col, name_col).distinct()
-    by_id = k.join(a, k[id_col] == a["_a_id"], "inner")
-    by_name = k.join(a, paren_normalize(k[name_col]) == paren_normalize(a["_a_name"]), "inner")
-    pairs = (by_id.select(id_col, name_col, "_a_row", "store_short_name")
-             .unionByName(by_name.select(id_col, name_col, "_a_row", "store_short_name"))
-             .dropDuplicates([id_col, name_col, "_a_row"]))
-    cond = keys[id_col].eqNullSafe(pairs[id_col]) & keys[name_col].eqNullSafe(pairs[name_col])
+                 F.col("store_short_name"), F.col("platform").alias("_a_platform")))
+    # alias-row identity = the row itself (the dimension is keyed; a
+    # nondeterministic id could differ between the two join branches)
+    row_id = ["_a_id", "_a_name", "_a_platform", "store_short_name"]
+    k = keys.select(F.col(id_col).alias("_k_id"), F.col(name_col).alias("_k_name")).distinct()
+    by_id = k.join(a, k["_k_id"] == a["_a_id"], "inner")
+    by_name = k.join(a, paren_normalize(k["_k_name"]) == paren_normalize(a["_a_name"]), "inner")
+    cols = ["_k_id", "_k_name"] + row_id
+    pairs = by_id.select(*cols).unionByName(by_name.select(*cols)).distinct()
+    cond = keys[id_col].eqNullSafe(pairs["_k_id"]) & keys[name_col].eqNullSafe(pairs["_k_name"])
     return (keys.join(pairs, cond, "left")
             .select(*[keys[c] for c in keys.columns], pairs["store_short_name"]))
 
