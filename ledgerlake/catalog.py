@@ -26,5 +26,23 @@ def query(name: str):
     return deco
 
 
+
+
+def money_all(df: DataFrame) -> DataFrame:
+    """Output convention: decimals as DECIMAL(18,2), integers as BIGINT."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import DecimalType, IntegerType, LongType, ShortType
+
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, DecimalType):
+            cols.append(F.col(f.name).cast("decimal(18,2)").alias(f.name))
+        elif isinstance(f.dataType, (IntegerType, LongType, ShortType)):
+            cols.append(F.col(f.name).cast("bigint").alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
 # Register all query modules (import for side effects).
-from .queries import mart, settlement  # noqa: E402,F401
+from .queries import mart, settlement, vocabulary, recon  # noqa: E402,F401

@@ -68,6 +68,12 @@ SELECT
        WHEN o.o_orderkey % 17 = 0 THEN ''
        WHEN o.o_orderkey % 13 = 0 THEN {_money('-o.o_totalprice')}
        ELSE {_money('o.o_totalprice')} END AS receivable,
+  CASE WHEN o.o_orderkey % 29 = 0 THEN '--'
+       WHEN o.o_orderkey % 31 = 0 THEN ''
+       WHEN length({_money('o.o_totalprice')}) > 6
+         THEN substr({_money('o.o_totalprice')}, 1, length({_money('o.o_totalprice')}) - 6) || ','
+              || substr({_money('o.o_totalprice')}, length({_money('o.o_totalprice')}) - 5)
+       ELSE {_money('o.o_totalprice')} END AS receivable_fmt,
   CAST(o.o_orderdate AS DATE) AS dt
 FROM {_ORDER_FROM}
 """
@@ -85,6 +91,13 @@ SELECT
   CASE WHEN (o.o_orderkey + l.l_linenumber) % 6 = 0 THEN NULL
        ELSE {_LDAY} || ' 1' || CAST(l.l_linenumber AS STRING) || ':00:00' END AS done_at,
   CAST(l.l_partkey AS STRING) AS sku,
+  CASE (o.o_orderkey + l.l_linenumber) % 6
+       WHEN 0 THEN CAST(l.l_partkey AS STRING) || '.0'
+       WHEN 1 THEN CAST(l.l_partkey AS STRING) || chr(9)
+       WHEN 2 THEN '-'
+       WHEN 3 THEN 'A-' || CAST(l.l_partkey AS STRING)
+       WHEN 4 THEN CAST(l.l_linenumber AS STRING) || 'e2'
+       ELSE ' ' || CAST(l.l_partkey AS STRING) END AS code_raw,
   CAST(CAST(l.l_quantity AS DECIMAL(18,2)) AS STRING) AS qty,
   CAST(o.o_orderdate AS DATE) AS dt
 FROM {_LINE_FROM}
@@ -221,6 +234,11 @@ SELECT
        ELSE 'NATION_' || CAST(e.user_id % 25 AS STRING) END AS store,
   '-' || CAST(CAST(e.value AS DECIMAL(18,2)) AS STRING) AS spend,
   CASE WHEN e.event_id % 9 = 0 THEN '' ELSE CAST(CAST(e.value AS DECIMAL(18,2)) AS STRING) END AS cash_spend,
+  CASE WHEN e.event_id % 13 = 0 THEN 'n/a'
+       WHEN e.event_id % 4 = 0
+         THEN CAST(year({_PROMO_DAY}) AS STRING) || '-' || CAST(month({_PROMO_DAY}) AS STRING)
+              || '-' || CAST(day({_PROMO_DAY}) AS STRING)
+       ELSE CAST(CAST({_PROMO_DAY} AS DATE) AS STRING) END AS day_loose,
   {_PROMO_DAY} AS dt
 FROM {{events}} e WHERE e.event_type IN ('click', 'view')
 """
