@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
-from ..operators.windows import latest_by
 
 # JD fee types of the revenue rules.
 JD_COMMISSION = "代收到家佣金"
@@ -82,23 +81,35 @@ def _platform_agg(df: DataFrame, revenue, fee, shipping) -> DataFrame:
         F.countDistinct("order_no").alias("order_count"))
 
 
-def int_platform_revenue(mt: DataFrame, el: DataFrame, jd: DataFrame) -> DataFrame:
-    """Uniform revenue / fee / shipping / order count per dt × platform × store."""
-    mt_agg = _platform_agg(mt, F.sum("revenue"), F.abs(F.sum("platform_fee_raw")),
-                           F.abs(F.sum("shipping_raw")))
-    el_agg = _platform_agg(
+def mt_revenue_agg(mt: DataFrame) -> DataFrame:
+    return _platform_agg(mt, F.sum("revenue"), F.abs(F.sum("platform_fee_raw")),
+                         F.abs(F.sum("shipping_raw")))
+
+
+def el_revenue_agg(el: DataFrame) -> DataFrame:
+    return _platform_agg(
         el, F.sum("revenue"), F.abs(F.sum("platform_fee_raw")),
         F.abs(F.sum("shipping_platform_raw"))
         + F.abs(F.sum(F.coalesce("shipping_logistics_raw", F.lit(0).cast(C.NUM)))))
+
+
+def jd_revenue_agg(jd: DataFrame) -> DataFrame:
+    """Long fee lines → columns by conditional sums: revenue = positive lines
+    that are neither commission nor shipping (a null fee type is not revenue)."""
     zero = F.lit(0).cast(C.NUM)
     fee_t, amt = F.col("fee_type"), F.col("amount")
-    jd_agg = _platform_agg(
+    return _platform_agg(
         jd,
         F.sum(F.when(~fee_t.isin(JD_COMMISSION, *JD_SHIPPING) & (amt > 0), amt).otherwise(zero)),
         F.abs(F.sum(F.when(fee_t == JD_COMMISSION, amt).otherwise(zero))),
         F.abs(F.sum(F.when(fee_t.isin(*JD_SHIPPING), amt).otherwise(zero))))
+
+
+def int_platform_revenue(mt: DataFrame, el: DataFrame, jd: DataFrame) -> DataFrame:
+    """Uniform revenue / fee / shipping / order count per dt × platform × store."""
     cols = _KEYS + ["revenue", "platform_fee", "shipping", "order_count"]
-    return mt_agg.select(cols).unionByName(el_agg.select(cols)).unionByName(jd_agg.select(cols))
+    return (mt_revenue_agg(mt).select(cols).unionByName(el_revenue_agg(el).select(cols))
+            .unionByName(jd_revenue_agg(jd).select(cols)))
 
 
 def int_item_cost(item_detail: DataFrame, sku_map: DataFrame) -> DataFrame:
@@ -208,5 +219,6 @@ def build_mart(v) -> DataFrame:
 
 
 __all__ = ["stg_wide_revenue", "stg_multi_revenue", "stg_long_fees", "jd_store_map",
-           "int_platform_revenue", "int_item_cost", "int_thirdparty_shipping",
-           "int_promotion_cost", "ads_daily_report", "build_mart", "latest_by"]
+           "mt_revenue_agg", "el_revenue_agg", "jd_revenue_agg", "int_platform_revenue",
+           "int_item_cost", "int_thirdparty_shipping", "int_promotion_cost", "ads_daily_report",
+           "build_mart"]
