@@ -1,9 +1,9 @@
 """Join operators of the settlement jobs, expressed as equi-joins.
 
 * ``resolve_alias`` — the reference's OR-join (id = id OR name = name OR
-  bracket-normalised name = name) becomes two equi-joins whose union is
-  de-duplicated per (fact key, alias row); a plain OR condition would plan
-  as a nested-loop join.
+  bracket-normalised name = name) becomes one equi-join on (probe kind,
+  value), de-duplicated per (fact key, alias row); a plain OR condition would
+  plan as a nested-loop join.
 * ``prefix_join`` — "equal or prefix" (``= OR LIKE label || '%'``) becomes an
   equi-join on the generated prefixes of the longer name.
 * ``match_split`` — one left join + flag instead of an inner join and a
@@ -21,30 +21,38 @@ from ..functions.cleaning import paren_normalize
 def resolve_alias(keys: DataFrame, alias: DataFrame, platforms: list[str],
                   id_col: str = "platform_shop_id",
                   name_col: str = "platform_shop_name") -> DataFrame:
-    """Left-join distinct fact keys ``(id_col, name_col)`` to matching alias rows.
+    """Left-join fact keys ``(id_col, name_col)`` to matching alias rows.
 
-    Returns ``keys`` columns + ``store_short_name`` (null when unmatched).  A
-    key matching several alias rows fans out, exactly like the OR join.
-    ``keys`` should already be distinct (e.g. the grouping keys of a
-    pre-aggregated fact), so the joins run on shop keys, not on fact rows.
-    The exact-name arm is implied by the normalised-name arm and therefore
-    not joined separately.
+    Returns every ``keys`` row with ``store_short_name`` of each matching alias
+    row (fan-out, like the OR join), or one row with null when none matches.
+    The OR condition (id = id OR name = name OR bracket-normalised name =
+    name) becomes one equi-join on a probe: each key row probes with its id
+    and its normalised name (the exact-name arm is implied by the normalised
+    one); an alias row matched by both probes counts once.  ``keys`` is
+    scanned once, so a pre-aggregated fact (one row per shop key) is the
+    intended input.
     """
     a = (alias.where(F.col("platform").isin(*platforms))
          .select(F.col("platform_store_id").cast("string").alias("_a_id"),
-                 F.col("store_name").alias("_a_name"),
-                 F.col("store_short_name"), F.col("platform").alias("_a_platform")))
-    # alias-row identity = the row itself (the dimension is keyed; a
-    # nondeterministic id could differ between the two join branches)
-    row_id = ["_a_id", "_a_name", "_a_platform", "store_short_name"]
-    k = keys.select(F.col(id_col).alias("_k_id"), F.col(name_col).alias("_k_name")).distinct()
-    by_id = k.join(a, k["_k_id"] == a["_a_id"], "inner")
-    by_name = k.join(a, paren_normalize(k["_k_name"]) == paren_normalize(a["_a_name"]), "inner")
-    cols = ["_k_id", "_k_name"] + row_id
-    pairs = by_id.select(*cols).unionByName(by_name.select(*cols)).distinct()
-    cond = keys[id_col].eqNullSafe(pairs["_k_id"]) & keys[name_col].eqNullSafe(pairs["_k_name"])
-    return (keys.join(pairs, cond, "left")
-            .select(*[keys[c] for c in keys.columns], pairs["store_short_name"]))
+                 F.col("store_name").alias("_a_name"), F.col("platform").alias("_a_platform"),
+                 F.col("store_short_name")))
+    a_probe = a.select("*", F.explode(F.array(
+        F.struct(F.lit("id").alias("kind"), F.col("_a_id").alias("val")),
+        F.struct(F.lit("nm").alias("kind"), paren_normalize("_a_name").alias("val")))).alias("_p"))
+    a_probe = a_probe.select(F.col("_p.kind").alias("_kind"), F.col("_p.val").alias("_val"),
+                             F.struct("_a_id", "_a_name", "_a_platform", "store_short_name").alias("_hit"))
+    cols = keys.columns
+    k = keys.withColumn("_key", F.struct(*cols)).select("_key", F.explode(F.array(
+        F.struct(F.lit("id").alias("kind"), F.col(id_col).alias("val")),
+        F.struct(F.lit("nm").alias("kind"), paren_normalize(name_col).alias("val")))).alias("_p"))
+    k = k.select("_key", F.col("_p.kind").alias("_kind"), F.col("_p.val").alias("_val"))
+    j = k.join(a_probe, ["_kind", "_val"], "left")
+    # one row per key with the set of distinct alias rows hit (bounded by the
+    # alias dimension), then fanned out again; no hit → one null row
+    g = j.groupBy("_key").agg(F.collect_set("_hit").alias("_hits"))
+    out = g.select("_key", F.explode_outer("_hits").alias("_h"))
+    return out.select(*[F.col(f"_key.{c}").alias(c) for c in cols],
+                      F.col("_h.store_short_name").alias("store_short_name"))
 
 
 def prefix_join(left: DataFrame, right: DataFrame, label_col: str, name_col: str,

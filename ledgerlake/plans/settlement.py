@@ -26,6 +26,7 @@ from ..functions import cleaning as C
 from ..functions import predicates as P
 from ..operators.joins import match_split, prefix_join, resolve_alias
 from ..operators.windows import distinct_on, latest_by
+from ..session import materialize
 
 # Alias-dimension platform names per platform.
 ALIAS_PLATFORMS = {
@@ -177,49 +178,67 @@ def _labelled(shop_agg: DataFrame, alias: DataFrame, dim_store: DataFrame,
         F.coalesce("_ds_nature", F.lit(C.UNMATCHED)).alias("store_type"))
 
 
-def settle_by_store(matched: DataFrame, alias: DataFrame, dim_store: DataFrame,
-                    platform: str) -> DataFrame:
-    """Settled and pending orders per store label, full-outer merged.
-
-    Columns: store_label, province, city, store_type, order_cnt, settlement_amt,
-    pending_cnt and, for MT, rebate_amt / receipt_amt / rebate_per_order
-    (orders × per-order enterprise rebate of the store).
-    """
-    shop = (matched.groupBy("platform_shop_id", "platform_shop_name", "matched")
+def shop_rollup(matched: DataFrame) -> DataFrame:
+    """Anchor rows → one row per (shop id, shop name, matched) with the order
+    count and settlement sum.  Partial aggregation happens map-side, so a hot
+    shop sends one row per partition through the shuffle."""
+    return (matched.groupBy("platform_shop_id", "platform_shop_name", "matched")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("settlement_amt").alias("amt")))
+
+
+def settle_from_shops(shop: DataFrame, alias: DataFrame, dim_store: DataFrame,
+                      platform: str) -> DataFrame:
+    """Store-label rollup of a shop rollup (see ``settle_by_store``)."""
     lab = _labelled(shop, alias, dim_store, platform)
-    g1 = ["store_label", "province", "city", "store_type"]
-    s1 = (lab.where(F.col("matched")).groupBy(*g1)
-          .agg(F.sum("n").alias("order_cnt"),
-               F.coalesce(F.sum("amt"), F.lit(0)).alias("settlement_amt"),
-               F.coalesce(F.max("_ds_rebate"), F.lit(0)).alias("rebate_per_order")))
-    s1 = (s1.withColumn("rebate_amt", F.col("order_cnt") * F.col("rebate_per_order"))
-            .withColumn("receipt_amt", F.col("settlement_amt") + F.col("rebate_amt")))
-    p1 = lab.where(~F.col("matched")).groupBy(*g1).agg(F.sum("n").alias("pending_cnt"))
-    s = s1.groupBy("store_label").agg(
-        F.max("province").alias("s_province"), F.max("city").alias("s_city"),
-        F.max("store_type").alias("s_type"), F.sum("order_cnt").alias("order_cnt"),
-        F.sum("settlement_amt").alias("settlement_amt"), F.sum("rebate_amt").alias("rebate_amt"),
-        F.sum("receipt_amt").alias("receipt_amt"),
-        F.max("rebate_per_order").alias("rebate_per_order")).alias("s")
-    p = p1.groupBy("store_label").agg(
-        F.max("province").alias("p_province"), F.max("city").alias("p_city"),
-        F.max("store_type").alias("p_type"), F.sum("pending_cnt").alias("pending_cnt")).alias("p")
-    j = s.join(p, F.col("s.store_label") == F.col("p.store_label"), "full_outer")
+    g1 = ["store_label", "province", "city", "store_type", "matched"]
+    # level 1: (label, province, city, type) separately for settled / pending
+    l1 = lab.groupBy(*g1).agg(F.sum("n").alias("cnt"), F.sum("amt").alias("amt"),
+                              F.coalesce(F.max("_ds_rebate"), F.lit(0)).alias("rate"))
+    l1 = l1.withColumn("rebate", F.col("cnt") * F.col("rate"))
+    m = F.col("matched")
+
+    def s_(c):
+        return F.when(m, F.col(c))
+
+    def p_(c):
+        return F.when(~m, F.col(c))
+
+    # level 2: one row per label; settled and pending sides side by side (the
+    # full outer join of the reference).  Null labels never meet across sides.
+    side = F.when(F.col("store_label").isNull(), m)
+    l2 = l1.groupBy("store_label", side.alias("_null_side")).agg(
+        F.max(s_("province")).alias("s_province"), F.max(s_("city")).alias("s_city"),
+        F.max(s_("store_type")).alias("s_type"), F.sum(s_("cnt")).alias("order_cnt"),
+        F.sum(s_("amt")).alias("amt_raw"),
+        F.sum(s_("rebate")).alias("rebate_amt"), F.max(s_("rate")).alias("rebate_per_order"),
+        F.max(p_("province")).alias("p_province"), F.max(p_("city")).alias("p_city"),
+        F.max(p_("store_type")).alias("p_type"), F.sum(p_("cnt")).alias("pending_cnt"))
     z = F.lit(0)
-    return j.select(
-        F.coalesce(F.col("s.store_label"), F.col("p.store_label")).alias("store_label"),
+    settle = F.coalesce(F.col("amt_raw"), z)
+    return l2.select(
+        "store_label",
         F.coalesce(F.nullif("s_province", F.lit("")), "p_province", F.lit("")).alias("province"),
         F.coalesce(F.nullif("s_city", F.lit("")), "p_city", F.lit("")).alias("city"),
         F.coalesce("s_type", "p_type", F.lit(C.UNMATCHED)).alias("store_type"),
         F.coalesce("order_cnt", z).cast("bigint").alias("order_cnt"),
-        F.coalesce("settlement_amt", z).alias("settlement_amt"),
+        settle.alias("settlement_amt"),
         F.coalesce("rebate_amt", z).alias("rebate_amt"),
-        F.coalesce("receipt_amt", z).alias("receipt_amt"),
+        (settle + F.coalesce("rebate_amt", z)).alias("receipt_amt"),
         F.coalesce("rebate_per_order", z).alias("rebate_per_order"),
         F.coalesce("pending_cnt", z).cast("bigint").alias("pending_cnt"))
 
 
+def settle_by_store(matched: DataFrame, alias: DataFrame, dim_store: DataFrame,
+                    platform: str) -> DataFrame:
+    """Settled and pending orders per store label, full-outer merged.
+
+    Columns: store_label, province, city, store_type, order_cnt, settlement_amt,
+    pending_cnt and, for MT, rebate_amt / receipt_amt / rebate_per_order
+    (orders × per-order enterprise rebate of the store).
+    """
+    return settle_from_shops(shop_rollup(matched), alias, dim_store, platform)
+
+
 def pending_totals(matches: dict[str, DataFrame]) -> DataFrame:
     """Pending anchor count per platform, one row (conditional aggregate)."""
     tagged = None
@@ -231,45 +250,74 @@ def pending_totals(matches: dict[str, DataFrame]) -> DataFrame:
     return tagged.agg(*aggs)
 
 
+def pending_totals_from_shops(shops: dict[str, DataFrame]) -> DataFrame:
+    """Same counts from shop rollups (Σ n of pending shop rows)."""
+    tagged = None
+    for plat, sh in shops.items():
+        t = sh.select(F.lit(plat).alias("platform"), "matched", "n")
+        tagged = t if tagged is None else tagged.unionByName(t)
+    return tagged.agg(*[F.coalesce(F.sum(F.when((F.col("platform") == p) & ~F.col("matched"),
+                                                 F.col("n"))), F.lit(0)).cast("bigint")
+                        .alias(f"{p}_pending_total") for p in shops])
+
+
 def orders_by_store(by_store: dict[str, DataFrame]) -> DataFrame:
     """Cross-platform store spine; order_cnt = matched + pending of all platforms;
-    settlement = MT receipt (receivable + rebate) + EL + JD settlement."""
-    spine = None
-    for df in by_store.values():
-        lbl = df.select("store_label")
-        spine = lbl if spine is None else spine.union(lbl)
-    spine = spine.distinct()
-    j = spine.alias("s")
-    for plat, df in by_store.items():
-        j = j.join(df.alias(plat), F.col("s.store_label") == F.col(f"{plat}.store_label"), "left")
+    settlement = MT receipt (receivable + rebate) + EL + JD settlement.
+
+    The spine-and-left-joins of the reference is one tagged union grouped by
+    label (each platform frame has one row per label); a null label gets the
+    reference's values for an unmatched spine row (zeros, '' attributes).
+    """
+    plats = list(by_store)
+    cols = ["store_label", "province", "city", "store_type", "order_cnt", "pending_cnt",
+            "settlement_amt", "rebate_amt", "receipt_amt", "rebate_per_order"]
+    tagged = None
+    for p, df in by_store.items():
+        t = df.select(F.lit(p).alias("_plat"), *cols)
+        tagged = t if tagged is None else tagged.unionByName(t)
+
+    def pick(p, c, agg=F.max):
+        return agg(F.when(F.col("_plat") == p, F.col(c)))
+
+    aggs = []
+    for p in plats:
+        for c in ("province", "city", "store_type"):
+            aggs.append(pick(p, c).alias(f"{p}_{c}"))
+        for c in ("order_cnt", "pending_cnt", "settlement_amt", "rebate_amt", "receipt_amt",
+                  "rebate_per_order"):
+            aggs.append(pick(p, c, F.sum if c != "rebate_per_order" else F.max).alias(f"{p}_{c}"))
+    g = tagged.groupBy("store_label").agg(*aggs)
     z = F.lit(0)
+    known = F.col("store_label").isNotNull()
 
-    def col(p, c):
-        return F.col(f"{p}.{c}")
+    def v_(p, c):
+        return F.when(known, F.coalesce(F.col(f"{p}_{c}"), z)).otherwise(z)
 
-    plats = list(by_store)
-    order_cnt = sum((F.coalesce(col(p, "order_cnt"), z) + F.coalesce(col(p, "pending_cnt"), z)
-                     for p in plats), z)
+    order_cnt = z
     settle = z
     for p in plats:
-        settle = settle + F.coalesce(col(p, "receipt_amt" if p == "mt" else "settlement_amt"), z)
-    out = [F.col("s.store_label").alias("store_label"),
-           F.coalesce(*[col(p, "province") for p in plats], F.lit("")).alias("province"),
-           F.coalesce(*[col(p, "city") for p in plats], F.lit("")).alias("city"),
-           F.coalesce(*[col(p, "store_type") for p in plats], F.lit(C.UNMATCHED)).alias("store_type"),
-           order_cnt.cast("bigint").alias("order_cnt"),
-           settle.alias("settlement_amt")]
+        order_cnt = order_cnt + v_(p, "order_cnt") + v_(p, "pending_cnt")
+        settle = settle + v_(p, "receipt_amt" if p == "mt" else "settlement_amt")
+
+    def attr(c, default):
+        return F.when(known, F.coalesce(*[F.col(f"{p}_{c}") for p in plats], F.lit(default))) \
+            .otherwise(F.lit(default))
+
+    out = [F.col("store_label"), attr("province", "").alias("province"),
+           attr("city", "").alias("city"), attr("store_type", C.UNMATCHED).alias("store_type"),
+           order_cnt.cast("bigint").alias("order_cnt"), settle.alias("settlement_amt")]
     for p in plats:
-        out += [F.coalesce(col(p, "order_cnt"), z).cast("bigint").alias(f"{p}_order_cnt"),
-                F.coalesce(col(p, "pending_cnt"), z).cast("bigint").alias(f"{p}_pending_fin_cnt")]
+        out += [v_(p, "order_cnt").cast("bigint").alias(f"{p}_order_cnt"),
+                v_(p, "pending_cnt").cast("bigint").alias(f"{p}_pending_fin_cnt")]
         if p == "mt":
-            out += [F.coalesce(col(p, "settlement_amt"), z).alias("mt_receivable_amt"),
-                    F.coalesce(col(p, "rebate_amt"), z).alias("mt_qike_rebate_amt"),
-                    F.coalesce(col(p, "receipt_amt"), z).alias("mt_receipt_amt"),
-                    F.coalesce(col(p, "rebate_per_order"), z).alias("mt_qike_rebate_per_order")]
+            out += [v_(p, "settlement_amt").alias("mt_receivable_amt"),
+                    v_(p, "rebate_amt").alias("mt_qike_rebate_amt"),
+                    v_(p, "receipt_amt").alias("mt_receipt_amt"),
+                    v_(p, "rebate_per_order").alias("mt_qike_rebate_per_order")]
         else:
-            out.append(F.coalesce(col(p, "settlement_amt"), z).alias(f"{p}_settlement_amt"))
-    return j.select(*out)
+            out.append(v_(p, "settlement_amt").alias(f"{p}_settlement_amt"))
+    return g.select(*out)
 
 
 # ---------------------------------------------------------------------------
@@ -346,16 +394,29 @@ def fixed_cost_enrich(fixed_cost: DataFrame, dim_store: DataFrame) -> DataFrame:
 PLATFORMS = ("mt", "el", "jd")
 
 
+def store_rollups(v, w: Window) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Per platform: the shop rollup of matched / pending anchors (the only
+    stage that touches order and finance rows), materialised once, and its
+    store-label rollup."""
+    shops = {p: materialize(shop_rollup(match(v, w, p))) for p in PLATFORMS}
+    by_store = {p: settle_from_shops(shops[p], v.store_alias, v.dim_store, p) for p in PLATFORMS}
+    return shops, by_store
+
+
+def orders_store(v, w: Window) -> DataFrame:
+    """Materialised cross-platform store spine of the window."""
+    return materialize(orders_by_store(store_rollups(v, w)[1]))
+
+
 def daily_store_aggregate(v, w: Window) -> DataFrame:
     """Final store sheet of the window: one row per store label (28 columns)."""
-    matches = {p: match(v, w, p) for p in PLATFORMS}
-    by_store = {p: settle_by_store(matches[p], v.store_alias, v.dim_store, p) for p in PLATFORMS}
-    ob = orders_by_store(by_store)
-    fd = freight_day(v.courier, w)
+    shops, by_store = store_rollups(v, w)
+    ob = materialize(orders_by_store(by_store))
+    fd = materialize(freight_day(v.courier, w))
     fa = freight_allocate(ob, fd)
     pm = promo_by_store(v.promo_text, v.store_alias, v.dim_store, w)
-    fe = fixed_cost_enrich(v.fixed_cost, v.dim_store)
-    pgt = pending_totals(matches)
+    fe = materialize(fixed_cost_enrich(v.fixed_cost, v.dim_store))
+    pgt = pending_totals_from_shops(shops)
     labels = (fe.select("store_label").union(ob.select("store_label"))
               .union(pm.select("store_label")).distinct()).alias("s")
     j = (labels.join(fe.alias("fe"), F.col("s.store_label") == F.col("fe.store_label"), "left")

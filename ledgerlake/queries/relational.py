@@ -161,8 +161,7 @@ WHERE f.platform = 'el' AND f.dt >= DATE '{D}' - 120""")
 
 
 def _orders_store(v):
-    return S.orders_by_store({p: S.settle_by_store(S.match(v, WINDOW, p), v.store_alias, v.dim_store, p)
-                              for p in S.PLATFORMS})
+    return S.orders_store(v, WINDOW)
 
 
 @query("join_cross_scalar")
@@ -501,7 +500,7 @@ SELECT dt, platform, store_name, CAST(promotion_cost AS {M2}) AS promotion_cost
 @query("set_union_distinct")
 def set_union_distinct(v):
     """De-duplicated store spine of the three platforms (nulls equal)."""
-    by = {p: S.settle_by_store(S.match(v, WINDOW, p), v.store_alias, v.dim_store, p) for p in S.PLATFORMS}
+    by = S.store_rollups(v, WINDOW)[1]
     spine = None
     for df in by.values():
         spine = df.select("store_label") if spine is None else spine.union(df.select("store_label"))

@@ -66,8 +66,7 @@ def pending_totals(v):
 @query("orders_by_store")
 def orders_by_store(v):
     """Cross-platform store spine with order counts and settlement totals."""
-    ob = S.orders_by_store({p: S.settle_by_store(S.match(v, WINDOW, p), v.store_alias,
-                                                 v.dim_store, p) for p in S.PLATFORMS})
+    ob = S.orders_store(v, WINDOW)
     return ob.select(*[F.col(c).cast(MONEY).alias(c) if t.startswith("decimal") else F.col(c)
                        for c, t in ob.dtypes])
 
@@ -75,8 +74,7 @@ def orders_by_store(v):
 @query("freight_allocate")
 def freight_allocate(v):
     """Window courier freight allocated to stores by order count."""
-    ob = S.orders_by_store({p: S.settle_by_store(S.match(v, WINDOW, p), v.store_alias,
-                                                 v.dim_store, p) for p in S.PLATFORMS})
+    ob = S.orders_store(v, WINDOW)
     fa = S.freight_allocate(ob, S.freight_day(v.courier, WINDOW))
     return fa.select("store_label", "order_cnt",
                      F.col("freight_alloc").cast(MONEY).alias("freight_alloc"),

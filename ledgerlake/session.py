@@ -70,3 +70,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A table location under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def materialize(df):
+    """Reliable checkpoint of a (small, reused) intermediate result.
+
+    Written to the shared folder of ``spark.checkpoint.dir``: later stages
+    read it instead of recomputing — and re-planning — its lineage, and it
+    survives the loss of the executors that computed it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
