@@ -38,7 +38,7 @@ PLATFORM_JD = "京东"
 # ``$``) so that a trailing newline does not pass.
 NUM_GATE = r"^-?[0-9]+(\.[0-9]*)?\z"
 # Bracket pair: the store short name is the text inside the last pair.
-PAREN_ANY = r"[（(].+?[）)]"
+PAREN_ANY = r"(?s)[（(].+?[）)]"
 PAREN_LAST = r"(?s).*[（(](.+?)[）)].*"
 
 
