@@ -112,7 +112,7 @@ SELECT
   CAST(l.l_linenumber AS INT) AS line_no,
   CAST(l.l_shipdate AS DATE) AS dt,
   CASE WHEN (o.o_orderkey + l.l_linenumber) % 37 = 0 THEN NULL
-       WHEN {_RFLS} = 'NO' THEN '货款'
+       WHEN {_RFLS} = 'NO' THEN '用户实付货款'
        WHEN {_RFLS} = 'NF' THEN '优惠券-平台-小时购'
        WHEN {_RFLS} = 'AF' THEN '代收到家佣金'
        WHEN {_RFLS} = 'AO' THEN '基础配送费'
