@@ -45,4 +45,4 @@ def money_all(df: DataFrame) -> DataFrame:
 
 
 # Register all query modules (import for side effects).
-from .queries import mart, settlement, vocabulary, recon, relational, quality  # noqa: E402,F401
+from .queries import mart, settlement, vocabulary, recon, relational, quality, ingest  # noqa: E402,F401

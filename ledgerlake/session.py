@@ -27,6 +27,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # GBK / GB18030 exports: Java charsets beyond the default CSV whitelist
+    "spark.sql.legacy.javaCharsets": "true",
 }
 
 

@@ -210,6 +210,24 @@ SELECT CAST(p.p_partkey AS STRING), 'K' || CAST(p.p_partkey AS STRING) || 'B',
 FROM {part} p WHERE p.p_partkey % 50 = 1
 """
 
+# SKU import sheet (text cells as typed by hand): every 7th part appears a
+# second time with a float-formatted code and a later row position.
+VIEWS["sku_sheet"] = """
+SELECT p.p_partkey * 2 AS row_pos,
+       CASE WHEN p.p_partkey % 5 = 0 THEN CAST(p.p_partkey AS STRING) || chr(9)
+            WHEN p.p_partkey % 11 = 0 THEN '-' ELSE CAST(p.p_partkey AS STRING) END AS mini_code_raw,
+       'K' || CAST(p.p_partkey AS STRING) AS kingdee_code_raw,
+       CAST(p.p_size AS STRING) AS kingdee_qty_raw,
+       CASE WHEN p.p_partkey % 13 = 0 THEN '--' ELSE CAST(p.p_size % 4 + 1 AS STRING) END AS mini_qty_raw,
+       CAST(CAST(p.p_retailprice AS DECIMAL(18,2)) AS STRING) AS price_raw
+FROM {part} p
+UNION ALL
+SELECT p.p_partkey * 2 + 1, CAST(p.p_partkey AS STRING) || '.0', 'K' || CAST(p.p_partkey AS STRING),
+       CAST(p.p_size + 1 AS STRING), '1',
+       CAST(CAST(p.p_retailprice AS DECIMAL(18,2)) + 1 AS STRING)
+FROM {part} p WHERE p.p_partkey % 7 = 0
+"""
+
 # Third-party courier deliveries: one row per delivery leg (several per order).
 VIEWS["courier"] = f"""
 SELECT
