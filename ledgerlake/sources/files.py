@@ -308,20 +308,29 @@ def dedupe_names(headers: DataFrame) -> DataFrame:
                               .otherwise(F.concat_ws("_", "name", rn.cast("string"))))
 
 
+def _all_columns(cells: DataFrame) -> DataFrame:
+    """(file, sheet, col) for every column up to the last used one of a sheet."""
+    return (cells.groupBy("file", "sheet").agg(F.max("col").alias("_m"))
+            .select("file", "sheet", F.explode(F.sequence(F.lit(0), F.col("_m"))).alias("col")))
+
+
 def header_names(cells: DataFrame, header_row: int = 0) -> DataFrame:
     """(file, sheet, col, name) from one header row, sanitised and de-duplicated."""
-    h = cells.where(F.col("row") == header_row).select("file", "sheet", "col",
-                                                       sanitize_name(F.col("value")).alias("name"))
+    # every column present anywhere in the sheet; a missing header cell → 'unnamed'
+    v = (cells.where(F.col("row") == header_row).groupBy("file", "sheet", "col")
+         .agg(F.max("value").alias("v")))
+    h = (_all_columns(cells).join(v, ["file", "sheet", "col"], "left")
+         .select("file", "sheet", "col", sanitize_name(F.col("v")).alias("name")))
     return dedupe_names(h)
 
 
 def merged_header_names(cells: DataFrame, header_row: int = 0) -> DataFrame:
     """Two-row header → ``group_sub``: the group carries forward across
     columns; an empty sub becomes ``col_<i>``; no prefix when group == sub."""
-    pair = (cells.where(F.col("row").isin(header_row, header_row + 1))
-            .groupBy("file", "sheet", "col")
-            .agg(F.max(F.when(F.col("row") == header_row, F.trim("value"))).alias("g"),
-                 F.max(F.when(F.col("row") == header_row + 1, F.trim("value"))).alias("s")))
+    two = (cells.where(F.col("row").isin(header_row, header_row + 1)).groupBy("file", "sheet", "col")
+           .agg(F.max(F.when(F.col("row") == header_row, F.trim("value"))).alias("g"),
+                F.max(F.when(F.col("row") == header_row + 1, F.trim("value"))).alias("s")))
+    pair = _all_columns(cells).join(two, ["file", "sheet", "col"], "left")
     w = Window.partitionBy("file", "sheet").orderBy("col").rowsBetween(Window.unboundedPreceding, 0)
     group = F.last(F.nullif("g", F.lit("")), ignorenulls=True).over(w)
     sub = F.coalesce(F.col("s"), F.concat(F.lit("col_"), F.col("col").cast("string")))
