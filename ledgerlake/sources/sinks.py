@@ -21,10 +21,20 @@ def last_wins(src: DataFrame, keys: list[str], order_col: str) -> DataFrame:
 
 def upsert_last_wins(target: DataFrame, src: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """INSERT … ON CONFLICT (keys) DO UPDATE: target rows without a source
-    row are kept, source rows (latest per key) replace or add."""
-    newest = last_wins(src, keys, order_col).drop(order_col)
-    kept = target.join(newest.select(*keys), keys, "left_anti")
-    return kept.unionByName(newest.select(*target.columns))
+    row are kept, source rows (latest per key) replace or add.
+
+    One pass over the union, one shuffle by key, no join: a target row is
+    kept when its key has no source row; of the source rows the latest wins."""
+    cols = target.columns
+    t = target.select(*cols, F.lit(0).alias("_side"), F.lit(None).cast(src.schema[order_col].dataType)
+                      .alias("_order"))
+    s = src.select(*cols, F.lit(1).alias("_side"), F.col(order_col).alias("_order"))
+    k = Window.partitionBy(*keys)
+    w = k.orderBy(F.desc("_side"), F.desc_nulls_last("_order"))
+    u = (t.unionByName(s).withColumn("_has_src", F.max("_side").over(k))
+         .withColumn("_rn", F.row_number().over(w)))
+    keep = ((F.col("_side") == 0) & (F.col("_has_src") == 0)) | ((F.col("_side") == 1) & (F.col("_rn") == 1))
+    return u.where(keep).select(*cols)
 
 
 def truncate_reload(df: DataFrame, path: str) -> None:
