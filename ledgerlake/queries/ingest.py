@@ -455,3 +455,28 @@ p AS (SELECT {tnull('shop_id')} AS sid, TRY_CAST({tnull('day_loose')} AS DATE) A
 SELECT p.dt, CAST(p.sid AS BIGINT) AS store_id, COALESCE(ids.short, '未匹配') AS store_name,
        CAST(ABS(COALESCE(p.amt, 0)) AS {M2}) AS amount
 FROM p LEFT JOIN ids ON ids.sid = p.sid WHERE p.sid IS NOT NULL AND p.dt IS NOT NULL""")
+
+
+@query("rule_penalty_offset")
+def rule_penalty_offset(v):
+    """One account type's bill sheets carry an extra unnamed column before the
+    penalty section; alignment between named anchors removes the offset."""
+    b = v.fin_bill.where(F.col("platform") == "el")
+    shifted = (F.col("shop_id").cast("int") % 2) == 1
+    cols = {"order_no": "订单号", "refund": "", "compensation": "", "settlement": "结算金额"}
+    normal = X.sheet_cells(b.where(~shifted), F.concat(F.lit("normal-"), F.col("shop_id")), cols,
+                           ["order_no", "line_no", "dt", "settlement"])
+    offset = X.sheet_cells(b.where(shifted).withColumn("pad", F.lit("")),
+                           F.concat(F.lit("offset-"), F.col("shop_id")),
+                           {"order_no": "订单号", "pad": "", "refund": "", "compensation": "", "settlement": "结算金额"},
+                           ["order_no", "line_no", "dt", "settlement"])
+    frames = {}
+    for name, cells in (("normal", normal), ("offset", offset)):
+        h = (FL._all_columns(cells).join(cells.where(F.col("row") == 0), ["file", "sheet", "col"], "left")
+             .select("file", "sheet", "col", F.when(F.coalesce(F.trim("value"), F.lit("")) == "",
+                                                    F.concat(F.lit("col_"), F.col("col").cast("string")))
+                     .otherwise(F.trim("value")).alias("name")))
+        names = [r[0] for r in h.select("col", "name").distinct().orderBy("col").select("name").collect()]
+        frames[name] = (FL.cells_to_rows(cells, h, 1, drop_blank=False).select(*names), names)
+    plans = FL.align_plans({k: cols for k, (_, cols) in frames.items()})
+    return FL.union_by_name([FL.apply_plan(df, plans[k]) for k, (df, _) in frames.items()])
