@@ -135,50 +135,54 @@ FROM {_LINE_FROM}
 #   settlement = goods + delivery_income + subsidy + voucher + commission
 #                + delivery_fee + refund + compensation
 #   receivable = settlement - compensation
-_GOODS = f"CASE WHEN l.l_returnflag = 'N' THEN {_PRICE} ELSE CAST(0 AS DECIMAL(18,2)) END"
-_DINC = "CAST(CAST(l.l_tax AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2))"
-_SUBS = "CAST(CAST(l.l_discount AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2))"
-_COMM = f"CASE WHEN {_RFLS} = 'AF' THEN -{_TENTH} ELSE CAST(0 AS DECIMAL(18,2)) END"
-_DFEE = f"CASE WHEN {_RFLS} = 'AO' THEN -{_TENTH} ELSE CAST(0 AS DECIMAL(18,2)) END"
-_REFD = f"CASE WHEN {_RFLS} = 'RO' THEN -{_TENTH} ELSE CAST(0 AS DECIMAL(18,2)) END"
-_COMP = f"CASE WHEN {_RFLS} = 'RF' THEN {_PRICE} ELSE CAST(0 AS DECIMAL(18,2)) END"
-_SETTLE = f"({_GOODS} + {_DINC} + {_SUBS} + {_COMM} + {_DFEE} + {_REFD} + {_COMP})"
-_RECV = f"({_GOODS} + {_DINC} + {_SUBS} + {_COMM} + {_DFEE} + {_REFD})"
+# Layered: line facts → components (computed once) → text columns.
+_Z = "CAST(0 AS DECIMAL(18,2))"
 _KL = "(o.o_orderkey + l.l_linenumber)"
-
 VIEWS["fin_bill"] = f"""
-SELECT
-  {_ORDER_NO} AS order_no,
-  {_PLATFORM} AS platform,
-  CAST(n.n_nationkey AS STRING) AS shop_id,
-  {_SHOP_NAME} AS shop_name,
-  CASE WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 4 = 1 THEN '订单取消' ELSE '已完成' END AS fin_status,
-  CASE WHEN {_RFLS} = 'RF' THEN '赔偿单'
-       WHEN {_KL} % 47 = 0 THEN ''
-       WHEN l.l_returnflag = 'A' THEN '部分退款' ELSE '正常订单' END AS order_type,
-  CAST(l.l_linenumber AS INT) AS line_no,
-  CAST(l.l_shipdate AS DATE) AS dt,
-  CASE WHEN l.l_linenumber = 7 AND o.o_orderkey % 5 = 0 THEN ''
-       ELSE {_LDAY} END AS bill_date,
-  {_money(_GOODS)} AS goods,
-  {_money(_DINC)} AS delivery_income,
-  {_money(_SUBS)} AS subsidy,
-  CASE WHEN {_KL} % 31 = 0 THEN '-' ELSE '0.00' END AS voucher,
-  {_money(_COMM)} AS commission,
-  {_money(_DFEE)} AS delivery_fee,
-  {_money(_REFD)} AS refund,
-  CASE WHEN {_RFLS} = 'RF' THEN {_money(_COMP)} ELSE '' END AS compensation,
+SELECT order_no, platform, shop_id, shop_name, fin_status, order_type, line_no, dt, bill_date,
+  {_money('goods')} AS goods,
+  {_money('dinc')} AS delivery_income,
+  {_money('subs')} AS subsidy,
+  CASE WHEN kl % 31 = 0 THEN '-' ELSE '0.00' END AS voucher,
+  {_money('comm')} AS commission,
+  {_money('dfee')} AS delivery_fee,
+  {_money('refd')} AS refund,
+  CASE WHEN rfls = 'RF' THEN {_money('comp')} ELSE '' END AS compensation,
   '' AS box_fee,
   '0' AS bag_fee,
-  {_money(f'{_GOODS} + {_DINC} + {_SUBS}')} AS net_sales,
-  {_money(f'{_COMM} + {_DFEE} + {_REFD}')} AS service_fee,
-  CASE WHEN o.o_orderkey % 3 = 1 AND {_KL} % 59 = 0 THEN '计费基数'
-       WHEN o.o_orderkey % 97 = 0 AND l.l_linenumber = 1
-         THEN {_money(_SETTLE + ' + CAST(0.05 AS DECIMAL(3,2))')}
-       ELSE {_money(_SETTLE)} END AS settlement,
-  CASE WHEN o.o_orderkey % 3 = 1 AND {_KL} % 53 = 0 THEN '-'
-       ELSE {_money(_RECV)} END AS receivable
-FROM {_LINE_FROM}
+  {_money('goods + dinc + subs')} AS net_sales,
+  {_money('comm + dfee + refd')} AS service_fee,
+  CASE WHEN okey % 3 = 1 AND kl % 59 = 0 THEN '计费基数'
+       WHEN okey % 97 = 0 AND line_no = 1
+         THEN {_money('goods + dinc + subs + comm + dfee + refd + comp + CAST(0.05 AS DECIMAL(3,2))')}
+       ELSE {_money('goods + dinc + subs + comm + dfee + refd + comp')} END AS settlement,
+  CASE WHEN okey % 3 = 1 AND kl % 53 = 0 THEN '-'
+       ELSE {_money('goods + dinc + subs + comm + dfee + refd')} END AS receivable
+FROM (
+  SELECT *,
+    CASE WHEN returnflag = 'N' THEN price ELSE {_Z} END AS goods,
+    CAST(CAST(tax AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2)) AS dinc,
+    CAST(CAST(discount AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2)) AS subs,
+    CASE WHEN rfls = 'AF' THEN -tenth ELSE {_Z} END AS comm,
+    CASE WHEN rfls = 'AO' THEN -tenth ELSE {_Z} END AS dfee,
+    CASE WHEN rfls = 'RO' THEN -tenth ELSE {_Z} END AS refd,
+    CASE WHEN rfls = 'RF' THEN price ELSE {_Z} END AS comp
+  FROM (
+    SELECT
+      {_ORDER_NO} AS order_no,
+      {_PLATFORM} AS platform,
+      CAST(n.n_nationkey AS STRING) AS shop_id,
+      {_SHOP_NAME} AS shop_name,
+      CASE WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 4 = 1 THEN '订单取消' ELSE '已完成' END AS fin_status,
+      CASE WHEN {_RFLS} = 'RF' THEN '赔偿单'
+           WHEN {_KL} % 47 = 0 THEN ''
+           WHEN l.l_returnflag = 'A' THEN '部分退款' ELSE '正常订单' END AS order_type,
+      CAST(l.l_linenumber AS INT) AS line_no,
+      CAST(l.l_shipdate AS DATE) AS dt,
+      CASE WHEN l.l_linenumber = 7 AND o.o_orderkey % 5 = 0 THEN '' ELSE {_LDAY} END AS bill_date,
+      o.o_orderkey AS okey, {_KL} AS kl, {_RFLS} AS rfls, l.l_returnflag AS returnflag,
+      l.l_tax AS tax, l.l_discount AS discount, {_PRICE} AS price, {_TENTH} AS tenth
+    FROM {_LINE_FROM}) base) comp
 """
 
 # Store-system item lines (goods cost source).

@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.sinks import replace_partition
@@ -39,13 +38,3 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: T.StructType,
 
     (stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
      .foreachBatch(write_batch).start().awaitTermination())
-
-
-def days_to_recompute(days: list, lookback: int = 120) -> DataFrame | None:
-    """Business days whose finance window a batch of finance days touches:
-    every day D with D − lookback ≤ day, i.e. [day, day + lookback]."""
-    if not days:
-        return None
-    spark = SparkSession.getActiveSession()
-    d = spark.createDataFrame([(x,) for x in days], "dt date")
-    return d.select(F.explode(F.sequence(F.col("dt"), F.date_add("dt", lookback))).alias("business_day")).distinct()
