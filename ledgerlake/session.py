@@ -32,14 +32,28 @@ DEFAULT_CONF = {
 }
 
 
+def sizing_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Split and shuffle sizes for a job reading ``input_bytes`` on ``cores``:
+    aim for a few splits per core, capped at the usual 128 MB split and 64 MB
+    post-shuffle partition (the cluster values), floored at 1 MB."""
+    mb = 1 << 20
+    split = max(mb, min(128 * mb, input_bytes // max(1, 3 * cores)))
+    advisory = max(mb, min(64 * mb, split // 2))
+    return {"spark.sql.files.maxPartitionBytes": str(split),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min(mb, advisory))}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
-              app_name: str = "ledgerlake") -> SparkSession:
+              app_name: str = "ledgerlake", extra_conf: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     builder = builder.config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEM", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

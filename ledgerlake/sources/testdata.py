@@ -341,19 +341,58 @@ def view_sql(name: str, dialect: str = "spark", sf_dir: str = "") -> str:
     return VIEWS[name].format(**tables)
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Build one raw export view from the test tables."""
+def _fingerprint(sf_dir: str, name: str) -> str:
+    """Identity of a landed view: its SQL text and the base files it reads."""
+    import hashlib
+    import os
+    h = hashlib.sha1(VIEWS[name].encode())
+    h.update(os.path.realpath(sf_dir).encode())
+    for t in BASE_TABLES:
+        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        if os.path.exists(p):
+            st = os.stat(p)
+            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
+    return h.hexdigest()[:16]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("text").load(f"{path}/_SUCCESS")
+        return True
+    except Exception:  # noqa: BLE001 - path not found
+        return False
+
+
+def land(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Land a raw export view as an ODS parquet table (once per source state)
+    under the shared checkpoint folder; day-carrying tables are range
+    partitioned and sorted by ``dt`` so day filters skip files and row groups."""
+    from ..session import scratch_path
+    path = scratch_path(spark, f"ods/{name}-{_fingerprint(sf_dir, name)}")
+    if not _exists(spark, path):
+        df = spark.sql(view_sql(name, "spark", sf_dir))
+        if "dt" in df.columns:
+            df = df.repartitionByRange("dt").sortWithinPartitions("dt")
+        df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def load(spark: SparkSession, sf_dir: str, name: str, landed: bool = True) -> DataFrame:
+    """A base test table, or a raw export view (landed ODS table by default)."""
     if name in BASE_TABLES:
         return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if landed:
+        return spark.read.parquet(land(spark, sf_dir, name))
     return spark.sql(view_sql(name, "spark", sf_dir))
 
 
 class Views:
     """Lazy accessor: ``Views(spark, sf_dir).fin_bill`` etc."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, landed: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.landed = landed
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -362,7 +401,7 @@ class Views:
         if name not in VIEWS and name not in BASE_TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = load(self.spark, self.sf_dir, name)
+            self._cache[name] = load(self.spark, self.sf_dir, name, self.landed)
         return self._cache[name]
 
 
