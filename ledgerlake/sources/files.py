@@ -130,20 +130,6 @@ def read_csv_text(spark: SparkSession, files: list[tuple[str, str, str]]) -> lis
     return out
 
 
-def csv_cells(spark: SparkSession, paths: list[str], encoding: str = "utf-8") -> DataFrame:
-    """CSV files as cells (header row included as row 0) — the uniform path
-    for header rules across formats."""
-    df = spark.read.option("header", False).option("encoding", encoding).csv(paths)
-    df = df.withColumn("file", F.col("_metadata.file_path"))
-    w = Window.partitionBy("file").orderBy("_rid")
-    df = df.withColumn("_rid", F.monotonically_increasing_id()).withColumn("row", F.row_number().over(w) - 1)
-    cols = [c for c in df.columns if c.startswith("_c")]
-    arr = F.array(*[F.struct(F.lit(i).alias("col"), F.col(c).alias("value")) for i, c in enumerate(cols)])
-    return (df.select("file", F.lit("csv").alias("sheet"), "row", F.explode(arr).alias("c"))
-            .select("file", "sheet", F.col("row").cast("int"), F.col("c.col").cast("int").alias("col"),
-                    F.col("c.value").alias("value")))
-
-
 # ---------------------------------------------------------------------------
 # xlsx → cells (per-file decoder inside mapInPandas)
 # ---------------------------------------------------------------------------

@@ -52,3 +52,27 @@ def test_distinct_on_and_latest_by(spark):
     assert latest == {"k": 2, None: 4}
     first = {r.k: r.v for r in distinct_on(df, ["k"], [F.desc_nulls_last("d"), F.asc("v")]).collect()}
     assert first == {"k": 2, None: 4}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_ids = st.sampled_from(["1", "2", "3", None])
+_names = st.sampled_from(["A(x)", "A（x）", "B", "B(y)", "C", None])
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(_ids, _names), min_size=1, max_size=6, unique=True),
+       st.lists(st.tuples(_ids, _names, st.sampled_from(["P", "Q"]), st.sampled_from(["s1", "s2", "s3"])),
+                min_size=0, max_size=6, unique=True))
+def test_resolve_alias_property(spark, keys, alias):
+    kdf = spark.createDataFrame(keys, "platform_shop_id string, platform_shop_name string")
+    adf = spark.createDataFrame(alias, "platform_store_id string, store_name string, platform string, "
+                                       "store_short_name string")
+    got = sorted((tuple(r) for r in resolve_alias(kdf, adf, ["P"]).collect()), key=repr)
+    o = adf.where(F.col("platform") == "P")
+    cond = ((o.platform_store_id == kdf.platform_shop_id) | (o.store_name == kdf.platform_shop_name)
+            | (paren_normalize(o.store_name) == paren_normalize(kdf.platform_shop_name)))
+    want = sorted((tuple(r) for r in kdf.join(o, cond, "left").select(*kdf.columns, "store_short_name")
+                   .collect()), key=repr)
+    assert got == want
