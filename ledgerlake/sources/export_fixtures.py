@@ -32,6 +32,8 @@ def new_root(spark) -> str:
 
 def export_csv(v, root: str) -> str:
     """Order export as CSV, one file per platform × shop; MT files in GBK."""
+    from .files import enable_charsets
+    enable_charsets(v.spark)
     o = v.order_export.select("platform", "shop_id", *[F.col(c).alias(h) for c, h in ORDER_HEADERS.items()])
     base = f"{root}/csv"
     for plats, enc in ((["mt"], "GBK"), (["el", "jd"], "UTF-8")):

@@ -104,10 +104,18 @@ def filename_tag(name: Column | str, pattern: str, default: str) -> Column:
 # ---------------------------------------------------------------------------
 # CSV
 # ---------------------------------------------------------------------------
+def enable_charsets(spark: SparkSession) -> None:
+    """GBK / GB18030 exports need the Java charsets beyond the default CSV
+    whitelist; enabled on the session that reads or writes them."""
+    if spark.conf.get("spark.sql.legacy.javaCharsets", "false").lower() != "true":
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+
+
 def detect_encodings(spark: SparkSession, paths, declared: str | None = None) -> DataFrame:
     """Per file: UTF-8 when the bytes are valid UTF-8, else the declared
     encoding (default the first of the fallback chain, GBK); plus the
     decoded header line, so files sharing a layout are read together."""
+    enable_charsets(spark)
     fallback = declared or ENCODING_CHAIN[0]
     b = spark.read.format("binaryFile").load(paths)
     enc = F.when(F.expr("is_valid_utf8(cast(content AS string))"), F.lit("utf-8")).otherwise(F.lit(fallback))
@@ -119,6 +127,7 @@ def detect_encodings(spark: SparkSession, paths, declared: str | None = None) ->
 def read_csv_text(spark: SparkSession, files: list[tuple[str, str, str]]) -> list[DataFrame]:
     """All-text CSV (header row, no type inference) with ``_source_file``:
     one read per (encoding, header layout) group of files."""
+    enable_charsets(spark)
     groups: dict[tuple[str, str], list[str]] = {}
     for path, enc, header in files:
         groups.setdefault((enc, header), []).append(path)
