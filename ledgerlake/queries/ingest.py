@@ -480,3 +480,95 @@ def rule_penalty_offset(v):
         frames[name] = (FL.cells_to_rows(cells, h, 1, drop_blank=False).select(*names), names)
     plans = FL.align_plans({k: cols for k, (_, cols) in frames.items()})
     return FL.union_by_name([FL.apply_plan(df, plans[k]) for k, (df, _) in frames.items()])
+
+
+# ---------------------------------------------------------------------------
+# oracles for file-based keys whose content is fixed by the views
+# ---------------------------------------------------------------------------
+def _q(name: str) -> str:
+    return '"' + name + '"'
+
+
+reg("src_csv_text", ["order_export"], "SELECT " + ", ".join(
+    f"NULLIF({c}, '') AS {_q(h)}" for c, h in X.ORDER_HEADERS.items()) + " FROM order_export")
+
+reg("src_sheet_single", ["promo_text"], """
+SELECT '推广-' || shop_id || '.xlsx' AS file, day AS "日期", shop_id AS "门店ID", store AS "门店名称",
+       spend AS "推广消费_元", cash_spend AS "推广现金消费_元" FROM promo_text""")
+
+reg("src_html_table", ["courier"], "SELECT " + ", ".join(
+    f"{c} AS {_q(h)}" for c, h in X.COURIER_HEADERS.items()) + " FROM courier")
+
+reg("src_drop_blank_rows", ["promo_text"], """
+SELECT '推广-' || shop_id || '.xlsx' AS file, day AS "日期", shop_id AS "门店ID", store AS "门店名称",
+       spend AS "推广消费_元", cash_spend AS "推广现金消费_元" FROM promo_text""")
+
+reg("src_union_by_name", ["order_export"], "SELECT " + ", ".join(
+    (f"CASE WHEN platform = 'mt' THEN NULLIF({c}, '') END AS {_q(h)}" if c == "receivable_fmt"
+     else f"NULLIF({c}, '') AS {_q(h)}") for c, h in X.ORDER_HEADERS.items()) + " FROM order_export")
+
+reg("src_header_flatten", ["fin_bill"], """
+SELECT '销售明细-' || shop_id || '.xlsx' AS file, order_no AS "订单号", goods AS "商家收入_商品金额",
+       delivery_income AS "商家收入_物流净营业额", subsidy AS "商家收入_col_3", commission AS "商家支出_实收佣金",
+       delivery_fee AS "商家支出_履约技术服务费", settlement AS "合计_结算金额"
+FROM fin_bill WHERE platform = 'el'""")
+
+reg("src_align_columns", ["promo_text"], """
+SELECT day AS "日期", shop_id AS col_1, store AS "门店名称", spend AS col_3 FROM promo_text""")
+
+reg("rule_penalty_offset", ["fin_bill"], """
+SELECT order_no AS "订单号", refund AS col_1, compensation AS col_2, settlement AS "结算金额"
+FROM fin_bill WHERE platform = 'el'""")
+
+reg("src_dim_store_ref", ["store_ref"], """
+SELECT store_short_name, NULLIF(TRIM(province), '') AS province, NULLIF(TRIM(city), '') AS city,
+       CAST(COALESCE(CASE WHEN ends_with(store_short_name, '3') THEN NULL ELSE daily_rent_labor END, 0)
+            AS DECIMAL(10,4)) AS daily_rent_labor
+FROM store_ref WHERE NULLIF(TRIM(store_short_name), '') IS NOT NULL""")
+
+reg("src_sheet_multi", ["fin_bill"], """
+WITH d AS (SELECT * FROM fin_bill WHERE platform = 'mt')
+SELECT '订单明细' AS sheet, '订单号' AS key, order_no AS value FROM d
+UNION ALL SELECT '订单明细', '商家应收款', settlement FROM d
+UNION ALL SELECT '订单明细', '账单日期', bill_date FROM d
+UNION ALL SELECT '账单明细', '日期', CAST(dt AS VARCHAR) FROM (SELECT DISTINCT shop_id, dt FROM d) s
+UNION ALL SELECT '账单明细', '笔数', CAST(COUNT(*) AS VARCHAR) FROM d GROUP BY shop_id, dt""")
+
+reg("schema_conform", ["order_export"], """
+SELECT order_no, shop_id, shop_name, status, refund_status, placed_at, receivable,
+       CAST(NULL AS VARCHAR) AS store_type_tag, dt, CAST(NULL AS VARCHAR) AS _source_file,
+       order_seq, platform, accepted_at, order_source
+FROM order_export""")
+
+reg("sink_truncate_reload", ["dim_store"], "SELECT * FROM dim_store")
+
+reg("sink_replace_partition", ["fin_line"], "SELECT order_no, line_no, fee_type, amount, dt FROM fin_line")
+
+reg("src_completeness_guard", ["order_export", "courier", "fin_bill"], """
+SELECT target, CAST(files AS BIGINT) AS files, 1 AS min_files, files >= 1 AS ok FROM (
+  SELECT 'ods_mt_order' AS target, COUNT(DISTINCT shop_id) AS files FROM order_export WHERE platform = 'mt'
+  UNION ALL SELECT 'ods_el_order', COUNT(DISTINCT shop_id) FROM order_export WHERE platform = 'el'
+  UNION ALL SELECT 'ods_jd_order', COUNT(DISTINCT shop_id) FROM order_export WHERE platform = 'jd'
+  UNION ALL SELECT 'ods_courier', COUNT(DISTINCT regexp_replace(store, '[^A-Za-z0-9_]', '_', 'g')) FROM courier
+  UNION ALL SELECT 'ods_el_fin', COUNT(DISTINCT shop_id) FROM fin_bill WHERE platform = 'el') t""")
+
+reg("src_spreadsheetml", ["fin_bill"], "SELECT " + ", ".join(
+    f"NULLIF({c}, '') AS {_q(h)}" for c, h in X.BILL_HEADERS.items()) + " FROM fin_bill WHERE platform = 'el'")
+
+reg("sink_materialize", [], __import__("ledgerlake.oracle_sql", fromlist=["ORACLES"]).ORACLES["ads_daily_report"])
+
+_SUBSIDY = __import__("ledgerlake.queries.recon", fromlist=["SUBSIDY"]).SUBSIDY
+reg("sink_temp_result", ["order_export", "fin_line"], f"""WITH {_SUBSIDY}
+SELECT 'fail' AS part, bill_no AS k, CAST(amt_settle AS {M2}) AS amount FROM checked WHERE NOT is_ok
+UNION ALL
+SELECT 'summary', CAST(dt AS VARCHAR), CAST(ROUND(COALESCE(SUM(COALESCE(amt_settle, 0)), 0), 2) AS {M2})
+FROM checked GROUP BY dt""")
+
+# expected names: 5 sanitised headers, 5 blank columns, then the repeated block
+_SANITIZED = (["日期", "门店ID", "门店名称", "推广消费_元", "推广现金消费_元"]
+              + ["unnamed"] + [f"unnamed_{i}" for i in range(1, 5)]
+              + [f"{n}_1" for n in ["日期", "门店ID", "门店名称", "推广消费_元", "推广现金消费_元"]])
+reg("src_sanitize_columns", ["promo_text"], f"""
+SELECT f.file, n.col, n.name
+FROM (SELECT DISTINCT '推广-' || shop_id || '.xlsx' AS file FROM promo_text) f
+CROSS JOIN (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(_SANITIZED))}) n(col, name)""")

@@ -39,6 +39,7 @@ def export_csv(v, root: str) -> str:
     for plats, enc in ((["mt"], "GBK"), (["el", "jd"], "UTF-8")):
         (o.where(F.col("platform").isin(*plats)).repartition("platform", "shop_id")
          .write.mode("append").option("header", True).option("encoding", enc)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
          .partitionBy("platform", "shop_id").csv(base))
     return base
 

@@ -134,6 +134,7 @@ def read_csv_text(spark: SparkSession, files: list[tuple[str, str, str]]) -> lis
     out = []
     for (enc, _), paths in sorted(groups.items()):
         df = (spark.read.option("header", True).option("inferSchema", False)
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
               .option("encoding", enc).csv(paths))
         out.append(df.withColumn("_source_file", F.col("_metadata.file_name")))
     return out
@@ -267,7 +268,8 @@ def spreadsheetml_cells(spark: SparkSession, paths: list[str] | str) -> DataFram
     # namespace prefixes are dropped so the row parses with a plain schema
     plain = F.regexp_replace(F.regexp_replace("xml", r"(</?)ss:", "$1"), r"\sss:", " ")
     parsed = rows.select("file", "row", F.from_xml(plain, _XML_ROW_SCHEMA,
-                                                   {"rowTag": "Row", "attributePrefix": "_"}).alias("r"))
+                                                   {"rowTag": "Row", "attributePrefix": "_",
+                                                    "ignoreSurroundingSpaces": "false"}).alias("r"))
     cells = parsed.select("file", "row", F.posexplode(F.col("r.Cell")).alias("pos", "c"))
     # running position: an explicit 1-based index resets it, otherwise +1
     w = Window.partitionBy("file", "row").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
