@@ -30,7 +30,9 @@ SKIP = ["*/_SUCCESS", "*.crc"]
 
 
 def _rel(root):
-    return F.regexp_replace(F.col("path"), r"^.*?" + root.split("/")[-1] + "/", "")
+    """Export-relative directory of a file (part-file names are random)."""
+    rel = F.regexp_replace(F.col("path"), r"^.*?" + root.split("/")[-1] + "/", "")
+    return F.regexp_replace(rel, r"/[^/]+$", "")
 
 
 def _export_all(v):
@@ -46,7 +48,7 @@ def src_route_files(v):
     """Route the exported files to target tables; first matching glob wins."""
     root = _export_all(v)
     r = FL.route_files(FL.list_files(v.spark, root), ROUTING_RULES, SKIP)
-    return r.select(_rel(root).alias("file"), "rule", "target", "status")
+    return r.select(_rel(root).alias("folder"), "rule", "target", "status")
 
 
 @query("src_completeness_guard")
@@ -63,7 +65,7 @@ def src_filename_tag(v):
     root = X.new_root(v.spark)
     X.export_csv(v, root)
     f = FL.list_files(v.spark, root, "*.csv")
-    return f.select(_rel(root).alias("file"),
+    return f.select(_rel(root).alias("folder"),
                     FL.filename_tag(F.col("path"), r"shop_id=([0-9]+)/", "未知门店").alias("_store_tag"),
                     FL.filename_tag(F.col("path"), r"platform=(zz)/", "default").alias("_account_type"))
 
@@ -572,3 +574,40 @@ reg("src_sanitize_columns", ["promo_text"], f"""
 SELECT f.file, n.col, n.name
 FROM (SELECT DISTINCT '推广-' || shop_id || '.xlsx' AS file FROM promo_text) f
 CROSS JOIN (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(_SANITIZED))}) n(col, name)""")
+
+reg("schema_drift_report", ["order_export"], f"""
+WITH declared AS (
+  SELECT * FROM (VALUES {", ".join(f"('{c}', {i})" for i, c in enumerate(DECLARED_ORDER_COLUMNS))})
+    t(column_name, declared_pos)),
+existing AS (
+  SELECT column_name, CAST(ROW_NUMBER() OVER () - 1 AS INTEGER) AS existing_pos
+  FROM (DESCRIBE SELECT * FROM order_export))
+SELECT COALESCE(d.column_name, e.column_name) AS column_name, CAST(d.declared_pos AS INTEGER) AS declared_pos,
+       e.existing_pos,
+       CASE WHEN e.existing_pos IS NULL THEN 'new' WHEN d.declared_pos IS NULL THEN 'extra' ELSE 'ok' END AS status
+FROM declared d FULL OUTER JOIN existing e ON d.column_name = e.column_name""")
+
+reg("schema_discover", ["order_export", "fin_bill", "fin_line", "courier"], " UNION ALL ".join(f"""
+SELECT '{t}' AS table_name, position, column_name,
+       CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date' WHEN 'INTEGER' THEN 'int'
+                        ELSE lower(column_type) END AS data_type
+FROM (SELECT CAST(ROW_NUMBER() OVER () - 1 AS INTEGER) AS position, column_name, column_type
+      FROM (DESCRIBE SELECT * FROM {t})) x
+WHERE NOT starts_with(column_name, '_') AND column_name <> 'dt'""" for t in ("order_export", "fin_bill", "fin_line", "courier")))
+
+_DIRS = """
+SELECT 'csv/platform=' || platform || '/shop_id=' || shop_id AS folder, platform, shop_id
+FROM (SELECT DISTINCT platform, shop_id FROM order_export) o"""
+reg("src_route_files", ["order_export", "courier", "fin_bill"], f"""
+SELECT folder, rule, target, 'routed' AS status FROM (
+  SELECT folder, CASE platform WHEN 'mt' THEN 'mt_orders' WHEN 'el' THEN 'el_orders' ELSE 'any_csv' END AS rule,
+         CASE platform WHEN 'mt' THEN 'ods_mt_order' WHEN 'el' THEN 'ods_el_order' ELSE 'ods_jd_order' END AS target
+  FROM ({_DIRS}) d
+  UNION ALL
+  SELECT DISTINCT 'html/key=' || regexp_replace(store, '[^A-Za-z0-9_]', '_', 'g'), 'courier_html', 'ods_courier'
+  FROM courier
+  UNION ALL
+  SELECT DISTINCT 'xml/key=' || shop_id, 'bill_xml', 'ods_el_fin' FROM fin_bill WHERE platform = 'el') t""")
+
+reg("src_filename_tag", ["order_export"], f"""
+SELECT folder, shop_id AS _store_tag, 'default' AS _account_type FROM ({_DIRS}) d""")
