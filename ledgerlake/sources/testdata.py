@@ -12,6 +12,8 @@ Rows of the three platforms live in the same export tables and carry a
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -364,12 +366,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+_LAND_LOCK = threading.Lock()
+
+
 def land(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Land a raw export view as an ODS parquet table (once per source state)
-    under the shared checkpoint folder; day-carrying tables are range
-    partitioned and sorted by ``dt`` so day filters skip files and row groups."""
+    """Land a raw export view as an ODS parquet table under the shared
+    checkpoint folder, once per application and source state (the path holds
+    the application id, so concurrent applications never share a writer);
+    day-carrying tables are range partitioned and sorted by ``dt`` so day
+    filters skip files and row groups."""
     from ..session import scratch_path
-    path = scratch_path(spark, f"ods/{name}-{_fingerprint(sf_dir, name)}")
+    app = spark.sparkContext.applicationId
+    path = scratch_path(spark, f"ods/{app}/{name}-{_fingerprint(sf_dir, name)}")
+    with _LAND_LOCK:
+        _land_once(spark, sf_dir, name, path)
+    return path
+
+
+def _land_once(spark: SparkSession, sf_dir: str, name: str, path: str) -> None:
     if not _exists(spark, path):
         df = spark.sql(view_sql(name, "spark", sf_dir))
         if "dt" in df.columns:
@@ -378,7 +392,6 @@ def land(spark: SparkSession, sf_dir: str, name: str) -> str:
             df = (df.repartitionByRange("dt", F.xxhash64(*[F.col(c) for c in df.columns]))
                   .sortWithinPartitions("dt"))
         df.write.mode("overwrite").parquet(path)
-    return path
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, landed: bool = True) -> DataFrame:
