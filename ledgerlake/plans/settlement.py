@@ -28,13 +28,14 @@ from ..operators.joins import match_split, prefix_join, resolve_alias
 from ..operators.windows import distinct_on, latest_by
 from ..session import materialize
 
-# Alias-dimension platform names per platform.
+# Finance lookback in days (no upper bound); alias-dimension
+# platform names per platform.
+LOOKBACK_DAYS = 120
 ALIAS_PLATFORMS = {
     "mt": ["美团买药"],
     "el": ["饿了么", "淘宝闪购"],
     "jd": ["京东买药", "京东小时达", "京东"],
 }
-LOOKBACK_DAYS = 120
 MONEY = "decimal(18,2)"
 
 
@@ -415,7 +416,7 @@ def daily_store_aggregate(v, w: Window) -> DataFrame:
     fd = materialize(freight_day(v.courier, w))
     fa = freight_allocate(ob, fd)
     pm = promo_by_store(v.promo_text, v.store_alias, v.dim_store, w)
-    fe = materialize(fixed_cost_enrich(v.fixed_cost, v.dim_store))
+    fe = fixed_cost_enrich(v.fixed_cost, v.dim_store)     # dimension-only plan, cheap to repeat
     pgt = pending_totals_from_shops(shops)
     labels = (fe.select("store_label").union(ob.select("store_label"))
               .union(pm.select("store_label")).distinct()).alias("s")
