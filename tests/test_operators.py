@@ -76,3 +76,18 @@ def test_resolve_alias_property(spark, keys, alias):
     want = sorted((tuple(r) for r in kdf.join(o, cond, "left").select(*kdf.columns, "store_short_name")
                    .collect()), key=repr)
     assert got == want
+
+
+def test_row_number_spread_matches_window(spark):
+    from pyspark.sql import Window
+
+    from ledgerlake.operators.windows import row_number_spread
+    # one hot key with most rows, a few small keys, a null key
+    rows = [("hot", i % 17, i) for i in range(400)] + [("a", 1, 1), ("a", 0, 2), ("b", 5, 3), (None, 2, 4), (None, 1, 5)]
+    df = spark.createDataFrame(rows, "k string, d int, v int")
+    order = [F.asc("d"), F.asc("v")]
+    got = sorted((tuple(r) for r in row_number_spread(df, ["k"], order, "rn", parts=8)
+                  .select("k", "d", "v", "rn").collect()), key=repr)
+    want = sorted((tuple(r) for r in df.withColumn("rn", F.row_number().over(
+        Window.partitionBy("k").orderBy(*order))).collect()), key=repr)
+    assert got == want
