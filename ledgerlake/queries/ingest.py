@@ -1,7 +1,8 @@
 """Ingestion, sink and schema queries (§2.1).
 
 File-based keys first export the raw views as files (``export_fixtures``),
-then run the loader on them; results keep paths relative to the export root.
+then run the loader on them; results name export folders relative to the
+export root (Spark's part-file names are random).
 """
 
 from __future__ import annotations

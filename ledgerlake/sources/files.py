@@ -6,7 +6,8 @@ format (CSV, xlsx, HTML table, SpreadsheetML) shares the same header logic:
 
 * files are listed with the ``binaryFile`` source (content not read unless
   a decoder needs it) and routed by ordered glob rules, first match wins;
-* CSV goes through Spark's CSV reader, one read per detected encoding;
+* CSV goes through Spark's CSV reader, one read per (detected encoding,
+  header layout) group of files;
 * xlsx is unzipped per file inside ``mapInPandas`` (stdlib ``zipfile`` +
   ``ElementTree``) and emitted as cells — one task per file, no driver hop;
 * HTML tables and SpreadsheetML are parsed JVM-side (regex extraction,
