@@ -1,0 +1,19 @@
+"""Plan-shape guards for every registered query (sf0.001): no nested-loop or
+cartesian joins, no row-at-a-time Python; Python only where declared."""
+
+import pytest
+
+import __spark_entry__ as E
+
+SF = "/root/testdata/sf0.001"
+PYTHON_ALLOWED = set()          # the xlsx decoder runs only in pytest fixtures
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_plan_shape(spark, key):
+    plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan
+    assert "CartesianProduct" not in plan
+    assert "BatchEvalPython" not in plan
+    if key not in PYTHON_ALLOWED:
+        assert "MapInPandas" not in plan and "ArrowEvalPython" not in plan
