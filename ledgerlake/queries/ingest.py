@@ -307,7 +307,8 @@ UNION ALL SELECT * FROM src""")
 def sink_truncate_reload(v):
     """A dimension replaced as a whole."""
     path = scratch_path(v.spark, f"dim_store/{X.new_root(v.spark).split('/')[-1]}")
-    SK.truncate_reload(v.dim_store.limit(0), path)
+    # yesterday's (empty) dimension, then the whole reload replaces it
+    SK.truncate_reload(v.spark.createDataFrame([], v.dim_store.schema), path)
     SK.truncate_reload(v.dim_store, path)
     return v.spark.read.parquet(path)
 
