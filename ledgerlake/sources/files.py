@@ -230,7 +230,20 @@ def xlsx_cells(spark: SparkSession, paths: list[str] | str, sheets: list[str] |
 # ---------------------------------------------------------------------------
 # HTML table / SpreadsheetML → cells (JVM-side)
 # ---------------------------------------------------------------------------
+def _code_point(hex_digits: Column) -> Column:
+    """One Unicode character from its code point in hex (UTF-32 big-endian)."""
+    return F.decode(F.unhex(F.lpad(hex_digits, 8, "0")), "UTF-32")
+
+
 def _unescape(c: Column) -> Column:
+    """HTML entities → text: numeric (decimal and hex) first, then the named
+    ones, ``&amp;`` last so escaped entities stay literal."""
+    c = F.aggregate(F.regexp_extract_all(c, F.lit(r"&#([0-9]+);"), 1), c,
+                    lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
+                                             _code_point(F.hex(n.cast("int")))))
+    c = F.aggregate(F.regexp_extract_all(c, F.lit(r"&#[xX]([0-9a-fA-F]+);"), 1), c,
+                    lambda acc, h: F.replace(F.replace(acc, F.concat(F.lit("&#x"), h, F.lit(";")), _code_point(h)),
+                                             F.concat(F.lit("&#X"), h, F.lit(";")), _code_point(h)))
     for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
                  ("&amp;", "&")):
         c = F.replace(c, F.lit(a), F.lit(b))

@@ -95,11 +95,12 @@ def test_spreadsheetml_sparse_and_entities(spark, tmp_path):
 def test_html_table(spark, tmp_path):
     p = tmp_path / "page.xlsx"
     p.write_text("<html><table><tr><th>订单</th><th>金额</th></tr><tr><td>1</td><td>nan</td></tr>"
-                 "<tr><td><b>2</b></td><td>3&amp;4</td></tr></table><table><tr><td>no</td></tr></table></html>",
+                 "<tr><td><b>2</b></td><td>3&amp;4</td></tr><tr><td>&#20013;&#x6587;</td><td>&amp;#65;</td></tr>"
+                 "</table><table><tr><td>no</td></tr></table></html>",
                  encoding="utf-8")
     cells = FL.html_cells(spark, str(p))
     rows = FL.cells_to_rows(cells, FL.header_names(cells, 0), 1, drop_blank=False)
-    assert sorted((r["订单"], r["金额"]) for r in rows.collect()) == [("1", None), ("2", "3&4")]
+    assert sorted((r["订单"], r["金额"]) for r in rows.collect()) == [("1", None), ("2", "3&4"), ("中文", "&#65;")]
 
 
 def test_route_first_match_wins(spark):
