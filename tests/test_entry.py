@@ -1,4 +1,4 @@
-"""Driver contract: entry runs; every query runs at sf0.001; oracle keys ⊆ query keys."""
+"""Driver contract: entry runs; oracle keys ⊆ query keys (every query runs in test_queries)."""
 
 import __spark_entry__ as E
 
@@ -13,13 +13,3 @@ def test_oracles_cover_registered_queries():
     qs, orc = E.queries(), E.oracle_sql()
     assert set(orc) <= set(qs)
     assert len(qs) >= 100
-
-
-def test_every_query_runs_small(spark):
-    failures = []
-    for name, fn in E.queries().items():
-        try:
-            fn(spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
-        except Exception as e:  # noqa: BLE001
-            failures.append((name, str(e)[:200]))
-    assert not failures, failures
