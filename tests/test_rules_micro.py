@@ -74,3 +74,15 @@ def test_freight_without_orders(spark):
     fd = spark.createDataFrame([(Decimal("12.00"),)], "total_freight decimal(28,4)")
     r = S.freight_allocate(ob, fd).first()
     assert r.freight_alloc == 0 and r.freight_per_order is None
+
+
+def test_one_day_window_and_sizing():
+    from ledgerlake.session import sizing_conf
+    w = S.Window.one_day("2026-03-31")
+    assert (w.d, w.d_end) == ("2026-03-31", "2026-04-01")
+    mb = 1 << 20
+    small = sizing_conf(10 * mb, 8)
+    big = sizing_conf(100 * (1 << 40), 8000)          # 100 TB on 1000 executors × 8 cores
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == mb
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 128 * mb
+    assert int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 64 * mb
