@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..catalog import money_all, query
 from ..functions import cleaning as C
-from ..oracle_sql import clean, gate, reg, tnull
+from ..oracle_sql import ORACLES, clean, gate, reg, tnull
 from ..session import scratch_path
 from ..sources import export_fixtures as X
 from ..sources import files as FL
@@ -559,9 +559,9 @@ SELECT target, CAST(files AS BIGINT) AS files, 1 AS min_files, files >= 1 AS ok
 reg("src_spreadsheetml", ["fin_bill"], "SELECT " + ", ".join(
     f"NULLIF({c}, '') AS {_q(h)}" for c, h in X.BILL_HEADERS.items()) + " FROM fin_bill WHERE platform = 'el'")
 
-reg("sink_materialize", [], __import__("ledgerlake.oracle_sql", fromlist=["ORACLES"]).ORACLES["ads_daily_report"])
+reg("sink_materialize", [], ORACLES["ads_daily_report"])
 
-_SUBSIDY = __import__("ledgerlake.queries.recon", fromlist=["SUBSIDY"]).SUBSIDY
+from .recon import SUBSIDY as _SUBSIDY  # noqa: E402
 reg("sink_temp_result", ["order_export", "fin_line"], f"""WITH {_SUBSIDY}
 SELECT 'fail' AS part, bill_no AS k, CAST(amt_settle AS {M2}) AS amount FROM checked WHERE NOT is_ok
 UNION ALL

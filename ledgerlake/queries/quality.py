@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import money_all, query
-from ..oracle_sql import (D, MART_CTES, MART_VIEWS, SHEET_VIEWS, clean, gate, gate0, in_win, reg,
+from ..oracle_sql import (D, MART_CTES, MART_VIEWS, SHEET_VIEWS, clean, gate, gate0, in_win, paren, reg,
                           split_cte, strict, tnull)
 from ..plans import models as M
 from ..plans import quality as Q
@@ -151,7 +151,7 @@ def rule_pending_by_store(v):
     return money_all(Q.rule_pending_by_store(v, WINDOW))
 
 
-_PAREN = __import__("ledgerlake.oracle_sql", fromlist=["paren"]).paren
+_PAREN = paren
 reg("rule_pending_by_store", SHEET_VIEWS,
     "WITH " + ",\n".join(split_cte(p) for p in ("mt", "el", "jd")) + f""",
 amounts AS (SELECT {clean('order_no')} AS order_no,

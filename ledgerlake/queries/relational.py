@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from ..catalog import money_all, query
 from ..functions import cleaning as C
 from ..operators.joins import prefix_join, resolve_alias
-from ..oracle_sql import (ALIAS_PLATFORMS, ALL_BY_STORE, D, FIXED, FREIGHT, INT_REV, INT_SHIP,
-                          MART_CTES, MART_VIEWS, OBS, PENDING, SHEET_VIEWS, STG_EL, STG_JD, STG_MT,
-                          by_store_cte, clean, div_round2, gate, gate0, in_win, pnorm, reg,
-                          split_cte, strict, tnull)
+from ..oracle_sql import (ALIAS_PLATFORMS, ALL_BY_STORE, D, INT_PROMO, INT_REV, INT_SHIP, MART_CTES,
+                          MART_VIEWS, OBS, ORACLES, PENDING, SHEET_VIEWS, STG_EL, STG_JD, STG_MT,
+                          by_store_cte, clean, div_round2, gate, gate0, paren, pnorm, reg, split_cte,
+                          strict, tnull)
 from ..plans import models as M
 from ..plans import recon as R
 from ..plans import settlement as S
+from .recon import EL_ANCHOR_ALL, EL_FIN_ROWS, SUBSIDY
 from .settlement import WINDOW
 
 M2 = "DECIMAL(18,2)"
@@ -141,7 +142,7 @@ def join_semi_in(v):
     return money_all(R.jd_subsidy_checked(v, WINDOW).select("bill_no", "fee_type", "amt_settle"))
 
 
-reg("join_semi_in", SHEET_VIEWS, f"""WITH {__import__('ledgerlake.queries.recon', fromlist=['SUBSIDY']).SUBSIDY}
+reg("join_semi_in", SHEET_VIEWS, f"""WITH {SUBSIDY}
 SELECT bill_no, fee_type, CAST(amt_settle AS {M2}) AS amt_settle FROM parsed""")
 
 
@@ -355,7 +356,7 @@ def agg_avg(v):
 reg("agg_avg", ["courier"], f"""
 SELECT store_name, CAST(COALESCE(CASE WHEN COUNT(d) > 0 THEN {div_round2('SUM(d)', 'COUNT(d)')} END, 0)
                         AS {M2}) AS avg_dist_km
-FROM (SELECT {__import__('ledgerlake.oracle_sql', fromlist=['paren']).paren('store')} AS store_name,
+FROM (SELECT {paren('store')} AS store_name,
              {strict('dist_km')} AS d FROM courier) t GROUP BY store_name""")
 
 
@@ -429,7 +430,7 @@ def win_global_row_number(v):
     return money_all(R.recon_order_lines(v, WINDOW).select("order_no", "line_seq", "dt", "bill_date"))
 
 
-reg("win_global_row_number", SHEET_VIEWS, f"""WITH {__import__('ledgerlake.queries.recon', fromlist=['EL_FIN_ROWS']).EL_FIN_ROWS}
+reg("win_global_row_number", SHEET_VIEWS, f"""WITH {EL_FIN_ROWS}
 SELECT order_no, CAST(ROW_NUMBER() OVER (PARTITION BY order_no ORDER BY CAST(bill_date AS DATE) NULLS LAST,
   dt, line_no, {", ".join(f"{c} NULLS LAST" for c in ["settlement", "receivable", "net_sales", "service_fee"]
                           + R.EL_COMPONENTS)}) AS BIGINT) AS line_seq, dt, bill_date
@@ -493,7 +494,7 @@ def set_union_all(v):
     return money_all(M.int_promotion_cost(v.promo_typed, v.promo_text))
 
 
-reg("set_union_all", MART_VIEWS, f"""WITH {__import__('ledgerlake.oracle_sql', fromlist=['INT_PROMO']).INT_PROMO}
+reg("set_union_all", MART_VIEWS, f"""WITH {INT_PROMO}
 SELECT dt, platform, store_name, CAST(promotion_cost AS {M2}) AS promotion_cost FROM pr""")
 
 
@@ -529,7 +530,7 @@ LEFT JOIN (SELECT {clean('fee_type')} AS fee_type, COUNT(*) AS lines FROM fin_li
 
 
 # oracles composed from the store-sheet oracle
-_SHEET = __import__("ledgerlake.oracle_sql", fromlist=["ORACLES"]).ORACLES["daily_store_aggregate"]
+_SHEET = ORACLES["daily_store_aggregate"]
 reg("sort_report", [], _SHEET)
 reg("agg_by_region", [], f"""
 SELECT report_date, province, city, store_type,
@@ -541,8 +542,7 @@ SELECT report_date, province, city, store_type,
   CAST(MAX(jd_pending_fin_match_total) AS BIGINT) AS jd_pending_fin_match_total
 FROM ({_SHEET}) x GROUP BY 1, 2, 3, 4""")
 
-_Q = __import__("ledgerlake.queries.recon", fromlist=["EL_ANCHOR_ALL"])
-reg("topk_mismatch", SHEET_VIEWS, f"""WITH {_Q.EL_ANCHOR_ALL}, {_Q.EL_FIN_ROWS},
+reg("topk_mismatch", SHEET_VIEWS, f"""WITH {EL_ANCHOR_ALL}, {EL_FIN_ROWS},
 f AS (SELECT order_no, SUM(receivable) AS fin_receivable FROM el_rows GROUP BY order_no),
 m AS (
   SELECT a.order_no, f.fin_receivable,
