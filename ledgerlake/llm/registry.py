@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import byte_bpe, decontaminate, html_text, licenses, nearest, quality, secrets_scan, sharding
+from ledgerlake.llm import byte_bpe, decontaminate, html_text, jaccard, language_model, licenses, nearest, quality, secrets_scan, sharding
 from ledgerlake.llm.store import ship
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -48,6 +48,18 @@ def op2_nearest(spark, sf_dir):
     return nearest.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
 
 
+@query
+def op3_language_model(spark, sf_dir):
+    """Log-probability of every document; those of fold 2 of 7 are held out."""
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_jaccard(spark, sf_dir):
+    """Near-copy component of every document."""
+    return jaccard.groups(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_byte_bpe(spark, sf_dir):
     """Token ids of every document, and the round trip back to bytes."""
