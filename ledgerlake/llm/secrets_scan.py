@@ -2,9 +2,9 @@
 
 Everything runs on built-in functions.  Two first-order Markov models over
 characters, one of random strings and one of ordinary identifiers, are
-trained on a bounded labelled sample of the corpus: values that the fixed
-patterns find are labelled random, long words without digits are labelled
-ordinary.  A candidate (a run of 20 or more key characters) is a secret if
+trained on labelled samples of the corpus: the values that the fixed patterns
+find are labelled random, long words without digits from a bounded sample of
+documents are labelled ordinary.  A candidate (a run of 20 or more key characters) is a secret if
 the log-likelihood ratio of random against ordinary is high enough for its
 length.  Its score is one array lookup per character pair.
 """
@@ -27,8 +27,8 @@ KINDS = ("assign", "access", "hex", "markov")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ORDINARY = r"[A-Za-z_-]{8,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
-SAMPLE_DOCS = 2000              # documents that the training sample takes for each label, at most
-SAMPLE_STRINGS = 200            # strings that it takes from each of them, at most
+SAMPLE_DOCS = 2000              # documents that the sample of ordinary words takes, at most
+SAMPLE_STRINGS = 200            # words that it takes from each of them, at most
 LEAST_RATIO = 0.7               # nats a character by which "random" must be likelier
 
 _SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
@@ -76,24 +76,25 @@ def _code(char: Column) -> Column:
 def train(docs: DataFrame, text: str = "text", key: str = "doc_id") -> list[float]:
     """Log-likelihood ratio, random against ordinary, of each character pair.
 
-    Reads at most SAMPLE_DOCS documents for each label (the first by a hash
-    of the key, so the sample doesn't depend on the partitioning).  Returns
-    (a + 1)^2 numbers for an alphabet of a characters; without samples all
-    are 0 and no candidate is accepted.  Each model is smoothed by a tenth of
-    a count for each pair.
+    All values that the fixed patterns find are counted; ordinary words come
+    from SAMPLE_DOCS documents at most (the first by a hash of key and text,
+    so the sample doesn't depend on the partitioning).  Returns (a + 1)^2
+    numbers for an alphabet of a characters; without samples all are 0 and no
+    candidate is accepted.  Each model is smoothed by a tenth of a count for
+    each pair.
     """
     t = F.col("text")
     rows = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("h")).where(F.col("text").isNotNull())
     hit = t.rlike(ASSIGN) | t.rlike(ACCESS) | t.rlike(HEX)
-    random = rows.where(hit).select("h", F.concat(
+    random = rows.where(hit).select(F.concat(
         F.filter(F.regexp_extract_all(t, F.lit(ASSIGN), F.lit(2)), lambda x: F.length(x) >= ASSIGN_LEAST),
         F.filter(F.regexp_extract_all(t, F.lit(ACCESS), F.lit(0)), lambda x: F.length(x) >= ACCESS_LEAST),
         F.regexp_extract_all(t, F.lit(HEX), F.lit(0))).alias("s"))
-    plain = rows.select("h", F.regexp_extract_all(t, F.lit(ORDINARY), F.lit(0)).alias("s"))
+    last = rows.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).head()[0]     # numbers only
+    plain = rows.where(F.col("h") <= F.lit(last).cast("bigint")).dropDuplicates(["h"]).select(F.slice(F.regexp_extract_all(t, F.lit(ORDINARY), F.lit(0)), 1, SAMPLE_STRINGS).alias("s"))
     counts = None
     for label, strings in ((1, random), (0, plain)):
-        chosen = strings.select("h", F.slice("s", 1, SAMPLE_STRINGS).alias("s")).where(F.size("s") > 0).orderBy("h").limit(SAMPLE_DOCS)
-        codes = chosen.select(F.explode(F.array_distinct("s")).alias("s")).select(F.transform(F.split("s", ""), _code).alias("c"))
+        codes = strings.select(F.explode(F.array_distinct("s")).alias("s")).select(F.transform(F.split("s", ""), _code).alias("c"))
         pairs = codes.select(F.explode(F.arrays_zip(F.expr("slice(c, 1, size(c) - 1)").alias("a"), F.expr("slice(c, 2, size(c) - 1)").alias("b"))).alias("p"))
         part = pairs.groupBy("p.a", "p.b").count().select(F.lit(label).alias("label"), "a", "b", F.col("count").alias("n"))
         counts = part if counts is None else counts.unionByName(part)
