@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PROJECTIONS = 12
-CONFIDENCE = 0.95           # chi-square probability at which a query stops
+CONFIDENCE = 0.9            # chi-square probability at which a query stops
 LEAF = 128
 BLOCK_VALUES = 1 << 20      # components in one block of vectors, on average
 QUERY_BATCH = 512
@@ -157,8 +157,11 @@ def search(table: DataFrame, every: int = 20, k: int = 20, confidence: float = C
     stored = classes.select(F.size("vector").alias("dim"), F.pmod(F.xxhash64("vector"), count).cast("int").alias("block"), F.lit(0).alias("query"), "ids", "vector")
     asked = (rows.where(F.col("id") % every == 0)
              .select(F.size("vector").alias("dim"), F.explode(F.sequence(F.lit(0), count - 1)).alias("block"), F.lit(1).alias("query"), F.array("id").alias("ids"), "vector"))
-    parts = max(1, sum(blocks.values()))
-    laid = stored.unionByName(asked).repartition(parts, "dim", "block").sortWithinPartitions("dim", "block", "query")
+    offset, parts = {}, 0                               # each block has a partition of its own
+    for d in sorted(blocks):
+        offset[d], parts = parts, parts + blocks[d]
+    first = F.coalesce(*[F.when(F.col("dim") == d, F.lit(n)) for d, n in offset.items()], F.lit(0))
+    laid = stored.unionByName(asked).repartitionById(max(1, parts), (first + F.col("block")).cast("int")).sortWithinPartitions("dim", "block", "query")
     found = laid.mapInArrow(_search(k, confidence, {r.dim: r.norm for r in sizes}), "query_id bigint, vec_id bigint, score double")
     best = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
