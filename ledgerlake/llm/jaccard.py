@@ -1,23 +1,24 @@
 """N-gram Jaccard join: near-copy groups by exact set similarity.
 
 A document's set holds its distinct shingles of SIZE words.  Equal sets are
-one node.  The join runs in four parts:
-
-1. Shingles are counted over all documents in a table of hashed counters of
-   fixed size; the global order of shingles goes by that count, then hash.
-   (Any fixed order gives right results; a rare-first one gives few
-   candidates.)
-2. Two sets that link share a shingle among their first n - ceil(0.75 n) + 1.
-   Sets that share such a shingle are joined into candidate groups.  Within a
-   task, the sets of a shingle send one posting on, so a very common shingle
-   weighs no more than one posting a task.
-3. Each candidate group goes, in chunks of bounded size, to tasks that join
+one node.  Two sets that link share a shingle among their first n - ceil(0.75
+n) + 1 in any fixed order of all shingles.  The join runs in five parts:
+
+1. All shingles of all sets are compared across the corpus.  In an order that
+   has the shingles of one set only first, a set with n - ceil(0.75 n) + 1 or
+   more of these can't link to another; the rest go on.
+2. The shingles of those sets are counted in a table of hashed counters of
+   fixed size; from here on their order is by that count, then hash.
+3. Sets that share one of their first shingles are joined into candidate
+   groups.  Within a task, the sets of a shingle send one posting on, so a
+   very common shingle weighs no more than one posting a task.
+4. Each candidate group goes, in chunks of bounded size, to tasks that join
    it exactly: index lists in blocks by position, whole blocks skipped where
    the positional filter fails, and a set's overlaps derived from those of a
    highly similar set by the few shingles in which the two differ.
-4. In groups of several chunks, only sets whose component isn't already the
-   prevailing one of another chunk are sent there.  The links' components are
-   the result.
+5. In groups of several chunks, the sets outside the group's prevailing
+   component are sent to its other chunks.  The links' components are the
+   result.
 
 Shingles and sets are told apart by 64-bit hashes.
 """
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -79,30 +81,131 @@ def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]
 
 def prefix_length(n):
     """Shingles of a set of n, of which two linked sets share at least one."""
-    return n - (SHARE * n + 99) // 100 + 1
+    return (100 - SHARE) * n // 100 + 1
 
 
 def _counter(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
 
-def _survey(rows: DataFrame, kind: str) -> DataFrame:
-    """Per document its set's size and id; per task the shingle counters."""
+def _survey(rows: DataFrame, kind: str, parts: int) -> DataFrame:
+    """(key, n, node, alone) per document: its set's size and id, and how many
+    of its shingles no other set has.
+
+    Shingles go to the part of their hash with 32 more bits of it; sets that
+    differ only there would seem to share a shingle, which does no harm.
+    """
     key_type = to_arrow_type(rows.schema["key"].dataType)
+    names = ["part", "task", "key", "n", "node", "row", "hash", "doc", "size", "owner"]
+    schema = f"part int, task bigint, key {kind}, n bigint, node bigint, row int, hash binary, doc binary, size binary, owner binary"
+    types = [pa.int32(), pa.int64(), key_type, pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+
+    def batch_of(count: int, /, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[n] if n in columns else pa.nulls(count, t) for n, t in zip(names, types, strict=True)], names)
+
+    def flush(task: int, sets: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
+        spread = mix(np.concatenate(sets))
+        doc = np.repeat(np.arange(len(sets), dtype=np.int64), [len(s) for s in sets])
+        place = ((spread >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64) * len(sets) + doc
+        by = np.argsort(place, kind="stable")
+        short, place = (spread[by] & np.uint64(0xFFFFFFFF)).astype(np.uint32), place[by]
+        at = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        size = np.diff(np.append(at, len(place))).astype(np.uint32)
+        part, doc = np.divmod(place[at], len(sets))
+        owner = (mix(np.array(nodes, np.int64)[doc].view(np.uint64) + part.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
+        found, first = np.unique(part, return_index=True)
+        last = np.append(first[1:], len(part))
+        cut = np.append(at, len(place))
+        pieces = list(zip(first.tolist(), last.tolist(), strict=True))
+        raw = lambda a: pa.array([a[i:j].tobytes() for i, j in pieces], pa.binary())
+        return batch_of(len(found), part=pa.array(found, pa.int32()), task=pa.array(np.full(len(found), task)), doc=raw(doc.astype(np.uint32)), size=raw(size), owner=raw(owner),
+                        hash=pa.array([short[cut[i]:cut[j]].tobytes() for i, j in pieces], pa.binary()))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, sets_, nodes, rows_of, held = TaskContext.get().partitionId() << 32, [], [], {}, 0
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                size, ids, sets = shingles(block.column("text"))
+                row = []
+                for n, node, members in zip(size.tolist(), ids.tolist(), sets, strict=True):
+                    if n and node not in rows_of:
+                        rows_of[node] = len(nodes)
+                        nodes.append(node)
+                        sets_.append(members)
+                        held += n
+                    row.append(rows_of[node] if n else -1)
+                count = len(row)
+                yield batch_of(count, part=pa.array((np.arange(count) % parts).astype(np.int32)), task=pa.array(np.full(count, task)), key=block.column("key"), n=pa.array(size), node=pa.array(ids), row=pa.array(row, pa.int32()))
+                if held >= FLUSH:
+                    yield flush(task, sets_, nodes)
+                    task, sets_, nodes, rows_of, held = task + 1, [], [], {}, 0
+        if held:
+            yield flush(task, sets_, nodes)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per part, task and set, the number of shingles of no other set."""
+        held: dict[int, list] = {}
+        for batch in batches:
+            whole = batch.filter(batch.column("hash").is_null())
+            if whole.num_rows:
+                yield whole
+            some = batch.filter(batch.column("hash").is_valid())
+            for part, task, *arrays in zip(some.column("part").to_pylist(), some.column("task").to_pylist(), *(some.column(c) for c in ("hash", "doc", "size", "owner")), strict=True):
+                held.setdefault(part, []).append((task, *[np.frombuffer(a.as_buffer(), np.uint32) for a in arrays]))
+        for part, found in sorted(held.items()):
+            code = np.concatenate([h.astype(np.uint64) << np.uint64(32) | np.repeat(o, s) for _, h, _, s, o in found])
+            pairs = np.unique(code) >> np.uint64(32)                        # (shingle, set) once each
+            inner = pairs[1:] == pairs[:-1]
+            shared = pairs[1:][inner]                                       # shingles of several sets
+            at = np.searchsorted(shared, code >> np.uint64(32))
+            at[at == len(shared)] = 0
+            alone = (shared[at] != code >> np.uint64(32)) if len(shared) else np.ones(len(code), bool)
+            total, first = np.concatenate([[0], np.cumsum(alone)]), 0
+            for task, h, doc, size, _ in found:
+                ends = first + np.cumsum(size.astype(np.int64))
+                own = (total[ends] - total[ends - size]).astype(np.uint32)
+                first += len(h)
+                yield batch_of(1, part=pa.array([part], pa.int32()), task=pa.array([task]), doc=pa.array([doc.tobytes()], pa.binary()), size=pa.array([own.tobytes()], pa.binary()))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, list[pa.RecordBatch]] = {}
+        alone: dict[int, list] = {}
+        for batch in batches:
+            task = batch.column("task").to_numpy()
+            whole = batch.column("row").is_valid().to_numpy(zero_copy_only=False)
+            for t in np.unique(task[whole]).tolist():
+                kept.setdefault(t, []).append(batch.select(["key", "n", "node", "row"]).filter(pa.array(whole & (task == t))))
+            some = batch.filter(pa.array(~whole))
+            for t, doc, own in zip(some.column("task").to_pylist(), some.column("doc"), some.column("size"), strict=True):
+                alone.setdefault(t, []).append((np.frombuffer(doc.as_buffer(), np.uint32), np.frombuffer(own.as_buffer(), np.uint32)))
+        for t, found in kept.items():
+            for piece in found:
+                row = piece.column("row").to_numpy()
+                if piece is found[0]:
+                    total = np.zeros(max(int(p.column("row").to_numpy().max(initial=0)) for p in found) + 1, np.int64)
+                    for doc, own in alone.pop(t, []):
+                        total += np.bincount(doc, own, len(total)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([piece.column("key"), piece.column("n"), piece.column("node"), pa.array(np.where(row >= 0, total[row], 0))], ["key", "n", "node", "alone"])
+
+    compared = rows.mapInArrow(send, schema).repartition(parts, "part").mapInArrow(compare, schema)
+    return compared.repartition(parts, "task").mapInArrow(finish, f"key {kind}, n bigint, node bigint, alone bigint")
+
+
+def _counters(rows: DataFrame) -> np.ndarray:
+    """Counts of hashed shingles over all sets (COUNTERS numbers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             for block in blocks(batch, "text"):
-                size, ids, sets = shingles(block.column("text"))
-                counts += np.bincount(_counter(np.concatenate([np.empty(0, np.uint64), *sets])), minlength=COUNTERS)
-                none = pa.nulls(len(ids), pa.int32())
-                yield pa.RecordBatch.from_arrays([block.column("key"), pa.array(size), pa.array(ids), none, pa.nulls(len(ids), pa.int64())], ["key", "n", "node", "counter", "seen"])
+                counts += np.bincount(_counter(np.concatenate([np.empty(0, np.uint64), *shingles(block.column("text"))[2]])), minlength=COUNTERS)
         used = np.flatnonzero(counts)
-        none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(used), key_type), none, none, pa.array(used, pa.int32()), pa.array(counts[used])], ["key", "n", "node", "counter", "seen"])
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used])], ["counter", "seen"])
 
-    return rows.mapInArrow(run, f"key {kind}, n bigint, node bigint, counter int, seen bigint")
+    out = np.zeros(COUNTERS, np.int64)
+    seen = rows.select("text").mapInArrow(run, "counter int, seen bigint").groupBy("counter").agg(F.sum("seen").alias("seen")).toArrow()
+    out[seen["counter"].to_numpy()] = seen["seen"].to_numpy()
+    return out
 
 
 def _candidates(rows: DataFrame, counts: np.ndarray, parts: int) -> DataFrame:
@@ -261,15 +364,15 @@ class Chunk:
         return np.flatnonzero(100 * overlap >= SHARE * (n + self.n - overlap))
 
 
-def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Chunk, list[tuple[int, int, np.ndarray]]]]:
+def _by_chunk(batches: Iterator[pa.RecordBatch], inner: bool) -> Iterator[tuple[Chunk, list[tuple[int, int, np.ndarray]]]]:
     """Per chunk its index, with the sets to look up (id, size, shingles) in
-    pieces; rows come by chunk, the chunk's own sets first.  The own sets are
-    looked up if no others follow."""
+    pieces; rows come by chunk, the chunk's own sets first.  With ``inner``
+    there are no others, and the chunk's own are meant."""
     name, own, chunk, asked = None, {}, None, []
 
     def piece() -> Iterator[tuple[Chunk, list]]:
         nonlocal chunk, asked
-        if own:
+        if own and (asked or inner):
             chunk = chunk or Chunk(list(own), list(own.values()))
             yield chunk, asked
             asked = []
@@ -290,33 +393,35 @@ def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Chunk, list[t
     yield from piece()
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges that join the linked sets of each chunk (and guests)."""
-    for chunk, asked in _by_chunk(batches):
-        x, y = [], []
-        if asked:
+def _links(inner: bool):
+    """Edges that join the linked sets of each chunk, or its guests to them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, asked in _by_chunk(batches, inner):
+            x, y = [], []
             for node, n, values in asked:
                 found = chunk.linked(chunk.local(values), n)
                 x += [node] * len(found)
                 y += [chunk.ids[i] for i in found.tolist()]
-        else:
-            label = np.arange(len(chunk.ids))
-            for i, members in enumerate(chunk.members):
+            label = np.arange(len(chunk.ids) if inner else 0)
+            for i in range(len(label)):
                 if (label == label[0]).all():
                     break                                       # nothing left to join
-                found = chunk.linked(members, len(members), i)
+                found = chunk.linked(chunk.members[i], len(chunk.members[i]), i)
                 joined = np.unique(label[found])
                 if len(joined) > 1:
                     label[np.isin(label, joined)] = joined[0]
                     x += [chunk.ids[i]] * len(found)
                     y += [chunk.ids[j] for j in found.tolist()]
-        a, b = forest(np.array(x, np.int64), np.array(y, np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["x", "y"])
+            a, b = forest(np.array(x, np.int64), np.array(y, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["x", "y"])
 
+    return run
 
-def _joined(rows: DataFrame, parts: int) -> DataFrame:
+
+def _joined(rows: DataFrame, parts: int, inner: bool) -> DataFrame:
     laid = rows.select("cand", "bucket", "salt", "asked", "node", "members").repartition(parts, "cand", "bucket", "salt")
-    return laid.sortWithinPartitions("cand", "bucket", "salt", "asked").mapInArrow(_links, "x bigint, y bigint")
+    return laid.sortWithinPartitions("cand", "bucket", "salt", "asked").mapInArrow(_links(inner), "x bigint, y bigint")
 
 
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -332,16 +437,15 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    survey = land(_survey(rows, kind), "jaccard-survey")
-    counts = np.zeros(COUNTERS, np.int64)
-    seen = survey.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("seen").alias("seen")).toArrow()     # COUNTERS rows at most
-    counts[seen["counter"].to_numpy()] = seen["seen"].to_numpy()
-    each = survey.where("node IS NOT NULL").select("key", "n", "node")
-    parts = max(partitions(docs), -(-int(counts.sum()) // (2 * FLUSH)))
-    group = connected(_candidates(rows, counts, parts), "jaccard-candidates")
+    parts = partitions(rows)
+    each = land(_survey(rows, kind, parts), "jaccard-survey")
+    nodes = each.where("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.min("alone").alias("alone"))
+    nodes = nodes.where(f"alone < {100 - SHARE} * n div 100 + 1").select("node", "key", "n")
+    some = land(_confirmed(rows.join(nodes, "key")), "jaccard-texts")
+    group = connected(_candidates(some, _counters(some), parts), "jaccard-candidates")
 
     # chunks of the candidate groups; a group that fits is one chunk
-    nodes = each.where("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n")).join(group.select("node", F.col("root").alias("cand")), "node")
+    nodes = some.select("node", "n").distinct().join(group.select("node", F.col("root").alias("cand")), "node")
     fits = (F.col("sets") <= CHUNK_SETS) & (F.col("shingles") <= CHUNK_SHINGLES)
     totals = nodes.groupBy("cand").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).select("cand", fits.alias("fits"))
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / SHARE))).cast("int")
@@ -349,32 +453,43 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     salts = F.ceil(F.greatest(F.count("*") / CHUNK_SETS, F.sum("n") / CHUNK_SHINGLES)).cast("int")
     salted = nodes.groupBy("cand", "bucket").agg(salts.alias("salts"))
     salt = F.when(F.col("fits"), 0).otherwise(F.pmod(F.xxhash64("node"), F.col("salts"))).cast("int")
-    nodes = nodes.join(salted, ["cand", "bucket"]).select("cand", "bucket", salt.alias("salt"), "node", "key")
+    nodes = nodes.join(salted, ["cand", "bucket"]).select("cand", "bucket", salt.alias("salt"), "node")
 
-    sets = land(_with_sets(rows.join(nodes, "key")), "jaccard-sets")
-    edges = land(_joined(sets.withColumn("asked", F.lit(False)), parts), "jaccard-links")
+    sets = land(_with_sets(some.join(nodes, "node")), "jaccard-sets")
+    edges = land(_joined(sets.withColumn("asked", F.lit(False)), parts, True), "jaccard-links")
     large = sets.where("bucket >= 0")
     if large.limit(1).count():
         for step_ in ("representatives", "all"):
             edges = edges.unionByName(land(_across(large, edges, parts, step_ == "representatives"), "jaccard-links"))
     roots = connected(edges, "jaccard-components")
 
-    named = each.join(roots, "node", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("root", "node")))
+    named = each.drop("alone").join(roots, "node", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("root", "node")))
     least = named.where("class IS NOT NULL").groupBy("class").agg(F.min("key").alias("least"))
     return named.join(least, "class", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component_id"))
 
 
+def _confirmed(rows: DataFrame) -> DataFrame:
+    """(node, n, text) where the text's set is the node's; another row with
+    the same key may have another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                same = pa.array(shingles(block.column("text"))[1] == block.column("node").to_numpy())
+                yield block.filter(same)
+
+    return rows.select("node", "n", "text").mapInArrow(run, "node bigint, n bigint, text string")
+
+
 def _with_sets(rows: DataFrame) -> DataFrame:
-    """The shingles of each candidate document (cand, bucket, salt, node)."""
+    """The shingles of each candidate set (cand, bucket, salt, node)."""
     kept = ["cand", "bucket", "salt", "node"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
-                _, ids, sets = shingles(block.column("text"))
-                same = pa.array(ids == block.column("node").to_numpy())         # else another row with this key
-                members = pa.array([s.tobytes() for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([*[block.column(c) for c in kept], members], [*kept, "members"]).filter(same)
+                members = pa.array([s.tobytes() for s in shingles(block.column("text"))[2]], pa.binary())
+                yield pa.RecordBatch.from_arrays([*[block.column(c) for c in kept], members], [*kept, "members"])
 
     return rows.select(*kept, "text").mapInArrow(run, "cand bigint, bucket int, salt int, node bigint, members binary")
 
@@ -382,25 +497,25 @@ def _with_sets(rows: DataFrame) -> DataFrame:
 def _across(sets: DataFrame, edges: DataFrame, parts: int, representatives: bool) -> DataFrame:
     """Links between chunks of one candidate group, of like sizes.
 
-    A set is sent to another chunk if its component isn't the one that
-    prevails there; of two sets in different components, one at least is
-    outside the component that prevails in the other's chunk, or theirs
-    differ and both are sent.  With ``representatives``, only one set of each
-    chunk and component is sent.
+    A set is sent to the group's other chunks unless its component is the one
+    that prevails in the group: of two sets in different components, one at
+    least is sent to the other's chunk.  With ``representatives``, only one
+    set of each chunk and component is sent.
     """
     roots = connected(edges, "jaccard-across")
     place = ["cand", "bucket", "salt"]
-    named = sets.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root")
+    named = sets.select(*place, "node").join(roots, "node", "left").select(*place, "node", F.coalesce("root", "node").alias("class"))
     shares = named.groupBy(*place, "class").agg(F.count("*").alias("n"), F.min("node").alias("first"))
-    chunks = shares.groupBy(*place).agg(F.max_by("class", F.struct("n", "class")).alias("prevails"))
+    prevails = shares.groupBy("cand", "class").agg(F.sum("n").alias("n")).groupBy("cand").agg(F.max_by("class", F.struct("n", "class")).alias("prevails"))
     if representatives:
-        named = named.join(shares.select(F.col("first").alias("node")), "node", "left_semi")
-    to = chunks.select("cand", F.col("bucket").alias("to_bucket"), F.col("salt").alias("to_salt"), "prevails")
+        named = shares.select(*place, F.col("first").alias("node"), "class")
+    to = shares.select("cand", F.col("bucket").alias("to_bucket"), F.col("salt").alias("to_salt")).distinct()
     other = (F.col("bucket") != F.col("to_bucket")) | (F.col("salt") != F.col("to_salt"))
-    guests = (named.join(to, "cand").where((F.abs(F.col("bucket") - F.col("to_bucket")) <= 1) & other & (F.col("class") != F.col("prevails")))
-              .select("cand", F.col("to_bucket").alias("bucket"), F.col("to_salt").alias("salt"), F.lit(True).alias("asked"), "node", "members"))
-    hosts = sets.join(guests.select(*place).distinct(), place, "left_semi").withColumn("asked", F.lit(False))
-    return _joined(hosts.unionByName(guests), parts)
+    sent = named.join(prevails, "cand").where(F.col("class") != F.col("prevails")).join(to, "cand").where((F.abs(F.col("bucket") - F.col("to_bucket")) <= 1) & other)
+    guests = sent.select("cand", F.col("to_bucket").alias("bucket"), F.col("to_salt").alias("salt"), F.lit(True).alias("asked"), "node").join(sets.select("node", "members"), "node")
+    guests = guests.select(*place, "asked", "node", "members")
+    hosts = sets.join(sent.select("cand").distinct(), "cand", "left_semi").select(*place, F.lit(False).alias("asked"), "node", "members")
+    return _joined(hosts.unionByName(guests), parts, False)
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

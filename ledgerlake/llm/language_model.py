@@ -291,7 +291,7 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     kind, key_type = docs.schema[key].dataType.simpleString(), to_arrow_type(docs.schema[key].dataType)
     held = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), held.alias("held"))
-    parts = partitions(docs)
+    parts = partitions(rows)
     model, counted = train(rows, parts)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

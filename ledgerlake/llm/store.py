@@ -9,6 +9,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import ledgerlake
 from ledgerlake.session import scratch_path
@@ -24,9 +25,11 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def partitions(df: DataFrame) -> int:
-    """Shuffle partitions the cluster is set to."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def partitions(rows: DataFrame, text: str = "text", part_bytes: int = 64 << 20) -> int:
+    """Partitions for work that grows with the text: as the cluster is set,
+    but one for each ``part_bytes`` of text at least."""
+    total = rows.agg(F.sum(F.octet_length(text))).head()[0] or 0
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // part_bytes))
 
 
 def ship(spark: SparkSession) -> None:
