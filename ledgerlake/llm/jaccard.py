@@ -449,7 +449,8 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     fits = (F.col("sets") <= CHUNK_SETS) & (F.col("shingles") <= CHUNK_SHINGLES)
     totals = nodes.groupBy("cand").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).select("cand", fits.alias("fits"))
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / SHARE))).cast("int")
-    nodes = nodes.join(totals, "cand").withColumn("bucket", F.when(F.col("fits"), -1).otherwise(step))
+    # written, so that the join's skewed partitions can be split
+    nodes = land(nodes.join(totals, "cand").withColumn("bucket", F.when(F.col("fits"), -1).otherwise(step)), "jaccard-nodes")
     salts = F.ceil(F.greatest(F.count("*") / CHUNK_SETS, F.sum("n") / CHUNK_SHINGLES)).cast("int")
     salted = nodes.groupBy("cand", "bucket").agg(salts.alias("salts"))
     salt = F.when(F.col("fits"), 0).otherwise(F.pmod(F.xxhash64("node"), F.col("salts"))).cast("int")
