@@ -15,14 +15,22 @@ import ledgerlake
 from ledgerlake.session import scratch_path
 
 _SHIPPED: set[str] = set()
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and read it
-    back: later steps don't recompute it, and it outlives its executors."""
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back: later steps don't recompute it, and it outlives its executors.  The
+    shuffle files of the write go as soon as it is done."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    before = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions(rows: DataFrame, text: str = "text", part_bytes: int = 64 << 20) -> int:
