@@ -99,7 +99,7 @@ def by_part(keys: np.ndarray, columns: dict[str, np.ndarray], parts: int) -> pa.
     part = part_of(keys, parts)
     by = np.argsort(part, kind="stable")
     found, at = np.unique(part[by], return_index=True)
-    ends = [*at[1:].tolist(), len(part)]
+    ends = np.append(at[1:], len(part))[:len(at)].tolist()
     raw = [pa.array([c[by[i:j]].tobytes() for i, j in zip(at.tolist(), ends, strict=True)], pa.binary()) for c in columns.values()]
     return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *raw], ["part", *columns])
 
