@@ -25,10 +25,11 @@ HEX = r"[0-9a-f]{16,}"          # maximal runs, so the same places as [0-9a-f]+
 KINDS = ("assign", "access", "hex", "markov")
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-ORDINARY = r"[A-Za-z_-]{8,}"
+ORDINARY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{8,}(?![A-Za-z0-9+/_=-])"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 SAMPLE_DOCS = 2000              # documents that the sample of ordinary words takes, at most
 SAMPLE_STRINGS = 200            # words that it takes from each of them, at most
+PRIOR, UNIFORM = 5.0, 0.01      # smoothing: counts for pairs, share of an even spread for characters
 LEAST_RATIO = 0.7               # nats a character by which "random" must be likelier
 
 _SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
@@ -80,8 +81,8 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id") -> list[floa
     from SAMPLE_DOCS documents at most (the first by a hash of key and text,
     so the sample doesn't depend on the partitioning).  Returns (a + 1)^2
     numbers for an alphabet of a characters; without samples all are 0 and no
-    candidate is accepted.  Each model is smoothed by a tenth of a count for
-    each pair.
+    candidate is accepted.  A pair's probability is smoothed by PRIOR counts
+    shared out by how often its second character occurs at all.
     """
     t = F.col("text")
     rows = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("h")).where(F.col("text").isNotNull())
@@ -91,7 +92,7 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id") -> list[floa
         F.filter(F.regexp_extract_all(t, F.lit(ACCESS), F.lit(0)), lambda x: F.length(x) >= ACCESS_LEAST),
         F.regexp_extract_all(t, F.lit(HEX), F.lit(0))).alias("s"))
     last = rows.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).head()[0]     # numbers only
-    plain = rows.where(F.col("h") <= F.lit(last).cast("bigint")).dropDuplicates(["h"]).select(F.slice(F.regexp_extract_all(t, F.lit(ORDINARY), F.lit(0)), 1, SAMPLE_STRINGS).alias("s"))
+    plain = rows.where(F.col("h") <= F.lit(last).cast("bigint")).dropDuplicates(["h"]).select(F.slice(F.regexp_extract_all(F.regexp_replace(t, ASSIGN, " "), F.lit(ORDINARY), F.lit(0)), 1, SAMPLE_STRINGS).alias("s"))
     counts = None
     for label, strings in ((1, random), (0, plain)):
         codes = strings.select(F.explode(F.array_distinct("s")).alias("s")).select(F.transform(F.split("s", ""), _code).alias("c"))
@@ -99,14 +100,17 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id") -> list[floa
         part = pairs.groupBy("p.a", "p.b").count().select(F.lit(label).alias("label"), "a", "b", F.col("count").alias("n"))
         counts = part if counts is None else counts.unionByName(part)
     size = len(ALPHABET) + 1
-    table = [[[0.1] * size for _ in range(size)] for _ in range(2)]
+    table = [[[0.0] * size for _ in range(size)] for _ in range(2)]
     for r in counts.collect():          # two tables of the alphabet's pairs
         table[r["label"]][r["a"]][r["b"]] += r["n"]
-    seen = [sum(map(sum, m)) > 0.1 * size * size + 0.5 for m in table]
-    if not seen[0]:                     # nothing to compare with
+    if not any(map(any, table[0])):     # nothing to compare with
         return [0.0] * size * size
-    sums = [[sum(row) for row in m] for m in table]
-    return [log(table[1][a][b] / sums[1][a]) - log(table[0][a][b] / sums[0][a]) for a in range(size) for b in range(size)]
+    chance = []
+    for m in table:
+        total = sum(map(sum, m)) or 1.0
+        single = [(1 - UNIFORM) * sum(row[b] for row in m) / total + UNIFORM / size for b in range(size)]
+        chance.append([[(row[b] + PRIOR * single[b]) / (sum(row) + PRIOR) for b in range(size)] for row in m])
+    return [log(chance[1][a][b] / chance[0][a][b]) for a in range(size) for b in range(size)]
 
 
 def ratio(string: Column, model: list[float]) -> Column:
