@@ -6,11 +6,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def replace_partition(df: DataFrame, path: str, partition_col: str = "dt") -> None:
+def replace_partition(df: DataFrame, path: str, partition_cols: str | list[str] = "dt",
+                      slices: list | None = None) -> None:
     """Idempotent daily load: the partitions present in ``df`` are replaced
-    atomically per partition (dynamic overwrite); other days are untouched."""
+    (dynamic overwrite); other days are untouched.
+
+    ``slices`` names the values of the first partition column that this load
+    stands for: those without a row in ``df`` are emptied, as a reload that
+    deletes its slice first would leave them.
+    """
+    cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+     .partitionBy(*cols).parquet(path))
+    if slices:
+        # the loaded days that have rows: no more than the list given
+        present = {r[0] for r in df.select(cols[0]).where(F.col(cols[0]).isin(slices)).distinct().collect()}
+        spark = df.sparkSession
+        for value in slices:
+            if value not in present:
+                slice_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{cols[0]}={value}")
+                slice_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(slice_path, True)
 
 
 def last_wins(src: DataFrame, keys: list[str], order_col: str) -> DataFrame:
@@ -44,11 +59,15 @@ def truncate_reload(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def update_from(dim: DataFrame, src: DataFrame, key: str, col: str) -> tuple[DataFrame, DataFrame]:
+def update_from(dim: DataFrame, src: DataFrame, key: str, col: str,
+                order_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """UPDATE dim SET col = src.col WHERE key matches, only for positive
-    values (rounded to cents).  Returns (updated dim, source keys not found)."""
-    s = (src.where(F.col(col) > 0).select(key, F.round(F.col(col), 2).alias("_new"))
-         .dropDuplicates([key]))
+    values (rounded to cents).  Of several updates of a key the last by
+    ``order_col`` counts (the greatest value without one).  Returns (updated
+    dim, source keys not found)."""
+    last = F.max_by("_new", order_col) if order_col else F.max("_new")
+    s = (src.where(F.col(col) > 0).withColumn("_new", F.round(F.col(col), 2))
+         .groupBy(key).agg(last.alias("_new")))
     updated = (dim.join(s, key, "left")
                .withColumn(col, F.coalesce(F.col("_new").cast(dim.schema[col].dataType), F.col(col)))
                .drop("_new"))

@@ -3,10 +3,11 @@
 The reference's only late-data notion is a batch one: finance lines that
 arrive within the lookback window are picked up when a business day is
 computed again.  Expressed with Structured Streaming: new export files are
-consumed with an ``availableNow`` trigger (exactly-once via the checkpoint),
-and each micro-batch replaces the affected ``dt`` partitions of the raw table
-(dynamic partition overwrite), after which the caller recomputes the days
-the batch touched.
+consumed with an ``availableNow`` trigger (exactly-once via the checkpoint).
+The raw table is partitioned by day and source file: a micro-batch replaces
+only the slices of its own files, so a late file adds to its day and a
+repeated batch changes nothing.  Then the caller recomputes the days that the
+batch touched.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.sinks import replace_partition
@@ -25,13 +27,15 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: T.StructType,
     """Load all files that arrived since the last run, then stop.
 
     ``schema`` is the declared all-text schema of the export (no inference);
-    ``dt`` comes from the row.  ``on_days`` receives the partition days a
-    batch replaced (a handful of dates), e.g. to rebuild those days' mart.
+    ``dt`` comes from the row; the table gets a column ``source_file`` (the
+    file's name).  ``on_days`` receives the days that a batch touched (a
+    handful of dates), e.g. to rebuild those days' mart.
     """
     stream = spark.readStream.format(fmt).schema(schema).options(**(options or {})).load(source_dir)
+    stream = stream.withColumn("source_file", F.col("_metadata.file_name"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        replace_partition(batch, table_path)
+        replace_partition(batch, table_path, ["dt", "source_file"])
         if on_days is not None:
             days = [r[0] for r in batch.select("dt").distinct().collect()]  # touched days only
             on_days(days)

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 from ledgerlake.streaming.incremental import ingest_available
 
 
-def test_ingest_available_replaces_days(spark, tmp_path):
+def test_late_file_adds_to_its_day(spark, tmp_path):
     src, table, ck = tmp_path / "in", tmp_path / "ods", tmp_path / "ck"
     src.mkdir()
     (src / "a.csv").write_text("order_no,amount,dt\n1,5.00,2026-03-25\n2,6.00,2026-03-25\n", encoding="utf-8")
@@ -15,10 +15,22 @@ def test_ingest_available_replaces_days(spark, tmp_path):
     ingest_available(spark, str(src), schema, str(table), str(ck), on_days=seen.extend,
                      options={"header": "true"})
     assert spark.read.parquet(str(table)).count() == 2
-    # a late file for the same day replaces that day's partition
+    # a late file for the same day keeps what the first one loaded
     (src / "b.csv").write_text("order_no,amount,dt\n3,7.00,2026-03-25\n", encoding="utf-8")
     ingest_available(spark, str(src), schema, str(table), str(ck), on_days=seen.extend,
                      options={"header": "true"})
     rows = spark.read.parquet(str(table)).collect()
-    assert [r.order_no for r in rows] == ["3"]
+    assert sorted(r.order_no for r in rows) == ["1", "2", "3"]
     assert [str(d) for d in seen] == ["2026-03-25", "2026-03-25"]
+
+
+def test_reload_of_an_empty_day_empties_it(spark, tmp_path):
+    import datetime as dt
+
+    from ledgerlake.sources.sinks import replace_partition
+    day = [dt.date(2026, 3, 25), dt.date(2026, 3, 26)]
+    table = str(tmp_path / "t")
+    rows = spark.createDataFrame([("1", day[0]), ("2", day[1])], "order_no string, dt date")
+    replace_partition(rows, table)
+    replace_partition(rows.where("order_no = 'none'"), table, slices=[day[0]])
+    assert [r.order_no for r in spark.read.parquet(table).collect()] == ["2"]
