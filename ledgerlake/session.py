@@ -46,6 +46,10 @@ def sizing_conf(input_bytes: int, cores: int) -> dict[str, str]:
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
               app_name: str = "ledgerlake", extra_conf: dict[str, str] | None = None) -> SparkSession:
+    running = SparkSession.getActiveSession()
+    if running is not None:                 # a session that is set up already keeps its settings
+        ensure_checkpoint_dir(running)
+        return running
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -65,8 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is always used
-    as is.  Only when it is unset (local tests) a private scratch folder is
-    created and registered.
+    as is.  Only when it is unset on a local master (tests) a private scratch
+    folder is created and registered; on a cluster that is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -76,6 +80,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

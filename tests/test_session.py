@@ -15,3 +15,13 @@ def test_materialize_keeps_rows_and_cuts_lineage(spark):
     assert sorted(tuple(r) for r in m.collect()) == sorted(tuple(r) for r in df.collect())
     plan = m._jdf.queryExecution().executedPlan().toString()
     assert "Range" not in plan            # reads the checkpoint, not the original lineage
+
+
+def test_running_session_keeps_its_settings(spark):
+    from ledgerlake.session import get_spark
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        assert get_spark("local[1]", shuffle_partitions=5).conf.get("spark.sql.shuffle.partitions") == "37"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
