@@ -95,14 +95,22 @@ def num_grouped_null(x) -> Column:
         t.try_cast("double"))
 
 
+PLAIN_INTEGER = r"\A\+?(-?)0*([0-9]+)(?:\.0*)?\z"
+
+
 def norm_code(x) -> Column:
     """Code text: tabs removed, trimmed; ``-``/blank → ''; integral number text
-    (``123.0``, ``1e3``) → integer text; anything else unchanged."""
+    (``123.0``, ``1e3``) → integer text; anything else unchanged.
+
+    Digits are normalised as text, at any length; only other number forms
+    (an exponent, no digit before the point) are computed, exactly, up to 32
+    digits."""
     t = F.trim(F.replace(_c(x), F.lit("\t"), F.lit("")))
-    d = t.try_cast("double")
-    integral = d.isNotNull() & (d == F.floor(d)) & (F.abs(d) < F.lit(1e18))
+    digits = F.concat(F.regexp_extract(t, PLAIN_INTEGER, 1), F.regexp_extract(t, PLAIN_INTEGER, 2))
+    d = t.try_cast("decimal(38,6)")
     return (F.when(_c(x).isNull() | t.isin("", "-"), F.lit(""))
-            .when(integral, d.cast("decimal(38,0)").cast("string"))
+            .when(t.rlike(PLAIN_INTEGER), F.when(digits == "-0", F.lit("0")).otherwise(digits))
+            .when(d.isNotNull() & (d == F.floor(d)), F.floor(d).cast("decimal(38,0)").cast("string"))
             .otherwise(t))
 
 

@@ -87,3 +87,11 @@ def test_net_vs_abs(spark):
     df = spark.createDataFrame([(Decimal(5),), (Decimal(-3),)], "x decimal(18,4)")
     r = df.agg(F.abs(F.sum("x")).alias("a"), F.sum(F.abs("x")).alias("b")).first()
     assert (r.a, r.b) == (Decimal(2), Decimal(8))
+
+
+def test_norm_code_long_codes(spark):
+    from pyspark.sql import functions as F
+    from ledgerlake.functions import cleaning as C
+    rows = spark.createDataFrame([("123456789012345678901234567890",), ("0012345678901234567890.00",), ("1e3",), ("-0",), ("1d",), ("1e40",)], "x string")
+    got = [r[0] for r in rows.select(C.norm_code(F.col("x"))).collect()]
+    assert got == ["123456789012345678901234567890", "12345678901234567890", "1000", "0", "1d", "1e40"]
