@@ -34,36 +34,6 @@ def latest_by(df: DataFrame, keys: list[str], sort_cols: list[str],
     return out.select(*keys, *[F.col("_best")[c].alias(c) for c in sort_cols + payload])
 
 
-HOT_KEY_ROWS = 2_000_000   # rows one task numbers comfortably (spillable window buffer)
-
-
-def row_number_skew_safe(df: DataFrame, keys: list[str], order: list[Column], name: str = "row_seq",
-                         hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """``row_number()`` per key where only hot keys are spread.
-
-    Rows per key are counted first (a partial aggregate).  Keys with at most
-    ``hot_rows`` rows are numbered by the ordinary window; rows of hotter
-    keys — at most rows / hot_rows such keys — go through
-    ``row_number_spread``.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    hot = counts.where(F.col("_cnt") > hot_rows).select(*[F.col(k).alias(f"_h_{k}") for k in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_h_{k}"))
-        cond = c if cond is None else cond & c
-    # the hot-key list is bounded by rows / hot_rows, so it is broadcast
-    tagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), cond, "left") \
-        .drop(*[f"_h_{k}" for k in keys])
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    cold = tagged.where(~is_hot).drop("_hot")
-    numbered = cold.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    if hot.limit(1).count() == 0:          # nothing hot: the ordinary plan only
-        return numbered
-    spread = row_number_spread(tagged.where(is_hot).drop("_hot"), keys, order, name)
-    return numbered.unionByName(spread)
-
-
 def row_number_spread(df: DataFrame, keys: list[str], order: list[Column],
                       name: str = "row_seq", parts: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order)`` without sending

@@ -129,20 +129,23 @@ def rule_all_txn_match(v, w: S.Window) -> DataFrame:
 
 
 def classify_window_rows(v, w: S.Window) -> DataFrame:
-    """Finance rows of the window by class: matched / cross_day / delayed_refund /
-    same_day_refund / top_up / other."""
+    """Finance rows of the window by class: matched (every transaction of a
+    live order placed in the window, refunds included) / same_day_refund (of
+    an order placed in the window that isn't live) / delayed_refund /
+    cross_day / top_up / other."""
     rows = el_window_rows(v, w)
+    live = S.el_anchor(v.order_export, w).select("order_no").distinct().withColumn("_live", F.lit(True))
     anchors = window_anchor_keys(v, w).withColumn("_in", F.lit(True))
-    j = rows.join(anchors, "order_no", "left")
-    inw = F.coalesce(F.col("_in"), F.lit(False))
+    j = rows.join(anchors, "order_no", "left").join(live, "order_no", "left")
     amt = F.col("amt")
     cls = (F.when(F.coalesce(F.col("order_type"), F.lit("")).contains(TOP_UP_MARK), F.lit("top_up"))
            .when(F.col("order_no").isNull() | amt.isNull(), F.lit("other"))
-           .when(inw & (amt >= 0), F.lit("matched"))
-           .when(inw, F.lit("same_day_refund"))
+           .when(F.col("_live"), F.lit("matched"))
+           .when(F.col("_in") & (amt < 0), F.lit("same_day_refund"))
+           .when(F.col("_in"), F.lit("other"))
            .when(amt < 0, F.lit("delayed_refund"))
            .otherwise(F.lit("cross_day")))
-    return j.withColumn("row_class", cls).drop("_in")
+    return j.withColumn("row_class", cls).drop("_in", "_live")
 
 
 def rule_cross_day_class(v, w: S.Window) -> DataFrame:

@@ -337,7 +337,7 @@ def freight_day(courier: DataFrame, w: Window) -> DataFrame:
     return per_order.agg(
         F.coalesce(F.sum("freight_amt"), F.lit(0)).alias("total_freight"),
         F.coalesce(F.avg("dist_km"), F.lit(0)).alias("avg_dist_km"),
-        F.countDistinct("order_no").alias("myt_order_cnt"))
+        F.count("order_no").alias("myt_order_cnt"))
 
 
 def freight_allocate(orders_store: DataFrame, freight: DataFrame) -> DataFrame:
@@ -348,14 +348,14 @@ def freight_allocate(orders_store: DataFrame, freight: DataFrame) -> DataFrame:
     tf = freight.select("total_freight")
     o = orders_store.select("store_label", "order_cnt") \
         .withColumn("_tot", total_orders.scalar()).withColumn("_tf", tf.scalar())
-    # cents × count is exact at (20,2); ÷ (10,0) keeps 13 decimals, so the
-    # final rounding to cents sees the exact quotient (no double rounding).
-    share = (F.col("_tf").cast("decimal(18,2)") * F.col("order_cnt")).cast("decimal(20,2)")
+    # cents × count is exact at (28,2); ÷ (18,0) keeps 12 decimals, enough for
+    # a single rounding to cents up to some 10^9 orders
+    share = (F.col("_tf").cast("decimal(18,2)") * F.col("order_cnt")).cast("decimal(28,2)")
     alloc = F.when((F.col("_tot") > 0) & F.col("_tf").isNotNull(),
-                   share / F.col("_tot").cast("decimal(10,0)")).otherwise(F.lit(0))
+                   share / F.col("_tot").cast("decimal(18,0)")).otherwise(F.lit(0))
     # alloc / order_cnt = total / total orders (same value, computed exactly)
     per_order = F.when(F.col("order_cnt") > 0,
-                       F.col("_tf").cast("decimal(18,2)") / F.col("_tot").cast("decimal(10,0)"))
+                       F.col("_tf").cast("decimal(28,2)") / F.col("_tot").cast("decimal(18,0)"))
     return (o.withColumn("freight_alloc", alloc)
             .withColumn("freight_per_order", per_order)
             .select("store_label", "order_cnt", "freight_alloc", "freight_per_order"))

@@ -109,7 +109,8 @@ FROM el_anchor a JOIN (SELECT order_no, COUNT(*) AS txn_rows, SUM(settlement) AS
                               COUNT(DISTINCT order_type) AS txn_types FROM el_rows GROUP BY order_no) p
   ON p.order_no = a.order_no""")
 
-_CLASSIFIED = f"""{EL_ANCHOR_ALL},
+_CLASSIFIED = f"""{split_cte('el')}, {EL_ANCHOR_ALL},
+live AS (SELECT DISTINCT order_no FROM el_anchor),
 rows AS (
   SELECT {clean('order_no')} AS order_no, shop_id, {clean('order_type')} AS order_type,
          {gate('receivable', strip_tabs=True)} AS amt
@@ -117,10 +118,11 @@ rows AS (
 cls AS (
   SELECT r.*, CASE WHEN COALESCE(r.order_type, '') LIKE '%充值%' THEN 'top_up'
                    WHEN r.order_no IS NULL OR r.amt IS NULL THEN 'other'
-                   WHEN a.order_no IS NOT NULL AND r.amt >= 0 THEN 'matched'
-                   WHEN a.order_no IS NOT NULL THEN 'same_day_refund'
+                   WHEN l.order_no IS NOT NULL THEN 'matched'
+                   WHEN a.order_no IS NOT NULL AND r.amt < 0 THEN 'same_day_refund'
+                   WHEN a.order_no IS NOT NULL THEN 'other'
                    WHEN r.amt < 0 THEN 'delayed_refund' ELSE 'cross_day' END AS row_class
-  FROM rows r LEFT JOIN el_all a ON a.order_no = r.order_no)"""
+  FROM rows r LEFT JOIN el_all a ON a.order_no = r.order_no LEFT JOIN live l ON l.order_no = r.order_no)"""
 
 
 @query("rule_cross_day_class")

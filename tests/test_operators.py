@@ -91,18 +91,3 @@ def test_row_number_spread_matches_window(spark):
     want = sorted((tuple(r) for r in df.withColumn("rn", F.row_number().over(
         Window.partitionBy("k").orderBy(*order))).collect()), key=repr)
     assert got == want
-
-
-def test_row_number_skew_safe_isolates_hot_keys(spark):
-    from pyspark.sql import Window
-
-    from ledgerlake.operators.windows import row_number_skew_safe
-    rows = [("hot", i % 13, i) for i in range(300)] + [("a", 1, 1), ("a", 0, 2), (None, 2, 4), (None, 1, 5)]
-    df = spark.createDataFrame(rows, "k string, d int, v int")
-    order = [F.asc("d"), F.asc("v")]
-    want = sorted((tuple(r) for r in df.withColumn("rn", F.row_number().over(
-        Window.partitionBy("k").orderBy(*order))).collect()), key=repr)
-    for threshold in (50, 10_000):          # hot path taken / not taken
-        got = sorted((tuple(r) for r in row_number_skew_safe(df, ["k"], order, "rn", hot_rows=threshold)
-                      .select("k", "d", "v", "rn").collect()), key=repr)
-        assert got == want
