@@ -10,15 +10,23 @@ from ..functions import cleaning as C
 from ..operators.joins import prefix_join, resolve_alias
 from ..oracle_sql import (ALIAS_PLATFORMS, ALL_BY_STORE, D, INT_PROMO, INT_REV, INT_SHIP, MART_CTES,
                           MART_VIEWS, OBS, ORACLES, PENDING, SHEET_VIEWS, STG_EL, STG_JD, STG_MT,
-                          by_store_cte, clean, div_round2, gate, gate0, paren, pnorm, reg, split_cte,
+                          by_store_cte, clean, div_round2, gate, gate0, paren, pnorm, split_cte,
                           strict, tnull)
+from ..oracle_sql import D_END
+from ..oracle_sql import reg as reg_windowed
 from ..plans import models as M
 from ..plans import recon as R
 from ..plans import settlement as S
 from .recon import EL_ANCHOR_ALL, EL_FIN_ROWS, SUBSIDY
-from .settlement import WINDOW
 
 M2 = "DECIMAL(18,2)"
+# generic operators run over whole tables: a window that holds every day
+WINDOW = S.Window("1900-01-01", "2100-01-01")
+
+
+def reg(name: str, views: list[str], sql: str) -> None:
+    """Register an oracle whose shared parts carry the business window."""
+    reg_windowed(name, views, sql.replace(D, WINDOW.d).replace(D_END, WINDOW.d_end))
 
 
 # ---------------------------------------------------------------------------
