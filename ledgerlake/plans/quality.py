@@ -26,26 +26,49 @@ JD_FEE_BUCKETS = {
     "用户实付货款": "goods",
     "优惠券-平台-小时购": "activity_subsidy", "优惠券-京东平台-小时购": "activity_subsidy",
     "京豆-平台-小时达": "activity_subsidy", "积分-平台-小时购": "activity_subsidy",
-    "商家券": "merchant_subsidy", "限时抢购商家": "merchant_subsidy",
+    "商家券": "merchant_subsidy", "账扣款": "merchant_subsidy", "限时抢购商家": "merchant_subsidy",
     "到家包装费": "packaging", "包装费": "packaging",
-    "基础配送费": "freight", "商家承担远距离运费": "freight",
+    "基础配送费": "freight", "商家承担远距离运费": "freight", "满减运费": "freight",
+    "秒送基础服务费": "freight", "免运券": "freight",
     "代收到家佣金": "commission", "CPS推广服务费": "commission",
 }
-# P&L waterfall level 1 per (platform, fee item).
-WATERFALL_LEVELS = ["list_price", "refund", "marketing_active", "marketing_passive", "delivery",
-                    "packaging", "compensation", "penalty", "other"]
-WATERFALL_MAP = {
-    ("el", "goods"): "list_price", ("el", "refund"): "refund",
-    ("el", "subsidy"): "marketing_active", ("el", "voucher"): "marketing_active",
-    ("el", "commission"): "marketing_passive", ("el", "delivery_income"): "delivery",
-    ("el", "delivery_fee"): "delivery", ("el", "box_fee"): "packaging", ("el", "bag_fee"): "packaging",
-    ("el", "compensation"): "compensation",
-    ("jd", "用户实付货款"): "list_price", ("jd", "优惠券-平台-小时购"): "marketing_active",
-    ("jd", "优惠券-京东平台-小时购"): "marketing_active", ("jd", "京豆-平台-小时达"): "marketing_active",
-    ("jd", "积分-平台-小时购"): "marketing_active", ("jd", "代收到家佣金"): "marketing_passive",
-    ("jd", "CPS推广服务费"): "marketing_passive", ("jd", "基础配送费"): "delivery",
-    ("jd", "商家承担远距离运费"): "delivery", ("jd", "到家包装费"): "packaging", ("jd", "包装费"): "packaging",
+# P&L waterfall: the levels that make up the payable amount, those that lead
+# from it to the realised one, and the level of each (platform, item).  An item
+# is a bill column of an ordinary MT / EL line, the type of any other such
+# line, or a JD fee type.
+PAYABLE_LEVELS = ["list_price", "refund", "marketing_active", "marketing_passive", "delivery", "packaging"]
+REALISED_LEVELS = ["compensation", "penalty", "other"]
+WATERFALL_COLUMNS = {
+    "mt": {"goods": "list_price", "shop_goods_subsidy": "marketing_active",
+           "shop_delivery_subsidy": "marketing_active", "shop_bag_subsidy": "marketing_active",
+           "coupon_shop": "marketing_active", "commission": "marketing_passive",
+           "delivery_income": "delivery", "delivery_fee": "delivery", "delivery_rebate": "delivery",
+           "box_fee": "packaging", "bag_fee": "packaging", "donation": "other"},
+    "el": {"goods": "list_price", "activity_subsidy": "marketing_active", "coupon_subsidy": "marketing_active",
+           "discount_total": "marketing_active", "commission": "marketing_passive",
+           "pay_fee": "marketing_passive", "delivery_income": "delivery", "shop_delivery_subsidy": "delivery",
+           "fulfil_fee": "delivery", "delivery_fee": "delivery", "rider_tip": "delivery", "box_fee": "packaging"},
 }
+WATERFALL_TYPES = {
+    "mt": {"订单退款": "refund", "订单部分退款": "refund", "部分退款": "refund", "部分退款冲抵": "refund",
+           "赏金联盟服务费": "marketing_active", "配送费用": "delivery", "配送小费": "delivery",
+           "汽车送配送费": "delivery", "餐损赔付": "compensation", "商服赔付": "compensation",
+           "合作商售后赔付": "compensation", "赔付扣款": "penalty", "医药治理": "penalty", "保险": "other"},
+    "el": {"全部退单": "refund", "部分退单": "refund", "部分退款": "refund", "赔偿单": "compensation",
+           "售中逆向退": "other"},
+    "jd": {"用户实付货款": "list_price", "优惠券-平台-小时购": "marketing_active",
+           "优惠券-京东平台-小时购": "marketing_active", "京豆-平台-小时达": "marketing_active",
+           "积分-平台-小时购": "marketing_active", "商家券": "marketing_active",
+           "限时抢购商家": "marketing_active", "代收到家佣金": "marketing_passive",
+           "CPS推广服务费": "marketing_passive", "基础配送费": "delivery", "商家承担远距离运费": "delivery",
+           "到家包装费": "packaging", "包装费": "packaging"},
+}
+WATERFALL_ORDINARY = ["外卖订单", "正常订单"]
+WATERFALL_EXCLUDED = ["推广账户充值", "企客配送返款", "代充值预扣"]
+# What an MT line's receivable is made of (platform-borne subsidies excluded).
+MT_RECEIVABLE = ["goods", "delivery_income", "box_fee", "bag_fee", "shop_goods_subsidy",
+                 "shop_delivery_subsidy", "shop_bag_subsidy", "coupon_shop", "commission", "delivery_fee",
+                 "delivery_rebate", "donation"]
 RESERVED_COLUMNS = ["box_fee", "bag_fee", "voucher"]
 TOP_UP_MARK = "充值"
 
@@ -91,14 +114,17 @@ def dq_load_summary(df: DataFrame, amount_col: str, day_col: str = "dt") -> Data
                                    F.coalesce(F.sum(amount_col), F.lit(0)).alias("amount"))
 
 
-def dq_tolerance_check(mart: DataFrame, expectations=DAY_EXPECTATIONS) -> DataFrame:
-    """Day totals of the mart vs hand-checked values with relative tolerances."""
-    day = mart.groupBy("dt").agg(*[F.sum(m).alias(m) for m, _, _ in expectations])
-    stack = ", ".join(f"'{m}', CAST(`{m}` AS DECIMAL(18,2)), CAST({e} AS DECIMAL(18,2)), "
-                      f"CAST({t} AS DECIMAL(6,4))" for m, e, t in expectations)
-    long = day.select("dt", F.expr(f"stack({len(expectations)}, {stack}) AS (measure, actual, expected, tolerance)"))
-    dev = F.abs(F.col("actual") - F.col("expected"))
-    return long.withColumn("passed", dev <= F.col("expected") * F.col("tolerance"))
+def dq_tolerance_check(mart: DataFrame, day: str, expectations=DAY_EXPECTATIONS) -> DataFrame:
+    """The mart's totals of one day vs the figures checked by hand for that
+    day, each with its relative tolerance; a day without rows has null
+    actuals and passes nothing."""
+    sums = mart.where(F.col("dt") == F.lit(day).cast("date")).agg(*[F.sum(m).alias(m) for m, _, _ in expectations])
+    checks = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("decimal(18,2)").alias("actual"),
+                                F.lit(e).cast("decimal(18,2)").alias("expected"),
+                                F.lit(t).cast("decimal(6,4)").alias("tolerance")) for m, e, t in expectations])
+    return sums.select(F.lit(day).cast("date").alias("dt"), F.inline(checks)).withColumn(
+        "passed", F.coalesce(F.abs(F.col("actual") - F.col("expected")) <= F.col("expected") * F.col("tolerance"),
+                             F.lit(False)))
 
 
 # ---------------------------------------------------------------------------
@@ -163,19 +189,18 @@ def rule_delayed_refund(v, w: S.Window) -> DataFrame:
 
 
 def rule_pending_by_store(v, w: S.Window) -> DataFrame:
-    """Pending orders of each platform listed per store with count and amount."""
-    out = None
-    amounts = (v.order_export.select(C.clean_text("order_no").alias("order_no"),
-                                     C.num_or_null("receivable", strip_tabs=True).alias("amount"))
-               .groupBy("order_no").agg(F.max("amount").alias("amount")))
-    for p in S.PLATFORMS:
-        pend = S.match(v, w, p).where(~F.col("matched"))
-        j = pend.join(amounts, "order_no", "left")
-        g = j.groupBy(C.paren_extract("platform_shop_name").alias("store_name")).agg(
-            F.count(F.lit(1)).alias("pending_orders"), F.coalesce(F.sum("amount"), F.lit(0)).alias("pending_amount"))
-        g = g.select(F.lit(p).alias("platform"), "*")
-        out = g if out is None else out.unionByName(g)
-    return out
+    """Pending orders of each platform listed per store with count and amount
+    (the window's largest listed receivable of that platform's order)."""
+    amounts = (v.order_export.where(S._in_window(F.col("dt"), w))
+               .select("platform", C.clean_text("order_no").alias("order_no"),
+                       C.num_or_null("receivable", strip_tabs=True).alias("amount"))
+               .groupBy("platform", "order_no").agg(F.max("amount").alias("amount")))
+    pending = reduce(DataFrame.unionByName, [
+        S.match(v, w, p).where(~F.col("matched")).select(F.lit(p).alias("platform"), "order_no", "platform_shop_name")
+        for p in S.PLATFORMS])
+    return pending.join(amounts, ["platform", "order_no"], "left").groupBy(
+        "platform", C.paren_extract("platform_shop_name").alias("store_name")).agg(
+        F.count(F.lit(1)).alias("pending_orders"), F.coalesce(F.sum("amount"), F.lit(0)).alias("pending_amount"))
 
 
 def rule_missing_batch(v, as_of: str) -> DataFrame:
@@ -206,18 +231,18 @@ def rule_unknown_fee_type(v) -> DataFrame:
 
 def rule_reserved_column(v) -> DataFrame:
     """Reserved bill columns that carry non-zero values (count per column)."""
-    f = v.fin_bill
-    stack = ", ".join(f"'{c}', `{c}`" for c in RESERVED_COLUMNS)
-    long = f.select(F.expr(f"stack({len(RESERVED_COLUMNS)}, {stack}) AS (column_name, raw)"))
-    val = C.num_or_null("raw")
-    return long.groupBy("column_name").agg(F.count_if(F.coalesce(val, F.lit(0)) != 0).alias("nonzero_rows"))
+    counts = [F.struct(F.lit(c).alias("column_name"),
+                       F.count_if(F.coalesce(C.num_or_null(c), F.lit(0)) != 0).alias("nonzero_rows"))
+              for c in RESERVED_COLUMNS]
+    return v.fin_bill.agg(F.array(*counts).alias("c")).select(F.inline("c"))
 
 
 def rule_mt_rebuild(v) -> DataFrame:
-    """MT bill lines: receivable vs goods + delivery + subsidies + voucher +
-    commission + delivery fee + refund (platform-only subsidies excluded)."""
+    """MT bill lines: receivable vs goods + delivery + box + bag + merchant
+    promotion + commission + delivery fee + rebate + donation (subsidies that
+    the platform bears are no part of it)."""
     f = v.fin_bill.where(F.col("platform") == "mt")
-    rebuilt = R.total([F.coalesce(C.num_dash_null(c), F.lit(0)) for c in R.MT_COMPONENTS])
+    rebuilt = R.total([F.coalesce(C.num_dash_null(c), F.lit(0)) for c in MT_RECEIVABLE])
     return f.select("order_no", "line_no", C.num_strict("receivable").alias("receivable"),
                     rebuilt.alias("rebuilt")).withColumn("diff", F.col("receivable") - F.col("rebuilt"))
 
@@ -248,25 +273,42 @@ def rule_jd_fee_buckets(v) -> DataFrame:
     return f.groupBy("shop_id").pivot("bucket", buckets).agg(F.sum("amount"))
 
 
+def waterfall_items(v) -> DataFrame:
+    """(platform, shop_id, item, level1, amount): an ordinary or untyped MT / EL
+    line by its columns, any other by its type (MT receivable, EL settlement),
+    JD lines by fee type.  Top-ups and the like are left out; an item that the
+    tables above don't know has level ``unclassified``."""
+    kind = C.clean_text("order_type")
+    level = F.col("level1")
+    parts = []
+    for p, amount in (("mt", "receivable"), ("el", "settlement")):
+        columns = F.array(*[F.struct(F.lit(c).alias("item"), F.lit(lv).alias("level1"), C.num_or_null(c).alias("amount"))
+                            for c, lv in WATERFALL_COLUMNS[p].items()])
+        typed = F.array(F.struct(kind.alias("item"), _map_expr(kind, WATERFALL_TYPES[p]).alias("level1"),
+                                 C.num_or_null(amount).alias("amount")))
+        ordinary = kind.isNull() | kind.isin(WATERFALL_ORDINARY)
+        parts.append(v.fin_bill.where((F.col("platform") == p)
+                                      & ~F.coalesce(kind.isin(WATERFALL_EXCLUDED), F.lit(False)))
+                     .select("platform", "shop_id", F.inline(F.when(ordinary, columns).otherwise(typed))))
+    fee = C.clean_text("fee_type")
+    parts.append(v.fin_line.where(F.col("platform") == "jd")
+                 .select("platform", "shop_id", fee.alias("item"),
+                         _map_expr(fee, WATERFALL_TYPES["jd"]).alias("level1"), C.num_or_null("amount").alias("amount")))
+    return reduce(DataFrame.unionByName, parts).withColumn("level1", F.coalesce(level, F.lit("unclassified")))
+
+
 def rule_waterfall(v) -> DataFrame:
-    """P&L waterfall: EL bill components (unpivoted) and JD fee lines mapped
-    to level-1 items, summed per platform × shop and pivoted."""
-    el_cols = sorted({c for (p, c) in WATERFALL_MAP if p == "el"})
-    stack = ", ".join(f"'{c}', `{c}`" for c in el_cols)
-    el = (v.fin_bill.where(F.col("platform") == "el")
-          .select("shop_id", F.expr(f"stack({len(el_cols)}, {stack}) AS (item, raw)"))
-          .select(F.lit("el").alias("platform"), "shop_id", "item", C.num_or_null("raw").alias("amount")))
-    jd = (v.fin_line.where(F.col("platform") == "jd")
-          .select(F.lit("jd").alias("platform"), "shop_id", C.clean_text("fee_type").alias("item"),
-                  C.num_or_null("amount").alias("amount")))
-    items = el.unionByName(jd)
-    keys = [(p, i, l1) for (p, i), l1 in WATERFALL_MAP.items()]
-    level = None
-    for p, i, l1 in keys:
-        cond = (F.col("platform") == p) & (F.col("item") == i)
-        level = F.when(cond, F.lit(l1)) if level is None else level.when(cond, F.lit(l1))
-    items = items.withColumn("level1", level.otherwise(F.lit("other")))
-    return items.groupBy("platform", "shop_id").pivot("level1", WATERFALL_LEVELS).agg(F.sum("amount"))
+    """P&L waterfall per platform × shop: level-1 sums, payable (list price to
+    packaging) and realised (payable, compensation, penalty, other).  What is
+    unclassified enters neither: it has a column of its own, as an alert."""
+    levels = PAYABLE_LEVELS + REALISED_LEVELS
+    wide = waterfall_items(v).groupBy("platform", "shop_id").pivot("level1", levels + ["unclassified"]) \
+        .agg(F.sum("amount"))
+
+    def line(names):
+        return R.total([F.coalesce(F.col(c), F.lit(0)) for c in names])
+
+    return wide.withColumn("payable", line(PAYABLE_LEVELS)).withColumn("realised", line(levels))
 
 
 def rule_city_rebate(v) -> DataFrame:

@@ -341,14 +341,16 @@ def sink_materialize(v):
 
 @query("sink_temp_result")
 def sink_temp_result(v):
-    """One computed set (cached) feeding two results: failures and summary."""
+    """One computed set, materialised once, feeding two results: failures and summary."""
     from ..plans import recon as R
-    from .settlement import WINDOW
-    checked = R.jd_subsidy_checked(v, WINDOW).cache()
-    fails = checked.where(~F.col("is_ok")).select(F.lit("fail").alias("part"), F.col("bill_no").alias("k"),
-                                                  F.col("amt_settle").cast(M2).alias("amount"))
-    summ = R.jd_subsidy_summary(checked).select(F.lit("summary").alias("part"), F.col("dt").alias("k"),
-                                                F.col("settle_total").cast(M2).alias("amount"))
+    from ..plans import settlement as S
+    from ..session import materialize
+    checked = materialize(R.jd_subsidies(v, S.Window("1900-01-01", "2100-01-01")))
+    fails = checked.where(F.col("reason").isNotNull()).select(
+        F.lit("fail").alias("part"), F.col("order_no").alias("k"), F.col("settled").cast(M2).alias("amount"))
+    summ = R.jd_subsidy_summary(checked).select(
+        F.lit("summary").alias("part"), F.col("dt").cast("string").alias("k"),
+        F.col("settled_total").cast(M2).alias("amount"))
     return fails.unionByName(summ)
 
 
@@ -368,13 +370,14 @@ def schema_conform(v):
 
 @query("schema_drift_report")
 def schema_drift_report(v):
-    """Declared vs existing columns of the order export: new / extra / ok."""
-    return SC.drift_report(v.spark, DECLARED_ORDER_COLUMNS, v.order_export.columns)
+    """Declared vs existing columns of the order export: new / extra / ok, with
+    the rows that fill each existing column."""
+    return SC.drift_report(v.order_export, DECLARED_ORDER_COLUMNS)
 
 
 @query("schema_discover")
 def schema_discover(v):
-    """Observed business columns of each raw export view."""
+    """Observed business columns of each raw export view and the rows that fill them."""
     out = None
     for name in ("order_export", "fin_bill", "fin_line", "courier"):
         d = SC.discover(getattr(v, name)).select(F.lit(name).alias("table_name"), "*")
@@ -561,12 +564,11 @@ reg("src_spreadsheetml", ["fin_bill"], "SELECT " + ", ".join(
 
 reg("sink_materialize", [], ORACLES["ads_daily_report"])
 
-from .recon import SUBSIDY as _SUBSIDY  # noqa: E402
-reg("sink_temp_result", ["order_export", "fin_line"], f"""WITH {_SUBSIDY}
-SELECT 'fail' AS part, bill_no AS k, CAST(amt_settle AS {M2}) AS amount FROM checked WHERE NOT is_ok
+from .recon import subsidies_cte  # noqa: E402
+reg("sink_temp_result", ["order_export", "fin_line"], f"""WITH {subsidies_cte("1900-01-01", "2100-01-01")}
+SELECT 'fail' AS part, order_no AS k, CAST(settled AS {M2}) AS amount FROM subsidies WHERE reason <> ''
 UNION ALL
-SELECT 'summary', CAST(dt AS VARCHAR), CAST(ROUND(COALESCE(SUM(COALESCE(amt_settle, 0)), 0), 2) AS {M2})
-FROM checked GROUP BY dt""")
+SELECT 'summary', CAST(dt AS VARCHAR), CAST(SUM(COALESCE(settled, 0)) AS {M2}) FROM subsidies GROUP BY dt""")
 
 # expected names: 5 sanitised headers, 5 blank columns, then the repeated block
 _SANITIZED = (["日期", "门店ID", "门店名称", "推广消费_元", "推广现金消费_元"]
@@ -577,24 +579,30 @@ SELECT f.file, n.col, n.name
 FROM (SELECT DISTINCT '推广-' || shop_id || '.xlsx' AS file FROM promo_text) f
 CROSS JOIN (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(_SANITIZED))}) n(col, name)""")
 
+def _observed(t: str) -> str:
+    """Columns of a view: position, name, type, rows that are not null."""
+    return f"""(SELECT CAST(d.pos AS INTEGER) AS position, d.column_name, d.column_type,
+         CAST(COALESCE(c.n, 0) AS BIGINT) AS filled_rows
+  FROM (SELECT ROW_NUMBER() OVER () - 1 AS pos, column_name, column_type FROM (DESCRIBE SELECT * FROM {t})) d
+  LEFT JOIN (SELECT column_name, COUNT(*) AS n
+             FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM {t}) ON COLUMNS(*) INTO NAME column_name VALUE x)
+             GROUP BY 1) c USING (column_name))"""
+
+
 reg("schema_drift_report", ["order_export"], f"""
-WITH declared AS (
-  SELECT * FROM (VALUES {", ".join(f"('{c}', {i})" for i, c in enumerate(DECLARED_ORDER_COLUMNS))})
-    t(column_name, declared_pos)),
-existing AS (
-  SELECT column_name, CAST(ROW_NUMBER() OVER () - 1 AS INTEGER) AS existing_pos
-  FROM (DESCRIBE SELECT * FROM order_export))
-SELECT COALESCE(d.column_name, e.column_name) AS column_name, CAST(d.declared_pos AS INTEGER) AS declared_pos,
-       e.existing_pos,
-       CASE WHEN e.existing_pos IS NULL THEN 'new' WHEN d.declared_pos IS NULL THEN 'extra' ELSE 'ok' END AS status
-FROM declared d FULL OUTER JOIN existing e ON d.column_name = e.column_name""")
+SELECT column_name, CAST(list_position(declared, column_name) - 1 AS INTEGER) AS declared_pos,
+       position AS existing_pos, filled_rows,
+       CASE WHEN position IS NULL THEN 'new' WHEN list_contains(declared, column_name) THEN 'ok' ELSE 'extra' END AS status
+FROM (SELECT {DECLARED_ORDER_COLUMNS} AS declared) l,
+     (SELECT column_name, MAX(position) AS position, MAX(filled_rows) AS filled_rows
+      FROM (SELECT column_name, position, filled_rows FROM {_observed("order_export")}
+            UNION ALL SELECT unnest({DECLARED_ORDER_COLUMNS}), NULL, NULL) GROUP BY 1) c""")
 
 reg("schema_discover", ["order_export", "fin_bill", "fin_line", "courier"], " UNION ALL ".join(f"""
 SELECT '{t}' AS table_name, position, column_name,
        CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date' WHEN 'INTEGER' THEN 'int'
-                        ELSE lower(column_type) END AS data_type
-FROM (SELECT CAST(ROW_NUMBER() OVER () - 1 AS INTEGER) AS position, column_name, column_type
-      FROM (DESCRIBE SELECT * FROM {t})) x
+                        ELSE lower(column_type) END AS data_type, filled_rows
+FROM {_observed(t)} x
 WHERE NOT starts_with(column_name, '_') AND column_name <> 'dt'""" for t in ("order_export", "fin_bill", "fin_line", "courier")))
 
 _DIRS = """

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import money_all, query
-from ..oracle_sql import (D, MART_CTES, MART_VIEWS, SHEET_VIEWS, clean, gate, gate0, in_win, paren, reg,
-                          split_cte, strict, tnull)
+from ..oracle_sql import (D, MART_CTES, MART_VIEWS, SHEET_VIEWS, clean, gate, gate0, in_win, orders_cte, paren,
+                          reg, strict)
 from ..plans import models as M
 from ..plans import quality as Q
-from ..plans import recon as R
-from .recon import EL_ANCHOR_ALL, EL_FIN_ROWS
+from .recon import EL_LINES, EL_PLACED
 from .settlement import WINDOW
 
 M2 = "DECIMAL(18,2)"
@@ -82,15 +81,23 @@ FROM promo_typed GROUP BY dt""")
 
 @query("dq_tolerance_check")
 def dq_tolerance_check(v):
-    """Mart day totals vs the hand-checked figures with their tolerances."""
-    return Q.dq_tolerance_check(M.build_mart(v))
+    """One day's mart totals vs the hand-checked figures with their tolerances."""
+    return Q.dq_tolerance_check(M.build_mart(v), D)
 
 
-_TOL = " UNION ALL ".join(
-    f"SELECT dt, '{m}' AS measure, CAST(SUM({m}) AS {M2}) AS actual, CAST({e} AS {M2}) AS expected, "
-    f"CAST({t} AS DECIMAL(6,4)) AS tolerance FROM m2 GROUP BY dt" for m, e, t in Q.DAY_EXPECTATIONS)
-reg("dq_tolerance_check", MART_VIEWS, _mart_oracle(f"""SELECT *, ABS(actual - expected) <= expected * tolerance AS passed
-FROM ({_TOL}) t"""))
+# fixed values, from the document: measure, figure of the day, tolerance
+reg("dq_tolerance_check", MART_VIEWS, _mart_oracle(f"""
+SELECT DATE '{D}' AS dt, measure, CAST(actual AS {M2}) AS actual, CAST(expected AS {M2}) AS expected,
+       CAST(tolerance AS DECIMAL(6,4)) AS tolerance,
+       COALESCE(actual BETWEEN expected * (1 - tolerance) AND expected * (1 + tolerance), FALSE) AS passed
+FROM (VALUES ('revenue', 81152, 0.01), ('cost', 53324, 0.01), ('gross_profit', 21216, 0.01),
+             ('rent_labor_allocated', 18623, 0.00), ('net_profit', 2592, 0.05)) e(measure, expected, tolerance)
+JOIN (SELECT measure, actual
+      FROM (SELECT SUM(revenue) AS revenue, SUM(cost) AS cost, SUM(gross_profit) AS gross_profit,
+                   SUM(rent_labor_allocated) AS rent_labor_allocated, SUM(net_profit) AS net_profit
+            FROM m2 WHERE dt = DATE '{D}')
+      UNPIVOT INCLUDE NULLS (actual FOR measure IN (revenue, cost, gross_profit, rent_labor_allocated, net_profit))
+     ) t USING (measure)"""))
 
 
 # ---------------------------------------------------------------------------
@@ -102,27 +109,22 @@ def rule_all_txn_match(v):
     return money_all(Q.rule_all_txn_match(v, WINDOW))
 
 
-reg("rule_all_txn_match", SHEET_VIEWS, f"""WITH {split_cte('el')}, {EL_FIN_ROWS}
-SELECT a.order_no, CAST(p.txn_rows AS BIGINT) AS txn_rows, CAST(p.settlement_sum AS {M2}) AS settlement_sum,
-       CAST(p.txn_types AS BIGINT) AS txn_types
-FROM el_anchor a JOIN (SELECT order_no, COUNT(*) AS txn_rows, SUM(settlement) AS settlement_sum,
-                              COUNT(DISTINCT order_type) AS txn_types FROM el_rows GROUP BY order_no) p
-  ON p.order_no = a.order_no""")
+reg("rule_all_txn_match", SHEET_VIEWS, f"""WITH {orders_cte('el')}, {EL_LINES}
+SELECT order_no, COUNT(*) AS txn_rows, CAST(SUM(settlement) AS {M2}) AS settlement_sum,
+       COUNT(DISTINCT order_type) AS txn_types
+FROM el_lines SEMI JOIN orders USING (order_no) GROUP BY order_no""")
 
-_CLASSIFIED = f"""{split_cte('el')}, {EL_ANCHOR_ALL},
-live AS (SELECT DISTINCT order_no FROM el_anchor),
-rows AS (
-  SELECT {clean('order_no')} AS order_no, shop_id, {clean('order_type')} AS order_type,
-         {gate('receivable', strip_tabs=True)} AS amt
-  FROM fin_bill WHERE platform = 'el' AND {in_win('dt')}),
+_CLASSIFIED = f"""{orders_cte('el')}, {EL_PLACED},
 cls AS (
-  SELECT r.*, CASE WHEN COALESCE(r.order_type, '') LIKE '%充值%' THEN 'top_up'
-                   WHEN r.order_no IS NULL OR r.amt IS NULL THEN 'other'
-                   WHEN l.order_no IS NOT NULL THEN 'matched'
-                   WHEN a.order_no IS NOT NULL AND r.amt < 0 THEN 'same_day_refund'
-                   WHEN a.order_no IS NOT NULL THEN 'other'
-                   WHEN r.amt < 0 THEN 'delayed_refund' ELSE 'cross_day' END AS row_class
-  FROM rows r LEFT JOIN el_all a ON a.order_no = r.order_no LEFT JOIN live l ON l.order_no = r.order_no)"""
+  SELECT *, CASE WHEN kind LIKE '%充值%' THEN 'top_up'
+                 WHEN order_no IS NULL OR amt IS NULL THEN 'other'
+                 WHEN order_no IN (SELECT o.order_no FROM orders o WHERE o.order_no IS NOT NULL) THEN 'matched'
+                 WHEN order_no IN (SELECT e.order_no FROM el_placed e WHERE e.order_no IS NOT NULL)
+                   THEN IF(amt < 0, 'same_day_refund', 'other')
+                 ELSE IF(amt < 0, 'delayed_refund', 'cross_day') END AS row_class
+  FROM (SELECT {clean('order_no')} AS order_no, shop_id, COALESCE({clean('order_type')}, '') AS kind,
+               {gate('receivable', strip_tabs=True)} AS amt
+        FROM fin_bill WHERE platform = 'el' AND {in_win('dt')}))"""
 
 
 @query("rule_cross_day_class")
@@ -153,15 +155,12 @@ def rule_pending_by_store(v):
     return money_all(Q.rule_pending_by_store(v, WINDOW))
 
 
-_PAREN = paren
-reg("rule_pending_by_store", SHEET_VIEWS,
-    "WITH " + ",\n".join(split_cte(p) for p in ("mt", "el", "jd")) + f""",
-amounts AS (SELECT {clean('order_no')} AS order_no,
-                   MAX({gate('receivable', strip_tabs=True)}) AS amount FROM order_export GROUP BY 1)
-""" + " UNION ALL ".join(f"""
-SELECT '{p}' AS platform, {_PAREN('s.platform_shop_name')} AS store_name, CAST(COUNT(*) AS BIGINT) AS pending_orders,
-       CAST(COALESCE(SUM(a.amount), 0) AS {M2}) AS pending_amount
-FROM {p}_split s LEFT JOIN amounts a ON a.order_no = s.order_no WHERE NOT s.matched GROUP BY 2""" for p in ("mt", "el", "jd")))
+reg("rule_pending_by_store", SHEET_VIEWS, f"""WITH {orders_cte()},
+listed AS (SELECT platform, {clean('order_no')} AS order_no, MAX({gate('receivable', strip_tabs=True)}) AS amount
+           FROM order_export WHERE {in_win('dt')} GROUP BY ALL)
+SELECT platform, {paren('shop_name')} AS store_name, COUNT(*) AS pending_orders,
+       CAST(COALESCE(SUM(amount), 0) AS {M2}) AS pending_amount
+FROM orders LEFT JOIN listed USING (platform, order_no) WHERE NOT matched GROUP BY ALL""")
 
 
 @query("rule_missing_batch")
@@ -190,7 +189,16 @@ def rule_unknown_fee_type(v):
     return money_all(Q.rule_unknown_fee_type(v))
 
 
-_KNOWN = ", ".join(f"'{k}'" for k in Q.JD_FEE_BUCKETS)
+# fixed values, from the document: the fee types of each bucket
+_BUCKETS = {
+    "goods": ["用户实付货款"],
+    "activity_subsidy": ["优惠券-平台-小时购", "优惠券-京东平台-小时购", "京豆-平台-小时达", "积分-平台-小时购"],
+    "merchant_subsidy": ["商家券", "账扣款", "限时抢购商家"],
+    "packaging": ["到家包装费", "包装费"],
+    "freight": ["基础配送费", "商家承担远距离运费", "满减运费", "秒送基础服务费", "免运券"],
+    "commission": ["代收到家佣金", "CPS推广服务费"],
+}
+_KNOWN = ", ".join(f"'{t}'" for types in _BUCKETS.values() for t in types)
 reg("rule_unknown_fee_type", ["fin_line"], f"""
 SELECT fee_type, CAST(COUNT(*) AS BIGINT) AS rows, CAST(COALESCE(SUM(amount), 0) AS {M2}) AS amount
 FROM (SELECT {clean('fee_type')} AS fee_type, {gate('amount')} AS amount FROM fin_line WHERE platform = 'jd') t
@@ -205,7 +213,7 @@ def rule_reserved_column(v):
 
 reg("rule_reserved_column", ["fin_bill"], " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST(COUNT(*) FILTER (WHERE COALESCE({gate(c)}, 0) <> 0) AS BIGINT) "
-    f"AS nonzero_rows FROM fin_bill" for c in Q.RESERVED_COLUMNS))
+    f"AS nonzero_rows FROM fin_bill" for c in ("box_fee", "bag_fee", "voucher")))
 
 
 @query("rule_mt_rebuild")
@@ -214,8 +222,9 @@ def rule_mt_rebuild(v):
     return money_all(Q.rule_mt_rebuild(v))
 
 
-_MT_REB = " + ".join(f"COALESCE(CAST(NULLIF(NULLIF(TRIM({c}), ''), '-') AS DECIMAL(18,4)), 0)"
-                     for c in R.MT_COMPONENTS)
+_MT_REB = " + ".join(f"COALESCE(CAST(NULLIF(NULLIF(TRIM({c}), ''), '-') AS DECIMAL(18,4)), 0)" for c in (
+    "goods", "delivery_income", "box_fee", "bag_fee", "shop_goods_subsidy", "shop_delivery_subsidy",
+    "shop_bag_subsidy", "coupon_shop", "commission", "delivery_fee", "delivery_rebate", "donation"))
 reg("rule_mt_rebuild", ["fin_bill"], f"""
 SELECT order_no, CAST(line_no AS BIGINT) AS line_no, CAST(receivable AS {M2}) AS receivable,
        CAST(rebuilt AS {M2}) AS rebuilt, CAST(receivable - rebuilt AS {M2}) AS diff
@@ -245,31 +254,63 @@ def rule_jd_fee_buckets(v):
     return money_all(Q.rule_jd_fee_buckets(v))
 
 
-_BUCKETS = sorted(set(Q.JD_FEE_BUCKETS.values())) + ["unclassified"]
-_BCASE = "CASE " + " ".join(f"WHEN fee_type = '{k}' THEN '{b}'" for k, b in Q.JD_FEE_BUCKETS.items()) + \
-    " ELSE 'unclassified' END"
-reg("rule_jd_fee_buckets", ["fin_line"], f"""
-SELECT shop_id, {", ".join(f"CAST(SUM(amount) FILTER (WHERE bucket = '{b}') AS {M2}) AS {b}" for b in _BUCKETS)}
-FROM (SELECT shop_id, {_BCASE.replace('fee_type', clean('fee_type'))} AS bucket, {gate('amount')} AS amount
-      FROM fin_line WHERE platform = 'jd') t GROUP BY shop_id""")
+reg("rule_jd_fee_buckets", ["fin_line"], "SELECT shop_id, " + ", ".join(
+    f"CAST(SUM(amount) FILTER (list_contains({types}, fee_type)) AS {M2}) AS {b}" for b, types in _BUCKETS.items())
+    + f""", CAST(SUM(amount) FILTER (fee_type IS NULL OR fee_type NOT IN ({_KNOWN})) AS {M2}) AS unclassified
+FROM (SELECT shop_id, {clean('fee_type')} AS fee_type, {gate('amount')} AS amount FROM fin_line WHERE platform = 'jd')
+GROUP BY shop_id""")
 
 
 @query("rule_waterfall")
 def rule_waterfall(v):
-    """EL components and JD fee lines on the level-1 P&L waterfall, per platform × shop."""
+    """MT and EL bill lines and JD fee lines on the level-1 P&L waterfall, per platform × shop."""
     return money_all(Q.rule_waterfall(v))
 
 
-_EL_ITEMS = sorted({c for (p, c) in Q.WATERFALL_MAP if p == "el"})
-_LCASE = "CASE " + " ".join(f"WHEN platform = '{p}' AND item = '{i}' THEN '{l}'"
-                            for (p, i), l in Q.WATERFALL_MAP.items()) + " ELSE 'other' END"
+# fixed values, from the document: what each level holds, per platform — bill
+# columns of ordinary lines, line types of the others, fee types
+_BY_COLUMN = {
+    "mt": {"list_price": ["goods"], "marketing_passive": ["commission"], "packaging": ["box_fee", "bag_fee"],
+           "marketing_active": ["shop_goods_subsidy", "shop_delivery_subsidy", "shop_bag_subsidy", "coupon_shop"],
+           "delivery": ["delivery_income", "delivery_fee", "delivery_rebate"], "other": ["donation"]},
+    "el": {"list_price": ["goods"], "marketing_passive": ["commission", "pay_fee"], "packaging": ["box_fee"],
+           "marketing_active": ["activity_subsidy", "coupon_subsidy", "discount_total"],
+           "delivery": ["delivery_income", "shop_delivery_subsidy", "fulfil_fee", "delivery_fee", "rider_tip"]},
+}
+_BY_TYPE = {
+    "mt": {"refund": ["订单退款", "订单部分退款", "部分退款", "部分退款冲抵"], "marketing_active": ["赏金联盟服务费"],
+           "delivery": ["配送费用", "配送小费", "汽车送配送费"],
+           "compensation": ["餐损赔付", "商服赔付", "合作商售后赔付"], "penalty": ["赔付扣款", "医药治理"],
+           "other": ["保险"]},
+    "el": {"refund": ["全部退单", "部分退单", "部分退款"], "compensation": ["赔偿单"], "other": ["售中逆向退"]},
+    "jd": {"list_price": ["用户实付货款"],
+           "marketing_active": ["优惠券-平台-小时购", "优惠券-京东平台-小时购", "京豆-平台-小时达", "积分-平台-小时购",
+                                "商家券", "限时抢购商家"],
+           "marketing_passive": ["代收到家佣金", "CPS推广服务费"],
+           "delivery": ["基础配送费", "商家承担远距离运费"], "packaging": ["到家包装费", "包装费"]},
+}
+_PAYABLE = ["list_price", "refund", "marketing_active", "marketing_passive", "delivery", "packaging"]
+_LEVELS = _PAYABLE + ["compensation", "penalty", "other"]
+_PARTS = [f"""SELECT platform, shop_id, '{lv}' AS level1, {gate(c)} AS amount FROM bill
+  WHERE platform = '{p}' AND kind IN ('', '外卖订单', '正常订单')"""
+          for p in _BY_COLUMN for lv, cols in _BY_COLUMN[p].items() for c in cols]
+_TYPE_CASE = "CASE " + " ".join(f"WHEN platform = '{p}' AND list_contains({types}, kind) THEN '{lv}'"
+                                for p in _BY_TYPE for lv, types in _BY_TYPE[p].items()) + " ELSE 'unclassified' END"
 reg("rule_waterfall", ["fin_bill", "fin_line"], f"""
-WITH items AS (
-  {" UNION ALL ".join(f"SELECT 'el' AS platform, shop_id, '{c}' AS item, {gate(c)} AS amount FROM fin_bill WHERE platform = 'el'" for c in _EL_ITEMS)}
-  UNION ALL SELECT 'jd', shop_id, {clean('fee_type')}, {gate('amount')} FROM fin_line WHERE platform = 'jd'),
-lv AS (SELECT platform, shop_id, {_LCASE} AS level1, amount FROM items)
-SELECT platform, shop_id, {", ".join(f"CAST(SUM(amount) FILTER (WHERE level1 = '{l}') AS {M2}) AS {l}" for l in Q.WATERFALL_LEVELS)}
-FROM lv GROUP BY platform, shop_id""")
+WITH bill AS (SELECT *, COALESCE({clean('order_type')}, '') AS kind FROM fin_bill),
+items AS (
+  {" UNION ALL ".join(_PARTS)}
+  UNION ALL
+  SELECT platform, shop_id, {_TYPE_CASE}, IF(platform = 'mt', {gate('receivable')}, {gate('settlement')}) FROM bill
+  WHERE platform IN ('mt', 'el')
+    AND kind NOT IN ('', '外卖订单', '正常订单', '推广账户充值', '企客配送返款', '代充值预扣')
+  UNION ALL
+  SELECT platform, shop_id, {_TYPE_CASE}, amt
+  FROM (SELECT platform, shop_id, {clean('fee_type')} AS kind, {gate('amount')} AS amt FROM fin_line WHERE platform = 'jd'))
+SELECT platform, shop_id, {", ".join(f"CAST(SUM(amount) FILTER (level1 = '{lv}') AS {M2}) AS {lv}" for lv in _LEVELS + ["unclassified"])},
+  CAST(COALESCE(SUM(amount) FILTER (list_contains({_PAYABLE}, level1)), 0) AS {M2}) AS payable,
+  CAST(COALESCE(SUM(amount) FILTER (level1 <> 'unclassified'), 0) AS {M2}) AS realised
+FROM items GROUP BY platform, shop_id""")
 
 
 @query("rule_city_rebate")
@@ -280,7 +321,7 @@ def rule_city_rebate(v):
 
 reg("rule_city_rebate", ["order_export", "dim_store"], f"""
 WITH rates AS (SELECT city, MAX(meituan_enterprise_rebate) AS rate FROM dim_store GROUP BY city),
-o AS (SELECT {_PAREN(clean('shop_name'))} AS store_short_name,
+o AS (SELECT {paren(clean('shop_name'))} AS store_short_name,
              COALESCE({clean('status')} = '已取消' OR {clean('refund_status')} = '全部退款', FALSE) AS void
       FROM order_export WHERE platform = 'mt')
 SELECT s.city, CAST(COUNT(*) FILTER (WHERE NOT o.void) AS BIGINT) AS valid_orders,

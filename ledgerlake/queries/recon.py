@@ -5,17 +5,43 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import money_all, query
-from ..oracle_sql import (D, D_END, MATCH_CTES, SHEET_VIEWS, clean, gate0, in_win, reg, split_cte,
-                          strict, tnull, PENDING)
+from ..oracle_sql import (D, D_END, PENDING_TOTALS, SHEET_VIEWS, clean, gate, gate0, in_win, largest,
+                          orders_cte, placed_day, reg, smallest)
 from ..plans import recon as R
 from .settlement import WINDOW
 
 M2 = "DECIMAL(18,2)"
-EL_COMP = R.EL_COMPONENTS
 
+# Fixed values for the oracles, written out from the documents: the 15 items of
+# an MT bill line, the 11 of an EL one, the platform-borne JD subsidy types.
+MT_ITEMS = ["goods", "delivery_income", "box_fee", "bag_fee", "plat_goods_subsidy", "plat_delivery_subsidy",
+            "plat_bag_subsidy", "shop_goods_subsidy", "shop_delivery_subsidy", "shop_bag_subsidy", "commission",
+            "delivery_fee", "coupon_platform", "coupon_shop", "coupon_user"]
+EL_ITEMS = ["goods", "delivery_income", "commission", "pay_fee", "activity_subsidy", "coupon_subsidy",
+            "shop_delivery_subsidy", "fulfil_fee", "delivery_fee", "rider_tip", "discount_total"]
+SUBSIDY_TYPES = ["优惠券-平台-小时购", "优惠券-京东平台-小时购", "京豆-平台-小时达", "积分-平台-小时购"]
 
-def _sum(cols):
-    return " + ".join(cols)
+_EL_FULL = " + ".join(EL_ITEMS)
+_EL_NO_GOODS = " + ".join(EL_ITEMS[1:])
+
+# EL finance lines of the lookback; an amount that doesn't parse is 0
+EL_LINES = f"""el_lines AS (
+  SELECT {clean('order_no')} AS order_no, line_no, dt, {clean('bill_date')} AS bill_date,
+         {clean('order_type')} AS order_type, {clean('order_type')} LIKE '%赔偿%' AS compensates,
+         {", ".join(f"{gate0(c, True)} AS {c}" for c in
+                    ["receivable", "settlement", "net_sales", "service_fee"] + EL_ITEMS)}
+  FROM fin_bill WHERE platform = 'el' AND dt >= DATE '{D}' - 120 AND {clean('order_no')} IS NOT NULL)"""
+
+# EL orders placed in the window, void ones included, with the listed receivable
+EL_PLACED = f"""el_placed AS (
+  SELECT order_no, o.void AS void, o.listed AS listed
+  FROM (SELECT {clean('order_no')} AS order_no, {smallest(
+      seq='order_seq',
+      void=f"COALESCE({clean('status')} = '已取消' OR {clean('refund_status')} = '全部退款', FALSE)",
+      listed=gate('receivable', strip_tabs=True))} AS o
+    FROM order_export
+    WHERE platform = 'el' AND {in_win('dt')} AND {in_win(placed_day(clean('placed_at')))}
+    GROUP BY ALL))"""
 
 
 @query("recon_two_logic")
@@ -24,133 +50,79 @@ def recon_two_logic(v):
     return money_all(R.recon_two_logic(v, WINDOW))
 
 
-_MT_COLS = ", ".join(f"CAST(NULLIF({clean(c)}, '-') AS DECIMAL(18,4)) AS {c}" for c in R.MT_COMPONENTS)
-_MT_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in R.MT_COMPONENTS)
-_MT_REBUILT = _sum(f"COALESCE({c}, 0)" for c in R.MT_COMPONENTS)
-_EL_ALL = ["receivable", "settlement", "net_sales"] + EL_COMP
-_EL_FULL = _sum(EL_COMP)
-_EL_NOG = _sum(c for c in EL_COMP if c != "goods")
-reg("recon_two_logic", SHEET_VIEWS, f"""WITH {split_cte('mt')}, {split_cte('el')}, {split_cte('jd')},
-{PENDING},
-mt_rows AS (
-  SELECT {clean('order_no')} AS order_no, {clean('bill_date')} AS bill_date,
-         CAST({clean('receivable')} AS DECIMAL(18,4)) AS target, {_MT_COLS}
-  FROM fin_bill WHERE platform = 'mt' AND dt >= DATE '{D}' - 120
-    AND {clean('fin_status')} IS DISTINCT FROM '订单取消'),
-mt_pick AS (
-  SELECT DISTINCT ON (order_no) * FROM mt_rows
-  WHERE order_no IN (SELECT order_no FROM mt_split WHERE matched)
-  ORDER BY order_no, bill_date DESC NULLS LAST, target DESC NULLS LAST, {_MT_ORDER}),
-mt AS (
-  SELECT COUNT(*) AS mt_matched_orders, COALESCE(SUM(target), 0) AS mt_sum_target,
-         COALESCE(SUM({_MT_REBUILT}), 0) AS mt_sum_rebuilt,
-         COALESCE(SUM(target), 0) - COALESCE(SUM({_MT_REBUILT}), 0) AS mt_diff,
-         COALESCE(SUM(ABS(target - ({_MT_REBUILT}))), 0) AS mt_sum_abs_diff,
-         COUNT(*) FILTER (WHERE ABS(target - ({_MT_REBUILT})) > 0.02) AS mt_rows_off
-  FROM mt_pick),
-el_pick AS (
-  SELECT {clean('order_no')} AS order_no,
-         {", ".join(f"SUM({gate0(c, True)}) AS {c}" for c in _EL_ALL)}
-  FROM fin_bill WHERE platform = 'el' AND dt >= DATE '{D}' - 120
-    AND {clean('order_no')} IN (SELECT order_no FROM el_split WHERE matched)
-  GROUP BY 1),
-el AS (
-  SELECT COUNT(*) AS el_matched_orders, COALESCE(SUM(receivable), 0) AS el_sum_receivable,
-         COALESCE(SUM(net_sales), 0) AS el_sum_net_sales, COALESCE(SUM(settlement), 0) AS el_sum_settlement,
-         COALESCE(SUM({_EL_FULL}), 0) AS el_sum_formula_full,
-         COALESCE(SUM({_EL_NOG}), 0) AS el_sum_formula_no_goods,
-         COUNT(*) FILTER (WHERE ABS(receivable - settlement) > 0.02) AS el_orders_receivable_ne_settlement,
-         COUNT(*) FILTER (WHERE ABS(net_sales - settlement) > 0.02) AS el_orders_net_ne_settlement,
-         COUNT(*) FILTER (WHERE ABS(receivable - ({_EL_FULL})) > 0.02) AS el_orders_receivable_ne_full,
-         COUNT(*) FILTER (WHERE ABS(({_EL_FULL}) - settlement) > 0.02) AS el_orders_full_ne_settlement,
-         COALESCE(SUM(ABS(receivable - ({_EL_FULL}))), 0) AS el_sum_abs_receivable_vs_full
-  FROM el_pick),
-jd AS (
-  SELECT COUNT(*) AS jd_matched_orders, COALESCE(SUM(settlement_amt), 0) AS jd_sum_settlement_matched
-  FROM jd_split WHERE matched)
-SELECT DATE '{D}' AS report_date,
-  CAST(pgt.mt_pending_total AS BIGINT) AS mt_pending_total,
-  CAST(pgt.el_pending_total AS BIGINT) AS el_pending_total,
-  CAST(pgt.jd_pending_total AS BIGINT) AS jd_pending_total,
-  CAST(mt_matched_orders AS BIGINT) AS mt_matched_orders, CAST(mt_sum_target AS {M2}) AS mt_sum_target,
-  CAST(mt_sum_rebuilt AS {M2}) AS mt_sum_rebuilt, CAST(mt_diff AS {M2}) AS mt_diff,
-  CAST(mt_sum_abs_diff AS {M2}) AS mt_sum_abs_diff, CAST(mt_rows_off AS BIGINT) AS mt_rows_off,
-  CAST(el_matched_orders AS BIGINT) AS el_matched_orders,
-  CAST(el_sum_receivable AS {M2}) AS el_sum_receivable, CAST(el_sum_net_sales AS {M2}) AS el_sum_net_sales,
-  CAST(el_sum_settlement AS {M2}) AS el_sum_settlement,
-  CAST(el_sum_formula_full AS {M2}) AS el_sum_formula_full,
-  CAST(el_sum_formula_no_goods AS {M2}) AS el_sum_formula_no_goods,
-  CAST(el_orders_receivable_ne_settlement AS BIGINT) AS el_orders_receivable_ne_settlement,
-  CAST(el_orders_net_ne_settlement AS BIGINT) AS el_orders_net_ne_settlement,
-  CAST(el_orders_receivable_ne_full AS BIGINT) AS el_orders_receivable_ne_full,
-  CAST(el_orders_full_ne_settlement AS BIGINT) AS el_orders_full_ne_settlement,
-  CAST(el_sum_abs_receivable_vs_full AS {M2}) AS el_sum_abs_receivable_vs_full,
-  CAST(jd_matched_orders AS BIGINT) AS jd_matched_orders,
-  CAST(jd_sum_settlement_matched AS {M2}) AS jd_sum_settlement_matched
-FROM pgt CROSS JOIN mt CROSS JOIN el CROSS JOIN jd""")
-
-# --- EL order export vs finance -------------------------------------------------
-_PLACED = (f"(CASE WHEN regexp_matches({clean('placed_at')}, '^[0-9]{{4}}年[0-9]{{2}}月[0-9]{{2}}日') "
-           f"THEN CAST(try_strptime(substr({clean('placed_at')}, 1, 11), '%Y年%m月%d日') AS DATE) "
-           f"WHEN regexp_matches({clean('placed_at')}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') "
-           f"THEN CAST(try_strptime({clean('placed_at')}, '%Y-%m-%d %H:%M:%S') AS DATE) END)")
-_GATE_NULL = ("(CASE WHEN regexp_matches(TRIM(REPLACE(receivable, chr(9), '')), '^-?[0-9]+(\\.[0-9]*)?$') "
-              "THEN CAST(TRIM(REPLACE(receivable, chr(9), '')) AS DECIMAL(18,4)) END)")
-EL_ANCHOR_ALL = f"""el_all AS (
-  SELECT DISTINCT ON ({clean('order_no')}) {clean('order_no')} AS order_no,
-    COALESCE({clean('status')} = '已取消' OR {clean('refund_status')} = '全部退款', FALSE)
-      AS is_cancel_or_full_refund,
-    {_GATE_NULL} AS order_receivable
-  FROM order_export
-  WHERE platform = 'el' AND {in_win('dt')} AND {clean('placed_at')} IS NOT NULL
-    AND {in_win(_PLACED)}
-  ORDER BY 1, order_seq, 2, 3)"""
-_FIN_COLS = ["receivable", "settlement", "net_sales", "service_fee"] + EL_COMP
-EL_FIN_ROWS = f"""el_rows AS (
-  SELECT {clean('order_no')} AS order_no, line_no, dt, {clean('bill_date')} AS bill_date,
-         {clean('order_type')} AS order_type,
-         {", ".join(f"{gate0(c, True)} AS {c}" for c in _FIN_COLS)}
-  FROM fin_bill WHERE platform = 'el' AND dt >= DATE '{D}' - 120
-    AND {clean('order_no')} IS NOT NULL)"""
+def _total(x: str) -> str:
+    return f"CAST(COALESCE(SUM({x}), 0) AS {M2})"
+
+
+def _off(a: str, b: str) -> str:
+    return f"COUNT(*) FILTER (ABS({a} - ({b})) > 0.02)"
+
+
+_MT_SUM = " + ".join(f"COALESCE(CAST(NULLIF({clean(c)}, '-') AS DECIMAL(18,4)), 0)" for c in MT_ITEMS)
+_MT_KEY = {c: f"CAST(NULLIF({clean(c)}, '-') AS DECIMAL(18,4))" for c in MT_ITEMS}
+_MT_PICK = largest(day=clean("bill_date"), target=f"CAST({clean('receivable')} AS DECIMAL(18,4))",
+                   **_MT_KEY, rebuilt=f"({_MT_SUM})")
+reg("recon_two_logic", SHEET_VIEWS, f"""WITH {orders_cte()}, {EL_LINES},
+mt_bill AS (
+  SELECT {clean('order_no')} AS order_no, {_MT_PICK} AS b FROM fin_bill
+  WHERE platform = 'mt' AND dt >= DATE '{D}' - 120 AND COALESCE({clean('fin_status')}, '') <> '订单取消'
+  GROUP BY ALL),
+mt AS (SELECT b.target AS target, b.rebuilt AS rebuilt FROM mt_bill
+       WHERE order_no IN (SELECT order_no FROM orders WHERE matched AND platform = 'mt')),
+el AS (SELECT order_no, SUM(receivable) AS receivable, SUM(net_sales) AS net, SUM(settlement) AS settlement,
+              SUM({_EL_FULL}) AS full_sum, SUM({_EL_NO_GOODS}) AS no_goods
+       FROM el_lines WHERE order_no IN (SELECT order_no FROM orders WHERE matched AND platform = 'el')
+       GROUP BY order_no)
+SELECT DATE '{D}' AS report_date, * FROM
+  (SELECT {PENDING_TOTALS}, COUNT(*) FILTER (platform = 'jd' AND matched) AS jd_matched_orders,
+          CAST(COALESCE(SUM(settled) FILTER (platform = 'jd' AND matched), 0) AS {M2}) AS jd_sum_settlement_matched
+   FROM orders),
+  (SELECT COUNT(*) AS mt_matched_orders, {_total('target')} AS mt_sum_target, {_total('rebuilt')} AS mt_sum_rebuilt,
+          CAST({_total('target')} - {_total('rebuilt')} AS {M2}) AS mt_diff,
+          {_total('ABS(target - rebuilt)')} AS mt_sum_abs_diff, {_off('target', 'rebuilt')} AS mt_rows_off FROM mt),
+  (SELECT COUNT(*) AS el_matched_orders, {_total('receivable')} AS el_sum_receivable,
+          {_total('net')} AS el_sum_net_sales, {_total('settlement')} AS el_sum_settlement,
+          {_total('full_sum')} AS el_sum_formula_full, {_total('no_goods')} AS el_sum_formula_no_goods,
+          {_off('receivable', 'settlement')} AS el_orders_receivable_ne_settlement,
+          {_off('net', 'settlement')} AS el_orders_net_ne_settlement,
+          {_off('receivable', 'full_sum')} AS el_orders_receivable_ne_full,
+          {_off('full_sum', 'settlement')} AS el_orders_full_ne_settlement,
+          {_total('ABS(receivable - full_sum)')} AS el_sum_abs_receivable_vs_full FROM el)""")
 
 
 @query("recon_order_vs_finance")
 def recon_order_vs_finance(v):
-    """Order export receivable (clamped) vs finance receivable / settlement / rebuild."""
+    """EL orders of the window vs their finance lines: counts, sums, differences."""
     return money_all(R.recon_order_vs_finance(v, WINDOW))
 
 
-reg("recon_order_vs_finance", SHEET_VIEWS, f"""WITH {EL_ANCHOR_ALL}, {EL_FIN_ROWS},
-per_order AS (
-  SELECT order_no, SUM(receivable) AS fin_receivable, SUM(settlement) AS fin_settlement,
-         SUM({_EL_FULL}) AS fin_rebuilt,
-         SUM(CASE WHEN COALESCE(order_type, '') LIKE '%赔偿%' THEN settlement ELSE 0 END) AS comp_settlement,
-         SUM(CASE WHEN NOT (COALESCE(order_type, '') LIKE '%赔偿%') THEN settlement ELSE 0 END)
-           AS noncomp_settlement
-  FROM el_rows GROUP BY order_no),
-m AS (
-  SELECT a.*, p.fin_receivable, p.fin_settlement, p.fin_rebuilt, p.comp_settlement, p.noncomp_settlement,
-    CASE WHEN NOT a.is_cancel_or_full_refund THEN a.order_receivable
-         WHEN a.order_receivable > 0 THEN 0 WHEN a.order_receivable < 0 THEN a.order_receivable
-         ELSE 0 END AS order_amt
-  FROM el_all a JOIN per_order p ON p.order_no = a.order_no)
-SELECT DATE '{D}' AS report_date, CAST(COUNT(*) AS BIGINT) AS matched_orders,
-  CAST(COUNT(*) FILTER (WHERE is_cancel_or_full_refund) AS BIGINT) AS cancelled_or_refunded_orders,
-  CAST(COALESCE(SUM(order_amt), 0) AS {M2}) AS sum_order_receivable,
-  CAST(COALESCE(SUM(fin_receivable), 0) AS {M2}) AS sum_fin_receivable,
-  CAST(COALESCE(SUM(fin_settlement), 0) AS {M2}) AS sum_fin_settlement,
-  CAST(COALESCE(SUM(fin_rebuilt), 0) AS {M2}) AS sum_fin_rebuilt,
-  CAST(COALESCE(SUM(comp_settlement), 0) AS {M2}) AS sum_comp_settlement,
-  CAST(COALESCE(SUM(noncomp_settlement), 0) AS {M2}) AS sum_noncomp_settlement,
-  CAST(COALESCE(SUM(order_amt), 0) - COALESCE(SUM(fin_receivable), 0) AS {M2}) AS diff_order_minus_fin,
-  CAST(COALESCE(SUM(fin_settlement), 0) - COALESCE(SUM(fin_receivable), 0)
-       - COALESCE(SUM(comp_settlement), 0) AS {M2}) AS identity_gap,
-  CAST(COUNT(*) FILTER (WHERE ABS(COALESCE(order_amt, 0) - fin_receivable) > 0.02) AS BIGINT)
-    AS orders_order_ne_fin,
-  CAST(COUNT(*) FILTER (WHERE ABS(fin_rebuilt - fin_receivable) > 0.02) AS BIGINT)
-    AS orders_rebuilt_ne_receivable,
-  CAST(COALESCE(SUM(ABS(COALESCE(order_amt, 0) - fin_receivable)), 0) AS {M2}) AS sum_abs_order_vs_fin
-FROM m""")
+reg("recon_order_vs_finance", SHEET_VIEWS, f"""WITH {EL_PLACED}, {EL_LINES},
+billed AS (
+  SELECT order_no, SUM(receivable) AS rec, SUM(net_sales) AS net, SUM(settlement) AS stl, SUM({_EL_FULL}) AS reb,
+         COALESCE(SUM(settlement) FILTER (compensates), 0) AS comp
+  FROM el_lines GROUP BY order_no),
+met AS (
+  SELECT void, COALESCE(listed, 0) AS raw,
+         CASE WHEN void THEN LEAST(COALESCE(listed, 0), 0) ELSE COALESCE(listed, 0) END AS due, billed.*
+  FROM el_placed JOIN billed USING (order_no))
+SELECT DATE '{D}' AS report_date,
+  (SELECT COUNT(*) FROM el_placed) AS anchor_orders,
+  (SELECT COUNT(*) FILTER (void) FROM el_placed) AS anchor_cancelled_orders,
+  (SELECT COUNT(*) FROM el_placed ANTI JOIN billed USING (order_no)) AS pending_orders,
+  COUNT(*) AS matched_orders, COUNT(*) FILTER (void) AS cancelled_or_refunded_orders,
+  {_total('due')} AS sum_order_receivable, {_total('raw')} AS sum_order_receivable_raw,
+  {_total('rec')} AS sum_fin_receivable, {_total('net')} AS sum_fin_net_sales,
+  {_total('stl')} AS sum_fin_settlement, {_total('reb')} AS sum_fin_rebuilt,
+  {_total('comp')} AS sum_comp_settlement, {_total('stl - comp')} AS sum_noncomp_settlement,
+  {_total('rec + comp')} AS sum_receivable_plus_comp,
+  {_total('rec + comp - stl')} AS diff_receivable_plus_comp_minus_settlement,
+  {_total('due - rec')} AS diff_order_minus_fin, {_total('rec - reb')} AS diff_receivable_minus_rebuilt,
+  {_total('rec - stl')} AS diff_receivable_minus_settlement, {_total('reb - stl')} AS diff_rebuilt_minus_settlement,
+  {_off('due', 'rec')} AS orders_order_ne_fin, {_off('raw', 'rec')} AS orders_raw_ne_fin,
+  COUNT(*) FILTER (void AND ABS(due - rec) > 0.02) AS cancelled_orders_ne_fin,
+  {_off('reb', 'stl')} AS orders_rebuilt_ne_settlement, {_off('rec', 'stl')} AS orders_receivable_ne_settlement,
+  {_off('reb', 'rec')} AS orders_rebuilt_ne_receivable, {_total('ABS(due - rec)')} AS sum_abs_order_vs_fin
+FROM met""")
 
 
 @query("recon_by_type")
@@ -159,36 +131,28 @@ def recon_by_type(v):
     return money_all(R.recon_by_type(v, WINDOW))
 
 
-reg("recon_by_type", SHEET_VIEWS, f"""WITH {EL_ANCHOR_ALL}, {EL_FIN_ROWS},
-matched AS (SELECT a.order_no FROM el_all a JOIN (SELECT DISTINCT order_no FROM el_rows) x
-            ON x.order_no = a.order_no),
-by_type AS (
-  SELECT COALESCE(order_type, '(空)') AS order_type,
-         BOOL_OR(COALESCE(order_type, '') LIKE '%赔偿%') AS has_compensation_mark,
-         COUNT(*) AS rows, SUM(settlement) AS sum_settlement, SUM(receivable) AS sum_receivable
-  FROM el_rows r JOIN matched m ON m.order_no = r.order_no GROUP BY 1)
-SELECT order_type, has_compensation_mark, CAST(rows AS BIGINT) AS rows,
-       CAST(sum_settlement AS {M2}) AS sum_settlement, CAST(sum_receivable AS {M2}) AS sum_receivable,
-       CAST(sum_settlement - sum_receivable AS {M2}) AS diff_settlement_minus_receivable
-FROM by_type ORDER BY ABS(sum_settlement - sum_receivable) DESC NULLS LAST, rows DESC""")
+reg("recon_by_type", SHEET_VIEWS, f"""WITH {EL_PLACED}, {EL_LINES}
+SELECT IFNULL(order_type, '(空)') AS order_type, COALESCE(BOOL_OR(compensates), FALSE) AS has_compensation_mark,
+       COUNT(*) AS rows, {_total('settlement')} AS sum_settlement, {_total('receivable')} AS sum_receivable,
+       {_total('settlement - receivable')} AS diff_settlement_minus_receivable
+FROM el_lines SEMI JOIN el_placed USING (order_no) GROUP BY ALL""")
 
 
 @query("recon_order_lines")
 def recon_order_lines(v):
-    """Every EL finance line of the window with its 7-component rebuild and diff."""
+    """Every EL finance line of the window with its 11-component rebuild and diff."""
     return money_all(R.recon_order_lines(v, WINDOW))
 
 
-reg("recon_order_lines", SHEET_VIEWS, f"""WITH {EL_FIN_ROWS}
-SELECT CAST(ROW_NUMBER() OVER (PARTITION BY order_no ORDER BY CAST(bill_date AS DATE) NULLS LAST,
-                                dt, line_no, {", ".join(f"{c} NULLS LAST" for c in
-                                ["settlement", "receivable", "net_sales", "service_fee"] + EL_COMP)})
-       AS BIGINT) AS line_seq,
-  order_no, dt, bill_date, {", ".join(f"CAST({c} AS {M2}) AS {c}" for c in EL_COMP)},
+reg("recon_order_lines", SHEET_VIEWS, f"""WITH {EL_LINES}
+SELECT ROW_NUMBER() OVER (PARTITION BY order_no ORDER BY CAST(bill_date AS DATE) NULLS LAST,
+                          dt, line_no, {", ".join(["settlement", "receivable", "net_sales", "service_fee"] + EL_ITEMS)})
+       AS line_seq,
+  order_no, dt, bill_date, {", ".join(f"CAST({c} AS {M2}) AS {c}" for c in EL_ITEMS)},
   CAST({_EL_FULL} AS {M2}) AS rebuilt_settlement, CAST(settlement AS {M2}) AS actual_settlement,
-  CAST(({_EL_FULL}) - settlement AS {M2}) AS diff,
+  CAST({_EL_FULL} - settlement AS {M2}) AS diff,
   CAST(net_sales + service_fee AS {M2}) AS net_plus_service, CAST(receivable AS {M2}) AS ref_receivable
-FROM el_rows""")
+FROM el_lines""")
 
 
 @query("recon_order_total")
@@ -197,12 +161,11 @@ def recon_order_total(v):
     return money_all(R.recon_order_total(v, WINDOW))
 
 
-reg("recon_order_total", SHEET_VIEWS, f"""WITH {EL_FIN_ROWS}
-SELECT order_no, CAST(SUM({_EL_FULL}) AS {M2}) AS sum_rebuilt,
-  CAST(SUM(settlement) AS {M2}) AS sum_settlement, CAST(SUM(receivable) AS {M2}) AS sum_receivable,
-  CAST(SUM({_EL_FULL}) - SUM(settlement) AS {M2}) AS diff_rebuilt_minus_settlement,
-  CAST(SUM({_EL_FULL}) - SUM(receivable) AS {M2}) AS diff_rebuilt_minus_receivable
-FROM el_rows GROUP BY order_no""")
+reg("recon_order_total", SHEET_VIEWS, f"""WITH {EL_LINES}
+SELECT order_no, {_total(_EL_FULL)} AS sum_rebuilt, {_total('settlement')} AS sum_settlement,
+  {_total('receivable')} AS sum_receivable, {_total(f'{_EL_FULL} - settlement')} AS diff_rebuilt_minus_settlement,
+  {_total(f'{_EL_FULL} - receivable')} AS diff_rebuilt_minus_receivable
+FROM el_lines GROUP BY order_no""")
 
 
 @query("jd_store_settlement")
@@ -211,78 +174,57 @@ def jd_store_settlement(v):
     return money_all(R.jd_store_settlement(v, WINDOW))
 
 
-_GATE_AMT = ("(CASE WHEN regexp_matches(TRIM(REPLACE(amount, chr(9), '')), '^-?[0-9]+(\\.[0-9]*)?$') "
-             "THEN CAST(TRIM(REPLACE(amount, chr(9), '')) AS DECIMAL(18,4)) END)")
-reg("jd_store_settlement", SHEET_VIEWS, f"""WITH store_names AS (
-  SELECT DISTINCT ON ({clean('shop_id')}) {clean('shop_id')} AS store_id, {clean('shop_name')} AS store_name
-  FROM order_export WHERE platform = 'jd' AND {clean('shop_id')} IS NOT NULL
-  ORDER BY 1, dt DESC NULLS LAST, 2),
-fin AS (
-  SELECT {clean('shop_id')} AS store_id, {clean('order_no')} AS bill_no, {_GATE_AMT} AS amt
-  FROM fin_line WHERE platform = 'jd' AND {in_win('dt')})
-SELECT fin.store_id, sn.store_name, CAST(COUNT(DISTINCT fin.bill_no) AS BIGINT) AS bills,
-       CAST(COUNT(*) AS BIGINT) AS fee_lines,
-       CAST(ROUND(COALESCE(SUM(fin.amt), 0), 2) AS {M2}) AS settlement_total
-FROM fin LEFT JOIN store_names sn ON sn.store_id = fin.store_id
-GROUP BY fin.store_id, sn.store_name ORDER BY settlement_total DESC""")
-
-
-def _gate_tab(c):
-    return (f"(CASE WHEN regexp_matches(TRIM(REPLACE({c}, chr(9), '')), '^-?[0-9]+(\\.[0-9]*)?$') "
-            f"THEN CAST(TRIM(REPLACE({c}, chr(9), '')) AS DECIMAL(18,4)) END)")
-
-
-_SUBSIDY_LIST = ", ".join(f"'{t}'" for t in R.SUBSIDY_FEE_TYPES)
-SUBSIDY = f"""hour_bills AS (
-  SELECT DISTINCT {clean('order_no')} AS bill_no FROM order_export
-  WHERE platform = 'jd' AND {in_win('dt')}
-    AND TRIM(REPLACE(order_source, chr(9), '')) = '小时达' AND {clean('order_no')} IS NOT NULL),
-types AS (SELECT unnest([{_SUBSIDY_LIST}]) AS fee_type),
-parsed AS (
-  SELECT dt, {clean('order_no')} AS bill_no, {clean('fee_type')} AS fee_type,
-         {_gate_tab('amount')} AS amt_settle, {_gate_tab('platform_borne')} AS amt_jd,
-         {_gate_tab('merchant_borne')} AS amt_merchant
-  FROM fin_line
-  WHERE platform = 'jd' AND {in_win('dt')}
-    AND {clean('order_no')} IN (SELECT bill_no FROM hour_bills)
-    AND {clean('fee_type')} IN (SELECT fee_type FROM types)),
-checked AS (
-  SELECT *, (amt_settle IS NOT NULL AND amt_jd IS NOT NULL AND ABS(amt_settle - amt_jd) <= 0.02
-             AND ABS(COALESCE(amt_merchant, 0)) <= 0.02) AS is_ok
-  FROM parsed)"""
+# the name is the least one of the shop's last day
+reg("jd_store_settlement", SHEET_VIEWS, f"""WITH per_shop AS (
+  SELECT {clean('shop_id')} AS store_id, COUNT(DISTINCT {clean('order_no')}) AS bills, COUNT(*) AS fee_lines,
+         {_total(gate('amount', strip_tabs=True))} AS settlement_total
+  FROM fin_line WHERE platform = 'jd' AND {in_win('dt')} GROUP BY ALL)
+SELECT *, (SELECT MIN({clean('o.shop_name')}) FROM order_export o
+           WHERE o.platform = 'jd' AND {clean('o.shop_id')} = store_id
+             AND o.dt = (SELECT MAX(x.dt) FROM order_export x
+                         WHERE x.platform = 'jd' AND {clean('x.shop_id')} = store_id)) AS store_name
+FROM per_shop""")
+
+
+def subsidies_cte(first: str = D, end: str = D_END) -> str:
+    """Subsidy lines of hour-delivery orders; ``reason`` is '' where all is well."""
+    amount = {n: gate(c, strip_tabs=True) for n, c in (
+        ("settled", "amount"), ("platform_part", "platform_borne"), ("merchant_part", "merchant_borne"))}
+    return f"""subsidies AS (
+  SELECT dt, {clean('order_no')} AS order_no, {clean('fee_type')} AS fee_type,
+         {", ".join(f"{x} AS {n}" for n, x in amount.items())},
+         CASE WHEN settled IS NULL OR platform_part IS NULL THEN '结算或京东承担无法解析为数字'
+              WHEN merchant_part NOT BETWEEN -0.02 AND 0.02 THEN '商家承担金额应为0'
+              WHEN settled - platform_part NOT BETWEEN -0.02 AND 0.02 THEN '结算金额与京东承担金额不一致'
+              ELSE '' END AS reason
+  FROM fin_line f
+  WHERE platform = 'jd' AND dt >= DATE '{first}' AND dt < DATE '{end}'
+    AND list_contains({SUBSIDY_TYPES}, {clean('fee_type')})
+    AND EXISTS (FROM order_export o WHERE o.platform = 'jd' AND o.dt >= DATE '{first}' AND o.dt < DATE '{end}'
+                AND {clean('o.order_source')} = '小时达' AND {clean('o.order_no')} = {clean('f.order_no')}))"""
 
 
 @query("jd_subsidy_check")
 def jd_subsidy_check(v):
-    """Failing activity-subsidy rows of hour-delivery orders, with the reason."""
-    c = R.jd_subsidy_checked(v, WINDOW)
-    return money_all(c.where(~F.col("is_ok")).select(
-        F.col("dt").cast("string").alias("dt"), "bill_no", "fee_type", "amt_settle", "amt_jd",
-        "amt_merchant", "reason"))
+    """Failing activity-subsidy lines of hour-delivery orders, with the reason."""
+    return money_all(R.jd_subsidies(v, WINDOW).where(F.col("reason").isNotNull()))
 
 
-reg("jd_subsidy_check", SHEET_VIEWS, f"""WITH {SUBSIDY}
-SELECT CAST(dt AS VARCHAR) AS dt, bill_no, fee_type, CAST(amt_settle AS {M2}) AS amt_settle,
-  CAST(amt_jd AS {M2}) AS amt_jd, CAST(amt_merchant AS {M2}) AS amt_merchant,
-  CASE WHEN amt_settle IS NULL OR amt_jd IS NULL THEN '结算或京东承担无法解析为数字'
-       WHEN ABS(COALESCE(amt_merchant, 0)) > 0.02 THEN '商家承担金额应为0'
-       ELSE '结算金额与京东承担金额不一致' END AS reason
-FROM checked WHERE NOT is_ok ORDER BY bill_no, fee_type""")
+reg("jd_subsidy_check", SHEET_VIEWS, f"""WITH {subsidies_cte()}
+SELECT dt, order_no, fee_type, CAST(settled AS {M2}) AS settled, CAST(platform_part AS {M2}) AS platform_part,
+       CAST(merchant_part AS {M2}) AS merchant_part, reason FROM subsidies WHERE reason <> ''""")
 
 
 @query("jd_subsidy_summary")
 def jd_subsidy_summary(v):
-    """Per partition day: subsidy rows checked, passed, failed and totals."""
-    return money_all(R.jd_subsidy_summary(R.jd_subsidy_checked(v, WINDOW)))
+    """Per day: subsidy lines checked, failing ones and both totals."""
+    return money_all(R.jd_subsidy_summary(R.jd_subsidies(v, WINDOW)))
 
 
-reg("jd_subsidy_summary", SHEET_VIEWS, f"""WITH {SUBSIDY}
-SELECT CAST(dt AS VARCHAR) AS dt, CAST(COUNT(*) AS BIGINT) AS subsidy_rows,
-  CAST(COUNT(*) FILTER (WHERE is_ok) AS BIGINT) AS passed,
-  CAST(COUNT(*) FILTER (WHERE NOT is_ok) AS BIGINT) AS failed,
-  CAST(ROUND(COALESCE(SUM(COALESCE(amt_settle, 0)), 0), 2) AS {M2}) AS settle_total,
-  CAST(ROUND(COALESCE(SUM(COALESCE(amt_jd, 0)), 0), 2) AS {M2}) AS jd_borne_total
-FROM checked GROUP BY dt""")
+reg("jd_subsidy_summary", SHEET_VIEWS, f"""WITH {subsidies_cte()}
+SELECT dt, COUNT(*) AS subsidy_lines, COUNT(*) FILTER (reason <> '') AS failing_lines,
+       {_total('settled')} AS settled_total, {_total('platform_part')} AS platform_total
+FROM subsidies GROUP BY dt""")
 
 
 def _grouped(c):
@@ -296,7 +238,8 @@ def statement_identity(v):
     return money_all(R.statement_identity(R.jd_statement(v.fin_bill)))
 
 
-_STMT_COLS = R.STATEMENT_REQUIRED + ["bag_fee"]
+_STMT_COLS = ["goods", "delivery_income", "subsidy", "commission", "delivery_fee", "refund", "compensation",
+              "box_fee", "bag_fee"]
 reg("statement_identity", ["fin_bill"], f"""
 SELECT order_no, CAST(payable AS {M2}) AS payable, CAST(rebuilt AS {M2}) AS rebuilt,
        CAST(payable - rebuilt AS {M2}) AS diff

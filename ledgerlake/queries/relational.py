@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from ..catalog import money_all, query
 from ..functions import cleaning as C
 from ..operators.joins import prefix_join, resolve_alias
-from ..oracle_sql import (ALIAS_PLATFORMS, ALL_BY_STORE, D, INT_PROMO, INT_REV, INT_SHIP, MART_CTES,
-                          MART_VIEWS, OBS, ORACLES, PENDING, SHEET_VIEWS, STG_EL, STG_JD, STG_MT,
-                          by_store_cte, clean, div_round2, gate, gate0, paren, pnorm, split_cte,
+from ..oracle_sql import (ALIAS_PLATFORMS, D, INT_PROMO, INT_REV, INT_SHIP, MART_CTES,
+                          MART_VIEWS, ORACLES, PENDING_TOTALS, SHEET, SHEET_VIEWS, STORE_OUT, STG_EL, STG_JD, STG_MT,
+                          clean, div_round2, gate, gate0, orders_cte, paren, pnorm, stores_cte,
                           strict, tnull)
 from ..oracle_sql import D_END
 from ..oracle_sql import reg as reg_windowed
 from ..plans import models as M
 from ..plans import recon as R
 from ..plans import settlement as S
-from .recon import EL_ANCHOR_ALL, EL_FIN_ROWS, SUBSIDY
+from .recon import EL_ITEMS, EL_LINES, EL_PLACED, SUBSIDY_TYPES, subsidies_cte
 
 M2 = "DECIMAL(18,2)"
 # generic operators run over whole tables: a window that holds every day
@@ -39,9 +39,9 @@ def join_inner_match(v):
     return money_all(j)
 
 
-reg("join_inner_match", SHEET_VIEWS, f"""WITH {split_cte('el')}
-SELECT a.order_no, a.platform_shop_id, a.platform_shop_name, CAST(f.settlement_amt AS {M2}) AS settlement_amt
-FROM el_anchor a JOIN el_fin f ON f.order_no = a.order_no""")
+reg("join_inner_match", SHEET_VIEWS, f"""WITH {orders_cte('el')}
+SELECT order_no, shop_id AS platform_shop_id, shop_name AS platform_shop_name,
+       CAST(settled AS {M2}) AS settlement_amt FROM orders WHERE matched""")
 
 
 @query("join_anti_pending")
@@ -50,9 +50,8 @@ def join_anti_pending(v):
     return S.el_anchor(v.order_export, WINDOW).join(S.el_finance(v.fin_bill, WINDOW), "order_no", "left_anti")
 
 
-reg("join_anti_pending", SHEET_VIEWS, f"""WITH {split_cte('el')}
-SELECT a.order_no, a.platform_shop_id, a.platform_shop_name
-FROM el_anchor a LEFT JOIN el_fin f ON f.order_no = a.order_no WHERE f.order_no IS NULL""")
+reg("join_anti_pending", SHEET_VIEWS, f"""WITH {orders_cte('el')}
+SELECT order_no, shop_id AS platform_shop_id, shop_name AS platform_shop_name FROM orders WHERE NOT matched""")
 
 
 @query("join_left_multikey")
@@ -103,9 +102,8 @@ def join_full_outer(v):
     return s.select("store_label", "province", "order_cnt", "pending_cnt")
 
 
-reg("join_full_outer", SHEET_VIEWS, f"""WITH {by_store_cte('el')}
-SELECT store_label, province, CAST(order_cnt AS BIGINT) AS order_cnt,
-       CAST(pending_cnt AS BIGINT) AS pending_cnt FROM el_one""")
+reg("join_full_outer", SHEET_VIEWS, f"""WITH {stores_cte('el')}
+SELECT label AS store_label, province, settled_orders AS order_cnt, pending_orders AS pending_cnt FROM store""")
 
 
 @query("join_or_alias")
@@ -147,11 +145,11 @@ FROM fixed_cost c LEFT JOIN dim_store ds
 @query("join_semi_in")
 def join_semi_in(v):
     """JD lines whose order is an hour-delivery bill and whose fee type is listed."""
-    return money_all(R.jd_subsidy_checked(v, WINDOW).select("bill_no", "fee_type", "amt_settle"))
+    return money_all(R.jd_subsidies(v, WINDOW).select("order_no", "fee_type", "settled"))
 
 
-reg("join_semi_in", SHEET_VIEWS, f"""WITH {SUBSIDY}
-SELECT bill_no, fee_type, CAST(amt_settle AS {M2}) AS amt_settle FROM parsed""")
+reg("join_semi_in", SHEET_VIEWS, f"""WITH {subsidies_cte()}
+SELECT order_no, fee_type, CAST(settled AS {M2}) AS settled FROM subsidies""")
 
 
 @query("join_filter_keys")
@@ -162,10 +160,10 @@ def join_filter_keys(v):
     return money_all(f.join(matched, "order_no", "inner").select("order_no", "line_no", "settlement"))
 
 
-reg("join_filter_keys", SHEET_VIEWS, f"""WITH {split_cte('el')}
+reg("join_filter_keys", SHEET_VIEWS, f"""WITH {orders_cte('el')}
 SELECT {clean('f.order_no')} AS order_no, CAST(f.line_no AS BIGINT) AS line_no,
        CAST({gate0('f.settlement', True)} AS {M2}) AS settlement
-FROM fin_bill f JOIN (SELECT order_no FROM el_split WHERE matched) k ON k.order_no = {clean('f.order_no')}
+FROM fin_bill f JOIN (SELECT order_no FROM orders WHERE matched) k ON k.order_no = {clean('f.order_no')}
 WHERE f.platform = 'el' AND f.dt >= DATE '{D}' - 120""")
 
 
@@ -181,9 +179,8 @@ def join_cross_scalar(v):
     return ob.select("store_label", "order_cnt").withColumn("total_order_cnt", tot.scalar())
 
 
-reg("join_cross_scalar", SHEET_VIEWS, f"""WITH {ALL_BY_STORE}, {OBS}
-SELECT store_label, CAST(order_cnt AS BIGINT) AS order_cnt,
-       CAST((SELECT COALESCE(SUM(order_cnt), 0) FROM ob) AS BIGINT) AS total_order_cnt FROM ob""")
+reg("join_cross_scalar", SHEET_VIEWS, f"""WITH {stores_cte()}, {SHEET}
+SELECT store_label, order_cnt, CAST(SUM(order_cnt) OVER () AS BIGINT) AS total_order_cnt FROM sheet""")
 
 
 @query("join_spine")
@@ -192,9 +189,8 @@ def join_spine(v):
     return _orders_store(v).select("store_label", "mt_order_cnt", "el_order_cnt", "jd_order_cnt")
 
 
-reg("join_spine", SHEET_VIEWS, f"""WITH {ALL_BY_STORE}, {OBS}
-SELECT store_label, CAST(mt_order_cnt AS BIGINT) AS mt_order_cnt, CAST(el_order_cnt AS BIGINT) AS el_order_cnt,
-       CAST(jd_order_cnt AS BIGINT) AS jd_order_cnt FROM ob""")
+reg("join_spine", SHEET_VIEWS, f"""WITH {stores_cte()}, {SHEET}
+SELECT store_label, mt_order_cnt, el_order_cnt, jd_order_cnt FROM sheet""")
 
 
 @query("scalar_subquery")
@@ -204,7 +200,7 @@ def scalar_subquery(v):
 
 
 reg("scalar_subquery", SHEET_VIEWS,
-    "WITH " + ",\n".join(split_cte(p) for p in ("mt", "el", "jd")) + ",\n" + PENDING + "\nSELECT * FROM pgt")
+    f"WITH {orders_cte()}\nSELECT {PENDING_TOTALS} FROM orders")
 
 
 # ---------------------------------------------------------------------------
@@ -303,8 +299,8 @@ def agg_having(v):
     return money_all(S.jd_finance(v.fin_line, WINDOW))
 
 
-reg("agg_having", SHEET_VIEWS, f"""WITH {split_cte('jd')}
-SELECT order_no, CAST(settlement_amt AS {M2}) AS settlement_amt FROM jd_fin""")
+reg("agg_having", SHEET_VIEWS, f"""WITH {orders_cte('jd')}
+SELECT order_no, CAST(settled AS {M2}) AS settlement_amt FROM finance""")
 
 
 @query("agg_two_level")
@@ -337,9 +333,8 @@ def agg_rollup_labels(v):
                               "settlement_amt", "pending_cnt"))
 
 
-reg("agg_rollup_labels", SHEET_VIEWS, f"""WITH {by_store_cte('mt')}
-SELECT store_label, province, city, store_type, CAST(order_cnt AS BIGINT) AS order_cnt,
-       CAST(settlement_amt AS {M2}) AS settlement_amt, CAST(pending_cnt AS BIGINT) AS pending_cnt FROM mt_one""")
+reg("agg_rollup_labels", SHEET_VIEWS, f"""WITH {stores_cte('mt')}
+SELECT * EXCLUDE (rebate_amt, receipt_amt, rebate_per_order) FROM (SELECT {STORE_OUT} FROM store)""")
 
 
 @query("agg_count_times_rate")
@@ -349,9 +344,8 @@ def agg_count_times_rate(v):
     return money_all(s.select("store_label", "order_cnt", "rebate_per_order", "rebate_amt", "receipt_amt"))
 
 
-reg("agg_count_times_rate", SHEET_VIEWS, f"""WITH {by_store_cte('mt')}
-SELECT store_label, CAST(order_cnt AS BIGINT) AS order_cnt, CAST(rebate_per_order AS {M2}) AS rebate_per_order,
-       CAST(rebate_amt AS {M2}) AS rebate_amt, CAST(receipt_amt AS {M2}) AS receipt_amt FROM mt_one""")
+reg("agg_count_times_rate", SHEET_VIEWS, f"""WITH {stores_cte('mt')}
+SELECT store_label, order_cnt, rebate_per_order, rebate_amt, receipt_amt FROM (SELECT {STORE_OUT} FROM store)""")
 
 
 @query("agg_avg")
@@ -378,7 +372,7 @@ def agg_global_recon(v):
                            *R.identity_measures(C.num_or_zero("settlement"), rebuilt, "el")))
 
 
-_REB = " + ".join(gate0(c) for c in R.EL_COMPONENTS)
+_REB = " + ".join(gate0(c) for c in EL_ITEMS)
 reg("agg_global_recon", ["fin_bill"], f"""
 SELECT CAST(COUNT(*) AS BIGINT) AS rows, CAST(COALESCE(SUM(t), 0) AS {M2}) AS el_sum_target,
   CAST(COALESCE(SUM(r), 0) AS {M2}) AS el_sum_rebuilt,
@@ -438,11 +432,11 @@ def win_global_row_number(v):
     return money_all(R.recon_order_lines(v, WINDOW).select("order_no", "line_seq", "dt", "bill_date"))
 
 
-reg("win_global_row_number", SHEET_VIEWS, f"""WITH {EL_FIN_ROWS}
+reg("win_global_row_number", SHEET_VIEWS, f"""WITH {EL_LINES}
 SELECT order_no, CAST(ROW_NUMBER() OVER (PARTITION BY order_no ORDER BY CAST(bill_date AS DATE) NULLS LAST,
   dt, line_no, {", ".join(f"{c} NULLS LAST" for c in ["settlement", "receivable", "net_sales", "service_fee"]
-                          + R.EL_COMPONENTS)}) AS BIGINT) AS line_seq, dt, bill_date
-FROM el_rows""")
+                          + EL_ITEMS)}) AS BIGINT) AS line_seq, dt, bill_date
+FROM el_lines""")
 
 
 @query("win_distinct_on")
@@ -451,8 +445,8 @@ def win_distinct_on(v):
     return money_all(S.mt_finance(v.fin_bill, WINDOW))
 
 
-reg("win_distinct_on", SHEET_VIEWS, f"""WITH {split_cte('mt')}
-SELECT order_no, CAST(settlement_amt AS {M2}) AS settlement_amt FROM mt_fin""")
+reg("win_distinct_on", SHEET_VIEWS, f"""WITH {orders_cte('mt')}
+SELECT order_no, CAST(settled AS {M2}) AS settlement_amt FROM finance""")
 
 
 # ---------------------------------------------------------------------------
@@ -516,8 +510,8 @@ def set_union_distinct(v):
     return spine.distinct()
 
 
-reg("set_union_distinct", SHEET_VIEWS, f"""WITH {ALL_BY_STORE}
-SELECT store_label FROM mt_one UNION SELECT store_label FROM el_one UNION SELECT store_label FROM jd_one""")
+reg("set_union_distinct", SHEET_VIEWS, f"""WITH {stores_cte()}
+SELECT DISTINCT label AS store_label FROM store""")
 
 
 @query("arr_unnest")
@@ -532,7 +526,7 @@ def arr_unnest(v):
 
 reg("arr_unnest", ["fin_line"], f"""
 SELECT t.fee_type, CAST(COALESCE(c.lines, 0) AS BIGINT) AS lines
-FROM (SELECT unnest([{", ".join(f"'{x}'" for x in R.SUBSIDY_FEE_TYPES)}]) AS fee_type) t
+FROM (SELECT unnest({SUBSIDY_TYPES}) AS fee_type) t
 LEFT JOIN (SELECT {clean('fee_type')} AS fee_type, COUNT(*) AS lines FROM fin_line WHERE platform = 'jd'
            GROUP BY 1) c ON c.fee_type = t.fee_type""")
 
@@ -550,14 +544,11 @@ SELECT report_date, province, city, store_type,
   CAST(MAX(jd_pending_fin_match_total) AS BIGINT) AS jd_pending_fin_match_total
 FROM ({_SHEET}) x GROUP BY 1, 2, 3, 4""")
 
-reg("topk_mismatch", SHEET_VIEWS, f"""WITH {EL_ANCHOR_ALL}, {EL_FIN_ROWS},
-f AS (SELECT order_no, SUM(receivable) AS fin_receivable FROM el_rows GROUP BY order_no),
+reg("topk_mismatch", SHEET_VIEWS, f"""WITH {EL_PLACED}, {EL_LINES},
 m AS (
-  SELECT a.order_no, f.fin_receivable,
-    CASE WHEN NOT a.is_cancel_or_full_refund THEN a.order_receivable
-         WHEN a.order_receivable > 0 THEN 0 WHEN a.order_receivable < 0 THEN a.order_receivable
-         ELSE 0 END AS order_amt
-  FROM el_all a JOIN f ON f.order_no = a.order_no)
+  SELECT order_no, CASE WHEN void THEN LEAST(COALESCE(listed, 0), 0) ELSE listed END AS order_amt,
+         (SELECT SUM(receivable) FROM el_lines l WHERE l.order_no = p.order_no) AS fin_receivable
+  FROM el_placed p WHERE order_no IN (SELECT order_no FROM el_lines))
 SELECT order_no, CAST(order_amt AS {M2}) AS order_amt, CAST(fin_receivable AS {M2}) AS fin_receivable,
        CAST(COALESCE(order_amt, 0) - fin_receivable AS {M2}) AS diff
 FROM m ORDER BY ABS(COALESCE(order_amt, 0) - fin_receivable) DESC, order_no ASC LIMIT 50""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,22 +28,27 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def name_frame(spark: SparkSession, names: list[str], side: str) -> DataFrame:
-    return spark.createDataFrame([(n, i) for i, n in enumerate(names)], f"column_name string, {side}_pos int")
+def observed(df: DataFrame) -> DataFrame:
+    """Columns of a table in one pass over it: position, column_name, data_type
+    and filled_rows (rows where the column is not null)."""
+    fields = [f"named_struct('position', {i}, 'column_name', '{f.name}', 'data_type', "
+              f"'{f.dataType.simpleString()}', 'filled_rows', count(`{f.name}`))"
+              for i, f in enumerate(df.schema.fields)]
+    return df.agg(F.expr(f"array({', '.join(fields)})").alias("c")).select(F.inline("c"))
 
 
-def drift_report(spark: SparkSession, declared: list[str], existing: list[str]) -> DataFrame:
+def drift_report(df: DataFrame, declared: list[str]) -> DataFrame:
     """Declared vs existing columns: 'new' (declared only), 'extra' (existing
-    only) or 'ok' — a full outer join of the two name lists."""
-    d, e = name_frame(spark, declared, "declared"), name_frame(spark, existing, "existing")
-    j = d.join(e, "column_name", "full_outer")
-    status = (F.when(F.col("existing_pos").isNull(), F.lit("new"))
-              .when(F.col("declared_pos").isNull(), F.lit("extra")).otherwise(F.lit("ok")))
-    return j.withColumn("status", status)
+    only) or 'ok', with the existing column's filled rows."""
+    names = df.sparkSession.range(1).select(
+        F.posexplode(F.array(*[F.lit(c) for c in declared])).alias("declared_pos", "column_name"))
+    j = names.join(observed(df).withColumnRenamed("position", "existing_pos").drop("data_type"),
+                   "column_name", "full_outer")
+    return j.withColumn("status", F.when(F.col("existing_pos").isNull(), "new")
+                        .when(F.col("declared_pos").isNull(), "extra").otherwise("ok"))
 
 
 def discover(df: DataFrame, exclude_prefix: str = "_", exclude: tuple = ("dt",)) -> DataFrame:
-    """Observed business columns of a table (position, name, type)."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)
-            if not f.name.startswith(exclude_prefix) and f.name not in exclude]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    """Observed business columns of a table (position, name, type, filled rows)."""
+    name = F.col("column_name")
+    return observed(df).where(~name.startswith(exclude_prefix) & ~name.isin(list(exclude)))

@@ -137,6 +137,8 @@ FROM {_LINE_FROM}
 #   settlement = goods + delivery_income + subsidy + voucher + commission
 #                + delivery_fee + refund + compensation
 #   receivable = settlement - compensation
+# subsidy and refund also appear split into the columns that the platforms'
+# own bills have (borne by platform or shop, coupons, payment fee).
 # Layered: line facts → components (computed once) → text columns.
 _Z = "CAST(0 AS DECIMAL(18,2))"
 _KL = "(o.o_orderkey + l.l_linenumber)"
@@ -152,6 +154,23 @@ SELECT order_no, platform, shop_id, shop_name, fin_status, order_type, line_no,
   CASE WHEN rfls = 'RF' THEN {_money('comp')} ELSE '' END AS compensation,
   '' AS box_fee,
   '0' AS bag_fee,
+  CASE WHEN kl % 4 = 0 THEN {_money('subs')} ELSE '0.00' END AS plat_goods_subsidy,
+  '0.00' AS plat_delivery_subsidy,
+  '-' AS plat_bag_subsidy,
+  CASE WHEN kl % 4 = 0 THEN '0.00' ELSE {_money('subs')} END AS shop_goods_subsidy,
+  '0.00' AS shop_delivery_subsidy,
+  '0.00' AS shop_bag_subsidy,
+  '0.00' AS coupon_platform,
+  {_money('refd')} AS coupon_shop,
+  CASE WHEN kl % 31 = 0 THEN '-' ELSE '0.00' END AS coupon_user,
+  '0.00' AS delivery_rebate,
+  '' AS donation,
+  {_money('refd')} AS pay_fee,
+  CASE WHEN kl % 4 = 0 THEN '0.00' ELSE {_money('subs')} END AS activity_subsidy,
+  CASE WHEN kl % 4 = 0 THEN {_money('subs')} ELSE '0.00' END AS coupon_subsidy,
+  '0.00' AS fulfil_fee,
+  '0.00' AS rider_tip,
+  '0.00' AS discount_total,
   {_money('goods + dinc + subs')} AS net_sales,
   {_money('comm + dfee + refd')} AS service_fee,
   CASE WHEN okey % 3 = 1 AND kl % 59 = 0 THEN '计费基数'

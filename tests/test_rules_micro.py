@@ -86,3 +86,36 @@ def test_one_day_window_and_sizing():
     assert int(small["spark.sql.files.maxPartitionBytes"]) == mb
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 128 * mb
     assert int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 64 * mb
+
+
+def test_tolerance_holds_for_its_day_only(spark):
+    from ledgerlake.plans import quality as Q
+    mart = spark.createDataFrame([(dt.date(2026, 3, 25), Decimal("100.50")), (dt.date(2026, 3, 26), Decimal("900"))],
+                                 "dt date, revenue decimal(14,2)")
+    checks = [("revenue", 100, 0.01)]
+    row = Q.dq_tolerance_check(mart, "2026-03-25", checks).first()
+    assert (row.actual, row.passed) == (Decimal("100.50"), True)
+    row = Q.dq_tolerance_check(mart, "2026-03-27", checks).first()
+    assert (row.actual, row.passed) == (None, False)
+
+
+def test_waterfall_by_line_kind(spark):
+    from types import SimpleNamespace
+
+    from ledgerlake.plans import quality as Q
+    columns = sorted({c for m in Q.WATERFALL_COLUMNS.values() for c in m})
+    bill = [{c: "0" for c in columns} | {"platform": p, "shop_id": "s", "order_type": t, "receivable": a,
+                                         "settlement": a, "goods": "7"}
+            for p, t, a in (("mt", "外卖订单", "7"), ("mt", "赔付扣款", "-3"), ("mt", "推广账户充值", "-100"),
+                            ("mt", "新类型", "5"), ("el", None, "7"), ("el", "赔偿单", "4"))]
+    v = SimpleNamespace(fin_bill=spark.createDataFrame(bill),
+                        fin_line=spark.createDataFrame([("jd", "s", "新费用", "9")],
+                                                       "platform string, shop_id string, fee_type string, amount string"))
+    got = {r.platform: (r.payable, r.realised, r.unclassified) for r in Q.rule_waterfall(v).collect()}
+    assert got == {"mt": (7, 4, 5), "el": (7, 11, None), "jd": (0, 0, 9)}
+
+
+def test_subsidy_of_unknown_merchant_part_passes(spark):
+    from ledgerlake.functions.cleaning import num_or_null
+    df = spark.createDataFrame([("10", "10", "x")], "s string, j string, m string")
+    assert df.select(R.subsidy_reason(num_or_null("s"), num_or_null("j"), num_or_null("m"))).first()[0] is None
