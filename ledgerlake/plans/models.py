@@ -114,20 +114,26 @@ def int_platform_revenue(mt: DataFrame, el: DataFrame, jd: DataFrame) -> DataFra
 
 def int_item_cost(item_detail: DataFrame, sku_map: DataFrame) -> DataFrame:
     """Goods cost: Σ HQ price × qty × (kingdee_qty / mini_qty, default 1).
-    Unmapped SKUs cost 0; a SKU mapped to several codes fans out."""
-    ratio = F.coalesce((F.col("kingdee_qty") / F.nullif(F.col("mini_qty"), F.lit(0)))
-                       .cast("decimal(18,6)"), F.lit(1).cast("decimal(18,6)"))
-    # price × qty is exact at 4 decimals; × ratio(18,6) stays exact at (37,10)
-    # (a three-way product would be rounded to 6 decimals by Spark).
-    line_cost = ((F.coalesce(F.col("headquarters_price"), F.lit(0).cast(C.NUM))
-                  * C.num_strict("qty")).cast(C.NUM) * ratio)
-    items = item_detail.where(~C.trim_null("status").eqNullSafe(C.CANCELLED))
-    sk = sku_map.select("mini_code", "kingdee_qty", "mini_qty", "headquarters_price")
-    j = items.join(sk, items["sku"] == sk["mini_code"], "left")
-    return (j.groupBy(F.col("dt"),
-                      C.paren_extract("shop_name").alias("store_name"),
-                      C.map_values("channel", CHANNEL_TO_PLATFORM).alias("platform"))
-            .agg(F.sum(line_cost).alias("cost")))
+    Unmapped SKUs cost 0; a SKU mapped to several codes fans out.
+
+    Quantities are summed per SKU before the map is joined, so a hot SKU is
+    one row per day and store; the exact products are summed per mini_qty and
+    divided once.
+    """
+    keys = ["dt", "store_name", "platform"]
+    sold = (item_detail.where(~C.trim_null("status").eqNullSafe(C.CANCELLED))
+            .groupBy("dt", C.paren_extract("shop_name").alias("store_name"),
+                     C.map_values("channel", CHANNEL_TO_PLATFORM).alias("platform"), "sku")
+            .agg(F.sum(C.num_strict("qty")).cast("decimal(17,4)").alias("qty")))
+    convertible = F.col("kingdee_qty").isNotNull() & (F.col("mini_qty") != 0)
+    one = F.lit(1).cast(C.NUM)
+    # (20,8) × (17,4) is exact at (38,12)
+    price = (F.coalesce("headquarters_price", F.lit(0).cast(C.NUM))
+             * F.when(convertible, F.col("kingdee_qty")).otherwise(one)).cast("decimal(20,8)")
+    j = sold.join(sku_map, sold["sku"] == sku_map["mini_code"], "left")
+    per_mini = (j.groupBy(*keys, F.when(convertible, F.col("mini_qty")).otherwise(one).alias("mini_qty"))
+                .agg(F.sum(price * F.col("qty")).alias("num")))
+    return per_mini.groupBy(*keys).agg(F.sum(F.col("num") / F.col("mini_qty")).alias("cost"))
 
 
 def int_thirdparty_shipping(courier: DataFrame) -> DataFrame:

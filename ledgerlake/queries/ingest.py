@@ -118,21 +118,25 @@ def src_spreadsheetml(v):
     root = X.new_root(v.spark)
     path = X.export_spreadsheetml(v, root)
     cells = FL.spreadsheetml_cells(v.spark, f"{path}/*/*.txt")
-    return FL.cells_to_rows(cells, FL.header_names(cells, 0), 1).drop("file", "sheet", "row")
+    return FL.cells_to_rows(cells, FL.header_names(cells, 0, numbered=True), 1).drop("file", "sheet", "row")
+
+
+def _daily(prefix: str, tail: str = ".xlsx"):
+    """Name of a shop's file of one day."""
+    return F.concat(F.lit(prefix), F.col("shop_id"), F.lit("-"), F.col("dt").cast("string"), F.lit(tail))
 
 
 def _promo_sheet(v, **kw):
     p = v.promo_text
     cols = {"day": "日期", "shop_id": "门店ID", "store": "门店名称", "spend": "推广消费（元）",
             "cash_spend": "推广现金消费/元"}
-    return X.sheet_cells(p, F.concat(F.lit("推广-"), F.col("shop_id"), F.lit(".xlsx")), cols,
-                         ["day", "spend", "cash_spend", "store"], **kw)
+    return X.sheet_cells(p, _daily("推广-"), cols, ["day", "spend", "cash_spend", "store"], **kw)
 
 
 @query("src_sheet_single")
 def src_sheet_single(v):
-    """One worksheet per file, header in row 0, all text."""
-    cells = _promo_sheet(v)
+    """Workbooks, one worksheet per file, header in row 0, decoded as all text."""
+    cells = FL.workbook_cells(X.workbooks(_promo_sheet(v)), header_rows=1)
     return FL.cells_to_rows(cells, FL.header_names(cells, 0), 1, drop_blank=False).drop("sheet", "row")
 
 
@@ -141,14 +145,15 @@ def src_sheet_multi(v):
     """Several worksheets per file → several tables; rows above the header
     skipped; a requested sheet that is missing is ignored."""
     detail = X.sheet_cells(v.fin_bill.where(F.col("platform") == "mt"),
-                           F.concat(F.lit("账单-"), F.col("shop_id"), F.lit(".xlsx")),
+                           _daily("账单-"),
                            {"order_no": "订单号", "settlement": "商家应收款", "bill_date": "账单日期"},
                            ["order_no", "line_no", "dt", "settlement"], sheet="订单明细", title_rows=2)
     summary = X.sheet_cells(v.fin_bill.where(F.col("platform") == "mt")
                             .groupBy("shop_id", "dt").agg(F.count(F.lit(1)).alias("n")),
-                            F.concat(F.lit("账单-"), F.col("shop_id"), F.lit(".xlsx")),
+                            _daily("账单-"),
                             {"dt": "日期", "n": "笔数"}, ["dt"], sheet="账单明细")
-    cells = detail.unionByName(summary)
+    cells = FL.workbook_cells(X.workbooks(detail.unionByName(summary)),
+                              ["订单明细", "账单明细", "处罚&赔付"], header_rows=3)
     out = None
     for sheet, header_row in (("订单明细", 2), ("账单明细", 0), ("处罚&赔付", 0)):
         s = cells.where(F.col("sheet") == sheet)
@@ -170,10 +175,11 @@ def src_header_flatten(v):
     cols = {"order_no": "订单号", "goods": "商品金额", "delivery_income": "物流净营业额", "subsidy": None,
             "commission": "实收佣金", "delivery_fee": "履约技术服务费", "settlement": "结算金额"}
     groups = {"order_no": "订单号", "goods": "商家收入", "commission": "商家支出", "settlement": "合计"}
-    cells = X.sheet_cells(b, F.concat(F.lit("销售明细-"), F.col("shop_id"), F.lit(".xlsx")),
+    cells = X.sheet_cells(b, _daily("销售明细-"),
                           {k: (h if h is not None else "") for k, h in cols.items()},
                           ["order_no", "line_no", "dt", "settlement"], group_row=groups)
     cells = cells.where(~((F.col("row") == 1) & (F.col("value") == "")))
+    cells = FL.workbook_cells(X.workbooks(cells))
     h = FL.merged_header_names(cells, 0)
     return FL.cells_to_rows(cells, h, 2).drop("sheet", "row")
 
@@ -192,9 +198,9 @@ def src_align_columns(v):
     layout between named anchors, then stacked."""
     p = v.promo_text
     even = (F.col("shop_id").cast("int") % 2) == 0
-    narrow = X.sheet_cells(p.where(even), F.lit("a.xlsx"),
+    narrow = X.sheet_cells(p.where(even), _daily("a-"),
                            {"day": "日期", "shop_id": "", "store": "门店名称", "spend": ""}, ["day", "store", "spend"])
-    wide = X.sheet_cells(p.where(~even).withColumn("pad", F.lit("x")), F.lit("b.xlsx"),
+    wide = X.sheet_cells(p.where(~even).withColumn("pad", F.lit("x")), _daily("b-"),
                          {"day": "日期", "pad": "", "shop_id": "", "store": "门店名称", "spend": ""},
                          ["day", "store", "spend"])
     frames = {}
@@ -203,7 +209,7 @@ def src_align_columns(v):
             F.trim("value") == "", F.concat(F.lit("col_"), F.col("col").cast("string")))
             .otherwise(F.trim("value")).alias("name"))
         frames[name] = (FL.cells_to_rows(cells, h, 1, drop_blank=False),
-                        [r[0] for r in h.orderBy("col").select("name").collect()])   # header names only
+                        [r[0] for r in h.select("col", "name").distinct().orderBy("col").select("name").collect()])   # header names only
     plans = FL.align_plans({k: cols for k, (_, cols) in frames.items()})
     aligned = [FL.apply_plan(df.select(*cols), plans[k]) for k, (df, cols) in frames.items()]
     return FL.union_by_name(aligned)
@@ -471,10 +477,10 @@ def rule_penalty_offset(v):
     b = v.fin_bill.where(F.col("platform") == "el")
     shifted = (F.col("shop_id").cast("int") % 2) == 1
     cols = {"order_no": "订单号", "refund": "", "compensation": "", "settlement": "结算金额"}
-    normal = X.sheet_cells(b.where(~shifted), F.concat(F.lit("normal-"), F.col("shop_id")), cols,
+    normal = X.sheet_cells(b.where(~shifted), _daily("normal-", ""), cols,
                            ["order_no", "line_no", "dt", "settlement"])
     offset = X.sheet_cells(b.where(shifted).withColumn("pad", F.lit("")),
-                           F.concat(F.lit("offset-"), F.col("shop_id")),
+                           _daily("offset-", ""),
                            {"order_no": "订单号", "pad": "", "refund": "", "compensation": "", "settlement": "结算金额"},
                            ["order_no", "line_no", "dt", "settlement"])
     frames = {}
@@ -500,14 +506,14 @@ reg("src_csv_text", ["order_export"], "SELECT " + ", ".join(
     f"NULLIF({c}, '') AS {_q(h)}" for c, h in X.ORDER_HEADERS.items()) + " FROM order_export")
 
 reg("src_sheet_single", ["promo_text"], """
-SELECT '推广-' || shop_id || '.xlsx' AS file, day AS "日期", shop_id AS "门店ID", store AS "门店名称",
+SELECT '推广-' || shop_id || '-' || CAST(dt AS VARCHAR) || '.xlsx' AS file, day AS "日期", shop_id AS "门店ID", store AS "门店名称",
        spend AS "推广消费_元", cash_spend AS "推广现金消费_元" FROM promo_text""")
 
 reg("src_html_table", ["courier"], "SELECT " + ", ".join(
     f"{c} AS {_q(h)}" for c, h in X.COURIER_HEADERS.items()) + " FROM courier")
 
 reg("src_drop_blank_rows", ["promo_text"], """
-SELECT '推广-' || shop_id || '.xlsx' AS file, day AS "日期", shop_id AS "门店ID", store AS "门店名称",
+SELECT '推广-' || shop_id || '-' || CAST(dt AS VARCHAR) || '.xlsx' AS file, day AS "日期", shop_id AS "门店ID", store AS "门店名称",
        spend AS "推广消费_元", cash_spend AS "推广现金消费_元" FROM promo_text""")
 
 reg("src_union_by_name", ["order_export"], "SELECT " + ", ".join(
@@ -515,7 +521,7 @@ reg("src_union_by_name", ["order_export"], "SELECT " + ", ".join(
      else f"NULLIF({c}, '') AS {_q(h)}") for c, h in X.ORDER_HEADERS.items()) + " FROM order_export")
 
 reg("src_header_flatten", ["fin_bill"], """
-SELECT '销售明细-' || shop_id || '.xlsx' AS file, order_no AS "订单号", goods AS "商家收入_商品金额",
+SELECT '销售明细-' || shop_id || '-' || CAST(dt AS VARCHAR) || '.xlsx' AS file, order_no AS "订单号", goods AS "商家收入_商品金额",
        delivery_income AS "商家收入_物流净营业额", subsidy AS "商家收入_col_3", commission AS "商家支出_实收佣金",
        delivery_fee AS "商家支出_履约技术服务费", settlement AS "合计_结算金额"
 FROM fin_bill WHERE platform = 'el'""")
@@ -576,7 +582,7 @@ _SANITIZED = (["日期", "门店ID", "门店名称", "推广消费_元", "推广
               + [f"{n}_1" for n in ["日期", "门店ID", "门店名称", "推广消费_元", "推广现金消费_元"]])
 reg("src_sanitize_columns", ["promo_text"], f"""
 SELECT f.file, n.col, n.name
-FROM (SELECT DISTINCT '推广-' || shop_id || '.xlsx' AS file FROM promo_text) f
+FROM (SELECT DISTINCT '推广-' || shop_id || '-' || CAST(dt AS VARCHAR) || '.xlsx' AS file FROM promo_text) f
 CROSS JOIN (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(_SANITIZED))}) n(col, name)""")
 
 def _observed(t: str) -> str:

@@ -3,8 +3,9 @@
 Used by the ingestion queries and tests: Spark writes the test-table-derived
 exports (CSV in UTF-8 and GBK, HTML tables, SpreadsheetML workbooks) into a
 fresh folder under the shared checkpoint location, partitioned so that each
-shop's export is one file; the loaders then read them back.  Cell tables
-for spreadsheet layouts are derived directly (``sheet_cells``).
+shop's export is one file; the loaders then read them back.  Spreadsheet
+layouts are derived as cell tables, one file per shop and day
+(``sheet_cells``), and packed into workbooks (``workbooks``).
 """
 
 from __future__ import annotations
@@ -141,3 +142,45 @@ def sheet_cells(df: DataFrame, file_col: Column, columns: dict[str, str], order:
         out = out.unionByName(e)
     return out.select("file", F.lit(sheet).alias("sheet"), F.col("row").cast("int"), F.col("col").cast("int"),
                       "value").where(F.col("value").isNotNull())
+
+
+def _pack(file: str, sheets: dict[str, list[tuple[int, int, str]]]) -> bytes:
+    """A minimal workbook: inline strings, sheets in name order."""
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape, quoteattr
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    names, buf = sorted(sheets), io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets>' + "".join(
+            f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(names, 1)) + "</sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(
+                       f'<Relationship Id="r{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1))
+                   + "</Relationships>")
+        for i, n in enumerate(names, 1):
+            cells = "".join(f'<c r="{chr(65 + c)}{r + 1}" t="inlineStr"><is><t xml:space="preserve">'
+                            f'{escape(x, {chr(9): "&#9;"})}</t></is></c>' for r, c, x in sorted(sheets[n]))
+            z.writestr(f"xl/worksheets/sheet{i}.xml", f'<worksheet xmlns="{main}"><sheetData>{cells}</sheetData></worksheet>')
+    return buf.getvalue()
+
+
+def workbooks(cells: DataFrame) -> DataFrame:
+    """A cell table (26 columns at most) as (path, content): the bytes of one
+    xlsx workbook per file, as the binary file source gives them."""
+    import pandas as pd
+
+    def pack(batches):
+        for b in batches:
+            books = []
+            for file, rows in zip(b["file"], b["cells"]):
+                sheets: dict[str, list] = {}
+                for x in rows:
+                    sheets.setdefault(x["sheet"], []).append((x["row"], x["col"], x["value"]))
+                books.append((file, _pack(file, sheets)))
+            yield pd.DataFrame(books, columns=["path", "content"])
+
+    per_file = cells.groupBy("file").agg(F.collect_list(F.struct("sheet", "row", "col", "value")).alias("cells"))
+    return per_file.mapInPandas(pack, "path string, content binary")

@@ -33,8 +33,10 @@ CELL_SCHEMA = T.StructType([
     T.StructField("row", T.IntegerType()), T.StructField("col", T.IntegerType()),
     T.StructField("value", T.StringType())])
 
-# Encoding fallback chain of the CSV exports.
-ENCODING_CHAIN = ["gbk", "gb18030", "utf-8-sig", "utf-8", "latin1"]
+# What is left of latin-1 text when its GBK pairs, or its GB18030 pairs and
+# quadruples, are taken out has no high byte if the bytes are in that encoding.
+_GBK_CHARS = r"[\x81-\xFE][\x40-\x7E\x80-\xFE]"
+_GB18030_CHARS = r"[\x81-\xFE](?:[\x40-\x7E\x80-\xFE]|[0-9][\x81-\xFE][0-9])"
 
 
 # ---------------------------------------------------------------------------
@@ -71,7 +73,7 @@ def route_files(files: DataFrame, rules: list[tuple[str, str, str]], skip: Itera
 
 def require_files(routed: DataFrame, expected: list[str], on: str = "file_name") -> None:
     """Explicit-list mode: raise when a listed file did not arrive."""
-    present = {r[0] for r in routed.select(on).distinct().collect()}   # file names only
+    present = {r[0] for r in routed.where(F.col(on).isin(expected)).select(on).distinct().collect()}
     missing = [e for e in expected if e not in present]
     if missing:
         raise FileNotFoundError(f"expected files missing: {missing}")
@@ -113,21 +115,36 @@ def enable_charsets(spark: SparkSession) -> None:
 
 
 def detect_encodings(spark: SparkSession, paths, declared: str | None = None) -> DataFrame:
-    """Per file: UTF-8 when the bytes are valid UTF-8, else the declared
-    encoding (default the first of the fallback chain, GBK); plus the
-    decoded header line, so files sharing a layout are read together."""
+    """Per file: UTF-8 (with or without a byte-order mark) when the bytes are
+    valid UTF-8; else the declared encoding, for GBK only if they are valid
+    GBK; else GB18030, which holds all of GBK, if they are valid in it; else
+    ISO-8859-1.  Plus the decoded header line, so files sharing a layout are
+    read together."""
     enable_charsets(spark)
-    fallback = declared or ENCODING_CHAIN[0]
     b = spark.read.format("binaryFile").load(paths)
-    enc = F.when(F.expr("is_valid_utf8(cast(content AS string))"), F.lit("utf-8")).otherwise(F.lit(fallback))
-    first = F.substring_index(F.when(enc == "utf-8", F.col("content").cast("string"))
-                              .otherwise(F.decode("content", fallback)), "\n", 1)
-    return b.select("path", enc.alias("encoding"), F.regexp_replace(first, "\r$", "").alias("header"))
+    latin = F.decode("content", "ISO-8859-1")
+
+    def valid(chars: str) -> Column:
+        return ~F.regexp_replace(latin, chars, "").rlike(r"[\x80-\xFF]")
+
+    named = F.lit(False)
+    if declared:
+        named = valid(_GBK_CHARS) if declared.upper() == "GBK" else F.lit(True)
+    enc = (F.when(F.expr("is_valid_utf8(cast(content AS string))"), F.lit("utf-8"))
+           .when(named, F.lit(declared)).when(valid(_GB18030_CHARS), F.lit("GB18030"))
+           .otherwise(F.lit("ISO-8859-1")))
+    line = F.substring_index(latin, "\n", 1)                       # one byte a character
+    head = F.encode(F.regexp_replace(line, "\r$", ""), "ISO-8859-1")
+    text = F.when(enc == "utf-8", head.cast("string"))
+    for other in dict.fromkeys([declared or "GB18030", "GB18030", "ISO-8859-1"]):
+        text = text.when(enc == other, F.decode(head, other))
+    return b.select("path", enc.alias("encoding"), F.regexp_replace(text, "^\ufeff", "").alias("header"))
 
 
 def read_csv_text(spark: SparkSession, files: list[tuple[str, str, str]]) -> list[DataFrame]:
     """All-text CSV (header row, no type inference) with ``_source_file``:
-    one read per (encoding, header layout) group of files."""
+    one read per (encoding, header layout) group of files.  Quoted fields may
+    hold separators, doubled quotes and line breaks."""
     enable_charsets(spark)
     groups: dict[tuple[str, str], list[str]] = {}
     for path, enc, header in files:
@@ -136,6 +153,7 @@ def read_csv_text(spark: SparkSession, files: list[tuple[str, str, str]]) -> lis
     for (enc, _), paths in sorted(groups.items()):
         df = (spark.read.option("header", True).option("inferSchema", False)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+              .option("quote", '"').option("escape", '"').option("multiLine", True)
               .option("encoding", enc).csv(paths))
         out.append(df.withColumn("_source_file", F.col("_metadata.file_name")))
     return out
@@ -156,9 +174,38 @@ def _col_index(letters: str) -> int:
     return n - 1
 
 
-def decode_xlsx(path: str, data: bytes, sheets: list[str] | None = None) -> list[tuple]:
-    """One workbook → cell tuples (file, sheet, row, col, text).  Shared and
-    inline strings resolved; merged ranges repeat their top-left value."""
+# Fixed values of the format: built-in number formats that show a date or time.
+_DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+
+
+def _date_styles(styles) -> set[int]:
+    """Cell styles (by index) whose number format shows a date or time."""
+    custom = {int(f.get("numFmtId")): f.get("formatCode", "") for f in styles.iter(f"{_NS}numFmt")}
+
+    def dated(number: int) -> bool:
+        code = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]|General', "", custom.get(number, ""), flags=re.I)
+        return number in _DATE_FORMATS if number not in custom else bool(re.search(r"[ymdhs]", code, re.I))
+
+    formats = styles.find(f"{_NS}cellXfs")
+    return {i for i, x in enumerate(formats if formats is not None else ()) if dated(int(x.get("numFmtId", 0)))}
+
+
+def _serial_text(serial: str, epoch_1904: bool) -> str:
+    """An Excel date number as text; one below 1 is a time of day."""
+    from datetime import datetime, timedelta
+    days = float(serial)
+    day0 = datetime(1904, 1, 1) if epoch_1904 else datetime(1899, 12, 30) if days >= 60 else datetime(1899, 12, 31)
+    moment = day0 + timedelta(seconds=round(days * 86400))
+    return str(moment.time() if days < 1 else moment)
+
+
+def decode_xlsx(path: str, data: bytes, sheets: list[str] | None = None, header_rows: int = 2):
+    """One workbook → cell tuples (file, sheet, row, col, text), sheet by sheet.
+
+    Shared and inline strings are resolved and dates given as text.  A merged
+    range repeats its top-left value within the first ``header_rows`` rows
+    only: in data rows the other cells stay empty.
+    """
     import io
     import xml.etree.ElementTree as ET
     import zipfile
@@ -169,62 +216,71 @@ def decode_xlsx(path: str, data: bytes, sheets: list[str] | None = None) -> list
     if "xl/sharedStrings.xml" in names:
         for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_NS}si"):
             shared.append("".join(t.text or "" for t in si.iter(f"{_NS}t")))
+    dates = _date_styles(ET.fromstring(z.read("xl/styles.xml"))) if "xl/styles.xml" in names else set()
     wb = ET.fromstring(z.read("xl/workbook.xml"))
+    epoch_1904 = any(p.get("date1904") in ("1", "true") for p in wb.iter(f"{_NS}workbookPr"))
     rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
     target = {r.get("Id"): r.get("Target") for r in rels}
-    out = []
     for sh in wb.iter(f"{_NS}sheet"):
         name = sh.get("name")
-        if sheets is not None and name not in sheets:
-            continue
         t = target.get(sh.get(f"{_RNS}id"), "")
         member = t.lstrip("/") if t.startswith("/") else f"xl/{t}"
-        if member not in names:
+        if (sheets is not None and name not in sheets) or member not in names:
             continue
-        root = ET.fromstring(z.read(member))
-        cells = {}
-        for c in root.iter(f"{_NS}c"):
-            m = _REF.match(c.get("r", ""))
+        top: dict[tuple[int, int], str] = {}                    # cells of the header rows
+        for _, c in ET.iterparse(z.open(member)):
+            if c.tag == f"{_NS}mergeCell":
+                a, _, b = c.get("ref", "").partition(":")
+                ma, mb = _REF.match(a), _REF.match(b or a)
+                if not (ma and mb):
+                    continue
+                r0, c0 = int(ma.group(2)) - 1, _col_index(ma.group(1))
+                r1, c1 = int(mb.group(2)) - 1, _col_index(mb.group(1))
+                for r in range(r0, min(r1 + 1, header_rows)):
+                    for cc in range(c0, c1 + 1):
+                        if (r, cc) not in top and (r0, c0) in top:
+                            yield path, name, r, cc, top[r0, c0]
+            m = _REF.match(c.get("r", "")) if c.tag == f"{_NS}c" else None
             if not m:
                 continue
-            kind = c.get("t")
+            kind, v = c.get("t"), c.find(f"{_NS}v")
+            text = None if v is None else (v.text or "")
             if kind == "inlineStr":
                 text = "".join(x.text or "" for x in c.iter(f"{_NS}t"))
-            else:
-                v = c.find(f"{_NS}v")
-                text = None if v is None else (v.text or "")
-                if kind == "s" and text is not None:
-                    text = shared[int(text)]
+            elif kind == "s" and text is not None:
+                text = shared[int(text)]
+            elif kind in (None, "n") and text and int(c.get("s", 0)) in dates:
+                text = _serial_text(text, epoch_1904)
+            c.clear()
             if text is not None:
-                cells[(int(m.group(2)) - 1, _col_index(m.group(1)))] = text
-        for mc in root.iter(f"{_NS}mergeCell"):
-            a, _, b = mc.get("ref", "").partition(":")
-            ma, mb = _REF.match(a), _REF.match(b or a)
-            if not (ma and mb):
-                continue
-            r0, c0 = int(ma.group(2)) - 1, _col_index(ma.group(1))
-            r1, c1 = int(mb.group(2)) - 1, _col_index(mb.group(1))
-            top = cells.get((r0, c0))
-            for r in range(r0, r1 + 1):
-                for cc in range(c0, c1 + 1):
-                    if (r, cc) != (r0, c0) and top is not None:
-                        cells.setdefault((r, cc), top)
-        out.extend((path, name, r, cc, v) for (r, cc), v in cells.items())
-    return out
+                row, col = int(m.group(2)) - 1, _col_index(m.group(1))
+                if row < header_rows:
+                    top[row, col] = text
+                yield path, name, row, col, text
+
+
+CELLS_AT_ONCE = 20_000
 
 
-def xlsx_cells(spark: SparkSession, paths: list[str] | str, sheets: list[str] | None = None) -> DataFrame:
-    """Workbooks → cell table; missing sheets are skipped silently."""
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+def workbook_cells(files: DataFrame, sheets: list[str] | None = None, header_rows: int = 2) -> DataFrame:
+    """Workbooks given as (path, content) → cell table, in pieces of bounded
+    size; missing sheets are skipped silently."""
+    from itertools import islice
 
     def decode(batches):
         for b in batches:
-            rows = []
             for p, content in zip(b["path"], b["content"]):
-                rows.extend(decode_xlsx(p, bytes(content), sheets))
-            yield pd.DataFrame(rows, columns=["file", "sheet", "row", "col", "value"])
+                cells = decode_xlsx(p, bytes(content), sheets, header_rows)
+                while rows := list(islice(cells, CELLS_AT_ONCE)):
+                    yield pd.DataFrame(rows, columns=["file", "sheet", "row", "col", "value"])
+
+    return files.select("path", "content").mapInPandas(decode, CELL_SCHEMA)
+
 
-    return files.mapInPandas(decode, CELL_SCHEMA)
+def xlsx_cells(spark: SparkSession, paths: list[str] | str, sheets: list[str] | None = None,
+               header_rows: int = 2) -> DataFrame:
+    """Workbook files → cell table."""
+    return workbook_cells(spark.read.format("binaryFile").load(paths), sheets, header_rows)
 
 
 # ---------------------------------------------------------------------------
@@ -252,14 +308,20 @@ def _unescape(c: Column) -> Column:
 
 def html_cells(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """First ``<table>`` of each file (a web page saved as .xlsx) → cells.
-    Tags inside cells are dropped, entities decoded, text ``nan`` → null."""
+    Tags inside cells are dropped, entities decoded, text ``nan`` → null; a
+    cell that spans columns fills each of them."""
     t = spark.read.text(paths, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("html"))
     table = F.regexp_extract("html", r"(?is)<table[^>]*>(.*?)</table>", 1)
     rows = t.select("file", F.posexplode(F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1))
                     .alias("row", "tr"))
-    cells = rows.select("file", "row", F.posexplode(
-        F.regexp_extract_all("tr", F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1)).alias("col", "raw"))
+    tag = r"(?is)<t[dh]([^>]*)>(.*?)</t[dh]>"
+    found = F.arrays_zip(F.regexp_extract_all("tr", F.lit(tag), 1).alias("tag"),
+                         F.regexp_extract_all("tr", F.lit(tag), 2).alias("raw"))
+    span = lambda c: F.greatest(F.lit(1), F.coalesce(                               # noqa: E731
+        F.regexp_extract(c["tag"], r"(?i)\bcolspan\s*=\s*[\"']?\s*([0-9]+)", 1).try_cast("int"), F.lit(1)))
+    wide = F.flatten(F.transform(found, lambda c: F.array_repeat(c["raw"], span(c))))
+    cells = rows.select("file", "row", F.posexplode(wide).alias("col", "raw"))
     text = F.trim(_unescape(F.regexp_replace("raw", r"(?s)<[^>]+>", "")))
     return cells.select("file", F.lit("html").alias("sheet"), F.col("row").cast("int"),
                         F.col("col").cast("int"), F.when(text == "nan", None).otherwise(text).alias("value"))
@@ -325,13 +387,16 @@ def _all_columns(cells: DataFrame) -> DataFrame:
             .select("file", "sheet", F.explode(F.sequence(F.lit(0), F.col("_m"))).alias("col")))
 
 
-def header_names(cells: DataFrame, header_row: int = 0) -> DataFrame:
-    """(file, sheet, col, name) from one header row, sanitised and de-duplicated."""
-    # every column present anywhere in the sheet; a missing header cell → 'unnamed'
+def header_names(cells: DataFrame, header_row: int = 0, numbered: bool = False) -> DataFrame:
+    """(file, sheet, col, name) from one header row, sanitised and de-duplicated,
+    for every column present anywhere in the sheet.  A missing header cell is
+    'unnamed', or 'col_<i>' if ``numbered`` (as in SpreadsheetML exports)."""
     v = (cells.where(F.col("row") == header_row).groupBy("file", "sheet", "col")
          .agg(F.max("value").alias("v")))
     h = (_all_columns(cells).join(v, ["file", "sheet", "col"], "left")
-         .select("file", "sheet", "col", sanitize_name(F.col("v")).alias("name")))
+         .select("file", "sheet", "col", sanitize_name(
+             F.coalesce(F.nullif("v", F.lit("")), F.concat(F.lit("col_"), F.col("col").cast("string")))
+             if numbered else F.col("v")).alias("name")))
     return dedupe_names(h)
 
 

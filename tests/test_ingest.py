@@ -73,10 +73,56 @@ def test_xlsx_decoder(spark, tmp_path):
     p.write_bytes(_xlsx_bytes())
     cells = FL.xlsx_cells(spark, str(p), sheets=["订单明细", "处罚&赔付"])
     got = sorted((r.sheet, r.row, r.col, r.value) for r in cells.collect())
+    # the merge A3:B3 lies in data rows: one value, not two
     assert got == [("订单明细", 0, 0, "订单号"), ("订单明细", 0, 1, "金额"), ("订单明细", 1, 0, "A-1"),
-                   ("订单明细", 1, 1, "12.5"), ("订单明细", 2, 0, "B-2"), ("订单明细", 2, 1, "B-2")]
+                   ("订单明细", 1, 1, "12.5"), ("订单明细", 2, 0, "B-2")]
     rows = FL.cells_to_rows(cells, FL.header_names(cells, 0), 1)
-    assert sorted((r["订单号"], r["金额"]) for r in rows.collect()) == [("A-1", "12.5"), ("B-2", "B-2")]
+    assert sorted((r["订单号"], r["金额"]) for r in rows.collect()) == [("A-1", "12.5"), ("B-2", None)]
+    # within the header rows it repeats its value
+    wide = sorted((r.row, r.col, r.value) for r in FL.xlsx_cells(spark, str(p), ["订单明细"], header_rows=3).collect())
+    assert (2, 1, "B-2") in wide
+
+
+def test_xlsx_dates_are_text():
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    book = zipfile.ZipFile(io.BytesIO(_xlsx_bytes()))
+    files = {n: book.read(n) for n in book.namelist()}
+    files["xl/styles.xml"] = (f'<styleSheet {ns}><numFmts><numFmt numFmtId="164" formatCode="yyyy&quot;y&quot;m"/>'
+                              '<numFmt numFmtId="165" formatCode="0.0&quot;days&quot;"/></numFmts><cellXfs>'
+                              '<xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/>'
+                              '<xf numFmtId="20"/></cellXfs></styleSheet>')
+    files["xl/worksheets/sheet1.xml"] = (
+        f'<worksheet {ns}><sheetData><row r="1"><c r="A1" s="1"><v>46106</v></c><c r="B1" s="2"><v>46106.5</v></c>'
+        '<c r="C1" s="3"><v>46106</v></c><c r="D1" s="4"><v>0.75</v></c><c r="E1"><v>46106</v></c></row></sheetData></worksheet>')
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        for k, x in files.items():
+            z.writestr(k, x)
+    got = [c[4] for c in FL.decode_xlsx("f", buf.getvalue(), ["订单明细"])]
+    assert got == ["2026-03-25 00:00:00", "2026-03-25 12:00:00", "46106", "18:00:00", "46106"]
+
+
+def test_csv_quotes_line_breaks_and_encodings(spark, tmp_path):
+    text = '单号,备注\n1,"x ""y"" z"\n2,"a,b\nc"\n'
+    (tmp_path / "gbk.csv").write_bytes(text.encode("gbk"))
+    (tmp_path / "gb18030.csv").write_bytes((text + "3,𠮷\n").encode("gb18030"))
+    (tmp_path / "bom.csv").write_bytes(text.encode("utf-8-sig"))
+    (tmp_path / "latin.csv").write_bytes("n,v\n1,\xe9,\n".encode("latin1"))
+    listing = [tuple(r) for r in FL.detect_encodings(spark, str(tmp_path / "*.csv"), "GBK").collect()]
+    assert {p.rsplit("/", 1)[1]: e for p, e, _ in listing} == {
+        "gbk.csv": "GBK", "gb18030.csv": "GB18030", "bom.csv": "utf-8", "latin.csv": "ISO-8859-1"}
+    frames = FL.read_csv_text(spark, [x for x in listing if "latin" not in x[0]])
+    rows = sorted((r["单号"], r["备注"]) for f in frames for r in f.collect())
+    assert rows == [("1", 'x "y" z')] * 3 + [("2", "a,b\nc")] * 3 + [("3", "𠮷")]
+
+
+def test_html_colspan_and_blank_xml_header(spark, tmp_path):
+    p = tmp_path / "page.xlsx"
+    p.write_text('<table><tr><th>a</th><th>b</th><th>c</th></tr><tr><td colspan="2">1</td><td>2</td></tr></table>')
+    assert sorted((r.row, r.col, r.value) for r in FL.html_cells(spark, str(p)).collect())[3:] == [
+        (1, 0, "1"), (1, 1, "1"), (1, 2, "2")]
+    cells = _cells(spark, [(0, 0, "x"), (1, 0, "1"), (1, 1, "2")])
+    assert [r.name for r in FL.header_names(cells, 0, numbered=True).orderBy("col").collect()] == ["x", "col_1"]
 
 
 def test_spreadsheetml_sparse_and_entities(spark, tmp_path):
@@ -124,8 +170,9 @@ def test_upsert_last_wins_and_update(spark):
 
 
 def test_drift_and_conform(spark):
-    rep = {r.column_name: r.status for r in SC.drift_report(spark, ["a", "b"], ["b", "c"]).collect()}
-    assert rep == {"a": "new", "b": "ok", "c": "extra"}
+    seen = spark.createDataFrame([("1", None), ("2", "x")], "b string, c string")
+    rep = {r.column_name: (r.status, r.filled_rows) for r in SC.drift_report(seen, ["a", "b"]).collect()}
+    assert rep == {"a": ("new", None), "b": ("ok", 2), "c": ("extra", 1)}
     df = spark.createDataFrame([("1", "z")], "b string, extra string")
     out = SC.conform(df, SC.text_schema(["a", "b"]))
     assert out.columns == ["a", "b", "dt", "_source_file", "_load_time", "extra"]
