@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..catalog import money_all, query
 from ..functions import cleaning as C
 from ..oracle_sql import ORACLES, clean, gate, reg, tnull
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import export_fixtures as X
 from ..sources import files as FL
 from ..sources import schema as SC
@@ -136,7 +136,7 @@ def _promo_sheet(v, **kw):
 @query("src_sheet_single")
 def src_sheet_single(v):
     """Workbooks, one worksheet per file, header in row 0, decoded as all text."""
-    cells = FL.workbook_cells(X.workbooks(_promo_sheet(v)), header_rows=1)
+    cells = materialize(FL.workbook_cells(X.workbooks(_promo_sheet(v)), header_rows=1))
     return FL.cells_to_rows(cells, FL.header_names(cells, 0), 1, drop_blank=False).drop("sheet", "row")
 
 
@@ -152,8 +152,7 @@ def src_sheet_multi(v):
                             .groupBy("shop_id", "dt").agg(F.count(F.lit(1)).alias("n")),
                             _daily("账单-"),
                             {"dt": "日期", "n": "笔数"}, ["dt"], sheet="账单明细")
-    cells = FL.workbook_cells(X.workbooks(detail.unionByName(summary)),
-                              ["订单明细", "账单明细", "处罚&赔付"], header_rows=3)
+    cells = detail.unionByName(summary)
     out = None
     for sheet, header_row in (("订单明细", 2), ("账单明细", 0), ("处罚&赔付", 0)):
         s = cells.where(F.col("sheet") == sheet)
@@ -179,7 +178,6 @@ def src_header_flatten(v):
                           {k: (h if h is not None else "") for k, h in cols.items()},
                           ["order_no", "line_no", "dt", "settlement"], group_row=groups)
     cells = cells.where(~((F.col("row") == 1) & (F.col("value") == "")))
-    cells = FL.workbook_cells(X.workbooks(cells))
     h = FL.merged_header_names(cells, 0)
     return FL.cells_to_rows(cells, h, 2).drop("sheet", "row")
 
@@ -350,7 +348,6 @@ def sink_temp_result(v):
     """One computed set, materialised once, feeding two results: failures and summary."""
     from ..plans import recon as R
     from ..plans import settlement as S
-    from ..session import materialize
     checked = materialize(R.jd_subsidies(v, S.Window("1900-01-01", "2100-01-01")))
     fails = checked.where(F.col("reason").isNotNull()).select(
         F.lit("fail").alias("part"), F.col("order_no").alias("k"), F.col("settled").cast(M2).alias("amount"))

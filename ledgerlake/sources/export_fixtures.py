@@ -182,5 +182,6 @@ def workbooks(cells: DataFrame) -> DataFrame:
                 books.append((file, _pack(file, sheets)))
             yield pd.DataFrame(books, columns=["path", "content"])
 
-    per_file = cells.groupBy("file").agg(F.collect_list(F.struct("sheet", "row", "col", "value")).alias("cells"))
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))     # a given number isn't coalesced
+    per_file = cells.repartition(parts, "file").groupBy("file").agg(F.collect_list(F.struct("sheet", "row", "col", "value")).alias("cells"))
     return per_file.mapInPandas(pack, "path string, content binary")

@@ -265,14 +265,14 @@ CELLS_AT_ONCE = 20_000
 def workbook_cells(files: DataFrame, sheets: list[str] | None = None, header_rows: int = 2) -> DataFrame:
     """Workbooks given as (path, content) → cell table, in pieces of bounded
     size; missing sheets are skipped silently."""
-    from itertools import islice
+    from itertools import chain, islice
 
     def decode(batches):
         for b in batches:
-            for p, content in zip(b["path"], b["content"]):
-                cells = decode_xlsx(p, bytes(content), sheets, header_rows)
-                while rows := list(islice(cells, CELLS_AT_ONCE)):
-                    yield pd.DataFrame(rows, columns=["file", "sheet", "row", "col", "value"])
+            cells = chain.from_iterable(decode_xlsx(p, bytes(content), sheets, header_rows)
+                                        for p, content in zip(b["path"], b["content"]))
+            while rows := list(islice(cells, CELLS_AT_ONCE)):
+                yield pd.DataFrame(rows, columns=["file", "sheet", "row", "col", "value"])
 
     return files.select("path", "content").mapInPandas(decode, CELL_SCHEMA)
 
