@@ -2,7 +2,9 @@
 
 Text blocks (lines; a long line gives overlapping windows) and license
 templates are sets of words.  A block matches a template if it contains at
-least THRESHOLD of the template's words.  Words are ordered by their number
+least THRESHOLD of the template's words.  So does any run of words, over as
+many lines as it takes, of at most STRETCH times the template's length: a
+notice may be wrapped.  Words are ordered by their number
 of occurrences in the whole corpus, rarest first.  A matching block holds one
 of the template's first words (prefix filter), has enough words (length
 filter), and from the first common place on enough words are left on both
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.textarrays import ALNUM, Words, blocks, word_hash
 
 THRESHOLD = 0.9             # share of a template's words that a block must hold
+STRETCH = 2                 # words of a run over lines, in template lengths
 WINDOW = 256                # words of a window of a long line; the next begins half a window later
 # Phrases and their labels
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -55,6 +58,7 @@ class Templates:
 
     def __init__(self, templates: dict[str, list[str]], count: dict[int, int], threshold: float):
         sets = [(label, {word_hash(w) for w in words_of(t)}) for label, texts in templates.items() for t in texts]
+        self.reach = [STRETCH * len(words_of(t)) for texts in templates.values() for t in texts]
         order = sorted(set().union(*(s for _, s in sets)), key=lambda h: (count.get(h, 0), h))
         self.rank = {h: i for i, h in enumerate(order)}
         self.label = [label for label, _ in sets]
@@ -69,6 +73,9 @@ class Templates:
         self.rank_of = ranks
         self.head_rank = np.zeros(len(order), bool)
         self.head_rank[list(self.heads)] = True
+        self.member = np.zeros((len(sets), len(order) + 1), bool)       # by rank; the last (rank -1) is no word
+        for t, words in enumerate(self.words):
+            self.member[t, words] = True
         self.filter = np.zeros(1 << 16, bool)
         self.filter[self.vocabulary >> np.uint64(48)] = True
 
@@ -103,6 +110,37 @@ class Templates:
         return out
 
 
+    def runs(self, rank: np.ndarray, heads: np.ndarray, begin: int, end: int) -> dict[int, int]:
+        """Templates that a run of words begin..end of one text holds -> the
+        greatest number of common words.  Only the places around a template's
+        first words are read."""
+        out, done = {}, {}
+        for at in (np.flatnonzero(heads[begin:end]) + begin).tolist():
+            for t, _ in self.heads[int(rank[at])]:
+                reach = self.reach[t]
+                a, b = max(begin, at - reach + 1), min(end, at + reach)
+                if b <= done.get(t, 0) or b - a < self.need[t]:
+                    continue
+                places = np.flatnonzero(self.member[t, rank[a:b]])
+                if len(places) < self.need[t] or len(np.unique(rank[a:b][places])) < self.need[t]:
+                    continue
+                done[t] = b
+                held: dict[int, int] = {}
+                ranks, places = rank[a:b][places].tolist(), places.tolist()
+                first = 0
+                for place, word in zip(places, ranks, strict=True):
+                    held[word] = held.get(word, 0) + 1
+                    while place - places[first] >= reach:
+                        left = ranks[first]
+                        held[left] -= 1
+                        if not held[left]:
+                            del held[left]
+                        first += 1
+                    if len(held) >= self.need[t]:
+                        out[t] = max(out.get(t, 0), len(held))
+        return out
+
+
 def _vocabulary_counts(rows: DataFrame, templates: dict[str, list[str]]) -> dict[int, int]:
     """Occurrences in the whole corpus of each word of the templates."""
     plain = Templates(templates, {}, 1.0)
@@ -135,7 +173,7 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", templates: di
     phrases), first_word and last_word (least and greatest start of such a
     place, in words from 0), base_labels, labels (with the templates'; both
     sorted, comma-joined), score (1 with a fixed phrase, else the greatest
-    share of a template's words among matching blocks, else 0).
+    share of a template's words among matching blocks and runs, else 0).
 
     A null or empty text has no words, no labels and score 0; repeated rows
     are scanned each; equal scores need no tie rule; an empty table gives no
@@ -176,6 +214,9 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", templates: di
                         for t, common in model.matches(mine, len(np.unique(h[a:b]))).items():
                             labels[d].add(model.label[t])
                             score[d] = max(score[d], common / len(model.words[t]))
+                    for t, common in model.runs(rank, heads, begin, end).items():
+                        labels[d].add(model.label[t])
+                        score[d] = max(score[d], common / len(model.words[t]))
                 joined = [[",".join(sorted(s)) for s in group] for group in (base_labels, labels)]
                 yield pa.RecordBatch.from_arrays(
                     [block.column("key"), pa.array(words.per_doc, pa.int64()), pa.array([len(b) for b in base], pa.int64()),

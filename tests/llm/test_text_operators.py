@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 
 import public_tokenizers
 import pytest
@@ -108,6 +109,22 @@ def test_license_templates_like_brute_force(spark):
         assert set(filter(None, got[i].labels.split(","))) == want | set(filter(None, got[i].base_labels.split(",")))
 
 
+def test_license_templates_wrapped_over_lines(spark):
+    texts, want = [], []
+    for label, templates in licenses.TEMPLATES.items():
+        for t in templates:
+            for width, lead in ((76, ""), (30, "# "), (20, " * ")):
+                texts.append("Some words before.\n\n" + "\n".join(lead + x for x in textwrap.wrap(t, width)) + "\n\nand words after it")
+                want.append(label)
+            spread = f" {'filler ' * 3 * len(t.split())}\n".join(t.split())
+            texts.append(spread)                            # its words far apart are no notice
+            want.append(None)
+    got = by_id(licenses.scan(docs(spark, texts)))
+    for i, label in enumerate(want):
+        mine = set(filter(None, got[i].labels.split(",")))
+        assert label in mine and got[i].score == 1.0 if label else not mine, texts[i]
+
+
 def test_decontamination_like_full_alignment(spark):
     dice = random.Random(11)
     word = lambda: "".join(dice.choice(["th", "er", "on", "an", "re", "in", "ed", "é"]) for _ in range(dice.randint(1, 4)))
