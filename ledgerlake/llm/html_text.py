@@ -39,6 +39,8 @@ GOOD_NAME = re.compile(r"\b(?:article|post|entry|story|main|content)(?:[-_]?(?:b
 BAD_NAME = re.compile(r"(?<![a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|side-?bar|menu|nav\w*|bread-?crumbs?|cookies?\w*|consent|gdpr|notices?|alerts?|newsletter|"
                       r"subscri\w+|sign-?up|share|sharing|social|related|recommend\w*|comments?\w*|respond|replies|disqus|footer|header|masthead|pop-?up|modal|overlay|"
                       r"login|widgets?|toolbar|pagination|pager|copyright|legal|disclaimer|search\w*|complementary|navigation|contentinfo|form)(?![a-z])", re.I)
+PAGE_WIDE = {"html", "body"}            # their names say nothing of a block
+PARDONED = {"form"}                     # elements that may enclose a whole page, too
 NAMED = 3.0
 BAD_NAMED = -9.0
 BIAS, PER_WORD, WORDS, LINKED, SENTENCE = -1.0, 0.08, 30, -4.0, 0.7
@@ -47,34 +49,48 @@ NEXT_EDGE, TREE_EDGE = 0.5, 1.2
 Block = tuple[str, float, int, int]         # text, score, number of its parent element, depth of that
 
 
-def _weight(tag: str, attributes: str) -> float:
+def _weight(tag: str, attributes: str) -> tuple[float, float]:
+    """An element's score, and what of it an article inside may leave out."""
     score = ELEMENT.get(tag, 0.0)
-    if attributes and ("=" in attributes):
+    pardon = score if tag in PARDONED else 0.0
+    if attributes and "=" in attributes and tag not in PAGE_WIDE:
         for quoted in _NAMES.findall(attributes):
             if BAD_NAME.search(quoted):
+                if tag == "main" or tag == "article" and not any(map(BAD_NAME.fullmatch, quoted.strip("\"'").split())):
+                    continue                                    # 'post has-sidebar': names of the layout
                 score += BAD_NAMED
+                pardon += BAD_NAMED
             elif GOOD_NAME.search(quoted):
                 score += NAMED
-    return score
+    return score, pardon
 
 
 def text_blocks(html: str) -> tuple[list[Block], list[int]]:
-    """The blocks of a page, and the parent of each element by number."""
+    """The blocks of a page, and the parent of each element by number.
+
+    A main element leaves out what names and forms around it cost: they are
+    the layout's ('content-sidebar-wrap').  So does the page's first article
+    if no content came before it, and each later one that stands in the same
+    elements; articles among comments or related links don't.
+    """
     out: list[Block] = []
     parents = [0]
-    stack: list[tuple[str, float, int]] = [("", BIAS, 0)]       # tag, score so far, number
+    stack: list[tuple[str, float, int, tuple[int, ...]]] = [("", BIAS, 0, ())]      # tag, score so far, number, costly elements from there up
+    cost: dict[int, float] = {}                                 # their costs
+    layout: set[int] = set()                                    # those of them that articles leave out
+    content = False                                             # whether a block in a content element was found
     text: list[str] = []
     linked = 0
     opened: Counter[str] = Counter()
 
     def close(keep: int) -> None:
         """Close all but the first elements of the stack."""
-        for tag, _, _ in stack[keep:]:
-            opened[tag] -= 1
+        for entry in stack[keep:]:
+            opened[entry[0]] -= 1
         del stack[keep:]
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, content
         if text:
             joined = "".join(text)
             words = (unescape(joined) if "&" in joined else joined).split()
@@ -84,6 +100,7 @@ def text_blocks(html: str) -> tuple[list[Block], list[int]]:
                 score = stack[-1][1] + PER_WORD * min(len(words), WORDS) + LINKED * min(1.0, linked / len(clean))
                 score += SENTENCE if clean[-1] in ".!?…" else 0.0
                 out.append((clean, score, at[2], len(stack)))
+                content = content or stack[-1][1] > 0
             text.clear()
         linked = 0
 
@@ -130,7 +147,17 @@ def text_blocks(html: str) -> tuple[list[Block], list[int]]:
                 break
         parents.append(stack[-1][2])
         inside = tag == "header" and opened["article"] + opened["main"] > 0    # an article's own head
-        stack.append((tag, stack[-1][1] + (0.0 if inside else _weight(tag, attributes)), len(parents) - 1))
+        weight, costs = (0.0, 0.0) if inside else _weight(tag, attributes)
+        _, score, _, held = stack[-1]
+        if held and (tag == "main" or tag == "article" and not costs):
+            if tag == "main" or not content:
+                layout.update(held)
+            if layout.issuperset(held):
+                score, held = score - sum(cost[i] for i in held), ()
+        number = len(parents) - 1
+        if costs:
+            cost[number], held = costs, (*held, number)
+        stack.append((tag, score + weight, number, held))
         opened[tag] += 1
     flush()
     return out, parents

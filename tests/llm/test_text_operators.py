@@ -171,6 +171,21 @@ def test_html_main_text():
     assert html_text.main_text("<article><p>cut off in a tag</p><p class='x") == "cut off in a tag"
 
 
+@pytest.mark.parametrize("names", ["has-sidebar", "single-post right-sidebar", "post has-sidebar", "client-nojs vector-feature-language-in-header-enabled",
+                                   "skin-vector skin-vector-search-vue mediawiki"])
+def test_html_names_of_the_layout(names):
+    """Names of the page or its wrappers don't drop the page."""
+    story = "A real story, told at length for all readers, with more than a few words in it and an end."
+    inner = f"<p>{story}</p><p>{story}</p>"
+    comments = '<div id="comments"><article class="comment-body"><p>I liked this very much, thank you.</p></article></div>'
+    for page in (f'<html><body class="{names}"><article>{inner}</article>{comments}</body></html>', f'<html class="{names}"><body><div class="content">{inner}</div>{comments}</body></html>',
+                 f'<body><main class="{names}">{inner}{comments}</main></body>', f'<body><article class="{names}">{inner}</article>{comments}</body>',
+                 f'<body><div class="wrap {names}"><article>{inner}</article>{comments}</div></body>', f'<body><form class="{names}"><main>{inner}</main>{comments}</form></body>'):
+        assert html_text.main_text(page) == f"{story} {story}", page
+    two = f'<div class="{names}"><article><p>{story}</p></article><nav><a href="/">Next</a></nav><article><p>{story}</p></article></div><aside><article><p>{story}</p></article></aside>'
+    assert html_text.main_text(two) == f"{story} {story}"
+
+
 def test_min_cut_is_minimal():
     dice = random.Random(2)
     for _ in range(200):
