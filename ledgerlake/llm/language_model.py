@@ -1,16 +1,22 @@
-"""Language-model scoring with a weighted backoff automaton.
-
-Words are counted over all training documents.  Frequent n-grams (a count of
-N / STATES or more, N all training tokens) become states of an automaton: an
-arc from a state reads a word at a discounted probability, and a failure arc
-leads to the state of one word less, weighted so that probabilities sum to 1.
-The root state reads any word at its discounted unigram probability, unknown
-words together at what the discounts leave.  A text is read once from left to
-right; the state carried is the longest kept n-gram that ends at the place.
-
-The automaton's size is bounded by STATES for each order and it goes to every
-task.  The unigram counts are not bounded: words that aren't frequent (N /
-HEAD) are looked up by a shuffle on the word.  Words are told apart by 64-bit
+"""Language-model scoring with weighted backoff.
+
+Words and n-grams are counted over all training documents.  An n-gram of two
+words or more that occurs LEAST times or more is kept: its last word is read
+at a discounted probability.  Any other is read by the n-gram of one word
+less, weighted (if its first words are kept) so that probabilities sum to 1.
+The unigrams are complete, unknown words together have what the discounts
+leave.
+
+An n-gram is the pair of its first and its last words, and its key a hash of
+their keys.  A token's log-probability is a sum over the n-grams that end at
+it or before it: each kept one adds its arc, which is its own log-probability
+less that of the way without it, and to the token after it its weight.  So a
+text is scored by looking up each of its n-grams by itself.
+
+Frequent words (N / HEAD, N all training tokens) and n-grams (N / STATES) go
+to every task, their number is bounded.  All others stay in tables by key
+and are looked up by shuffles, in PIECES parts one after the other, so that
+shuffle files stay small.  Words, n-grams and texts are told apart by 64-bit
 hashes.
 """
 
@@ -18,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerlake.llm.store import land, partitions
-from ledgerlake.llm.textarrays import Words, blocks
+from ledgerlake.llm.textarrays import Words, blocks, mix
 
 ORDER = 3
 STATES = 1 << 17
 HEAD = 1 << 20
+LEAST = 2                   # occurrences of a kept n-gram of two words or more
+PIECES = 3
 DISCOUNT = 0.5              # of the counts of n-grams of two words or more
 FOLDS, HELD_OUT = 7, 2
 FLUSH = 1 << 21             # entries that a task holds before it sends them on
@@ -50,6 +59,34 @@ def tokens(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
+def joined(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Keys of n-grams by the keys of their first and of their last words."""
+    return mix(mix(prefix) * np.uint64(0xD1342543DE82EF95) + suffix)
+
+
+def grams(h: np.ndarray, first: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For 2 to ``order`` words, the n-grams of texts: places of their last
+    tokens, first words' keys, last words' keys, own keys."""
+    since = np.arange(len(h)) - np.repeat(first[:-1], np.diff(first))
+    keys = h
+    for n in range(2, order + 1):
+        at = np.flatnonzero(since >= n - 1)
+        key = np.zeros(len(h), np.uint64)
+        key[at] = joined(keys[at - 1], keys[at])
+        yield at, keys[at - 1], keys[at], key[at]
+        keys = key
+
+
+def text_ids(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A hash of the tokens of each text, in order."""
+    since = np.arange(len(h)) - np.repeat(first[:-1], np.diff(first))
+    return mix(np.add.reduceat(mix(h ^ mix(since + 1)), first[:-1])) if len(h) else np.empty(0, np.uint64)
+
+
+def in_piece(keys: np.ndarray, piece: int, pieces: int) -> np.ndarray:
+    return (keys & np.uint64(0xFFFF)) % np.uint64(pieces) == np.uint64(piece)
+
+
 class Tally:
     """Counts by 64-bit key, merged as they grow."""
 
@@ -88,9 +125,13 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return key[first], np.add.reduceat(count, first) if len(key) else count
 
 
+def spread(keys: np.ndarray) -> np.ndarray:
+    """Other names of keys (bijective), which ascend with the part."""
+    return keys * np.uint64(0x9E3779B97F4A7C15)
+
+
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    spread = keys * np.uint64(0x9E3779B97F4A7C15)
-    return ((spread >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+    return ((spread(keys) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
 
 
 def by_part(keys: np.ndarray, columns: dict[str, np.ndarray], parts: int) -> pa.RecordBatch:
@@ -167,22 +208,19 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Automaton:
-    """States by order: words (level 0), then n-grams whose code is the
-    state of their first words and the number of the last one."""
+class Model:
+    """What every task holds: figures of the corpus, frequent words, and the
+    arcs and weights of frequent n-grams."""
 
     total: int                                  # N
     kinds: int                                  # V
     discount: float                             # of unigram counts
     head: np.ndarray                            # frequent words, with their counts
     head_count: np.ndarray
-    words: np.ndarray                           # those of them that are states
-    word_count: np.ndarray
-    codes: list[np.ndarray] = field(default_factory=list)
-    counts: list[np.ndarray] = field(default_factory=list)
-    log: list[np.ndarray] = field(default_factory=list)         # log10 of an n-gram's arc
-    back: list[np.ndarray] = field(default_factory=list)        # log10 weight of a state's failure arc
-    suffix: list[np.ndarray] = field(default_factory=list)      # where the failure arc of an n-gram leads
+    order: int
+    hot: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    arc: np.ndarray = field(default_factory=lambda: np.empty(0))
+    back: np.ndarray = field(default_factory=lambda: np.empty(0))
 
     def unigram(self, count: np.ndarray) -> np.ndarray:
         """log10 probability of words with these counts (0: unknown)."""
@@ -194,62 +232,93 @@ class Automaton:
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 1) / (self.total + self.kinds + 1))
 
-    def states(self, h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-        """For each order, the state of the n-gram that ends at each token."""
-        out = [find(self.words, h)]
-        begins = np.zeros(len(h) + 1, bool)
-        begins[first] = True
-        for codes in self.codes:
-            out.append(find(codes, self._code(out[-1], out[0], begins)))
-        return out
-
-    def _code(self, state: np.ndarray, word: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """Codes of the n-grams that extend the states before each token."""
-        code = np.full(len(word), np.uint64(2**64 - 1))
-        good = np.flatnonzero((state[:-1] >= 0) & (word[1:] >= 0) & ~begins[1:len(word)])
-        code[good + 1] = state[good].astype(np.uint64) << np.uint64(20) | word[good + 1].astype(np.uint64)
-        return code
-
-    def extend(self, codes: np.ndarray, counts: np.ndarray) -> None:
-        """Add the next order's n-grams: arcs, and the weights of the failure
-        arcs of the states that they leave."""
-        start, word = (codes >> np.uint64(20)).astype(np.int64), (codes & np.uint64((1 << 20) - 1)).astype(np.int64)
-        before = self.word_count if not self.codes else self.counts[-1]
-        chance = (counts - DISCOUNT) / before[start]
-        if self.codes:
-            less = self.suffix[-1][start]                       # the start without its first word
-            shorter = find(self.codes[-1], less.astype(np.uint64) << np.uint64(20) | word.astype(np.uint64))
-            lower = 10 ** self.log[-1][shorter]
-        else:
-            shorter, lower = word, 10 ** self.unigram(self.word_count[word])
-        used, known = np.bincount(start, chance, len(before)), np.bincount(start, lower, len(before))
-        self.back.append(np.log10(np.maximum(1 - used, 1e-12) / np.maximum(1 - known, 1e-12)))
-        self.codes.append(codes)
-        self.counts.append(counts)
-        self.log.append(np.log10(chance))
-        self.suffix.append(shorter)
+    def _add(self, out: np.ndarray, follows: np.ndarray, keys: np.ndarray, at: np.ndarray) -> None:
+        """Add what the n-grams that end at these places give if frequent."""
+        found = find(self.hot, keys)
+        some = found >= 0
+        at, found = at[some], found[some]
+        out[at] += self.arc[found]
+        after = follows[at + 1]
+        out[at[after] + 1] += self.back[found[after]]
 
     def read(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of each token's probability without that of tail words, and
-        the count of each token's word (-1: a tail word)."""
+        """log10 of each token's probability by frequent words and n-grams,
+        and the count of each token's word (-1: a tail word)."""
         at = find(self.head, h)
         count = np.where(at >= 0, self.head_count[at] if len(self.head) else 0, -1)
-        state = self.states(h, first)
         out = np.where(at >= 0, self.unigram(np.maximum(count, 1)), 0.0)
-        follows = np.ones(len(h), bool)
-        follows[first[:-1]] = False
-        for n, log in enumerate(self.log):                      # from short to long
-            previous = np.concatenate([[-1], state[n][:-1]]) if len(h) else state[n]
-            fails = follows & (previous >= 0)                   # the state has a failure arc ..
-            out[fails] += self.back[n][previous[fails]]
-            taken = state[n + 1] >= 0                           # .. unless an arc reads the word
-            out[taken] = log[state[n + 1][taken]]
+        follows = np.ones(len(h) + 1, bool)
+        follows[first] = False
+        if self.order > 1:
+            self._add(out, follows, h, np.arange(len(h)))
+        for places, _, _, keys in grams(h, first, self.order):
+            self._add(out, follows, keys, places)
         return out, count
 
 
-def train(rows: DataFrame, parts: int) -> tuple[Automaton, DataFrame]:
-    """The automaton, and the table of all words' counts by part; ``rows`` has
-    text and held (rows to leave out)."""
+def _kept(learn: DataFrame, n: int, parts: int, piece: int, pieces: int) -> DataFrame:
+    """(key, prefix, suffix, count) of the n-grams that occur LEAST times."""
+    least = LEAST
+
+    def merged(prefix: list[np.ndarray], suffix: list[np.ndarray], count: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        prefix, suffix, count = (np.concatenate(x) for x in (prefix, suffix, count))
+        key = joined(prefix, suffix)
+        by = np.argsort(spread(key))
+        key = key[by]
+        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+        return key[new], prefix[by[new]], suffix[by[new]], np.add.reduceat(count[by], new) if len(key) else count
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+
+        def send() -> pa.RecordBatch:
+            key, prefix, suffix, count = merged(*zip(*held, strict=True))
+            held.clear()
+            return by_part(key, {"prefix": prefix, "suffix": suffix, "count": count.astype(np.uint32)}, parts)
+
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                *_, (_, prefix, suffix, key) = grams(*tokens(Words(block.column("text"))), n)
+                some = in_piece(key, piece, pieces)
+                held.append((prefix[some], suffix[some], np.ones(int(some.sum()), np.int64)))
+                if sum(len(x[0]) for x in held) > FLUSH:
+                    yield send()
+        if held:
+            yield send()
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            for part, *found in zip(batch.column("part").to_pylist(), values(batch, "prefix", np.uint64), values(batch, "suffix", np.uint64), values(batch, "count", np.uint32), strict=True):
+                held.setdefault(part, []).append(found)
+        for part in sorted(held):
+            key, prefix, suffix, count = merged(*zip(*held.pop(part), strict=True))
+            some = count >= least
+            yield pa.RecordBatch.from_arrays([*[pa.array(x[some].view(np.int64)) for x in (key, prefix, suffix)], pa.array(count[some].astype(np.int64))], ["key", "prefix", "suffix", "count"])
+
+    sent = learn.mapInArrow(local, "part int, prefix binary, suffix binary, count binary").repartition(parts, "part")
+    return sent.mapInArrow(whole, "key bigint, prefix bigint, suffix bigint, count bigint")
+
+
+def _arcs(pieces: list[DataFrame], lower: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """(key, count, log, arc) of kept n-grams and (key, count, back) of their
+    first words; ``lower`` has key, count and log of n-grams of one word less."""
+    chance = F.col("count") - DISCOUNT
+    less = lower.select(F.col("key").alias("suffix"), F.col("log").alias("less"))
+    ends = reduce(DataFrame.unionByName, [land(piece.join(less, "suffix").drop("suffix"), f"lm-ends{n}") for piece in pieces])
+    sums = ends.groupBy("prefix").agg(F.sum(chance).alias("used"), F.sum(F.pow(F.lit(10.0), "less")).alias("known"))
+    rest = F.greatest(1 - F.col("used") / F.col("count"), F.lit(1e-12)) / F.greatest(1 - F.col("known"), F.lit(1e-12))
+    backs = land(sums.join(lower.select(F.col("key").alias("prefix"), "count"), "prefix").select(F.col("prefix").alias("key"), "count", F.log10(rest).alias("back")), f"lm-backs{n}")
+    log = F.log10(chance / F.col("before"))
+    starts = backs.select(F.col("key").alias("prefix"), F.col("count").alias("before"), "back")
+    arcs = ends.join(starts, "prefix").select("key", "count", log.alias("log"), (log - F.col("back") - F.col("less")).alias("arc"))
+    return land(arcs if n < ORDER else arcs.drop("log"), f"lm-arcs{n}"), backs
+
+
+def fit(rows: DataFrame, parts: int) -> tuple[Model, DataFrame, DataFrame | None]:
+    """The model, the table of all words' counts by part, and the values of
+    all n-grams by key (arcs and weights, to be added up); ``rows`` has text
+    and held (rows to leave out)."""
 
     def word_keys(block: pa.RecordBatch) -> np.ndarray:
         return tokens(Words(block.column("text")))[0]
@@ -258,29 +327,149 @@ def train(rows: DataFrame, parts: int) -> tuple[Automaton, DataFrame]:
     counted = land(_counted(learn, word_keys, parts), "lm-words")
     sums = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "kinds", "ones", "twos")]).head()
     head, head_count = _collect(counted, max(1, -(-sums.total // HEAD)))
-    states = head_count >= -(-sums.total // STATES)
     discount = sums.ones / (sums.ones + 2 * sums.twos) if sums.ones and sums.twos else 0.5
-    model = Automaton(sums.total, sums.kinds, discount, head, head_count, head[states], head_count[states])
-    least = max(2, -(-sums.total // STATES))
-    for _ in range(1, ORDER):
-        shared = rows.sparkSession.sparkContext.broadcast(model)        # HEAD words, STATES n-grams of each order
+    model = Model(sums.total, sums.kinds, discount, head, head_count, ORDER)
+    unigram = Model(sums.total, sums.kinds, discount, head[:0], head_count[:0], 1).unigram
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, count in zip(values(batch, "key", np.uint64), values(batch, "count", np.int64), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count), pa.array(unigram(count))], ["key", "count", "log"])
+
+    lower = counted.select("key", "count").mapInArrow(words, "key bigint, count bigint, log double")
+    found, hot = [], []
+    for n in range(2, ORDER + 1):
+        lower, backs = _arcs([_kept(learn, n, parts, piece, n - 1) for piece in range(n - 1)], lower, n)
+        for table, column, most in ((backs, "back", HEAD if n == 2 else STATES), (lower, "arc", STATES)):
+            found.append(table.select("key", F.col(column).alias("value")))
+            hot.append((column, table.where(F.col("count") >= -(-sums.total // most)).select("key", column).toArrow()))     # at most ``most`` rows
+    if hot:
+        model.hot = np.unique(np.concatenate([t["key"].to_numpy().view(np.uint64) for _, t in hot]))
+        model.arc, model.back = np.zeros(len(model.hot)), np.zeros(len(model.hot))
+        for column, t in hot:
+            getattr(model, column)[find(model.hot, t["key"].to_numpy().view(np.uint64))] = t[column].to_numpy()
+    return model, counted, reduce(DataFrame.unionByName, found) if found else None
+
+
+def train(rows: DataFrame, parts: int) -> tuple[Model, DataFrame]:
+    """The model, and the table of all words' counts by part."""
+    return fit(rows, parts)[:2]
+
+
+def _looked_up(rows: DataFrame, shared, found: DataFrame, parts: int, piece: int, pieces: int) -> DataFrame:
+    """(text_id, rest): what a piece of the n-grams that aren't in every task
+    adds to the score of each text."""
+    names = ["part", "task", "key", "times", "doc", "value"]
+    schema = "part int, task bigint, key binary, times binary, doc binary, value binary"
+
+    def row_batch(size: int, **columns) -> pa.RecordBatch:
+        types = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+        return pa.RecordBatch.from_arrays([columns[n] if n in columns else pa.nulls(size, t) for n, t in zip(names, types, strict=True)], names)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The n-grams of texts by part, and the texts' ids; texts are named
+        by a task number and a row within it."""
+        model, task, row, ids, held = shared.value, TaskContext.get().partitionId() << 32, 0, [], []
+        hot = np.sort(spread(model.hot))
+
+        def send() -> Iterator[pa.RecordBatch]:
+            yield row_batch(1, part=pa.array([task % parts], pa.int32()), task=pa.array([task]), key=pa.array([np.concatenate(ids).tobytes()], pa.binary()))
+            key, doc = (np.concatenate(x) for x in zip(*held, strict=True))
+            named = spread(key)
+            by = np.argsort(named)
+            key, doc, named = key[by], doc[by].astype(np.uint32), named[by]
+            new = np.flatnonzero(np.concatenate([[True], named[1:] != named[:-1]])) if len(key) else np.empty(0, np.int64)
+            times = np.diff(np.append(new, len(key)))
+            rare = find(hot, named[new]) < 0
+            doc, key, times = doc[np.repeat(rare, times)], key[new][rare], times[rare]
+            ends = np.append(0, np.cumsum(times))
+            which, begin = np.unique(part_of(key, parts), return_index=True)
+            for p, i, j in zip(which.tolist(), begin.tolist(), [*begin[1:].tolist(), len(key)][:len(which)], strict=True):
+                yield row_batch(1, part=pa.array([p], pa.int32()), task=pa.array([task]), key=pa.array([spread(key[i:j]).tobytes()], pa.binary()),
+                                times=pa.array([_planes(times[i:j])], pa.binary()), doc=pa.array([_planes(doc[ends[i]:ends[j]])], pa.binary()))
+
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                h, first = tokens(Words(block.column("text")))
+                n, doc = block.num_rows, np.repeat(np.arange(block.num_rows), np.diff(first)) + row
+                ids.append(text_ids(h, first))
+                for places, keys in ((slice(None), h), *((at, k) for at, _, _, k in grams(h, first, model.order))):
+                    some = in_piece(keys, piece, pieces)
+                    held.append((keys[some], doc[places][some]))
+                row += n
+                if sum(len(x[0]) for x in held) > FLUSH:
+                    yield from send()
+                    task, row, ids, held = task + 1, 0, [], []
+        if ids:
+            yield from send()
+
+    def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column("key").to_numpy().view(np.uint64)
+            some = in_piece(key, piece, pieces)
+            sent = by_part(key[some], {"key": spread(key[some]), "value": batch.column("value").to_numpy()[some]}, parts)
+            yield row_batch(sent.num_rows, **{c: sent.column(c) for c in sent.schema.names})
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sums of each part's values by text, sent back by task."""
+        table: dict[int, list] = {}
+        asked: dict[int, list] = {}
+        for batch in batches:
+            whole = batch.filter(pa.compute.and_(batch.column("times").is_null(), batch.column("value").is_null()))
+            if whole.num_rows:
+                yield whole
+            for part, task, key, times, doc, value in zip(batch.column("part").to_pylist(), batch.column("task").to_pylist(), values(batch, "key", np.uint64), batch.column("times").to_pylist(),
+                                                          batch.column("doc").to_pylist(), values(batch, "value", np.float64), strict=True):
+                if value is not None:
+                    table.setdefault(part, []).append((key, value))
+                elif times is not None:
+                    asked.setdefault(part, []).append((task, key, times, doc))
+        for part in sorted(asked):
+            keys, value = (np.concatenate([e, *x]) for e, x in zip((np.empty(0, np.uint64), np.empty(0)), zip(*table.pop(part), strict=True) if part in table else ((), ()), strict=True))
+            by = np.argsort(keys)
+            keys, value = keys[by], value[by]
+            new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+            keys, value = keys[new], np.add.reduceat(value, new) if len(keys) else value
+            for task, key, times, doc in asked.pop(part):
+                at = find(keys, key)
+                each = np.repeat(np.where(at >= 0, value[at] if len(value) else 0.0, 0.0), _unplanes(times))
+                docs_, inverse = np.unique(_unplanes(doc)[each != 0], return_inverse=True)
+                total = np.bincount(inverse, each[each != 0], len(docs_))
+                if len(docs_):
+                    yield row_batch(1, part=pa.array([part], pa.int32()), task=pa.array([task]), doc=pa.array([_planes(docs_)], pa.binary()), value=pa.array([total.tobytes()], pa.binary()))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: dict[int, np.ndarray] = {}
+        sums: dict[int, list] = {}
+        for batch in batches:
+            for part, task, key, doc, value in zip(batch.column("part").to_pylist(), batch.column("task").to_pylist(), values(batch, "key", np.uint64), batch.column("doc").to_pylist(),
+                                                   values(batch, "value", np.float64), strict=True):
+                if value is None:
+                    ids[task] = key
+                else:
+                    sums.setdefault(task, []).append((part, _unplanes(doc), value))
+        for task, key in ids.items():
+            out = np.zeros(len(key))
+            for _, doc, value in sorted(sums.pop(task, []), key=lambda x: x[0]):
+                out[doc] += value
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(out)], ["text_id", "rest"])
+
+    sent = rows.select("text").mapInArrow(ask, schema).unionByName(found.mapInArrow(stored, schema)).repartition(parts, "part").mapInArrow(look_up, schema)
+    return sent.repartition(parts, "task").mapInArrow(finish, "text_id bigint, rest double").groupBy("text_id").agg(F.max("rest").alias("rest"))     # equal texts have equal sums
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, first byte by first byte: the rest is mostly zeros."""
+    return np.ascontiguousarray(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
 
-        def gram_keys(block: pa.RecordBatch, shared=shared) -> np.ndarray:
-            h, first = tokens(Words(block.column("text")))
-            now, begins = shared.value.states(h, first), np.zeros(len(h) + 1, bool)
-            begins[first] = True
-            code = shared.value._code(now[-1], now[0], begins)
-            if len(now) > 1:                                            # its last words must be a state, too
-                code[now[-1] < 0] = np.uint64(2**64 - 1)
-            return code[code != np.uint64(2**64 - 1)]
 
-        model.extend(*_collect(_counted(learn, gram_keys, parts, least), least))
-    return model, counted
+def _unplanes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
 
 
 def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: key, held_out, n_tokens, n_known,
-    train_tokens, base_score (add-one unigrams), score (the automaton's).
+    train_tokens, base_score (add-one unigrams), score (with all kept n-grams).
 
     Documents whose crc32 of the key's text leaves HELD_OUT modulo FOLDS are
     held out, all others are learnt from.  A null text counts as empty (its
@@ -292,18 +481,19 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     held = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), held.alias("held"))
     parts = partitions(rows)
-    model, counted = train(rows, parts)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model, counted, found = fit(rows, parts)
+    shared = docs.sparkSession.sparkContext.broadcast(model)        # HEAD words, STATES n-grams of each order
+    rest = [land(_looked_up(rows, shared, found, parts, piece, PIECES), "lm-rest") for piece in range(PIECES if found is not None else 0)]
 
-    names = ["part", "task", "key", "held", "row", "tokens", "known", "base", "score", "word", "doc", "times", "count"]
-    schema = f"part int, task bigint, key {kind}, held boolean, row int, tokens bigint, known bigint, base double, score double, word binary, doc binary, times binary, count binary"
-    types = [pa.int32(), pa.int64(), key_type, pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    names = ["part", "task", "key", "held", "text_id", "row", "tokens", "known", "base", "score", "word", "doc", "times", "count"]
+    schema = f"part int, task bigint, key {kind}, held boolean, text_id bigint, row int, tokens bigint, known bigint, base double, score double, word binary, doc binary, times binary, count binary"
+    types = [pa.int32(), pa.int64(), key_type, pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 
     def row_batch(size: int, **columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([columns[n] if n in columns else pa.nulls(size, t) for n, t in zip(names, types, strict=True)], names)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What the automaton gives for each document, and the tail words of
+        """What the model gives for each document, and the tail words of
         documents; both named by a task number and a row within it."""
         model, task, row, tail = shared.value, TaskContext.get().partitionId() << 32, 0, []
 
@@ -325,7 +515,7 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
                 tail.append((word[new], (of[new] + row).astype(np.uint32), np.diff(np.append(new, len(word))).astype(np.uint32)))
                 sums = [np.bincount(doc, w, n) for w in (known, base, log)]
                 yield row_batch(n, part=pa.array(((row + np.arange(n)) % parts).astype(np.int32)), task=pa.array(np.full(n, task)), key=block.column("key"), held=block.column("held"),
-                                row=pa.array(row + np.arange(n), pa.int32()), tokens=pa.array(np.diff(first), pa.int64()), known=pa.array(sums[0].astype(np.int64)), base=pa.array(sums[1]), score=pa.array(sums[2]))
+                                text_id=pa.array(text_ids(h, first).view(np.int64)), row=pa.array(row + np.arange(n), pa.int32()), tokens=pa.array(np.diff(first), pa.int64()), known=pa.array(sums[0].astype(np.int64)), base=pa.array(sums[1]), score=pa.array(sums[2]))
                 row += n
                 if sum(len(t[0]) for t in tail) > FLUSH:
                     yield from send()
@@ -365,7 +555,7 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
             task = batch.column("task").to_numpy()
             whole = batch.column("row").is_valid().to_numpy(zero_copy_only=False)
             for t in np.unique(task[whole]).tolist():
-                held_rows.setdefault(t, []).append(batch.select(["key", "held", "row", "tokens", "known", "base", "score"]).filter(pa.array(whole & (task == t))))
+                held_rows.setdefault(t, []).append(batch.select(["key", "held", "text_id", "row", "tokens", "known", "base", "score"]).filter(pa.array(whole & (task == t))))
             some = batch.filter(pa.array(~whole))
             for t, part, doc, times, count in zip(some.column("task").to_pylist(), some.column("part").to_pylist(), values(some, "doc", np.uint32), values(some, "times", np.uint32), values(some, "count", np.uint64), strict=True):
                 more.setdefault(t, []).append((part, doc, times, count))
@@ -379,10 +569,14 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
                     s += np.bincount(doc, times * w, len(s))
             yield pa.RecordBatch.from_arrays(
                 [rows_["key"].combine_chunks(), rows_["held"].combine_chunks(), rows_["tokens"].combine_chunks(), pa.array(rows_["known"].to_numpy() + sums[0][at].astype(np.int64)),
-                 pa.array(np.full(len(at), model.total, np.int64)), pa.array(rows_["base"].to_numpy() + sums[1][at]), pa.array(rows_["score"].to_numpy() + sums[2][at])],
-                [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                 pa.array(np.full(len(at), model.total, np.int64)), pa.array(rows_["base"].to_numpy() + sums[1][at]), pa.array(rows_["score"].to_numpy() + sums[2][at]), rows_["text_id"].combine_chunks()],
+                ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "text_id"])
 
     done = rows.mapInArrow(read, schema)
     stored = counted.select("part", *[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("word", "count") else F.col({"word": "key"}.get(f.name, f.name)).alias(f.name) for f in done.schema[1:]])
     answered = done.unionByName(stored).repartition(parts, "part").mapInArrow(look_up, schema)
-    return answered.repartition(parts, "task").mapInArrow(finish, f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    out = answered.repartition(parts, "task").mapInArrow(finish, f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, text_id bigint")
+    if rest:
+        sums = reduce(DataFrame.unionByName, rest).groupBy("text_id").agg(F.sum("rest").alias("rest"))
+        out = out.join(sums, "text_id", "left").withColumn("score", F.col("score") + F.coalesce("rest", F.lit(0.0)))
+    return out.select(F.col("key").alias(key), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -140,6 +140,40 @@ def test_language_model_unseen_tail_words(spark, monkeypatch):
     assert language_model.score(rows.limit(0)).count() == 0
 
 
+def plain_scores(texts, held):
+    """Backoff scores by dictionaries: all n-grams of two occurrences."""
+    tokens = [[*ASCII.findall(lower(t)), None] for t in texts]
+    count = [Counter(tuple(ws[i:i + n]) for ws, h in zip(tokens, held, strict=True) if not h for i in range(len(ws) - n + 1)) for n in (1, 2, 3)]
+    total, ones, twos = sum(count[0].values()), sum(c == 1 for c in count[0].values()), sum(c == 2 for c in count[0].values())
+    discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+    kept = [count[0], *({g: c for g, c in grams.items() if c >= 2} for grams in count[1:])]
+    more = [{}, {}]
+    for n in (1, 2):
+        for g in kept[n]:
+            more[n - 1].setdefault(g[:-1], []).append(g)
+
+    def chance(g):
+        if len(g) == 1:
+            return (count[0][g] - discount) / total if g in count[0] else discount * len(count[0]) / total
+        if g in kept[len(g) - 1]:
+            return (kept[len(g) - 1][g] - 0.5) / count[len(g) - 2][g[:-1]]
+        rest = more[len(g) - 2].get(g[:-1], [])
+        return chance(g[1:]) * (1 - sum(map(chance, rest))) / (1 - sum(chance(x[1:]) for x in rest))
+
+    return [sum(math.log10(chance(tuple(ws[max(0, i - 2):i + 1]))) for i in range(len(ws))) for ws in tokens]
+
+
+@pytest.mark.parametrize("states", [1 << 17, 64, 4])
+def test_language_model_keeps_all_repeated_ngrams(spark, monkeypatch, states):
+    """Whatever share of the n-grams goes to every task, all count."""
+    monkeypatch.setattr(language_model, "STATES", states)
+    monkeypatch.setattr(language_model, "HEAD", min(language_model.HEAD, 4 * states))
+    texts = corpus()
+    held = [zlib.crc32(str(i + 10).encode()) % 7 == 2 for i in range(len(texts))]
+    got = {r.doc_id: r.score for r in language_model.score(docs(spark, texts)).collect()}
+    assert [got[i + 10] for i in range(len(texts))] == pytest.approx(plain_scores(texts, held))
+
+
 def test_nearest(spark):
     dice = np.random.default_rng(6)
     table = [(i, (v / np.linalg.norm(v)).astype(np.float32).tolist(), 1.0, 2) for i, v in enumerate(dice.standard_normal((600, 16)))]
