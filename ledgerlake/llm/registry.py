@@ -9,15 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import byte_bpe, decontaminate, html_text, jaccard, language_model, licenses, nearest, quality, secrets_scan, sharding
+from ledgerlake.llm import byte_bpe, collocations, decontaminate, html_text, jaccard, language_model, licenses, mixing, nearest, quality, secrets_scan, sharding, vector_codes
+from ledgerlake.llm.oracles import ORACLES
 from ledgerlake.llm.store import ship
 
+__all__ = ["ORACLES", "PATTERN", "QUERIES", "TOKENIZER", "table"]
+
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}        # none of these operators can be written in SQL
 
 
 def query(fn: Query) -> Query:
@@ -96,3 +98,21 @@ def op9_secrets(spark, sf_dir):
 def op10_decontaminate(spark, sf_dir):
     """Benchmark items that documents hold, with their places."""
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_vector_codes(spark, sf_dir):
+    """Code of every embedding, its error and the codebooks' digest."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    """The first 2000 phrases of every language."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_mixing(spark, sf_dir):
+    """Words that the mix takes of every document."""
+    return mixing.shares(table(spark, sf_dir, "documents"))
