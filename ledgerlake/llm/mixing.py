@@ -112,7 +112,7 @@ def slots(sources: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS
             .withColumn("end_at", permute(F.col("n") - 1, F.col("n"), F.col("rank"), inverse=True))       # place of the block that isn't full
             .withColumn("count", F.ceil((F.col("take") + F.col("lack") * (MOST + 1)) / block)))
     shards = F.greatest(F.lit(1), F.ceil(F.lit((base.agg(F.sum("take")).head()[0] or 0) / block / shard_slots))).cast("long")
-    chunks = base.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("count") / CHUNK)))).repartition("rank", "chunk")
+    chunks = base.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("count") / CHUNK)))).repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rank", "chunk")
     first = F.col("chunk") * CHUNK
     made = chunks.withColumn("slot", F.explode(F.sequence(first, first + (CHUNK - 1)))).where(F.col("slot") < F.col("count"))
     place, turn = F.pmod(F.col("slot"), F.col("n")), F.floor(F.col("slot") / F.col("n"))
@@ -163,7 +163,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     See ``shares`` for nulls, empty tables, repeats and other columns.
     """
     placed, sources = _prepared(docs, key, text, source, True, **parameters)
-    both = _pieces(placed, block, True).join(slots(sources, block), ["rank", "block"]).where(F.col("low") < F.col("words"))
+    both = _pieces(placed, block, True).join(land(slots(sources, block), "mix-slots"), ["rank", "block"]).where(F.col("low") < F.col("words"))
     left = F.least(F.col("high"), F.col("words")) - F.col("low")
     return both.select("shard", "rank", "slot", F.col("low").alias("at"), F.col("id").alias(key), "first_word",
                        F.array_join(F.slice(F.split("piece", " "), F.lit(1), left.cast("int")), " ").alias("text"))
@@ -182,7 +182,7 @@ def shares(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     """
     placed, sources = _prepared(docs, key, text, source, False, **parameters)
     placed = land(placed, "mix-placed")
-    parts = _pieces(placed, block, False).join(slots(sources, block).select("rank", "block", "words"), ["rank", "block"], "left")
+    parts = _pieces(placed, block, False).join(land(slots(sources, block), "mix-slots").select("rank", "block", "words"), ["rank", "block"], "left")
     got = F.greatest(F.least(F.col("high"), F.coalesce("words", F.lit(0))) - F.col("low"), F.lit(0))
     of_row = parts.groupBy("rank", "start", "id", "size", "source_size", "target").agg(F.sum(got).cast("long").alias("taken"))
     none = placed.where(F.col("size") == 0).withColumn("taken", F.lit(0).cast("long"))
