@@ -18,6 +18,7 @@ from ..sources import export_fixtures as X
 from ..sources import files as FL
 from ..sources import schema as SC
 from ..sources import sinks as SK
+from ..sources import split_files as SF
 
 M2 = "DECIMAL(18,2)"
 ROUTING_RULES = [
@@ -30,10 +31,11 @@ ROUTING_RULES = [
 SKIP = ["*/_SUCCESS", "*.crc"]
 
 
-def _rel(root):
-    """Export-relative directory of a file (part-file names are random)."""
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + root.split("/")[-1] + "/", "")
-    return F.regexp_replace(rel, r"/[^/]+$", "")
+def _rel(root, path="path"):
+    """Export-relative directory of a file (part-file names are random), down
+    to its shop."""
+    rel = F.regexp_replace(F.col(path), r"^.*?" + root.split("/")[-1] + "/", "")
+    return F.regexp_replace(rel, r"(/part=[0-9]+)?/[^/]+$", "")
 
 
 def _export_all(v):
@@ -71,36 +73,38 @@ def src_filename_tag(v):
                     FL.filename_tag(F.col("path"), r"platform=(zz)/", "default").alias("_account_type"))
 
 
-def _csv_frames(v):
+def _csv_rows(v, **kw):
     root = X.new_root(v.spark)
-    X.export_csv(v, root)
-    listing = FL.detect_encodings(v.spark, f"{root}/csv/*/*/*.csv", declared="GBK").collect()  # per file
-    return root, FL.read_csv_text(v.spark, [tuple(r) for r in listing])
+    X.export_csv(v, root, **kw)
+    return root, SF.read_csv(v.spark, f"{root}/csv/*/*/*.csv", declared="GBK")
 
 
 @query("src_csv_text")
 def src_csv_text(v):
     """CSV exports read as all-text with a per-file encoding (UTF-8 or GBK)."""
-    _, frames = _csv_frames(v)
-    return FL.union_by_name(frames).drop("_source_file")
+    _, rows = _csv_rows(v)
+    return rows.drop("_source_file", "_path")
 
 
 @query("src_union_by_name")
 def src_union_by_name(v):
-    """Files of one table stacked with an outer union of their columns."""
-    _, frames = _csv_frames(v)
-    frames = [f.drop("_source_file") for f in frames]
-    # platform files carry different column sets: drop a column from half of them
-    frames = [f.drop("金额/展示") if i % 2 else f for i, f in enumerate(frames)]
-    return FL.union_by_name(frames)
+    """Files of one table stacked with an outer union of their columns: two
+    platforms' files lack one."""
+    _, rows = _csv_rows(v, narrow=("el", "jd"))
+    return rows.drop("_source_file", "_path")
 
 
 @query("src_stamp_meta")
 def src_stamp_meta(v):
-    """Loaded rows stamped with partition day, source file and load time."""
-    _, frames = _csv_frames(v)
-    u = FL.union_by_name(frames)
-    return FL.stamp(u, "2026-03-25", {"_store_type": "直营"}, source_col="_source_file").drop("_load_time")
+    """Loaded rows stamped with partition day, source file and load time; the
+    file is shown by its folder (Spark names the files), the load time by
+    whether it lies in the last hour."""
+    root, rows = _csv_rows(v)
+    out = FL.stamp(rows, "2026-03-25", {"_store_type": "直营"}, source_col="_source_file")
+    recent = F.col("_load_time").between(F.current_timestamp() - F.expr("INTERVAL 1 HOUR"), F.current_timestamp())
+    named = F.col("_path").endswith(F.concat(F.lit("/"), F.col("_source_file")))
+    return (out.withColumn("_folder", _rel(root, "_path")).withColumn("_loaded_now", recent).withColumn("_named", named)
+            .drop("_path", "_source_file", "_load_time"))
 
 
 @query("src_html_table")
@@ -108,7 +112,7 @@ def src_html_table(v):
     """Courier HTML pages (first table) → rows; text 'nan' → null."""
     root = X.new_root(v.spark)
     path = X.export_html(v, root)
-    cells = FL.html_cells(v.spark, f"{path}/*/*.txt")
+    cells = SF.html_cells(v.spark, f"{path}/*/*/*.txt")
     return FL.cells_to_rows(cells, FL.header_names(cells, 0), 1, drop_blank=False).drop("file", "sheet", "row")
 
 
@@ -117,7 +121,7 @@ def src_spreadsheetml(v):
     """SpreadsheetML bill workbooks → rows (sparse indexes filled, entities cleaned)."""
     root = X.new_root(v.spark)
     path = X.export_spreadsheetml(v, root)
-    cells = FL.spreadsheetml_cells(v.spark, f"{path}/*/*.txt")
+    cells = SF.spreadsheetml_cells(v.spark, f"{path}/*/*/*.txt")
     return FL.cells_to_rows(cells, FL.header_names(cells, 0, numbered=True), 1).drop("file", "sheet", "row")
 
 
@@ -140,21 +144,25 @@ def src_sheet_single(v):
     return FL.cells_to_rows(cells, FL.header_names(cells, 0), 1, drop_blank=False).drop("sheet", "row")
 
 
+def _book(prefix: str):
+    """Name of one of a shop's workbooks: the first has no number."""
+    number = F.when(F.col("part") > 0, F.concat(F.lit("-"), F.col("part").cast("string"))).otherwise(F.lit(""))
+    return F.concat(F.lit(prefix), F.col("shop_id"), number, F.lit(".xlsx"))
+
+
 @query("src_sheet_multi")
 def src_sheet_multi(v):
-    """Several worksheets per file → several tables; rows above the header
-    skipped; a requested sheet that is missing is ignored."""
-    detail = X.sheet_cells(v.fin_bill.where(F.col("platform") == "mt"),
-                           F.concat(F.lit("账单-"), F.col("shop_id"), F.lit(".xlsx")),
-                           {"order_no": "订单号", "settlement": "商家应收款", "bill_date": "账单日期"},
+    """Workbooks with several worksheets → several tables; rows above the
+    header skipped; a requested sheet that is missing is ignored."""
+    lines = X.in_parts(v.fin_bill.where(F.col("platform") == "mt"), ["shop_id"], ["order_no", "line_no"])
+    detail = X.sheet_cells(lines, _book("账单-"), {"order_no": "订单号", "settlement": "商家应收款", "bill_date": "账单日期"},
                            ["order_no", "line_no", "dt", "settlement"], sheet="订单明细", title_rows=2)
-    summary = X.sheet_cells(v.fin_bill.where(F.col("platform") == "mt")
-                            .groupBy("shop_id", "dt").agg(F.count(F.lit(1)).alias("n")),
-                            F.concat(F.lit("账单-"), F.col("shop_id"), F.lit(".xlsx")),
-                            {"dt": "日期", "n": "笔数"}, ["dt"], sheet="账单明细")
-    cells = detail.unionByName(summary)
+    days = lines.groupBy("shop_id", "dt").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit(0))
+    summary = X.sheet_cells(days, _book("账单-"), {"dt": "日期", "n": "笔数"}, ["dt"], sheet="账单明细")
+    wanted = (("订单明细", 2), ("账单明细", 0), ("处罚&赔付", 0))
+    cells = materialize(FL.workbook_cells(X.workbooks(detail.unionByName(summary)), [s for s, _ in wanted], header_rows=0))
     out = None
-    for sheet, header_row in (("订单明细", 2), ("账单明细", 0), ("处罚&赔付", 0)):
+    for sheet, header_row in wanted:
         s = cells.where(F.col("sheet") == sheet)
         h = FL.header_names(s, header_row)
         if h.limit(1).count() == 0:      # missing sheet: nothing emitted
@@ -169,17 +177,18 @@ def src_sheet_multi(v):
 
 @query("src_header_flatten")
 def src_header_flatten(v):
-    """Two-row merged header flattened to ``group_sub`` names."""
-    b = v.fin_bill.where(F.col("platform") == "el")
+    """Workbooks whose two header rows hold merged cells, flattened to
+    ``group_sub`` names."""
+    b = X.in_parts(v.fin_bill.where(F.col("platform") == "el"), ["shop_id"], ["order_no", "line_no"])
     cols = {"order_no": "订单号", "goods": "商品金额", "delivery_income": "物流净营业额", "subsidy": None,
             "commission": "实收佣金", "delivery_fee": "履约技术服务费", "settlement": "结算金额"}
     groups = {"order_no": "订单号", "goods": "商家收入", "commission": "商家支出", "settlement": "合计"}
-    cells = X.sheet_cells(b, F.concat(F.lit("销售明细-"), F.col("shop_id"), F.lit(".xlsx")),
-                          {k: (h if h is not None else "") for k, h in cols.items()},
+    cells = X.sheet_cells(b, _book("销售明细-"), {k: (h if h is not None else "") for k, h in cols.items()},
                           ["order_no", "line_no", "dt", "settlement"], group_row=groups)
     cells = cells.where(~((F.col("row") == 1) & (F.col("value") == "")))
-    h = FL.merged_header_names(cells, 0)
-    return FL.cells_to_rows(cells, h, 2).drop("sheet", "row")
+    books = X.workbooks(cells, {"Sheet1": ["A1:A2", "B1:D1", "E1:F1"]})
+    cells = materialize(FL.workbook_cells(books, header_rows=2))
+    return FL.cells_to_rows(cells, FL.merged_header_names(cells, 0), 2).drop("sheet", "row")
 
 
 @query("src_sanitize_columns")
@@ -502,6 +511,10 @@ def _q(name: str) -> str:
 reg("src_csv_text", ["order_export"], "SELECT " + ", ".join(
     f"NULLIF({c}, '') AS {_q(h)}" for c, h in X.ORDER_HEADERS.items()) + " FROM order_export")
 
+reg("src_stamp_meta", ["order_export"], "SELECT " + ", ".join(f"NULLIF({c}, '') AS {_q(h)}" for c, h in X.ORDER_HEADERS.items())
+    + """, DATE '2026-03-25' AS dt, '直营' AS _store_type, TRUE AS _loaded_now, TRUE AS _named,
+  'csv/platform=' || platform || '/shop_id=' || shop_id AS _folder FROM order_export""")
+
 reg("src_sheet_single", ["promo_text"], """
 SELECT '推广-' || shop_id || '-' || CAST(dt AS VARCHAR) || '.xlsx' AS file, day AS "日期", shop_id AS "门店ID", store AS "门店名称",
        spend AS "推广消费_元", cash_spend AS "推广现金消费_元" FROM promo_text""")

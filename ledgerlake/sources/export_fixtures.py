@@ -2,10 +2,10 @@
 
 Used by the ingestion queries and tests: Spark writes the test-table-derived
 exports (CSV in UTF-8 and GBK, HTML tables, SpreadsheetML workbooks) into a
-fresh folder under the shared checkpoint location, partitioned so that each
-shop's export is one file; the loaders then read them back.  Spreadsheet
-layouts are derived as cell tables, one file per shop and day
-(``sheet_cells``), and packed into workbooks (``workbooks``).
+fresh folder under the shared checkpoint location, a shop's export as files
+of a bounded number of rows; the loaders then read them back.  Spreadsheet
+layouts are derived as cell tables (``sheet_cells``) and packed into workbooks
+(``workbooks``).
 """
 
 from __future__ import annotations
@@ -31,14 +31,33 @@ def new_root(spark) -> str:
     return scratch_path(spark, f"exports/{uuid.uuid4().hex}")
 
 
-def export_csv(v, root: str) -> str:
-    """Order export as CSV, one file per platform × shop; MT files in GBK."""
+ROWS_PER_FILE = 100_000
+
+
+def in_parts(df: DataFrame, keys: list[str], spread: list[str], rows: int = ROWS_PER_FILE) -> DataFrame:
+    """``df`` with ``part``: the file of its shop that a row goes to.  A shop
+    has as many files as it has ``rows`` rows, the rows dealt by hash, so that
+    no file, task or window group grows with a large shop."""
+    count = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.ceil(F.col("_n") / rows)
+    return df.join(count, keys).withColumn("part", F.pmod(F.xxhash64(*spread), parts)).drop("_n")
+
+
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def export_csv(v, root: str, narrow: tuple[str, ...] = ()) -> str:
+    """Order export as CSV, a folder per platform and shop; MT files in GBK.
+    The platforms in ``narrow`` lack the display column."""
     from .files import enable_charsets
     enable_charsets(v.spark)
-    o = v.order_export.select("platform", "shop_id", *[F.col(c).alias(h) for c, h in ORDER_HEADERS.items()])
+    o = in_parts(v.order_export, ["platform", "shop_id"], ["order_no", "order_seq"])
     base = f"{root}/csv"
     for plats, enc in ((["mt"], "GBK"), (["el", "jd"], "UTF-8")):
-        (o.where(F.col("platform").isin(*plats)).repartition("platform", "shop_id")
+        left_out = "金额/展示" if set(plats) <= set(narrow) else None
+        rows = o.where(F.col("platform").isin(*plats)).repartition(_tasks(o), "platform", "shop_id", "part")
+        (rows.select("platform", "shop_id", *[F.col(c).alias(h) for c, h in ORDER_HEADERS.items() if h != left_out])
          .write.mode("append").option("header", True).option("encoding", enc)
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
          .partitionBy("platform", "shop_id").csv(base))
@@ -51,40 +70,37 @@ def _xml_text(c: Column) -> Column:
     return c
 
 
-def _write_documents(body: DataFrame, key: str, path: str, head: Column, tail: Column) -> None:
-    """Body lines (key, seq, line) → one text file per key: the header is
-    prepended to the first line and the footer appended to the last, so a
-    file is one hash partition of one dataset, lines in seq order."""
-    w = Window.partitionBy(key)
-    first = F.col("seq") == F.min("seq").over(w)
-    last = F.col("seq") == F.max("seq").over(w)
-    line = F.concat(F.when(first, F.concat(head, F.lit("\n"))).otherwise(F.lit("")), F.col("line"),
-                    F.when(last, F.concat(F.lit("\n"), tail)).otherwise(F.lit("")))
-    out = body.select(key, "seq", line.alias("line"))
-    (out.repartition(key).sortWithinPartitions(key, "seq")
-     .select(key, "line").write.mode("overwrite").partitionBy(key).text(path))
+def _write_documents(rows: DataFrame, order: list[str], line: Column, path: str, head: Column, tail: Column) -> None:
+    """Rows with ``key`` and ``part`` → one text file for each of both, a line
+    a row by ``order``: the header is put before the first line and the footer
+    after the last."""
+    w = Window.partitionBy("key", "part")
+    seq = F.row_number().over(w.orderBy(*order))
+    body = rows.select("key", "part", seq.alias("seq"), F.count(F.lit(1)).over(w).alias("n"), line.alias("line"))
+    text = F.concat(F.when(F.col("seq") == 1, F.concat(head, F.lit("\n"))).otherwise(F.lit("")), F.col("line"),
+                    F.when(F.col("seq") == F.col("n"), F.concat(F.lit("\n"), tail)).otherwise(F.lit("")))
+    (body.select("key", "part", "seq", text.alias("line")).repartition(_tasks(rows), "key", "part").sortWithinPartitions("key", "part", "seq")
+     .select("key", "part", "line").write.mode("overwrite").partitionBy("key", "part").text(path))
 
 
 def export_html(v, root: str) -> str:
-    """Courier deliveries as HTML pages (a table per store), saved per store."""
-    c = v.courier.withColumn("key", F.regexp_replace(F.col("store"), r"[^A-Za-z0-9_]", "_"))
+    """Courier deliveries as HTML pages with a table each, a folder per store."""
+    c = in_parts(v.courier.withColumn("key", F.regexp_replace(F.col("store"), r"[^A-Za-z0-9_]", "_")), ["key"], ["order_no", "fee"])
     cells = [F.concat(F.lit("<td>"), F.coalesce(_xml_text(F.col(k)), F.lit("nan")), F.lit("</td>"))
              for k in COURIER_HEADERS]
-    w = Window.partitionBy("key").orderBy("order_no", "fee", "dist_km", "placed_on", "status")
-    body = c.select("key", F.row_number().over(w).alias("seq"),
-                    F.concat(F.lit("<tr>"), *cells, F.lit("</tr>")).alias("line"))
+    line = F.concat(F.lit("<tr>"), *cells, F.lit("</tr>"))
     head = F.lit("<html><body><table border=\"1\"><tr>"
                  + "".join(f"<th>{h}</th>" for h in COURIER_HEADERS.values()) + "</tr>")
     path = f"{root}/html"
-    _write_documents(body, "key", path, head, F.lit("</table></body></html>"))
+    _write_documents(c, ["order_no", "fee", "dist_km", "placed_on", "status"], line, path, head, F.lit("</table></body></html>"))
     return path
 
 
 def export_spreadsheetml(v, root: str) -> str:
-    """EL bill lines as SpreadsheetML workbooks (one per shop); empty cells are
+    """EL bill lines as SpreadsheetML workbooks, a folder per shop; empty cells are
     omitted and the next cell carries ``ss:Index``; one unknown entity is
     planted per file."""
-    b = v.fin_bill.where(F.col("platform") == "el").withColumn("key", F.col("shop_id"))
+    b = in_parts(v.fin_bill.where(F.col("platform") == "el").withColumn("key", F.col("shop_id")), ["key"], ["order_no", "line_no"])
     cols = list(BILL_HEADERS)
     parts = []
     for i, c in enumerate(cols):
@@ -93,16 +109,14 @@ def export_spreadsheetml(v, root: str) -> str:
         open_tag = F.when(prev_blank, F.lit(f'<Cell ss:Index="{i + 1}">')).otherwise(F.lit("<Cell>"))
         parts.append(F.when(F.coalesce(val, F.lit("")) == "", F.lit("")).otherwise(
             F.concat(open_tag, F.lit('<Data ss:Type="String">'), _xml_text(val), F.lit("</Data></Cell>"))))
-    w = Window.partitionBy("key").orderBy("order_no", "line_no", "dt", "settlement", "receivable")
-    body = b.select("key", F.row_number().over(w).alias("seq"),
-                    F.concat(F.lit("<Row>"), *parts, F.lit("</Row>")).alias("line"))
+    line = F.concat(F.lit("<Row>"), *parts, F.lit("</Row>"))
     header_row = "<Row>" + "".join(f'<Cell><Data ss:Type="String">{h}</Data></Cell>'
                                    for h in BILL_HEADERS.values()) + "</Row>"
     head = F.lit('<?xml version="1.0"?><Workbook xmlns="urn:schemas-microsoft-com:office:spreadsheet" '
                  'xmlns:ss="urn:schemas-microsoft-com:office:spreadsheet"><Worksheet ss:Name="明细&nbsp;">'
                  '<Table>' + header_row)
     path = f"{root}/xml"
-    _write_documents(body, "key", path, head, F.lit("</Table></Worksheet></Workbook>"))
+    _write_documents(b, ["order_no", "line_no", "dt", "settlement", "receivable"], line, path, head, F.lit("</Table></Worksheet></Workbook>"))
     return path
 
 
@@ -144,10 +158,19 @@ def sheet_cells(df: DataFrame, file_col: Column, columns: dict[str, str], order:
                       "value").where(F.col("value").isNotNull())
 
 
-def _pack(file: str, sheets: dict[str, list[tuple[int, int, str]]]) -> bytes:
+def _letters(col: int) -> str:
+    """Column letters of a 0-based column."""
+    out = ""
+    while col >= 0:
+        out, col = chr(65 + col % 26) + out, col // 26 - 1
+    return out
+
+
+def _pack(file: str, sheets: dict[str, list[tuple[int, int, str]]], merges: dict[str, list[str]]) -> bytes:
     """A minimal workbook: inline strings, sheets in name order."""
     import io
     import zipfile
+    from itertools import groupby
     from xml.sax.saxutils import escape, quoteattr
 
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -161,27 +184,30 @@ def _pack(file: str, sheets: dict[str, list[tuple[int, int, str]]]) -> bytes:
                        f'<Relationship Id="r{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1))
                    + "</Relationships>")
         for i, n in enumerate(names, 1):
-            cells = "".join(f'<c r="{chr(65 + c)}{r + 1}" t="inlineStr"><is><t xml:space="preserve">'
-                            f'{escape(x, {chr(9): "&#9;"})}</t></is></c>' for r, c, x in sorted(sheets[n]))
-            z.writestr(f"xl/worksheets/sheet{i}.xml", f'<worksheet xmlns="{main}"><sheetData>{cells}</sheetData></worksheet>')
+            with z.open(f"xl/worksheets/sheet{i}.xml", "w") as out:
+                out.write(f'<worksheet xmlns="{main}"><sheetData>'.encode())
+                for r, cells in groupby(sorted(sheets[n]), lambda x: x[0]):
+                    out.write((f'<row r="{r + 1}">' + "".join(
+                        f'<c r="{_letters(c)}{r + 1}" t="inlineStr"><is><t xml:space="preserve">{escape(x, {chr(9): "&#9;"})}</t></is></c>'
+                        for _, c, x in cells) + "</row>").encode())
+                merged = "".join(f'<mergeCell ref="{ref}"/>' for ref in merges.get(n, ()))
+                out.write(("</sheetData>" + (f"<mergeCells>{merged}</mergeCells>" if merged else "") + "</worksheet>").encode())
     return buf.getvalue()
 
 
-def workbooks(cells: DataFrame) -> DataFrame:
-    """A cell table (26 columns at most) as (path, content): the bytes of one
-    xlsx workbook per file, as the binary file source gives them."""
+def workbooks(cells: DataFrame, merges: dict[str, list[str]] | None = None) -> DataFrame:
+    """A cell table as (path, content): the bytes of one xlsx workbook per
+    file, as the binary file source gives them.  ``merges``: merged ranges of
+    each sheet."""
     import pandas as pd
 
     def pack(batches):
         for b in batches:
-            books = []
             for file, rows in zip(b["file"], b["cells"]):
                 sheets: dict[str, list] = {}
                 for x in rows:
                     sheets.setdefault(x["sheet"], []).append((x["row"], x["col"], x["value"]))
-                books.append((file, _pack(file, sheets)))
-            yield pd.DataFrame(books, columns=["path", "content"])
+                yield pd.DataFrame([(file, _pack(file, sheets, merges or {}))], columns=["path", "content"])
 
-    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))     # a given number isn't coalesced
-    per_file = cells.repartition(parts, "file").groupBy("file").agg(F.collect_list(F.struct("sheet", "row", "col", "value")).alias("cells"))
+    per_file = cells.repartition(_tasks(cells), "file").groupBy("file").agg(F.collect_list(F.struct("sheet", "row", "col", "value")).alias("cells"))
     return per_file.mapInPandas(pack, "path string, content binary")

@@ -6,12 +6,10 @@ format (CSV, xlsx, HTML table, SpreadsheetML) shares the same header logic:
 
 * files are listed with the ``binaryFile`` source (content not read unless
   a decoder needs it) and routed by ordered glob rules, first match wins;
-* CSV goes through Spark's CSV reader, one read per (detected encoding,
-  header layout) group of files;
+* CSV, HTML tables and SpreadsheetML are read in byte ranges by
+  ``split_files``;
 * xlsx is unzipped per file inside ``mapInPandas`` (stdlib ``zipfile`` +
   ``ElementTree``) and emitted as cells — one task per file, no driver hop;
-* HTML tables and SpreadsheetML are parsed JVM-side (regex extraction,
-  ``from_xml``) into cells;
 * header rows become column names with Column expressions (sanitise,
   de-duplicate, merged two-row headers) and the data rows are pivoted on
   the (small, known) list of names.
@@ -114,51 +112,6 @@ def enable_charsets(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
 
 
-def detect_encodings(spark: SparkSession, paths, declared: str | None = None) -> DataFrame:
-    """Per file: UTF-8 (with or without a byte-order mark) when the bytes are
-    valid UTF-8; else the declared encoding, for GBK only if they are valid
-    GBK; else GB18030, which holds all of GBK, if they are valid in it; else
-    ISO-8859-1.  Plus the decoded header line, so files sharing a layout are
-    read together."""
-    enable_charsets(spark)
-    b = spark.read.format("binaryFile").load(paths)
-    latin = F.decode("content", "ISO-8859-1")
-
-    def valid(chars: str) -> Column:
-        return ~F.regexp_replace(latin, chars, "").rlike(r"[\x80-\xFF]")
-
-    named = F.lit(False)
-    if declared:
-        named = valid(_GBK_CHARS) if declared.upper() == "GBK" else F.lit(True)
-    enc = (F.when(F.expr("is_valid_utf8(cast(content AS string))"), F.lit("utf-8"))
-           .when(named, F.lit(declared)).when(valid(_GB18030_CHARS), F.lit("GB18030"))
-           .otherwise(F.lit("ISO-8859-1")))
-    line = F.substring_index(latin, "\n", 1)                       # one byte a character
-    head = F.encode(F.regexp_replace(line, "\r$", ""), "ISO-8859-1")
-    text = F.when(enc == "utf-8", head.cast("string"))
-    for other in dict.fromkeys([declared or "GB18030", "GB18030", "ISO-8859-1"]):
-        text = text.when(enc == other, F.decode(head, other))
-    return b.select("path", enc.alias("encoding"), F.regexp_replace(text, "^\ufeff", "").alias("header"))
-
-
-def read_csv_text(spark: SparkSession, files: list[tuple[str, str, str]]) -> list[DataFrame]:
-    """All-text CSV (header row, no type inference) with ``_source_file``:
-    one read per (encoding, header layout) group of files.  Quoted fields may
-    hold separators, doubled quotes and line breaks."""
-    enable_charsets(spark)
-    groups: dict[tuple[str, str], list[str]] = {}
-    for path, enc, header in files:
-        groups.setdefault((enc, header), []).append(path)
-    out = []
-    for (enc, _), paths in sorted(groups.items()):
-        df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-              .option("quote", '"').option("escape", '"').option("multiLine", True)
-              .option("encoding", enc).csv(paths))
-        out.append(df.withColumn("_source_file", F.col("_metadata.file_name")))
-    return out
-
-
 # ---------------------------------------------------------------------------
 # xlsx → cells (per-file decoder inside mapInPandas)
 # ---------------------------------------------------------------------------
@@ -199,6 +152,24 @@ def _serial_text(serial: str, epoch_1904: bool) -> str:
     return str(moment.time() if days < 1 else moment)
 
 
+def _closing(stream, *tags: str):
+    """The elements of these names as they end.  What has been read goes at
+    once, rows and their parents included."""
+    import xml.etree.ElementTree as ET
+    above: list = []
+    for event, e in ET.iterparse(stream, ("start", "end")):
+        if event == "start":
+            above.append(e)
+            continue
+        above.pop()
+        if e.tag in tags:
+            yield e
+        if not any(x.tag in tags for x in above):       # a part of a wanted one stays until that ends
+            e.clear()
+            if above:
+                above[-1].remove(e)
+
+
 def decode_xlsx(path: str, data: bytes, sheets: list[str] | None = None, header_rows: int = 2):
     """One workbook → cell tuples (file, sheet, row, col, text), sheet by sheet.
 
@@ -214,7 +185,7 @@ def decode_xlsx(path: str, data: bytes, sheets: list[str] | None = None, header_
     names = set(z.namelist())
     shared: list[str] = []
     if "xl/sharedStrings.xml" in names:
-        for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_NS}si"):
+        for si in _closing(z.open("xl/sharedStrings.xml"), f"{_NS}si"):
             shared.append("".join(t.text or "" for t in si.iter(f"{_NS}t")))
     dates = _date_styles(ET.fromstring(z.read("xl/styles.xml"))) if "xl/styles.xml" in names else set()
     wb = ET.fromstring(z.read("xl/workbook.xml"))
@@ -228,7 +199,7 @@ def decode_xlsx(path: str, data: bytes, sheets: list[str] | None = None, header_
         if (sheets is not None and name not in sheets) or member not in names:
             continue
         top: dict[tuple[int, int], str] = {}                    # cells of the header rows
-        for _, c in ET.iterparse(z.open(member)):
+        for c in _closing(z.open(member), f"{_NS}c", f"{_NS}mergeCell"):
             if c.tag == f"{_NS}mergeCell":
                 a, _, b = c.get("ref", "").partition(":")
                 ma, mb = _REF.match(a), _REF.match(b or a)
@@ -251,7 +222,6 @@ def decode_xlsx(path: str, data: bytes, sheets: list[str] | None = None, header_
                 text = shared[int(text)]
             elif kind in (None, "n") and text and int(c.get("s", 0)) in dates:
                 text = _serial_text(text, epoch_1904)
-            c.clear()
             if text is not None:
                 row, col = int(m.group(2)) - 1, _col_index(m.group(1))
                 if row < header_rows:
@@ -284,7 +254,7 @@ def xlsx_cells(spark: SparkSession, paths: list[str] | str, sheets: list[str] |
 
 
 # ---------------------------------------------------------------------------
-# HTML table / SpreadsheetML → cells (JVM-side)
+# entities
 # ---------------------------------------------------------------------------
 def _code_point(hex_digits: Column) -> Column:
     """One Unicode character from its code point in hex (UTF-32 big-endian)."""
@@ -306,56 +276,6 @@ def _unescape(c: Column) -> Column:
     return c
 
 
-def html_cells(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """First ``<table>`` of each file (a web page saved as .xlsx) → cells.
-    Tags inside cells are dropped, entities decoded, text ``nan`` → null; a
-    cell that spans columns fills each of them."""
-    t = spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value").alias("html"))
-    table = F.regexp_extract("html", r"(?is)<table[^>]*>(.*?)</table>", 1)
-    rows = t.select("file", F.posexplode(F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1))
-                    .alias("row", "tr"))
-    tag = r"(?is)<t[dh]([^>]*)>(.*?)</t[dh]>"
-    found = F.arrays_zip(F.regexp_extract_all("tr", F.lit(tag), 1).alias("tag"),
-                         F.regexp_extract_all("tr", F.lit(tag), 2).alias("raw"))
-    span = lambda c: F.greatest(F.lit(1), F.coalesce(                               # noqa: E731
-        F.regexp_extract(c["tag"], r"(?i)\bcolspan\s*=\s*[\"']?\s*([0-9]+)", 1).try_cast("int"), F.lit(1)))
-    wide = F.flatten(F.transform(found, lambda c: F.array_repeat(c["raw"], span(c))))
-    cells = rows.select("file", "row", F.posexplode(wide).alias("col", "raw"))
-    text = F.trim(_unescape(F.regexp_replace("raw", r"(?s)<[^>]+>", "")))
-    return cells.select("file", F.lit("html").alias("sheet"), F.col("row").cast("int"),
-                        F.col("col").cast("int"), F.when(text == "nan", None).otherwise(text).alias("value"))
-
-
-_XML_ROW_SCHEMA = "Cell ARRAY<STRUCT<_Index: INT, Data: STRING>>"
-_KNOWN_ENTITIES = r"&(?!(amp|lt|gt|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);)[A-Za-z0-9#]+;"
-
-
-def spreadsheetml_cells(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """SpreadsheetML (XML workbook), first worksheet → cells.  Unknown
-    entities are removed before parsing; sparse ``ss:Index`` positions fill
-    the gaps; ragged rows simply have fewer cells."""
-    t = spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value").alias("xml"))
-    t = t.withColumn("xml", F.regexp_replace("xml", _KNOWN_ENTITIES, ""))
-    sheet = F.regexp_extract("xml", r"(?is)<(?:ss:)?Worksheet[^>]*>(.*?)</(?:ss:)?Worksheet>", 1)
-    rows = t.select("file", F.posexplode(
-        F.regexp_extract_all(sheet, F.lit(r"(?is)(<(?:ss:)?Row[\s>].*?</(?:ss:)?Row>)"), 1)).alias("row", "xml"))
-    # namespace prefixes are dropped so the row parses with a plain schema
-    plain = F.regexp_replace(F.regexp_replace("xml", r"(</?)ss:", "$1"), r"\sss:", " ")
-    parsed = rows.select("file", "row", F.from_xml(plain, _XML_ROW_SCHEMA,
-                                                   {"rowTag": "Row", "attributePrefix": "_",
-                                                    "ignoreSurroundingSpaces": "false"}).alias("r"))
-    cells = parsed.select("file", "row", F.posexplode(F.col("r.Cell")).alias("pos", "c"))
-    # running position: an explicit 1-based index resets it, otherwise +1
-    w = Window.partitionBy("file", "row").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    anchor = F.last(F.when(F.col("c._Index").isNotNull(), F.struct("pos", F.col("c._Index").alias("ix"))),
-                    ignorenulls=True).over(w)
-    col = F.when(anchor.isNull(), F.col("pos")).otherwise(anchor["ix"] - 1 + (F.col("pos") - anchor["pos"]))
-    return cells.select("file", F.lit("xml").alias("sheet"), F.col("row").cast("int"), col.cast("int").alias("col"),
-                        F.col("c.Data").alias("value"))
-
-
 # ---------------------------------------------------------------------------
 # header rules on the cell table
 # ---------------------------------------------------------------------------

@@ -6,6 +6,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from ledgerlake.sources import files as FL
+from ledgerlake.sources import split_files as SF
 from ledgerlake.sources import schema as SC
 from ledgerlake.sources import sinks as SK
 
@@ -108,18 +109,19 @@ def test_csv_quotes_line_breaks_and_encodings(spark, tmp_path):
     (tmp_path / "gb18030.csv").write_bytes((text + "3,𠮷\n").encode("gb18030"))
     (tmp_path / "bom.csv").write_bytes(text.encode("utf-8-sig"))
     (tmp_path / "latin.csv").write_bytes("n,v\n1,\xe9,\n".encode("latin1"))
-    listing = [tuple(r) for r in FL.detect_encodings(spark, str(tmp_path / "*.csv"), "GBK").collect()]
-    assert {p.rsplit("/", 1)[1]: e for p, e, _ in listing} == {
+    files = SF.csv_files(SF.csv_records(spark, str(tmp_path / "*.csv")), "GBK").collect()
+    assert {r.file.rsplit("/", 1)[1]: r.encoding for r in files} == {
         "gbk.csv": "GBK", "gb18030.csv": "GB18030", "bom.csv": "utf-8", "latin.csv": "ISO-8859-1"}
-    frames = FL.read_csv_text(spark, [x for x in listing if "latin" not in x[0]])
-    rows = sorted((r["单号"], r["备注"]) for f in frames for r in f.collect())
-    assert rows == [("1", 'x "y" z')] * 3 + [("2", "a,b\nc")] * 3 + [("3", "𠮷")]
+    rows = [r for r in SF.read_csv(spark, str(tmp_path / "*.csv"), "GBK").collect()]
+    assert sorted((r["单号"], r["备注"]) for r in rows if r._source_file != "latin.csv") == [
+        ("1", 'x "y" z')] * 3 + [("2", "a,b\nc")] * 3 + [("3", "𠮷")]
+    assert [(r["n"], r["v"], r["单号"]) for r in rows if r._source_file == "latin.csv"] == [("1", "é", None)]
 
 
 def test_html_colspan_and_blank_xml_header(spark, tmp_path):
     p = tmp_path / "page.xlsx"
     p.write_text('<table><tr><th>a</th><th>b</th><th>c</th></tr><tr><td colspan="2">1</td><td>2</td></tr></table>')
-    assert sorted((r.row, r.col, r.value) for r in FL.html_cells(spark, str(p)).collect())[3:] == [
+    assert sorted((r.row, r.col, r.value) for r in SF.html_cells(spark, str(p)).collect())[3:] == [
         (1, 0, "1"), (1, 1, "1"), (1, 2, "2")]
     cells = _cells(spark, [(0, 0, "x"), (1, 0, "1"), (1, 1, "2")])
     assert [r.name for r in FL.header_names(cells, 0, numbered=True).orderBy("col").collect()] == ["x", "col_1"]
@@ -133,7 +135,7 @@ def test_spreadsheetml_sparse_and_entities(spark, tmp_path):
                  '<Cell><Data>c</Data></Cell></Row>'
                  '<Row><Cell><Data>x&amp;y</Data></Cell><Cell ss:Index="3"><Data>z</Data></Cell></Row>'
                  '</Table></Worksheet></Workbook>', encoding="utf-8")
-    cells = FL.spreadsheetml_cells(spark, str(p))
+    cells = SF.spreadsheetml_cells(spark, str(p))
     got = sorted((r.row, r.col, r.value) for r in cells.collect())
     assert got == [(0, 0, "a"), (0, 1, "b"), (0, 2, "c"), (1, 0, "x&y"), (1, 2, "z")]
 
@@ -144,7 +146,7 @@ def test_html_table(spark, tmp_path):
                  "<tr><td><b>2</b></td><td>3&amp;4</td></tr><tr><td>&#20013;&#x6587;</td><td>&amp;#65;</td></tr>"
                  "</table><table><tr><td>no</td></tr></table></html>",
                  encoding="utf-8")
-    cells = FL.html_cells(spark, str(p))
+    cells = SF.html_cells(spark, str(p))
     rows = FL.cells_to_rows(cells, FL.header_names(cells, 0), 1, drop_blank=False)
     assert sorted((r["订单"], r["金额"]) for r in rows.collect()) == [("1", None), ("2", "3&4"), ("中文", "&#65;")]
 
