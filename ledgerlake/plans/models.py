@@ -73,6 +73,10 @@ def stg_long_fees(fin_line: DataFrame, order_export: DataFrame, platform: str =
 
 
 _KEYS = ["dt", "platform", "store_name"]
+# The mart's columns.
+MART_COLUMNS = ["dt", "platform", "store_name", "province", "city", "has_store_ref", "revenue", "platform_fee", "platform_shipping",
+                "maiyatian_shipping", "shipping", "avg_shipping", "promotion_cost", "order_count", "cost", "rent_labor",
+                "rent_labor_allocated", "gross_profit", "net_profit", "store_type"]
 
 
 def _platform_agg(df: DataFrame, revenue, fee, shipping) -> DataFrame:
@@ -166,53 +170,33 @@ def ads_daily_report(platform_revenue: DataFrame, item_cost: DataFrame,
     platform with the most orders (ties: platform name ascending, binary).
     Shipping and promotion are display columns, not deducted.
     """
-    p = platform_revenue.alias("p")
-    ic = item_cost.alias("ic")
-    ma = thirdparty_shipping.alias("ma")
-    pr = promotion.alias("pr")
-    sr = store_ref.select("store_short_name", "province", "city", "daily_rent_labor").alias("sr")
-    j = (p.join(ic, (F.col("p.dt") == F.col("ic.dt")) & (F.col("p.store_name") == F.col("ic.store_name"))
-                & (F.col("p.platform") == F.col("ic.platform")), "left")
-          .join(ma, (F.col("p.dt") == F.col("ma.dt")) & (F.col("p.store_name") == F.col("ma.store_name")),
-                "left")
-          .join(pr, (F.col("p.dt") == F.col("pr.dt")) & (F.col("p.store_name") == F.col("pr.store_name"))
-                & (F.col("p.platform") == F.col("pr.platform")), "left")
-          .join(sr, F.col("p.store_name") == F.col("sr.store_short_name"), "left"))
-    z = F.lit(0)
-    rev = F.coalesce(F.col("p.revenue"), z)
-    fee = F.coalesce(F.col("p.platform_fee"), z)
-    ship = F.coalesce(F.col("p.shipping"), z)
-    myt = F.coalesce(F.col("ma.maiyatian_shipping"), z)
-    cost = F.coalesce(F.col("ic.cost"), z)
-    m14 = "decimal(14,2)"
-    base = j.select(
-        F.col("p.dt").alias("dt"), F.col("p.platform").alias("platform"),
-        F.col("p.store_name").alias("store_name"),
-        F.col("sr.province").alias("province"), F.col("sr.city").alias("city"),
-        F.col("sr.store_short_name").isNotNull().alias("has_store_ref"),
-        F.when(F.col("sr.daily_rent_labor").isNotNull(), F.lit(C.DIRECT_STORE)).alias("store_type"),
-        rev.cast(m14).alias("revenue"), fee.cast(m14).alias("platform_fee"),
-        ship.cast(m14).alias("platform_shipping"), myt.cast(m14).alias("maiyatian_shipping"),
-        (ship + myt).cast(m14).alias("shipping"),
-        F.when(F.col("p.order_count") > 0, F.round((ship + myt) / F.col("p.order_count"), 2))
-         .otherwise(z).cast("decimal(10,2)").alias("avg_shipping"),
-        F.coalesce(F.col("pr.promotion_cost"), z).cast(m14).alias("promotion_cost"),
-        F.coalesce(F.col("p.order_count"), z).cast("bigint").alias("order_count"),
-        cost.cast(m14).alias("cost"),
-        F.coalesce(F.col("sr.daily_rent_labor"), z).cast(m14).alias("rent_labor"),
-        (rev - cost - fee).cast(m14).alias("gross_profit"))
-    # Rent charged once per store-day: computed once (the reference evaluates
-    # the same window twice).  Partitions are one store-day: ≤ 3 rows.
-    w = Window.partitionBy("dt", "store_name").orderBy(F.desc("order_count"), F.asc("platform"))
-    alloc = F.when(F.row_number().over(w) == 1, F.col("rent_labor")).otherwise(z).cast(m14)
-    out = base.withColumn("rent_labor_allocated", alloc)
-    return out.select(
-        "dt", "platform", "store_name", "province", "city", "has_store_ref",
-        "revenue", "platform_fee", "platform_shipping", "maiyatian_shipping", "shipping",
-        "avg_shipping", "promotion_cost", "order_count", "cost", "rent_labor",
-        "rent_labor_allocated", "gross_profit",
-        (F.col("gross_profit") - F.col("rent_labor_allocated")).cast(m14).alias("net_profit"),
-        "store_type")
+    grain, store_day = ["dt", "platform", "store_name"], ["dt", "store_name"]
+    # the three tables of this grain as one, a column per measure: one shuffle
+    measures = (platform_revenue.withColumn("sold", F.lit(True))
+                .unionByName(item_cost.select(*grain, "cost").na.drop(subset=grain), allowMissingColumns=True)
+                .unionByName(promotion.select(*grain, "promotion_cost").na.drop(subset=grain), allowMissingColumns=True))
+    amounts = ["revenue", "platform_fee", "shipping", "cost", "promotion_cost"]
+    summed = (measures.groupBy(*grain).agg(F.max("sold").alias("sold"), F.sum("order_count").alias("order_count"),
+                                           *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in amounts]).where("sold"))
+    stores = store_ref.select(F.col("store_short_name").alias("store_name"), "province", "city",
+                              F.col("daily_rent_labor").alias("rent"), F.lit(True).alias("known"))
+    day = (summed.join(thirdparty_shipping.select(*store_day, F.col("maiyatian_shipping").alias("courier")), store_day, "left")
+           .join(stores, "store_name", "left"))
+    # a store's rent of a day is charged to the platform that comes first
+    payer = F.min(F.struct((-F.col("order_count")).alias("n"), "platform")).over(Window.partitionBy(*store_day))
+    whole = {"rent": F.coalesce("rent", F.lit(0)), "courier": F.coalesce("courier", F.lit(0)),
+             "store_type": F.when(F.col("rent").isNotNull(), F.lit(C.DIRECT_STORE)), "pays": payer["platform"].eqNullSafe(F.col("platform"))}
+    day = day.withColumns(whole)
+    delivery = F.col("shipping") + F.col("courier")
+    per_order = F.when(F.col("order_count") > 0, F.round(delivery / F.col("order_count"), 2)).otherwise(F.lit(0))
+    money = {"revenue": F.col("revenue"), "platform_fee": F.col("platform_fee"), "platform_shipping": F.col("shipping"),
+             "maiyatian_shipping": F.col("courier"), "shipping": delivery, "promotion_cost": F.col("promotion_cost"),
+             "cost": F.col("cost"), "rent_labor": F.col("rent"), "rent_labor_allocated": F.when(F.col("pays"), F.col("rent")).otherwise(F.lit(0)),
+             "gross_profit": F.col("revenue") - F.col("cost") - F.col("platform_fee")}
+    out = day.select(*grain, "province", "city", F.col("known").isNotNull().alias("has_store_ref"), "store_type", "order_count",
+                     per_order.cast("decimal(10,2)").alias("avg_shipping"), *[c.cast("decimal(14,2)").alias(k) for k, c in money.items()])
+    net = (F.col("gross_profit") - F.col("rent_labor_allocated")).cast("decimal(14,2)")
+    return out.withColumn("net_profit", net).select(*MART_COLUMNS)
 
 
 def build_mart(v) -> DataFrame:

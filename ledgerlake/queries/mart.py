@@ -15,8 +15,7 @@ def ads_daily_report(v):
 
 
 from ..catalog import money_all  # noqa: E402
-from ..oracle_sql import (INT_COST, INT_PROMO, INT_REV, INT_SHIP, MART_CTES, MART_VIEWS, STG_EL,  # noqa: E402
-                          STG_JD, STG_MT, reg)
+from ..oracle_sql import BILLS, INT_COST, INT_PROMO, INT_SHIP, MART_CTES, MART_VIEWS, TAKINGS, reg  # noqa: E402
 
 M2 = "DECIMAL(18,2)"
 
@@ -27,7 +26,9 @@ def stg_wide_revenue(v):
     return M.stg_wide_revenue(v.fin_bill)
 
 
-reg("stg_wide_revenue", MART_VIEWS, f"WITH {STG_MT} SELECT * FROM stg_mt")
+reg("stg_wide_revenue", MART_VIEWS, f"""WITH {BILLS}
+SELECT dt, '美团' AS platform, store_name, order_no, income AS revenue, fee AS platform_fee_raw, ship AS shipping_raw
+FROM bills WHERE code = 'mt'""")
 
 
 @query("stg_multi_revenue")
@@ -36,7 +37,10 @@ def stg_multi_revenue(v):
     return M.stg_multi_revenue(v.fin_bill)
 
 
-reg("stg_multi_revenue", MART_VIEWS, f"WITH {STG_EL} SELECT * FROM stg_el")
+reg("stg_multi_revenue", MART_VIEWS, f"""WITH {BILLS}
+SELECT dt, '饿了么' AS platform, store_name, order_no, income AS revenue, net_sales AS net_sales_total,
+       fee AS platform_fee_raw, ship AS shipping_platform_raw, haul AS shipping_logistics_raw
+FROM bills WHERE code = 'el'""")
 
 
 @query("stg_long_fees")
@@ -45,7 +49,7 @@ def stg_long_fees(v):
     return M.stg_long_fees(v.fin_line, v.order_export)
 
 
-reg("stg_long_fees", MART_VIEWS, f"WITH {STG_JD} SELECT * FROM stg_jd")
+reg("stg_long_fees", MART_VIEWS, f"WITH {BILLS} SELECT '京东' AS platform, * FROM fees")
 
 
 @query("int_platform_revenue")
@@ -55,9 +59,9 @@ def int_platform_revenue(v):
                                             M.stg_long_fees(v.fin_line, v.order_export)))
 
 
-reg("int_platform_revenue", MART_VIEWS, f"""WITH {STG_MT}, {STG_EL}, {STG_JD}, {INT_REV}
+reg("int_platform_revenue", MART_VIEWS, f"""WITH {TAKINGS}
 SELECT dt, platform, store_name, CAST(revenue AS {M2}) AS revenue, CAST(platform_fee AS {M2}) AS platform_fee,
-       CAST(shipping AS {M2}) AS shipping, CAST(order_count AS BIGINT) AS order_count FROM rev""")
+       CAST(shipping AS {M2}) AS shipping, CAST(order_count AS BIGINT) AS order_count FROM takings""")
 
 
 @query("int_item_cost")
@@ -99,9 +103,4 @@ def pl_profit_formula(v):
 
 
 reg("pl_profit_formula", MART_VIEWS, f"""WITH {MART_CTES}
-SELECT dt, platform, store_name, revenue, cost, platform_fee, gross_profit,
-  CAST(CASE WHEN ROW_NUMBER() OVER (PARTITION BY dt, store_name ORDER BY order_count DESC, platform ASC) = 1
-       THEN rent_labor ELSE 0 END AS DECIMAL(14,2)) AS rent_labor_allocated,
-  CAST(gross_profit - CASE WHEN ROW_NUMBER() OVER (PARTITION BY dt, store_name
-       ORDER BY order_count DESC, platform ASC) = 1 THEN rent_labor ELSE 0 END AS DECIMAL(14,2)) AS net_profit
-FROM base""")
+SELECT dt, platform, store_name, revenue, cost, platform_fee, gross_profit, rent_labor_allocated, net_profit FROM pnl""")

@@ -16,15 +16,8 @@ M2 = "DECIMAL(18,2)"
 AS_OF_EVENTS = "2024-02-01 00:00:00"
 AS_OF_ORDERS = "2001-08-01"
 
-_MART_SELECT = """SELECT dt, platform, store_name, province, city, has_store_ref, revenue, platform_fee,
-  platform_shipping, maiyatian_shipping, shipping, avg_shipping, promotion_cost, order_count, cost, rent_labor,
-  CAST(CASE WHEN ROW_NUMBER() OVER (PARTITION BY dt, store_name ORDER BY order_count DESC, platform ASC) = 1
-       THEN rent_labor ELSE 0 END AS DECIMAL(14,2)) AS rent_labor_allocated,
-  gross_profit, store_type FROM base"""
-
-
 def _mart_oracle(body: str) -> str:
-    return f"WITH {MART_CTES}, mart AS ({_MART_SELECT}),\nm2 AS (SELECT *, CAST(gross_profit - rent_labor_allocated AS DECIMAL(14,2)) AS net_profit FROM mart)\n{body}"
+    return f"WITH {MART_CTES}\n{body}"
 
 
 # ---------------------------------------------------------------------------
@@ -37,9 +30,9 @@ def dq_not_null(v):
 
 
 reg("dq_not_null", MART_VIEWS, _mart_oracle("""SELECT column_name, CAST(failing_rows AS BIGINT) AS failing_rows FROM (
-  SELECT 'dt' AS column_name, COUNT(*) FILTER (WHERE dt IS NULL) AS failing_rows FROM m2
-  UNION ALL SELECT 'platform', COUNT(*) FILTER (WHERE platform IS NULL) FROM m2
-  UNION ALL SELECT 'store_name', COUNT(*) FILTER (WHERE store_name IS NULL) FROM m2) t"""))
+  SELECT 'dt' AS column_name, COUNT(*) FILTER (WHERE dt IS NULL) AS failing_rows FROM pnl
+  UNION ALL SELECT 'platform', COUNT(*) FILTER (WHERE platform IS NULL) FROM pnl
+  UNION ALL SELECT 'store_name', COUNT(*) FILTER (WHERE store_name IS NULL) FROM pnl) t"""))
 
 
 @query("dq_freshness")
@@ -65,7 +58,7 @@ def dq_unmatched_store(v):
 
 
 reg("dq_unmatched_store", MART_VIEWS, _mart_oracle(
-    "SELECT store_name, COUNT(*) AS mart_rows FROM m2 WHERE NOT has_store_ref GROUP BY store_name"))
+    "SELECT store_name, COUNT(*) AS mart_rows FROM pnl WHERE NOT has_store_ref GROUP BY store_name"))
 
 
 @query("dq_load_summary")
@@ -95,7 +88,7 @@ FROM (VALUES ('revenue', 81152, 0.01), ('cost', 53324, 0.01), ('gross_profit', 2
 JOIN (SELECT measure, actual
       FROM (SELECT SUM(revenue) AS revenue, SUM(cost) AS cost, SUM(gross_profit) AS gross_profit,
                    SUM(rent_labor_allocated) AS rent_labor_allocated, SUM(net_profit) AS net_profit
-            FROM m2 WHERE dt = DATE '{D}')
+            FROM pnl WHERE dt = DATE '{D}')
       UNPIVOT INCLUDE NULLS (actual FOR measure IN (revenue, cost, gross_profit, rent_labor_allocated, net_profit))
      ) t USING (measure)"""))
 

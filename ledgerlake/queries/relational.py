@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..catalog import money_all, query
 from ..functions import cleaning as C
 from ..operators.joins import prefix_join, resolve_alias
-from ..oracle_sql import (ALIAS_PLATFORMS, D, INT_PROMO, INT_REV, INT_SHIP, MART_CTES,
-                          MART_VIEWS, ORACLES, PENDING_TOTALS, SHEET, SHEET_VIEWS, STORE_OUT, STG_EL, STG_JD, STG_MT,
+from ..oracle_sql import (ALIAS_PLATFORMS, D, INT_PROMO, INT_SHIP, MART_CTES,
+                          MART_VIEWS, ORACLES, PENDING_TOTALS, SHEET, SHEET_VIEWS, STORE_OUT, TAKINGS,
                           clean, div_round2, gate, gate0, orders_cte, paren, pnorm, stores_cte,
                           strict, tnull)
 from ..oracle_sql import D_END
@@ -72,14 +72,10 @@ def join_left_multikey(v):
 
 
 reg("join_left_multikey", MART_VIEWS, f"""WITH {MART_CTES}
-SELECT p.dt, p.store_name, p.platform, CAST(p.revenue AS {M2}) AS revenue, CAST(ic.cost AS {M2}) AS cost,
-  CAST(ma.maiyatian_shipping AS {M2}) AS maiyatian_shipping,
-  CAST(pr.promotion_cost AS {M2}) AS promotion_cost, CAST(sr.daily_rent_labor AS {M2}) AS daily_rent_labor
-FROM rev p
-LEFT JOIN ic ON p.dt = ic.dt AND p.store_name = ic.store_name AND p.platform = ic.platform
-LEFT JOIN ma ON p.dt = ma.dt AND p.store_name = ma.store_name
-LEFT JOIN pr ON p.dt = pr.dt AND p.store_name = pr.store_name AND p.platform = pr.platform
-LEFT JOIN store_ref sr ON p.store_name = sr.store_short_name""")
+SELECT dt, store_name, platform, CAST(revenue AS {M2}) AS revenue, CAST(goods AS {M2}) AS cost,
+  CAST(courier AS {M2}) AS maiyatian_shipping, CAST(promotion AS {M2}) AS promotion_cost,
+  (SELECT CAST(MAX(daily_rent_labor) AS {M2}) FROM store_ref WHERE store_short_name = takings.store_name) AS daily_rent_labor
+FROM takings LEFT JOIN charged USING (dt, store_name, platform)""")
 
 
 @query("join_left_lookup")
@@ -259,10 +255,10 @@ def agg_conditional_sum(v):
     return money_all(M.jd_revenue_agg(M.stg_long_fees(v.fin_line, v.order_export)))
 
 
-reg("agg_conditional_sum", MART_VIEWS, f"""WITH {STG_MT}, {STG_EL}, {STG_JD}, {INT_REV}
+reg("agg_conditional_sum", MART_VIEWS, f"""WITH {TAKINGS}
 SELECT dt, platform, store_name, CAST(revenue AS {M2}) AS revenue, CAST(platform_fee AS {M2}) AS platform_fee,
        CAST(shipping AS {M2}) AS shipping, CAST(order_count AS BIGINT) AS order_count
-FROM rev WHERE platform = '京东'""")
+FROM takings WHERE platform = '京东'""")
 
 
 @query("agg_count_filter")
@@ -420,10 +416,10 @@ def win_row_number_first(v):
                       (F.row_number().over(w) == 1).alias("charges_rent"))
 
 
-reg("win_row_number_first", MART_VIEWS, f"""WITH {STG_MT}, {STG_EL}, {STG_JD}, {INT_REV}
+reg("win_row_number_first", MART_VIEWS, f"""WITH {TAKINGS}
 SELECT dt, store_name, platform, order_count,
-  ROW_NUMBER() OVER (PARTITION BY dt, store_name ORDER BY order_count DESC, platform ASC) = 1 AS charges_rent
-FROM rev""")
+  platform IS NOT DISTINCT FROM FIRST(platform ORDER BY order_count DESC, platform) OVER (PARTITION BY dt, store_name) AS charges_rent
+FROM takings""")
 
 
 @query("win_global_row_number")
