@@ -1,5 +1,6 @@
 """availableNow file stream → day-partition replace (late finance lines)."""
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.streaming.incremental import ingest_available
@@ -24,6 +25,26 @@ def test_late_file_adds_to_its_day(spark, tmp_path):
     assert [str(d) for d in seen] == ["2026-03-25", "2026-03-25"]
 
 
+def test_equal_names_in_two_folders_and_the_days_of_late_lines(spark, tmp_path):
+    src, table, ck = tmp_path / "in", tmp_path / "ods", tmp_path / "ck"
+    schema = T.StructType([T.StructField("order_no", T.StringType()), T.StructField("dt", T.DateType())])
+    orders = spark.createDataFrame([("old\t", "2025-12-15"), ("a", "2026-03-24"), ("b", "2026-03-25"), ("far", "2026-12-01"), (None, "2026-01-01")],
+                                   "order_no string, dt string").withColumn("dt", F.col("dt").cast("date"))
+    seen = []
+
+    def load(folder, rows):
+        (src / folder).mkdir(parents=True)
+        (src / folder / "fin.csv").write_text("order_no,dt\n" + "".join(f"{o},2026-03-25\n" for o in rows))
+        ingest_available(spark, str(src), schema, str(table), str(ck), on_days=seen.append, options={"header": "true"}, orders=lambda: orders)
+
+    load("d1", ["a", "b", "a"])
+    load("d2", ["old", "far", ""])              # placed 100 days before; placed too long after the line; no number
+    rows = spark.read.parquet(str(table)).collect()
+    assert sorted(r.order_no or "" for r in rows) == ["", "a", "a", "b", "far", "old"]
+    assert len({r.source_path for r in rows}) == 2
+    assert [[str(d) for d in days] for days in seen] == [["2026-03-24", "2026-03-25"], ["2025-12-15"]]
+
+
 def test_reload_of_an_empty_day_empties_it(spark, tmp_path):
     import datetime as dt
 
