@@ -39,6 +39,8 @@ GOOD_NAME = re.compile(r"\b(?:article|post|entry|story|main|content)(?:[-_]?(?:b
 BAD_NAME = re.compile(r"(?<![a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|side-?bar|menu|nav\w*|bread-?crumbs?|cookies?\w*|consent|gdpr|notices?|alerts?|newsletter|"
                       r"subscri\w+|sign-?up|share|sharing|social|related|recommend\w*|comments?\w*|respond|replies|disqus|footer|header|masthead|pop-?up|modal|overlay|"
                       r"login|widgets?|toolbar|pagination|pager|copyright|legal|disclaimer|search\w*|complementary|navigation|contentinfo|form)(?![a-z])", re.I)
+#: names that say what stands beside an element, or whether it is shown
+LAYOUT_NAME = re.compile(r"(?:has|no|with|without|is|not|js|hide|show|can|supports)[-_].*|.*[-_](?:open|opened|closed|enabled|disabled|on|off|visible|hidden|active|collapsed|expanded|allowed|ready)", re.I)
 PAGE_WIDE = {"html", "body"}            # their names say nothing of a block
 PARDONED = {"form"}                     # elements that may enclose a whole page, too
 NAMED = 3.0
@@ -55,12 +57,14 @@ def _weight(tag: str, attributes: str) -> tuple[float, float]:
     pardon = score if tag in PARDONED else 0.0
     if attributes and "=" in attributes and tag not in PAGE_WIDE:
         for quoted in _NAMES.findall(attributes):
-            if BAD_NAME.search(quoted):
-                if tag == "main" or tag == "article" and not any(map(BAD_NAME.fullmatch, quoted.strip("\"'").split())):
-                    continue                                    # 'post has-sidebar': names of the layout
+            own = quoted.strip("\"'").split()
+            if BAD_NAME.search(quoted) and (tag == "main" or tag == "article" and not any(map(BAD_NAME.fullmatch, own))):
+                continue                                        # 'post has-sidebar': names of the layout
+            names = " ".join(name for name in own if not LAYOUT_NAME.fullmatch(name))
+            if BAD_NAME.search(names):
                 score += BAD_NAMED
                 pardon += BAD_NAMED
-            elif GOOD_NAME.search(quoted):
+            elif GOOD_NAME.search(names):
                 score += NAMED
     return score, pardon
 
