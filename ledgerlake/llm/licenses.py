@@ -1,6 +1,6 @@
 """License scan: fixed phrases, and a set-similarity join with templates.
 
-Text blocks (lines; a long line gives overlapping windows) and license
+Text blocks (lines, and of a longer line every run of WINDOW words) and license
 templates are sets of words.  A block matches a template if it contains at
 least THRESHOLD of the template's words.  So does any run of words, over as
 many lines as it takes, of at most STRETCH times the template's length: a
@@ -26,7 +26,7 @@ from ledgerlake.llm.textarrays import ALNUM, Words, blocks, word_hash
 
 THRESHOLD = 0.9             # share of a template's words that a block must hold
 STRETCH = 2                 # words of a run over lines, in template lengths
-WINDOW = 256                # words of a window of a long line; the next begins half a window later
+WINDOW = 256                # words of a block
 # Phrases and their labels
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 TEMPLATES = {
@@ -109,15 +109,15 @@ class Templates:
                     out[t] = common
         return out
 
-
-    def runs(self, rank: np.ndarray, heads: np.ndarray, begin: int, end: int) -> dict[int, int]:
+    def runs(self, rank: np.ndarray, heads: np.ndarray, begin: int, end: int, least: int = 0) -> dict[int, int]:
         """Templates that a run of words begin..end of one text holds -> the
-        greatest number of common words.  Only the places around a template's
-        first words are read."""
+        greatest number of common words.  A run is as long as the template's
+        reach, or ``least`` words if that is more.  Only the places around a
+        template's first words are read."""
         out, done = {}, {}
         for at in (np.flatnonzero(heads[begin:end]) + begin).tolist():
             for t, _ in self.heads[int(rank[at])]:
-                reach = self.reach[t]
+                reach = max(least, self.reach[t])
                 a, b = max(begin, at - reach + 1), min(end, at + reach)
                 if b <= done.get(t, 0) or b - a < self.need[t]:
                     continue
@@ -159,13 +159,10 @@ def _vocabulary_counts(rows: DataFrame, templates: dict[str, list[str]]) -> dict
 
 
 def _line_blocks(words: Words, begin: int, end: int) -> list[tuple[int, int]]:
-    """Word ranges of the blocks among words begin..end of one text."""
+    """Word ranges of the lines among words begin..end of one text."""
     newline = np.flatnonzero(words.data[words.start[begin]:words.end[end - 1]] == 10) + words.start[begin]
     cuts = np.unique(np.concatenate([[begin, end], np.searchsorted(words.start[begin:end], newline) + begin])).tolist()
-    out = []
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        out += [(a, b)] if b - a <= WINDOW else [(x, min(b, x + WINDOW)) for x in range(a, max(a + 1, b - WINDOW // 2), WINDOW // 2)]
-    return out
+    return list(zip(cuts, cuts[1:], strict=False))
 
 
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -210,8 +207,12 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", templates: di
                     for a, b in _line_blocks(words, begin, end):
                         if not heads[a:b].any():
                             continue
-                        mine = np.unique(rank[a:b][rank[a:b] >= 0])
-                        for t, common in model.matches(mine, len(np.unique(h[a:b]))).items():
+                        if b - a <= WINDOW:
+                            mine = np.unique(rank[a:b][rank[a:b] >= 0])
+                            held = model.matches(mine, len(np.unique(h[a:b])))
+                        else:
+                            held = model.runs(rank, heads, a, b, WINDOW)
+                        for t, common in held.items():
                             labels[d].add(model.label[t])
                             score[d] = max(score[d], common / len(model.words[t]))
                     for t, common in model.runs(rank, heads, begin, end).items():
