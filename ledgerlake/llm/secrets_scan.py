@@ -4,8 +4,9 @@ Everything runs on built-in functions.  Two first-order Markov models over
 characters, one of random strings and one of ordinary identifiers, are
 trained on labelled samples of the corpus: the values that the fixed patterns
 find are labelled random, long words without digits from a bounded sample of
-documents are labelled ordinary.  A candidate (a run of 20 or more key characters) is a secret if
-the log-likelihood ratio of random against ordinary is high enough for its
+documents are labelled ordinary.  A candidate (a run of 20 or more key
+characters outside the patterns' places, or one of 4 or more that adjoins such
+a place) is a secret if the log-likelihood ratio of random against ordinary is high enough for its
 length.  Its score is one array lookup per character pair.
 """
 
@@ -24,11 +25,13 @@ ACCESS_LEAST = 18
 HEX = r"[0-9a-f]{16,}"          # maximal runs, so the same places as [0-9a-f]+ of 16 or more
 KINDS = ("assign", "access", "hex", "markov")
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# a run of key characters; what a base span leaves of one, if it adjoins that
+MASK = "\x01"
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z0-9+/_=-]{20,}+|(?<=\x01)[A-Za-z0-9+/_=-]{4,}+|[A-Za-z0-9+/_=-]{4,}+(?=\x01))"
 ORDINARY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{8,}(?![A-Za-z0-9+/_=-])"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 SAMPLE_DOCS = 2000              # documents that the sample of ordinary words takes, at most
-SAMPLE_STRINGS = 200            # words that it takes from each of them, at most
+SAMPLE_STRINGS = 200            # words that it takes from each of them, at most: the first by hash
 PRIOR, UNIFORM = 5.0, 0.01      # smoothing: counts for pairs, share of an even spread for characters
 LEAST_RATIO = 0.7               # nats a character by which "random" must be likelier
 
@@ -74,6 +77,26 @@ def _code(char: Column) -> Column:
     return F.when(place > 0, place - 1).otherwise(len(ALPHABET))
 
 
+def _some(words: Column) -> Column:
+    """SAMPLE_STRINGS of the words, wherever they stand."""
+    order = F.array_sort(F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w"))))
+    return F.transform(F.slice(order, 1, SAMPLE_STRINGS), lambda x: x["w"])
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """``text`` with the characters of ``spans`` (by start) put out."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        begin = F.greatest(acc["at"], s["start"])
+        piece = F.concat(F.substring(text, (acc["at"] + 1).cast("int"), (begin - acc["at"]).cast("int")), F.repeat(F.lit(MASK), (s["end"] - begin).cast("int")))
+        fresh = s["end"] > acc["at"]
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.array_append(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
+
+    done = F.aggregate(spans, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
 def train(docs: DataFrame, text: str = "text", key: str = "doc_id") -> list[float]:
     """Log-likelihood ratio, random against ordinary, of each character pair.
 
@@ -92,7 +115,7 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id") -> list[floa
         F.filter(F.regexp_extract_all(t, F.lit(ACCESS), F.lit(0)), lambda x: F.length(x) >= ACCESS_LEAST),
         F.regexp_extract_all(t, F.lit(HEX), F.lit(0))).alias("s"))
     last = rows.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).head()[0]     # numbers only
-    plain = rows.where(F.col("h") <= F.lit(last).cast("bigint")).dropDuplicates(["h"]).select(F.slice(F.regexp_extract_all(F.regexp_replace(t, ASSIGN, " "), F.lit(ORDINARY), F.lit(0)), 1, SAMPLE_STRINGS).alias("s"))
+    plain = rows.where(F.col("h") <= F.lit(last).cast("bigint")).dropDuplicates(["h"]).select(_some(F.regexp_extract_all(F.regexp_replace(t, ASSIGN, " "), F.lit(ORDINARY), F.lit(0))).alias("s"))
     counts = None
     for label, strings in ((1, random), (0, plain)):
         codes = strings.select(F.explode(F.array_distinct("s")).alias("s")).select(F.transform(F.split("s", ""), _code).alias("c"))
@@ -129,16 +152,16 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: tuple[s
     places in code points, end exclusive.
 
     ``base`` holds the fixed patterns' spans, ``spans`` those and the Markov
-    ones that overlap none of them.  A null or empty text has none; repeated
+    ones, which lie beside them: of a random run that a pattern's place lies
+    in, the parts before and after it are judged each.  A null or empty text has none; repeated
     rows are scanned each; an empty table gives no rows.
     """
     model = train(docs, text, key)
     rows = docs.select(F.col(key).alias(key), *[F.col(c) for c in keep], F.coalesce(F.col(text), F.lit("")).alias("__text"))
     t = F.col("__text")
     accepted = lambda found: F.transform(found, lambda x: ratio(x, model) >= LEAST_RATIO * F.length(x))
-    found = rows.select(key, *keep, base_spans(t).alias("base"), _spans(t, CANDIDATE, 3, accepted).alias("__more"))
-    fresh = F.filter("__more", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return found.select(key, *keep, "base", F.array_sort(F.concat("base", fresh)).alias("spans"))
+    found = rows.withColumn("base", base_spans(t)).withColumn("__text", _masked(t, F.col("base")))
+    return found.select(key, *keep, "base", F.array_sort(F.concat("base", _spans(t, CANDIDATE, 3, accepted))).alias("spans"))
 
 
 def digest(spans: Column) -> Column:
