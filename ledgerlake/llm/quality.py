@@ -153,7 +153,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     order = F.xxhash64(F.col("key"))
     some = ids.distinct().join(marks, "key").orderBy(order, "key").limit(SAMPLE_LABELLED)
     rest = ids.distinct().join(marks, "key", "left_anti").withColumn("good", F.lit(-1)).orderBy(order, "key").limit(SAMPLE_PLAIN)
-    sample = rows.join(F.broadcast(some.unionByName(rest)), "key")      # at most the two bounds
+    every = rows.join(F.broadcast(some.unionByName(rest)), "key")       # at most the two bounds
+    others = [c for c in every.columns if c != "key"]                   # of rows with one key, the first by hash
+    sample = every.groupBy("key").agg(F.min_by(F.struct(*others), F.xxhash64(*others)).alias("r")).select("key", "r.*").select(*every.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     got = got.take(np.argsort(np.array([zlib.crc32(k.encode()) for k in got["key"].to_pylist()], np.int64), kind="stable"))
     y = np.array(got["good"].to_pylist(), np.int64)
     none = Model(np.full(1 << WORD_BITS, -1), np.zeros(_STATS * 16 + 1), np.zeros(_META + 1), np.zeros(3), 0.0)
-    if not ((y == 1).sum() >= 10 and (y == 0).sum() >= 10):
+    if not (y == 1).any() or not (y == 0).any():
         share = ((y == 1).sum() + 1) / ((y >= 0).sum() + 1)
         none.mixed[2] = np.log(share / max(1 - share, 1e-9))
         return none
@@ -183,6 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     known = np.flatnonzero(y >= 0)
     held = known[np.arange(len(known)) % 4 == 0]                # a quarter calibrates
     fit, plain = np.setdiff1d(known, held), np.flatnonzero(y < 0)
+    if any(len(np.unique(y[part])) < 2 for part in (held, fit)):
+        held = fit = known                                      # too few labels to part them
     teach = np.zeros(len(y), bool)
     teach[fit] = True
     model = none
