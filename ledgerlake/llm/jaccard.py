@@ -30,9 +30,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from ledgerlake.llm.components import connected, forest
 from ledgerlake.llm.store import land, partitions
@@ -95,7 +96,7 @@ def _survey(rows: DataFrame, kind: str, parts: int) -> DataFrame:
     Shingles go to the part of their hash with 32 more bits of it; sets that
     differ only there would seem to share a shingle, which does no harm.
     """
-    key_type = to_arrow_type(rows.schema["key"].dataType)
+    key_type = to_arrow_type(DataType.fromDDL(kind))            # all of its fields may be null
     names = ["part", "task", "key", "n", "node", "row", "hash", "doc", "size", "owner"]
     schema = f"part int, task bigint, key {kind}, n bigint, node bigint, row int, hash binary, doc binary, size binary, owner binary"
     types = [pa.int32(), pa.int64(), key_type, pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
@@ -135,7 +136,7 @@ def _survey(rows: DataFrame, kind: str, parts: int) -> DataFrame:
                         held += n
                     row.append(rows_of[node] if n else -1)
                 count = len(row)
-                yield batch_of(count, part=pa.array((np.arange(count) % parts).astype(np.int32)), task=pa.array(np.full(count, task)), key=block.column("key"), n=pa.array(size), node=pa.array(ids), row=pa.array(row, pa.int32()))
+                yield batch_of(count, part=pa.array((np.arange(count) % parts).astype(np.int32)), task=pa.array(np.full(count, task)), key=block.column("key").cast(key_type), n=pa.array(size), node=pa.array(ids), row=pa.array(row, pa.int32()))
                 if held >= FLUSH:
                     yield flush(task, sets_, nodes)
                     task, sets_, nodes, rows_of, held = task + 1, [], [], {}, 0
@@ -185,7 +186,7 @@ def _survey(rows: DataFrame, kind: str, parts: int) -> DataFrame:
                     total = np.zeros(max(int(p.column("row").to_numpy().max(initial=0)) for p in found) + 1, np.int64)
                     for doc, own in alone.pop(t, []):
                         total += np.bincount(doc, own, len(total)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([piece.column("key"), piece.column("n"), piece.column("node"), pa.array(np.where(row >= 0, total[row], 0))], ["key", "n", "node", "alone"])
+                yield pa.RecordBatch.from_arrays([piece.column("key").cast(key_type), piece.column("n"), piece.column("node"), pa.array(np.where(row >= 0, total[row], 0))], ["key", "n", "node", "alone"])
 
     compared = rows.mapInArrow(send, schema).repartition(parts, "part").mapInArrow(compare, schema)
     return compared.repartition(parts, "task").mapInArrow(finish, f"key {kind}, n bigint, node bigint, alone bigint")
@@ -435,13 +436,30 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     component its id (null if all are so); an empty table gives no rows;
     other columns play no part.
     """
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    named = _classes(docs, text, key)
+    least = named.where("class IS NOT NULL").groupBy("class").agg(F.min("key.id").alias("least"))
+    return named.join(least, "class", "left").select(F.col("key.id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key.id")).alias("component_id"))
+
+
+def _row_key(key: str, text: str) -> Column:
+    """What tells rows apart: whether the key is null, the key, and a hash of
+    the text (rows may share a key).  The least is a class's first row."""
+    return F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("text"))
+
+
+def _classes(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """(key, n, node, class) per row of ``docs``: its row key, its set's size
+    and id, and the class of linked sets (null for an empty set)."""
+    rows = docs.select(_row_key(key, text).alias("key"), F.col(text).alias("text"))
+    kind = rows.schema["key"].dataType.simpleString()
     parts = partitions(rows)
     each = land(_survey(rows, kind, parts), "jaccard-survey")
-    nodes = each.where("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.min("alone").alias("alone"))
-    nodes = nodes.where(f"alone < {100 - SHARE} * n div 100 + 1").select("node", "key", "n")
-    some = land(_confirmed(rows.join(nodes, "key")), "jaccard-texts")
+    nodes = each.where("n > 0").groupBy("node", "key").agg(F.first("n").alias("n"), F.min("alone").alias("alone"), F.count("*").alias("copies"))
+    nodes = nodes.groupBy("node").agg(F.min(F.struct("key", "copies")).alias("of"), F.first("n").alias("n"), F.min("alone").alias("alone"))
+    nodes = nodes.where(f"alone < {100 - SHARE} * n div 100 + 1").select("node", F.col("of.key.id").alias("__id"), F.col("of.key.text").alias("__text"), "of.copies", "n")
+    one = rows.join(nodes, (F.col("key.text") == F.col("__text")) & F.col("key.id").eqNullSafe(F.col("__id")))
+    one = one.where("copies = 1").unionByName(one.where("copies > 1").dropDuplicates(["node"]))
+    some = land(_confirmed(one), "jaccard-texts")
     group = connected(_candidates(some, _counters(some), parts), "jaccard-candidates")
 
     # chunks of the candidate groups; a group that fits is one chunk
@@ -464,9 +482,7 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
             edges = edges.unionByName(land(_across(large, edges, parts, step_ == "representatives"), "jaccard-links"))
     roots = connected(edges, "jaccard-components")
 
-    named = each.drop("alone").join(roots, "node", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("root", "node")))
-    least = named.where("class IS NOT NULL").groupBy("class").agg(F.min("key").alias("least"))
-    return named.join(least, "class", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component_id"))
+    return each.drop("alone").join(roots, "node", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("root", "node")))
 
 
 def _confirmed(rows: DataFrame) -> DataFrame:
@@ -520,7 +536,18 @@ def _across(sets: DataFrame, edges: DataFrame, parts: int, representatives: bool
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each group: the one of the least key.
-    Rows with a null key, and all columns, stay as they are."""
-    extra = groups(docs, text, key).where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return docs.join(extra, key, "left_anti").select(*docs.columns)
+    """``docs`` with one row of each group of linked rows, all columns as they
+    are: the one of the least key, null keys last; of rows that share that
+    key, one text's.  Rows are decided each for itself, so a key may lose one
+    row and keep another; of rows equal in key and text one stays.  Rows
+    without words all stay; an empty table gives no rows.
+    """
+    rows = _classes(docs, text, key)
+    first = rows.where("n > 0").groupBy("class", "key").agg(F.count("*").alias("copies")).groupBy("class").agg(F.min(F.struct("key", "copies")).alias("f"))
+    first = first.select(F.col("f.key.id").alias("__id"), F.col("f.key.text").alias("__text"), F.col("f.copies").alias("copies"))
+    names = docs.columns
+    marked = docs.select(F.struct(*names).alias("__row"), _row_key(key, text).alias("__key"))
+    kept = marked.join(first, (F.col("__key.text") == F.col("__text")) & F.col("__key.id").eqNullSafe(F.col("__id")))
+    single, several = kept.where("copies = 1"), kept.where("copies > 1").dropDuplicates(["__key"])
+    wordless = marked.where(~F.coalesce(F.col(f"__row.`{text}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    return single.unionByName(several).select("__row.*").unionByName(wordless.select("__row.*")).select(*names)
