@@ -242,6 +242,6 @@ def test_pipeline_stages(spark):
 
 
 def test_every_query_runs(spark):
-    assert [f"op{n}" for n in range(1, 11)] == sorted((q.split("_")[0] for q in QUERIES), key=lambda x: int(x[2:]))
+    assert [f"op{n}" for n in range(1, 14)] == sorted((q.split("_")[0] for q in QUERIES), key=lambda x: int(x[2:]))
     for name in QUERIES:
         assert QUERIES[name](spark, SF).count() >= 0
