@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
@@ -108,10 +108,29 @@ def dq_unmatched_store(mart: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("mart_rows")))
 
 
-def dq_load_summary(df: DataFrame, amount_col: str, day_col: str = "dt") -> DataFrame:
-    """Per loaded day: row count and amount sum."""
-    return df.groupBy(day_col).agg(F.count(F.lit(1)).alias("rows"),
-                                   F.coalesce(F.sum(amount_col), F.lit(0)).alias("amount"))
+def key_sample(df: DataFrame, by: str, key: str, k: int) -> DataFrame:
+    """(by, sample): the ``k`` keys of each group that come first by their
+    MD5, comma-joined.
+
+    The same whatever the partitioning, and mergeable: the first k of two
+    parts' first k are the whole's.  Each task keeps k keys of a group before
+    anything is shuffled.
+    """
+    keys = df.select(by, F.col(key).cast("string").alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    keys = keys.withColumn("_hash", F.md5(F.col("_key").cast("binary")))
+    first = keys.withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy("_hash", "_key"))).where(F.col("_n") <= k)
+    inner = F.array_sort(F.collect_list(F.struct("_n", "_key")))
+    return first.groupBy(by).agg(F.array_join(F.transform(inner, lambda x: x["_key"]), ",").alias("sample"))
+
+
+def dq_load_summary(df: DataFrame, amount_col: str, day_col: str = "dt", key_col: str | None = None, k: int = 5) -> DataFrame:
+    """Per loaded day: row count and amount sum, and a sample of ``k`` keys."""
+    out = df.groupBy(day_col).agg(F.count(F.lit(1)).alias("rows"),
+                                  F.coalesce(F.sum(amount_col), F.lit(0)).alias("amount"))
+    if key_col is None:
+        return out
+    sample = key_sample(df, day_col, key_col, k).withColumnRenamed(day_col, "_day")
+    return out.join(sample, F.col(day_col).eqNullSafe(F.col("_day")), "left").drop("_day")
 
 
 def dq_tolerance_check(mart: DataFrame, day: str, expectations=DAY_EXPECTATIONS) -> DataFrame:

@@ -9,6 +9,9 @@ from ..oracle_sql import (D, MART_CTES, MART_VIEWS, SHEET_VIEWS, clean, gate, ga
                           reg, strict)
 from ..plans import models as M
 from ..plans import quality as Q
+from ..sources import export_fixtures as X
+from ..sources import ledger as L
+from ..sources import split_files as SF
 from .recon import EL_LINES, EL_PLACED
 from .settlement import WINDOW
 
@@ -51,6 +54,36 @@ SELECT event_type, max_load_time,
 FROM (SELECT event_type, MAX(ts) AS max_load_time FROM events GROUP BY event_type) t""")
 
 
+@query("load_ledger")
+def load_ledger(v):
+    """Order exports loaded by platform at set times, then once more: files,
+    rows and freshness per target from the load ledger, and what the second
+    load found."""
+    root = X.new_root(v.spark)
+    X.export_csv(v, root)
+    again = 0
+    for plat, when in (("mt", "2024-01-31 12:00:00"), ("el", "2024-01-29 06:00:00"), ("jd", "2024-01-20 00:00:00")):
+        for turn in range(2):
+            entry = L.load(v.spark, f"{root}/csv/platform={plat}", f"{root}/ods_{plat}", f"{root}/ledger",
+                           lambda paths: SF.read_csv(v.spark, paths, declared="GBK").drop("_source_file"), f"ods_{plat}_order", when, "*.csv")
+            again += entry.count() if turn else 0
+    done = L.current(L.read_ledger(v.spark, f"{root}/ledger"))
+    sums = done.groupBy("target").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
+    fresh = Q.dq_freshness(done.withColumn("load_time", F.col("load_time").cast("timestamp_ntz")), "load_time", AS_OF_EVENTS, by="target")
+    return sums.join(fresh, "target").withColumn("found_again", F.lit(again).cast("bigint"))
+
+
+reg("load_ledger", ["order_export"], """
+SELECT 'ods_' || platform || '_order' AS target, COUNT(DISTINCT shop_id) AS files, COUNT(*) AS rows, t AS max_load_time,
+       CAST(floor(date_diff('second', t, TIMESTAMP '2024-02-01 00:00:00') / 3600) AS BIGINT) AS age_hours,
+       CASE WHEN t < TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 72 HOUR THEN 'error'
+            WHEN t < TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 48 HOUR THEN 'warn' ELSE 'ok' END AS status,
+       CAST(0 AS BIGINT) AS found_again
+FROM order_export JOIN (VALUES ('mt', TIMESTAMP '2024-01-31 12:00:00'), ('el', TIMESTAMP '2024-01-29 06:00:00'),
+                               ('jd', TIMESTAMP '2024-01-20 00:00:00')) w(platform, t) USING (platform)
+GROUP BY platform, t""")
+
+
 @query("dq_unmatched_store")
 def dq_unmatched_store(v):
     """Mart stores with no store reference."""
@@ -63,12 +96,15 @@ reg("dq_unmatched_store", MART_VIEWS, _mart_oracle(
 
 @query("dq_load_summary")
 def dq_load_summary(v):
-    """Typed promotion table: rows and amount per loaded day."""
-    return money_all(Q.dq_load_summary(v.promo_typed, "amount"))
+    """Typed promotion table: rows and amount per loaded day, and a sample of
+    the loaded stores."""
+    return money_all(Q.dq_load_summary(v.promo_typed, "amount", key_col="store_id"))
 
 
 reg("dq_load_summary", ["promo_typed"], f"""
-SELECT dt, CAST(COUNT(*) AS BIGINT) AS rows, CAST(COALESCE(SUM(amount), 0) AS {M2}) AS amount
+SELECT dt, CAST(COUNT(*) AS BIGINT) AS rows, CAST(COALESCE(SUM(amount), 0) AS {M2}) AS amount,
+       array_to_string(list_transform(list_sort(list(DISTINCT md5(CAST(store_id AS VARCHAR)) || ':' || store_id))[1:5],
+                                      lambda x: split_part(x, ':', 2)), ',') AS sample
 FROM promo_typed GROUP BY dt""")
 
 

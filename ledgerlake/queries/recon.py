@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from ..catalog import money_all, query
 from ..oracle_sql import (D, D_END, PENDING_TOTALS, SHEET_VIEWS, clean, gate, gate0, in_win, largest,
                           orders_cte, placed_day, reg, smallest)
+from ..functions import cleaning as C
 from ..plans import recon as R
+from ..session import materialize
+from ..sources import export_fixtures as X
+from ..sources import files as FL
 from .settlement import WINDOW
 
 M2 = "DECIMAL(18,2)"
@@ -239,26 +243,39 @@ def statement_identity(v):
 
 
 _STMT_COLS = ["goods", "delivery_income", "subsidy", "commission", "delivery_fee", "refund", "compensation",
-              "box_fee", "bag_fee"]
+              "box_fee", "rider_tip", "bag_fee"]
 reg("statement_identity", ["fin_bill"], f"""
 SELECT order_no, CAST(payable AS {M2}) AS payable, CAST(rebuilt AS {M2}) AS rebuilt,
        CAST(payable - rebuilt AS {M2}) AS diff
 FROM (SELECT order_no, {_grouped('settlement')} AS payable,
-             {" + ".join(_grouped(c) for c in _STMT_COLS)} AS rebuilt
+             {" + ".join(_grouped(c) for c in _STMT_COLS)} + IF(CAST(shop_id AS INTEGER) % 4 = 0, -0.01, 0) AS rebuilt
       FROM fin_bill WHERE platform = 'jd') t
 WHERE ABS(payable - rebuilt) > 0.02""")
 
 
 @query("statement_crosscheck")
 def statement_crosscheck(v):
-    """Σ payable of the statement detail vs its summary-page total (± 0.02)."""
-    return money_all(R.statement_crosscheck(R.jd_statement(v.fin_bill)))
+    """Statements as workbooks of two pages, the rows and their stated total:
+    Σ payable of the first page vs the second (± 0.02).  Some shops' totals
+    are stated wrongly."""
+    lines = X.in_parts(R.jd_statement(v.fin_bill), ["shop_id"], ["order_no", "line_no"])
+    name = F.concat(F.lit("对账单-"), F.col("shop_id"), F.when(F.col("part") > 0, F.concat(F.lit("-"), F.col("part").cast("string"))).otherwise(F.lit("")), F.lit(".xlsx"))
+    wrong = F.when(F.col("shop_id").cast("int") % 7 == 3, F.lit(1)).otherwise(F.lit(0))
+    totals = (lines.groupBy("shop_id", "part").agg(F.sum(C.num_grouped("settlement")).alias("sum"))
+              .withColumn("stated", F.format_number((F.col("sum") + wrong).cast("decimal(18,2)"), 2)))
+    pages = (X.sheet_cells(lines, name, {"order_no": "订单号", "settlement": "应结金额"}, ["order_no", "line_no", "settlement"], sheet="第1页")
+             .unionByName(X.sheet_cells(totals, name, {"stated": "合计应结金额"}, ["stated"], sheet="第2页")))
+    cells = materialize(FL.workbook_cells(X.workbooks(pages), ["第1页", "第2页"], header_rows=1))
+    page = {}
+    for sheet in ("第1页", "第2页"):
+        own = cells.where(F.col("sheet") == sheet)
+        page[sheet] = FL.cells_to_rows(own, FL.header_names(own, 0), 1)
+    return money_all(R.statement_crosscheck(page["第1页"].withColumnRenamed("应结金额", "payable"),
+                                            page["第2页"].withColumnRenamed("合计应结金额", "stated")))
 
 
 reg("statement_crosscheck", ["fin_bill"], f"""
-SELECT CAST(detail_total AS {M2}) AS detail_total, CAST(summary_total AS {M2}) AS summary_total,
-       CAST(detail_total - summary_total AS {M2}) AS diff, ABS(detail_total - summary_total) <= 0.02 AS ok
-FROM (SELECT SUM({_grouped('settlement')}) AS detail_total,
-             SUM({_grouped('net_sales')} + {_grouped('service_fee')} + {_grouped('compensation')})
-               AS summary_total
-      FROM fin_bill WHERE platform = 'jd') t""")
+SELECT '对账单-' || shop_id || '.xlsx' AS file, CAST(paid AS {M2}) AS detail_total, CAST(paid + planted AS {M2}) AS stated_total,
+       CAST(-planted AS {M2}) AS diff, planted = 0 AS ok
+FROM (SELECT shop_id, SUM({_grouped('settlement')}) AS paid, IF(CAST(shop_id AS INTEGER) % 7 = 3, 1, 0) AS planted
+      FROM fin_bill WHERE platform = 'jd' GROUP BY shop_id) t""")
