@@ -1,30 +1,33 @@
-"""Language-model scoring with weighted backoff.
-
-Words and n-grams are counted over all training documents.  An n-gram of two
-words or more that occurs LEAST times or more is kept: its last word is read
-at a discounted probability.  Any other is read by the n-gram of one word
-less, weighted (if its first words are kept) so that probabilities sum to 1.
-The unigrams are complete, unknown words together have what the discounts
-leave.
-
-An n-gram is the pair of its first and its last words, and its key a hash of
-their keys.  A token's log-probability is a sum over the n-grams that end at
-it or before it: each kept one adds its arc, which is its own log-probability
-less that of the way without it, and to the token after it its weight.  So a
-text is scored by looking up each of its n-grams by itself.
-
-Frequent words (N / HEAD, N all training tokens) and n-grams (N / STATES) go
-to every task, their number is bounded.  All others stay in tables by key
-and are looked up by shuffles, in PIECES parts one after the other, so that
-shuffle files stay small.  Words, n-grams and texts are told apart by 64-bit
+"""Language-model scoring by a weighted backoff automaton.
+
+Words and n-grams of up to ORDER words are counted over all training
+documents.  All words count; an n-gram of two words or more is kept if it
+occurs ``least`` times.  A kept n-gram is an arc from the state of its first
+words, at a discounted probability, and a state itself if it is shorter than
+ORDER words.  Each state has a failure arc to the state of one word less,
+weighted so that probabilities sum to 1; the root reads any word, unknown ones
+share what the discounts leave.
+
+The automaton grows with the corpus and is never in one place.  Texts are cut
+into blocks of bounded size, written once as word numbers.  A block sends its
+distinct words to the parts of the key space with its own counts, and gets
+their counts over all blocks; then the n-grams of one word more, as far as
+their first and last words are kept; at last its states, with its share of
+the discounted and of the lower probability of their arcs, for the weights of
+failure arcs.  So it ends up with exactly the states and arcs that its own
+texts can reach, and reads its texts on them from left to right, carrying the
+state from token to token.
+
+What goes to a part is one binary row per block and part; a word that is in
+every text is one entry per block.  Words and n-grams are told apart by 64-bit
 hashes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
-from functools import reduce
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +40,12 @@ from ledgerlake.llm.store import land, partitions
 from ledgerlake.llm.textarrays import Words, blocks, mix
 
 ORDER = 3
-STATES = 1 << 17
-HEAD = 1 << 20
 LEAST = 2                   # occurrences of a kept n-gram of two words or more
-PIECES = 3
 DISCOUNT = 0.5              # of the counts of n-grams of two words or more
 FOLDS, HELD_OUT = 7, 2
-FLUSH = 1 << 21             # entries that a task holds before it sends them on
+BLOCK_TOKENS = 1 << 20      # tokens of a block, or one text
+PART_BYTES = 32 << 20       # text bytes for each part of the key space
+SEGMENT = 256               # tokens of a text that are read one after the other
 END = np.uint64(0x656E64206F662074)         # the end token's hash
 
 
@@ -64,519 +66,347 @@ def joined(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return mix(mix(prefix) * np.uint64(0xD1342543DE82EF95) + suffix)
 
 
-def grams(h: np.ndarray, first: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For 2 to ``order`` words, the n-grams of texts: places of their last
-    tokens, first words' keys, last words' keys, own keys."""
-    since = np.arange(len(h)) - np.repeat(first[:-1], np.diff(first))
-    keys = h
-    for n in range(2, order + 1):
-        at = np.flatnonzero(since >= n - 1)
-        key = np.zeros(len(h), np.uint64)
-        key[at] = joined(keys[at - 1], keys[at])
-        yield at, keys[at - 1], keys[at], key[at]
-        keys = key
+def packed(numbers: np.ndarray) -> bytes:
+    """64-bit values, first bytes first: bytes that are mostly zero compress."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def text_ids(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A hash of the tokens of each text, in order."""
-    since = np.arange(len(h)) - np.repeat(first[:-1], np.diff(first))
-    return mix(np.add.reduceat(mix(h ^ mix(since + 1)), first[:-1])) if len(h) else np.empty(0, np.uint64)
+def unpacked(raw: bytes, kind=np.uint64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(kind).ravel()
 
 
-def in_piece(keys: np.ndarray, piece: int, pieces: int) -> np.ndarray:
-    return (keys & np.uint64(0xFFFF)) % np.uint64(pieces) == np.uint64(piece)
+def steps(keys: np.ndarray) -> np.ndarray:
+    """Ascending keys as differences."""
+    return np.diff(keys, prepend=np.uint64(0))
 
 
-class Tally:
-    """Counts by 64-bit key, merged as they grow."""
-
-    def __init__(self):
-        self.keys, self.counts, self.held = [], [], 0
-
-    def add(self, keys: np.ndarray) -> None:
-        keys, counts = np.unique(keys, return_counts=True)
-        self.keys.append(keys)
-        self.counts.append(counts)
-        self.held += len(keys)
-
-    def full(self) -> bool:
-        """Whether more than FLUSH keys are held after merging."""
-        if self.held > 2 * FLUSH:
-            keys, counts = self.merged()
-            self.keys, self.counts, self.held = [keys], [counts], len(keys)
-        return self.held > FLUSH
-
-    def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        return summed(self.keys, self.counts)
-
-    def take(self, parts: int) -> pa.RecordBatch:
-        """Everything held, one row for each of ``parts`` ranges of keys."""
-        keys, counts = self.merged()
-        self.__init__()
-        return by_part(keys, {"key": keys, "count": counts}, parts)
-
-
-def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key = np.concatenate([np.empty(0, np.uint64), *keys])
-    count = np.concatenate([np.empty(0, np.int64), *counts])
-    by = np.argsort(key, kind="stable")
-    key, count = key[by], count[by]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-    return key[first], np.add.reduceat(count, first) if len(key) else count
-
-
-def spread(keys: np.ndarray) -> np.ndarray:
-    """Other names of keys (bijective), which ascend with the part."""
-    return keys * np.uint64(0x9E3779B97F4A7C15)
-
-
-def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    return ((spread(keys) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
-
-
-def by_part(keys: np.ndarray, columns: dict[str, np.ndarray], parts: int) -> pa.RecordBatch:
-    """Arrays cut by the part of their key: a row for each part, with the raw
-    values of each column."""
-    part = part_of(keys, parts)
-    by = np.argsort(part, kind="stable")
-    found, at = np.unique(part[by], return_index=True)
-    ends = np.append(at[1:], len(part))[:len(at)].tolist()
-    raw = [pa.array([c[by[i:j]].tobytes() for i, j in zip(at.tolist(), ends, strict=True)], pa.binary()) for c in columns.values()]
-    return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *raw], ["part", *columns])
+@dataclass
+class Level:
+    """A block's n-grams of one length: its distinct keys in order, the number
+    of each token's n-gram among them (-1: none ends here), occurrences in the
+    block's training texts and, once known, in all of them (0: not kept)."""
 
+    keys: np.ndarray
+    at: np.ndarray
+    local: np.ndarray
+    count: np.ndarray | None = None
+    log: np.ndarray | None = None       # log10 probability of the arc
+    back: np.ndarray | None = None      # log10 weight of the failure arc
 
-def values(batch: pa.RecordBatch, column: str, kind) -> list[np.ndarray | None]:
-    return [np.frombuffer(v.as_buffer(), kind) if v.is_valid else None for v in batch.column(column)]
+    def kept(self) -> np.ndarray:
+        """Whether a kept n-gram ends at each token."""
+        return (self.at >= 0) & (np.append(self.count, 0)[self.at] > 0)
 
+    def of(self, values: np.ndarray, places=slice(None)) -> np.ndarray:
+        """Values of the n-grams that end at these places."""
+        return values[self.at[places]]
 
-def _counted(rows: DataFrame, count_into, parts: int, least: int = 1) -> DataFrame:
-    """(part, key, count, total, kinds, ones, twos): per part of the keys, the
-    keys of ``count_into`` over all rows and their counts (of ``least`` or
-    more), with sums over all of the part's keys."""
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally()
-        for batch in batches:
-            for block in blocks(batch, "text"):
-                tally.add(count_into(block))
-                if tally.full():
-                    yield tally.take(parts)
-        yield tally.take(parts)
+def level(keys: np.ndarray, where: np.ndarray, train: np.ndarray) -> Level:
+    """The n-grams that end at these places."""
+    distinct, number = np.unique(keys, return_inverse=True)
+    at = np.full(len(train), -1, np.int64)
+    at[where] = number
+    return Level(distinct, at, np.bincount(number[train[where]], minlength=len(distinct)))
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list, list]] = {}
-        for batch in batches:
-            for part, key, count in zip(batch.column("part").to_pylist(), values(batch, "key", np.uint64), values(batch, "count", np.int64), strict=True):
-                keys, counts = held.setdefault(part, ([], []))
-                keys.append(key)
-                counts.append(count)
-        for part, (keys, counts) in sorted(held.items()):
-            key, count = summed(keys, counts)
-            kept = count >= least
-            figures = [int(count.sum()), len(key), int((count == 1).sum()), int((count == 2).sum())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([key[kept].tobytes()], pa.binary()), pa.array([count[kept].tobytes()], pa.binary()), *[pa.array([x], pa.int64()) for x in figures]],
-                ["part", "key", "count", "total", "kinds", "ones", "twos"])
-
-    sent = rows.mapInArrow(local, "part int, key binary, count binary").repartition(parts, "part")
-    return sent.mapInArrow(whole, "part int, key binary, count binary, total bigint, kinds bigint, ones bigint, twos bigint")
-
-
-def _collect(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys with a count of ``least`` or more, in order, and their counts; the
-    caller's ``least`` bounds their number."""
-
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, count in zip(values(batch, "key", np.uint64), values(batch, "count", np.int64), strict=True):
-                some = count >= least
-                yield pa.RecordBatch.from_arrays([pa.array(key[some].view(np.int64)), pa.array(count[some])], ["key", "count"])
 
-    got = counted.select("key", "count").mapInArrow(frequent, "key bigint, count bigint").toArrow()
-    key, count = got["key"].to_numpy().view(np.uint64), got["count"].to_numpy()
-    by = np.argsort(key)
-    return key[by], count[by]
+@dataclass(frozen=True)
+class Corpus:
+    """Figures of all training tokens."""
 
-
-def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Places in sorted ``keys``, -1 where absent."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.searchsorted(keys, wanted)
-    at[at == len(keys)] = 0
-    return np.where(keys[at] == wanted, at, -1)
-
-
-@dataclass
-class Model:
-    """What every task holds: figures of the corpus, frequent words, and the
-    arcs and weights of frequent n-grams."""
-
-    total: int                                  # N
-    kinds: int                                  # V
-    discount: float                             # of unigram counts
-    head: np.ndarray                            # frequent words, with their counts
-    head_count: np.ndarray
-    order: int
-    hot: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
-    arc: np.ndarray = field(default_factory=lambda: np.empty(0))
-    back: np.ndarray = field(default_factory=lambda: np.empty(0))
+    total: int = 0              # N
+    kinds: int = 0              # V
+    discount: float = 0.5       # of unigram counts
 
     def unigram(self, count: np.ndarray) -> np.ndarray:
-        """log10 probability of words with these counts (0: unknown)."""
+        """Probability of words with these counts (0: unknown)."""
         if not self.total:
-            return np.zeros(len(count))
-        unknown = self.discount * self.kinds / self.total
-        return np.log10(np.where(count > 0, (count - self.discount) / self.total, unknown))
+            return np.ones(len(count))
+        return np.where(count > 0, (count - self.discount) / self.total, self.discount * self.kinds / self.total)
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 1) / (self.total + self.kinds + 1))
 
-    def _add(self, out: np.ndarray, follows: np.ndarray, keys: np.ndarray, at: np.ndarray) -> None:
-        """Add what the n-grams that end at these places give if frequent."""
-        found = find(self.hot, keys)
-        some = found >= 0
-        at, found = at[some], found[some]
-        out[at] += self.arc[found]
-        after = follows[at + 1]
-        out[at[after] + 1] += self.back[found[after]]
-
-    def read(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of each token's probability by frequent words and n-grams,
-        and the count of each token's word (-1: a tail word)."""
-        at = find(self.head, h)
-        count = np.where(at >= 0, self.head_count[at] if len(self.head) else 0, -1)
-        out = np.where(at >= 0, self.unigram(np.maximum(count, 1)), 0.0)
-        follows = np.ones(len(h) + 1, bool)
-        follows[first] = False
-        if self.order > 1:
-            self._add(out, follows, h, np.arange(len(h)))
-        for places, _, _, keys in grams(h, first, self.order):
-            self._add(out, follows, keys, places)
-        return out, count
-
-
-def _kept(learn: DataFrame, n: int, parts: int, piece: int, pieces: int) -> DataFrame:
-    """(key, prefix, suffix, count) of the n-grams that occur LEAST times."""
-    least = LEAST
-
-    def merged(prefix: list[np.ndarray], suffix: list[np.ndarray], count: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-        prefix, suffix, count = (np.concatenate(x) for x in (prefix, suffix, count))
-        key = joined(prefix, suffix)
-        by = np.argsort(spread(key))
-        key = key[by]
-        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-        return key[new], prefix[by[new]], suffix[by[new]], np.add.reduceat(count[by], new) if len(key) else count
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+
+class Block:
+    """A block's texts, and the part of the automaton that they reach, as far
+    as it is known."""
+
+    def __init__(self, row: dict, corpus: Corpus):
+        self.corpus = corpus
+        words = np.cumsum(unpacked(row["word"]), dtype=np.uint64)
+        number = np.frombuffer(row["token"], np.uint32)
+        size = np.frombuffer(row["size"], np.int64)
+        self.first = np.append(0, np.cumsum(size))
+        self.train = np.repeat(~np.frombuffer(row["held"], bool), size)
+        self.since = np.arange(len(number)) - np.repeat(self.first[:-1], size)
+        self.levels = [Level(words, number.astype(np.int64), np.bincount(number[self.train], minlength=len(words)))]
+
+    def learn(self, count: np.ndarray) -> None:
+        """Take the last level's counts; its arcs' probabilities follow."""
+        last = self.levels[-1]
+        last.count = count
+        if len(self.levels) == 1:
+            chance = self.corpus.unigram(count)
+        else:
+            lower = self.levels[-2]
+            ends = np.flatnonzero(last.at >= 0)
+            before = np.ones(len(count))
+            before[last.at[ends]] = lower.count[lower.at[ends - 1]]
+            chance = np.where(count > 0, (count - DISCOUNT) / before, 1.0)
+        last.log = np.log10(chance)
+
+    def extend(self, least: int) -> None:
+        """One word more, where the first and the last words are kept and
+        occur ``least`` times."""
+        last = self.levels[-1]
+        kept = (last.at >= 0) & (np.append(last.count, 0)[last.at] >= least)
+        where = np.flatnonzero(kept[1:] & kept[:-1] & (self.since[1:] >= len(self.levels))) + 1
+        self.levels.append(level(joined(last.of(last.keys, where - 1), last.of(last.keys, where)), where, self.train))
+
+    def states(self, n: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The n-grams of n words that occur ``least`` times: their numbers,
+        and this block's shares of their arcs' discounted probability and of
+        what these arcs' last words have by the state of one word less."""
+        state, arc = self.levels[n - 1], self.levels[n]
+        share = np.zeros(len(arc.keys))
+        np.divide(arc.local, arc.count, out=share, where=arc.count > 0)
+        ends = np.flatnonzero(arc.at >= 0)
+        of, less = np.zeros(len(arc.keys), np.int64), np.zeros(len(arc.keys))
+        of[arc.at[ends]] = state.at[ends - 1]
+        less[arc.at[ends]] = state.of(state.log)[ends]
+        used = np.bincount(of, share * np.power(10.0, arc.log), len(state.keys))
+        known = np.bincount(of, share * np.power(10.0, less), len(state.keys))
+        some = np.flatnonzero(state.count >= least)
+        return some, used[some], known[some]
+
+    def read(self) -> np.ndarray:
+        """log10 probability of each token, read from left to right.
+
+        Segments of the texts advance together, a token each a step.  A
+        segment starts ORDER - 1 tokens early at the root, which brings it to
+        the state that the text before it leads to.
+        """
+        order, total = len(self.levels), len(self.since)
+        size = np.diff(self.first)
+        count = -(-size // SEGMENT)
+        within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        begin = np.repeat(self.first[:-1], count) + within * SEGMENT
+        end = np.minimum(begin + SEGMENT, np.repeat(self.first[1:], count))
+        place = np.maximum(begin - (order - 1), np.repeat(self.first[:-1], count))
+        by = np.argsort(place - end, kind="stable")             # longest first
+        begin, end, place = begin[by], end[by], place[by]
+        kept = [one.kept() for one in self.levels]
+        out = np.zeros(total)
+        depth = np.zeros(len(place), np.int64)                  # of each segment's state: the words that it stands for
+        longest = int((end - place).max()) if len(place) else 0
+        for _ in range(longest):
+            going = int(np.searchsorted(place - end, 0)) if len(place) else 0
+            place, end, begin, depth = place[:going], end[:going], begin[:going], depth[:going]
+            gained, now = np.zeros(going), np.zeros(going, np.int64)
+            left = np.arange(going)
+            for d in range(order - 1, -1, -1):
+                here = left[depth[left] == d]
+                arc = kept[d][place[here]] | (d == 0)
+                took, failed = here[arc], here[~arc]
+                gained[took] += self.levels[d].of(self.levels[d].log, place[took])
+                now[took] = np.where(kept[d][place[took]], min(d + 1, order - 1), 0)
+                if d:
+                    gained[failed] += self.levels[d - 1].of(self.levels[d - 1].back, place[failed] - 1)
+                    depth[failed] -= 1
+                    left = left[depth[left] < d]
+            counted = place >= begin
+            out[place[counted]] = gained[counted]
+            depth, place = now, place + 1
+        return out
+
+
+def cut(rows: DataFrame) -> DataFrame:
+    """(block, keys, held, size, word, token): the texts of ``rows`` (key,
+    text, held) in blocks of BLOCK_TOKENS tokens, or of one text."""
+    kind, key_type = rows.schema["key"].dataType.simpleString(), to_arrow_type(rows.schema["key"].dataType)
+    most = BLOCK_TOKENS
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held, has = TaskContext.get().partitionId() << 32, [], 0
 
         def send() -> pa.RecordBatch:
-            key, prefix, suffix, count = merged(*zip(*held, strict=True))
-            held.clear()
-            return by_part(key, {"prefix": prefix, "suffix": suffix, "count": count.astype(np.uint32)}, parts)
+            keys = pa.concat_arrays([x[0].cast(key_type) for x in held])
+            words, number = np.unique(np.concatenate([x[3] for x in held]), return_inverse=True)
+            raw = [np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held]).astype(np.int64), number.astype(np.uint32)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name]), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), *[pa.array([x.tobytes()], pa.binary()) for x in raw[:2]],
+                 pa.array([packed(steps(words))], pa.binary()), pa.array([raw[2].tobytes()], pa.binary())],
+                ["block", "keys", "held", "size", "word", "token"])
 
         for batch in batches:
-            for block in blocks(batch, "text"):
-                *_, (_, prefix, suffix, key) = grams(*tokens(Words(block.column("text"))), n)
-                some = in_piece(key, piece, pieces)
-                held.append((prefix[some], suffix[some], np.ones(int(some.sum()), np.int64)))
-                if sum(len(x[0]) for x in held) > FLUSH:
+            for one in blocks(batch, "text"):
+                h, first = tokens(Words(one.column("text")))
+                if held and has + len(h) > most:
                     yield send()
+                    name, held, has = name + 1, [], 0
+                held.append((one.column("key"), one.column("held").to_numpy(zero_copy_only=False).astype(bool), np.diff(first), h))
+                has += len(h)
         if held:
             yield send()
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        for batch in batches:
-            for part, *found in zip(batch.column("part").to_pylist(), values(batch, "prefix", np.uint64), values(batch, "suffix", np.uint64), values(batch, "count", np.uint32), strict=True):
-                held.setdefault(part, []).append(found)
-        for part in sorted(held):
-            key, prefix, suffix, count = merged(*zip(*held.pop(part), strict=True))
-            some = count >= least
-            yield pa.RecordBatch.from_arrays([*[pa.array(x[some].view(np.int64)) for x in (key, prefix, suffix)], pa.array(count[some].astype(np.int64))], ["key", "prefix", "suffix", "count"])
-
-    sent = learn.mapInArrow(local, "part int, prefix binary, suffix binary, count binary").repartition(parts, "part")
-    return sent.mapInArrow(whole, "key bigint, prefix bigint, suffix bigint, count bigint")
-
-
-def _arcs(pieces: list[DataFrame], lower: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """(key, count, log, arc) of kept n-grams and (key, count, back) of their
-    first words; ``lower`` has key, count and log of n-grams of one word less."""
-    chance = F.col("count") - DISCOUNT
-    less = lower.select(F.col("key").alias("suffix"), F.col("log").alias("less"))
-    ends = reduce(DataFrame.unionByName, [land(piece.join(less, "suffix").drop("suffix"), f"lm-ends{n}") for piece in pieces])
-    sums = ends.groupBy("prefix").agg(F.sum(chance).alias("used"), F.sum(F.pow(F.lit(10.0), "less")).alias("known"))
-    rest = F.greatest(1 - F.col("used") / F.col("count"), F.lit(1e-12)) / F.greatest(1 - F.col("known"), F.lit(1e-12))
-    backs = land(sums.join(lower.select(F.col("key").alias("prefix"), "count"), "prefix").select(F.col("prefix").alias("key"), "count", F.log10(rest).alias("back")), f"lm-backs{n}")
-    log = F.log10(chance / F.col("before"))
-    starts = backs.select(F.col("key").alias("prefix"), F.col("count").alias("before"), "back")
-    arcs = ends.join(starts, "prefix").select("key", "count", log.alias("log"), (log - F.col("back") - F.col("less")).alias("arc"))
-    return land(arcs if n < ORDER else arcs.drop("log"), f"lm-arcs{n}"), backs
-
-
-def fit(rows: DataFrame, parts: int) -> tuple[Model, DataFrame, DataFrame | None]:
-    """The model, the table of all words' counts by part, and the values of
-    all n-grams by key (arcs and weights, to be added up); ``rows`` has text
-    and held (rows to leave out)."""
-
-    def word_keys(block: pa.RecordBatch) -> np.ndarray:
-        return tokens(Words(block.column("text")))[0]
-
-    learn = rows.where(~F.col("held")).select("text")
-    counted = land(_counted(learn, word_keys, parts), "lm-words")
-    sums = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "kinds", "ones", "twos")]).head()
-    head, head_count = _collect(counted, max(1, -(-sums.total // HEAD)))
-    discount = sums.ones / (sums.ones + 2 * sums.twos) if sums.ones and sums.twos else 0.5
-    model = Model(sums.total, sums.kinds, discount, head, head_count, ORDER)
-    unigram = Model(sums.total, sums.kinds, discount, head[:0], head_count[:0], 1).unigram
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, count in zip(values(batch, "key", np.uint64), values(batch, "count", np.int64), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count), pa.array(unigram(count))], ["key", "count", "log"])
-
-    lower = counted.select("key", "count").mapInArrow(words, "key bigint, count bigint, log double")
-    found, hot = [], []
-    for n in range(2, ORDER + 1):
-        lower, backs = _arcs([_kept(learn, n, parts, piece, n - 1) for piece in range(n - 1)], lower, n)
-        for table, column, most in ((backs, "back", HEAD if n == 2 else STATES), (lower, "arc", STATES)):
-            found.append(table.select("key", F.col(column).alias("value")))
-            hot.append((column, table.where(F.col("count") >= -(-sums.total // most)).select("key", column).toArrow()))     # at most ``most`` rows
-    if hot:
-        model.hot = np.unique(np.concatenate([t["key"].to_numpy().view(np.uint64) for _, t in hot]))
-        model.arc, model.back = np.zeros(len(model.hot)), np.zeros(len(model.hot))
-        for column, t in hot:
-            getattr(model, column)[find(model.hot, t["key"].to_numpy().view(np.uint64))] = t[column].to_numpy()
-    return model, counted, reduce(DataFrame.unionByName, found) if found else None
-
-
-def train(rows: DataFrame, parts: int) -> tuple[Model, DataFrame]:
-    """The model, and the table of all words' counts by part."""
-    return fit(rows, parts)[:2]
-
-
-def _looked_up(rows: DataFrame, shared, found: DataFrame, parts: int, piece: int, pieces: int) -> DataFrame:
-    """(text_id, rest): what a piece of the n-grams that aren't in every task
-    adds to the score of each text."""
-    names = ["part", "task", "key", "times", "doc", "value"]
-    schema = "part int, task bigint, key binary, times binary, doc binary, value binary"
-
-    def row_batch(size: int, **columns) -> pa.RecordBatch:
-        types = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
-        return pa.RecordBatch.from_arrays([columns[n] if n in columns else pa.nulls(size, t) for n, t in zip(names, types, strict=True)], names)
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The n-grams of texts by part, and the texts' ids; texts are named
-        by a task number and a row within it."""
-        model, task, row, ids, held = shared.value, TaskContext.get().partitionId() << 32, 0, [], []
-        hot = np.sort(spread(model.hot))
-
-        def send() -> Iterator[pa.RecordBatch]:
-            yield row_batch(1, part=pa.array([task % parts], pa.int32()), task=pa.array([task]), key=pa.array([np.concatenate(ids).tobytes()], pa.binary()))
-            key, doc = (np.concatenate(x) for x in zip(*held, strict=True))
-            named = spread(key)
-            by = np.argsort(named)
-            key, doc, named = key[by], doc[by].astype(np.uint32), named[by]
-            new = np.flatnonzero(np.concatenate([[True], named[1:] != named[:-1]])) if len(key) else np.empty(0, np.int64)
-            times = np.diff(np.append(new, len(key)))
-            rare = find(hot, named[new]) < 0
-            doc, key, times = doc[np.repeat(rare, times)], key[new][rare], times[rare]
-            ends = np.append(0, np.cumsum(times))
-            which, begin = np.unique(part_of(key, parts), return_index=True)
-            for p, i, j in zip(which.tolist(), begin.tolist(), [*begin[1:].tolist(), len(key)][:len(which)], strict=True):
-                yield row_batch(1, part=pa.array([p], pa.int32()), task=pa.array([task]), key=pa.array([spread(key[i:j]).tobytes()], pa.binary()),
-                                times=pa.array([_planes(times[i:j])], pa.binary()), doc=pa.array([_planes(doc[ends[i]:ends[j]])], pa.binary()))
-
-        for batch in batches:
-            for block in blocks(batch, "text"):
-                h, first = tokens(Words(block.column("text")))
-                n, doc = block.num_rows, np.repeat(np.arange(block.num_rows), np.diff(first)) + row
-                ids.append(text_ids(h, first))
-                for places, keys in ((slice(None), h), *((at, k) for at, _, _, k in grams(h, first, model.order))):
-                    some = in_piece(keys, piece, pieces)
-                    held.append((keys[some], doc[places][some]))
-                row += n
-                if sum(len(x[0]) for x in held) > FLUSH:
-                    yield from send()
-                    task, row, ids, held = task + 1, 0, [], []
-        if ids:
-            yield from send()
-
-    def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key = batch.column("key").to_numpy().view(np.uint64)
-            some = in_piece(key, piece, pieces)
-            sent = by_part(key[some], {"key": spread(key[some]), "value": batch.column("value").to_numpy()[some]}, parts)
-            yield row_batch(sent.num_rows, **{c: sent.column(c) for c in sent.schema.names})
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The sums of each part's values by text, sent back by task."""
-        table: dict[int, list] = {}
-        asked: dict[int, list] = {}
-        for batch in batches:
-            whole = batch.filter(pa.compute.and_(batch.column("times").is_null(), batch.column("value").is_null()))
-            if whole.num_rows:
-                yield whole
-            for part, task, key, times, doc, value in zip(batch.column("part").to_pylist(), batch.column("task").to_pylist(), values(batch, "key", np.uint64), batch.column("times").to_pylist(),
-                                                          batch.column("doc").to_pylist(), values(batch, "value", np.float64), strict=True):
-                if value is not None:
-                    table.setdefault(part, []).append((key, value))
-                elif times is not None:
-                    asked.setdefault(part, []).append((task, key, times, doc))
-        for part in sorted(asked):
-            keys, value = (np.concatenate([e, *x]) for e, x in zip((np.empty(0, np.uint64), np.empty(0)), zip(*table.pop(part), strict=True) if part in table else ((), ()), strict=True))
-            by = np.argsort(keys)
-            keys, value = keys[by], value[by]
-            new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-            keys, value = keys[new], np.add.reduceat(value, new) if len(keys) else value
-            for task, key, times, doc in asked.pop(part):
-                at = find(keys, key)
-                each = np.repeat(np.where(at >= 0, value[at] if len(value) else 0.0, 0.0), _unplanes(times))
-                docs_, inverse = np.unique(_unplanes(doc)[each != 0], return_inverse=True)
-                total = np.bincount(inverse, each[each != 0], len(docs_))
-                if len(docs_):
-                    yield row_batch(1, part=pa.array([part], pa.int32()), task=pa.array([task]), doc=pa.array([_planes(docs_)], pa.binary()), value=pa.array([total.tobytes()], pa.binary()))
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: dict[int, np.ndarray] = {}
-        sums: dict[int, list] = {}
-        for batch in batches:
-            for part, task, key, doc, value in zip(batch.column("part").to_pylist(), batch.column("task").to_pylist(), values(batch, "key", np.uint64), batch.column("doc").to_pylist(),
-                                                   values(batch, "value", np.float64), strict=True):
-                if value is None:
-                    ids[task] = key
+    return rows.mapInArrow(make, f"block bigint, keys array<{kind}>, held binary, size binary, word binary, token binary")
+
+
+def _gathered(texts: DataFrame, answers: list[DataFrame], homes: int, work: Callable, schema: str) -> DataFrame:
+    """``work(row, answers by round)`` for each block, where its answers of all
+    rounds meet its texts."""
+    columns = [f.name for f in texts.schema if f.name != "block"]
+    names = ["block", "round", "part", "answer", *columns]
+    laid = texts.select("block", F.lit(-1).alias("round"), F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("answer"), *columns)
+    for k, one in enumerate(answers):
+        laid = laid.unionByName(one.where("block >= 0").select("block", F.lit(k).alias("round"), "part", "answer"), allowMissingColumns=True)
+    laid = laid.select(names).repartitionById(homes, F.pmod(F.xxhash64("block"), F.lit(homes)).cast("int")).sortWithinPartitions("block", "round", "part")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((b, i) for b in batches for i in range(b.num_rows))
+        for _, group in groupby(rows, key=lambda x: x[0].column("block")[x[1]].as_py()):
+            row, found = None, {}
+            for b, i in group:
+                turn = b.column("round")[i].as_py()
+                if turn < 0:
+                    row = {c: b.column(c)[i] for c in columns}
+                    row = {c: v if c == "keys" else v.as_py() for c, v in row.items()} | {"block": b.column("block")[i].as_py()}
                 else:
-                    sums.setdefault(task, []).append((part, _unplanes(doc), value))
-        for task, key in ids.items():
-            out = np.zeros(len(key))
-            for _, doc, value in sorted(sums.pop(task, []), key=lambda x: x[0]):
-                out[doc] += value
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(out)], ["text_id", "rest"])
+                    found.setdefault(turn, []).append(b.column("answer")[i].as_py())
+            yield from work(row, found)
 
-    sent = rows.select("text").mapInArrow(ask, schema).unionByName(found.mapInArrow(stored, schema)).repartition(parts, "part").mapInArrow(look_up, schema)
-    return sent.repartition(parts, "task").mapInArrow(finish, "text_id bigint, rest double").groupBy("text_id").agg(F.max("rest").alias("rest"))     # equal texts have equal sums
+    return laid.mapInArrow(each, schema)
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """32-bit numbers, first byte by first byte: the rest is mostly zeros."""
-    return np.ascontiguousarray(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
+def _sent(block: int, keys: np.ndarray, columns: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
+    """Ascending keys and what belongs to them, one row for each part."""
+    part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+    found, at = np.unique(part, return_index=True)
+    ends = [*at[1:].tolist(), len(keys)]
+    raw = [[packed(c[i:j]) for i, j in zip(at.tolist(), ends, strict=False)] for c in columns]
+    coded = [packed(steps(keys[i:j])) for i, j in zip(at.tolist(), ends, strict=False)]
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(np.full(len(found), block, np.int64)), pa.array(coded, pa.binary()), *[pa.array(x, pa.binary()) for x in raw]],
+                                     ["part", "block", "keys", *[f"sum{k}" for k in range(len(columns))]])
 
 
-def _unplanes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+def _summed(sent: DataFrame, parts: int, kind, answer: Callable, figures: bool = False) -> DataFrame:
+    """(block, part, answer, ..): for each row sent, what ``answer`` makes of
+    the sums of its keys over all blocks."""
+    sums = [c for c in sent.columns if c.startswith("sum")]
+    names = ["block", "part", "answer", "total", "kinds", "ones", "twos"]
 
-
-def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            held += zip(*[batch.column(c).to_pylist() for c in ("block", "part", "keys", *sums)], strict=True)
+        if not held:
+            return
+        held.sort(key=lambda x: x[:2])              # sums don't depend on the order of arrival
+        keys = [np.cumsum(unpacked(x[2]), dtype=np.uint64) for x in held]
+        ends = np.cumsum([len(k) for k in keys]).tolist()
+        distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
+        del keys
+        total = [np.bincount(number, np.concatenate([unpacked(x[3 + k], kind) for x in held]), len(distinct)) for k in range(len(sums))]
+        result = answer(*total)
+        for (block, part, *_), i, j in zip(held, [0, *ends], ends, strict=False):
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part], pa.int32()), pa.array([packed(result[number[i:j]])], pa.binary()), *[pa.nulls(1, pa.int64())] * 4], names)
+        if figures:
+            count = total[0]
+            of_all = [int(count.sum()), int((count > 0).sum()), int((count == 1).sum()), int((count == 2).sum())]
+            yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([held[0][1]], pa.int32()), pa.nulls(1, pa.binary()), *[pa.array([x]) for x in of_all]], names)
+
+    return sent.repartitionById(parts, "part").mapInArrow(whole, "block bigint, part int, answer binary, total bigint, kinds bigint, ones bigint, twos bigint")
+
+
+def _joined(found: list[bytes], kind) -> np.ndarray:
+    """A block's answers of a round, in the order of its keys."""
+    return np.concatenate([np.empty(0, kind), *[unpacked(x, kind) for x in found]])
+
+
+def _rebuilt(row: dict, found: dict[int, list[bytes]], corpus: Corpus, order: int, least: int) -> Block:
+    """A block with all that earlier rounds have answered."""
+    block = Block(row, corpus)
+    for n in range(1, order + 1):
+        if n > 1:
+            block.extend(least)
+        if n - 1 in found or not len(block.levels[-1].keys):
+            block.learn(_joined(found.get(n - 1, []), np.int64))
+        else:
+            break
+    for n in range(1, order):
+        one = block.levels[n - 1] if n <= len(block.levels) else None
+        if one is not None and one.count is not None:
+            one.back = np.zeros(len(one.keys))
+            if order + n - 1 in found:
+                one.back[np.flatnonzero(one.count >= least)] = _joined(found[order + n - 1], np.float64)
+    return block
+
+
+def _weight(used: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """log10 weights of failure arcs; 1 for states without arcs."""
+    return np.log10(np.maximum(1 - used, 1e-12) / np.maximum(1 - known, 1e-12))
+
+
+def fit(texts: DataFrame, parts: int, order: int = ORDER, least: int = LEAST) -> tuple[Corpus, list[DataFrame]]:
+    """The corpus' figures, and the answers of all rounds to the blocks of
+    ``texts``: counts of words and n-grams by length, then weights of the
+    failure arcs of states by length."""
+    corpus, answers = Corpus(), []
+    kinds = "part int, block bigint, keys binary, sum0 binary"
+
+    for n in range(1, order + 1):
+        def ask(row: dict, found: dict, n=n, corpus=corpus) -> Iterator[pa.RecordBatch]:
+            last = _rebuilt(row, found, corpus, n, least).levels[-1] if n > 1 else Block(row, corpus).levels[0]
+            yield from _sent(row["block"], last.keys, [last.local.astype(np.int64)], parts)
+
+        fewest = 1 if n == 1 else least
+
+        def total(count: np.ndarray, fewest=fewest) -> np.ndarray:
+            return np.where(count >= fewest, count, 0).astype(np.int64)
+
+        answers.append(land(_summed(_gathered(texts, answers, parts, ask, kinds), parts, np.int64, total, n == 1), f"lm-counts{n}"))
+        if n == 1:
+            sums = answers[0].where("block < 0").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "kinds", "ones", "twos")]).head()
+            discount = sums.ones / (sums.ones + 2 * sums.twos) if sums.ones and sums.twos else 0.5
+            corpus = Corpus(sums.total, sums.kinds, discount)
+    counts = list(answers)
+    for n in range(1, order):
+        def offer(row: dict, found: dict, n=n) -> Iterator[pa.RecordBatch]:
+            block = _rebuilt(row, found, corpus, order, least)
+            some, used, known = block.states(n, least)
+            yield from _sent(row["block"], block.levels[n - 1].keys[some], [used, known], parts)
+
+        sent = _gathered(texts, counts[:n + 1], parts, offer, f"{kinds}, sum1 binary")
+        answers.append(land(_summed(sent, parts, np.float64, _weight), f"lm-weights{n}"))
+    return corpus, answers
+
+
+def score(docs: DataFrame, text: str = "text", key: str = "doc_id", order: int = ORDER, least: int = LEAST) -> DataFrame:
     """One row per row of ``docs``: key, held_out, n_tokens, n_known,
-    train_tokens, base_score (add-one unigrams), score (with all kept n-grams).
+    train_tokens, base_score (add-one unigrams), score (by the automaton).
 
     Documents whose crc32 of the key's text leaves HELD_OUT modulo FOLDS are
     held out, all others are learnt from.  A null text counts as empty (its
     end token alone), a null key as the empty text's; repeated rows are
-    counted and scored each; an empty table gives no rows; other columns play
-    no part.
+    counted and scored each; an empty table gives no rows; a text longer than
+    a block is a block of its own; other columns play no part.
     """
-    kind, key_type = docs.schema[key].dataType.simpleString(), to_arrow_type(docs.schema[key].dataType)
+    kind = docs.schema[key].dataType.simpleString()
     held = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), held.alias("held"))
-    parts = partitions(rows)
-    model, counted, found = fit(rows, parts)
-    shared = docs.sparkSession.sparkContext.broadcast(model)        # HEAD words, STATES n-grams of each order
-    rest = [land(_looked_up(rows, shared, found, parts, piece, PIECES), "lm-rest") for piece in range(PIECES if found is not None else 0)]
-
-    names = ["part", "task", "key", "held", "text_id", "row", "tokens", "known", "base", "score", "word", "doc", "times", "count"]
-    schema = f"part int, task bigint, key {kind}, held boolean, text_id bigint, row int, tokens bigint, known bigint, base double, score double, word binary, doc binary, times binary, count binary"
-    types = [pa.int32(), pa.int64(), key_type, pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-
-    def row_batch(size: int, **columns) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([columns[n] if n in columns else pa.nulls(size, t) for n, t in zip(names, types, strict=True)], names)
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What the model gives for each document, and the tail words of
-        documents; both named by a task number and a row within it."""
-        model, task, row, tail = shared.value, TaskContext.get().partitionId() << 32, 0, []
-
-        def send() -> Iterator[pa.RecordBatch]:
-            word, doc, times = (np.concatenate(x) for x in zip(*tail, strict=True))
-            sent = by_part(word, {"word": word, "doc": doc, "times": times}, parts)
-            yield row_batch(sent.num_rows, task=pa.array(np.full(sent.num_rows, task)), **{c: sent.column(c) for c in sent.schema.names})
-
-        for batch in batches:
-            for block in blocks(batch, "text"):
-                h, first = tokens(Words(block.column("text")))
-                log, count = model.read(h, first)
-                n, doc = block.num_rows, np.repeat(np.arange(block.num_rows), np.diff(first))
-                known = count >= 0
-                base = np.where(known, model.base(np.maximum(count, 0)), 0.0)
-                rest = np.lexsort((h[~known], doc[~known]))
-                word, of = h[~known][rest], doc[~known][rest]
-                new = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (of[1:] != of[:-1])])) if len(word) else np.empty(0, np.int64)
-                tail.append((word[new], (of[new] + row).astype(np.uint32), np.diff(np.append(new, len(word))).astype(np.uint32)))
-                sums = [np.bincount(doc, w, n) for w in (known, base, log)]
-                yield row_batch(n, part=pa.array(((row + np.arange(n)) % parts).astype(np.int32)), task=pa.array(np.full(n, task)), key=block.column("key"), held=block.column("held"),
-                                text_id=pa.array(text_ids(h, first).view(np.int64)), row=pa.array(row + np.arange(n), pa.int32()), tokens=pa.array(np.diff(first), pa.int64()), known=pa.array(sums[0].astype(np.int64)), base=pa.array(sums[1]), score=pa.array(sums[2]))
-                row += n
-                if sum(len(t[0]) for t in tail) > FLUSH:
-                    yield from send()
-                    task, row, tail = task + 1, 0, []
-        if tail:
-            yield from send()
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The counts of tail words, sent back by task."""
-        table: dict[int, tuple] = {}
-        asked: dict[int, list] = {}
-        for batch in batches:
-            whole = batch.filter(batch.column("word").is_null())
-            if whole.num_rows:
-                yield whole
-            some = batch.filter(batch.column("word").is_valid())
-            for part, task, word, doc, times, count in zip(some.column("part").to_pylist(), some.column("task").to_pylist(), values(some, "word", np.uint64),
-                                                           values(some, "doc", np.uint32), values(some, "times", np.uint32), values(some, "count", np.int64), strict=True):
-                if count is not None:
-                    table[part] = (word, count)
-                else:
-                    asked.setdefault(part, []).append((task, word, doc, times))
-        for part, found in sorted(asked.items()):
-            keys, counts = table.get(part, (np.empty(0, np.uint64), np.empty(0, np.int64)))
-            for task, word, doc, times in found:
-                at = find(keys, word)
-                count = np.where(at >= 0, counts[at] if len(counts) else 0, 0)
-                yield row_batch(1, part=pa.array([part], pa.int32()), task=pa.array([task]), doc=pa.array([doc.tobytes()], pa.binary()), times=pa.array([times.tobytes()], pa.binary()),
-                                count=pa.array([count.astype(np.uint64).tobytes()], pa.binary()))
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Both halves of each document's sums, task by task."""
-        model = shared.value
-        held_rows: dict[int, list[pa.RecordBatch]] = {}
-        more: dict[int, list] = {}
-        for batch in batches:
-            task = batch.column("task").to_numpy()
-            whole = batch.column("row").is_valid().to_numpy(zero_copy_only=False)
-            for t in np.unique(task[whole]).tolist():
-                held_rows.setdefault(t, []).append(batch.select(["key", "held", "text_id", "row", "tokens", "known", "base", "score"]).filter(pa.array(whole & (task == t))))
-            some = batch.filter(pa.array(~whole))
-            for t, part, doc, times, count in zip(some.column("task").to_pylist(), some.column("part").to_pylist(), values(some, "doc", np.uint32), values(some, "times", np.uint32), values(some, "count", np.uint64), strict=True):
-                more.setdefault(t, []).append((part, doc, times, count))
-        for t, found in held_rows.items():
-            rows_ = pa.Table.from_batches(found).combine_chunks()
-            at = rows_["row"].to_numpy()
-            sums = np.zeros((3, int(at.max()) + 1))
-            for _, doc, times, count in sorted(more.pop(t, []), key=lambda x: x[0]):
-                count = count.astype(np.int64)
-                for s, w in zip(sums, (count > 0, model.base(count), model.unigram(count)), strict=True):
-                    s += np.bincount(doc, times * w, len(s))
-            yield pa.RecordBatch.from_arrays(
-                [rows_["key"].combine_chunks(), rows_["held"].combine_chunks(), rows_["tokens"].combine_chunks(), pa.array(rows_["known"].to_numpy() + sums[0][at].astype(np.int64)),
-                 pa.array(np.full(len(at), model.total, np.int64)), pa.array(rows_["base"].to_numpy() + sums[1][at]), pa.array(rows_["score"].to_numpy() + sums[2][at]), rows_["text_id"].combine_chunks()],
-                ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "text_id"])
-
-    done = rows.mapInArrow(read, schema)
-    stored = counted.select("part", *[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("word", "count") else F.col({"word": "key"}.get(f.name, f.name)).alias(f.name) for f in done.schema[1:]])
-    answered = done.unionByName(stored).repartition(parts, "part").mapInArrow(look_up, schema)
-    out = answered.repartition(parts, "task").mapInArrow(finish, f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, text_id bigint")
-    if rest:
-        sums = reduce(DataFrame.unionByName, rest).groupBy("text_id").agg(F.sum("rest").alias("rest"))
-        out = out.join(sums, "text_id", "left").withColumn("score", F.col("score") + F.coalesce("rest", F.lit(0.0)))
-    return out.select(F.col("key").alias(key), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    parts = partitions(rows, part_bytes=PART_BYTES)
+    texts = land(cut(rows), "lm-texts")
+    corpus, answers = fit(texts, parts, order, least)
+
+    def read(row: dict, found: dict) -> Iterator[pa.RecordBatch]:
+        block = _rebuilt(row, found, corpus, order, least)
+        words, size = block.levels[0], np.diff(block.first)
+        doc, count = np.repeat(np.arange(len(size)), size), words.of(words.count)
+        base, known, log = (np.bincount(doc, w, len(size)) for w in (corpus.base(count), count > 0, block.read()))
+        yield pa.RecordBatch.from_arrays(
+            [row["keys"].values, pa.array(np.frombuffer(row["held"], bool)), pa.array(size, pa.int64()),
+             pa.array(known.astype(np.int64)), pa.array(np.full(len(size), corpus.total, np.int64)), pa.array(base), pa.array(log)],
+            [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return _gathered(texts, answers, parts, read, f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

@@ -97,7 +97,7 @@ def test_components(spark):
     assert {a: b for a, b in zip(x.tolist(), y.tolist(), strict=True)} == {x: r for x, r in label.items() if x != r}
 
 
-def test_language_model_base_and_normalisation(spark, monkeypatch):
+def test_language_model_base(spark):
     texts = corpus() * 3
     rows = docs(spark, texts)
     got = {r.doc_id: r for r in language_model.score(rows).collect()}
@@ -113,65 +113,76 @@ def test_language_model_base_and_normalisation(spark, monkeypatch):
     assert sum(got[i + 10].score for i in outside) > sum(got[i + 10].base_score for i in outside)
 
 
-def test_language_model_probabilities_sum_to_one(spark):
-    from pyspark.sql import functions as F
-    model, counted = language_model.train(docs(spark, corpus() * 3).select("text", F.lit(False).alias("held")), 4)
-    words = model.head
-    assert len(words) == model.kinds                    # a small corpus: every word is frequent
-    unknown = model.discount * model.kinds / model.total
-    for context in (words[:0], words[:1], words[3:5]):
-        chances = []
-        for w in words:
-            log, _ = model.read(np.concatenate([context, [w]]).astype(np.uint64), np.array([0, len(context) + 1]))
-            chances.append(10 ** log[-1])
-        back = model.read(np.concatenate([context, [np.uint64(1)]]).astype(np.uint64), np.array([0, len(context) + 1]))[0][-1]
-        assert sum(chances) + unknown * 10 ** back == pytest.approx(1, abs=1e-6)
-
-
-def test_language_model_unseen_tail_words(spark, monkeypatch):
-    """Scores don't depend on which words are looked up by the shuffle."""
-    rows = docs(spark, corpus() * 3)
-    first = {r.doc_id: r for r in language_model.score(rows).collect()}
-    monkeypatch.setattr(language_model, "HEAD", 64)
-    monkeypatch.setattr(language_model, "STATES", 64)
-    monkeypatch.setattr(language_model, "ORDER", 1)
-    base = {r.doc_id: r for r in language_model.score(rows).collect()}
-    assert all(base[k].n_known == first[k].n_known and base[k].base_score == pytest.approx(first[k].base_score) for k in first)
-    assert language_model.score(rows.limit(0)).count() == 0
-
-
-def plain_scores(texts, held):
-    """Backoff scores by dictionaries: all n-grams of two occurrences."""
+def plain_model(texts, held, order=3, least=2):
+    """Tokens of the texts, counts of words, and the backoff model's chance of
+    an n-gram's last word, by dictionaries."""
     tokens = [[*ASCII.findall(lower(t)), None] for t in texts]
-    count = [Counter(tuple(ws[i:i + n]) for ws, h in zip(tokens, held, strict=True) if not h for i in range(len(ws) - n + 1)) for n in (1, 2, 3)]
+    count = [Counter(tuple(ws[i:i + n]) for ws, h in zip(tokens, held, strict=True) if not h for i in range(len(ws) - n + 1)) for n in range(1, order + 1)]
     total, ones, twos = sum(count[0].values()), sum(c == 1 for c in count[0].values()), sum(c == 2 for c in count[0].values())
     discount = ones / (ones + 2 * twos) if ones and twos else 0.5
-    kept = [count[0], *({g: c for g, c in grams.items() if c >= 2} for grams in count[1:])]
-    more = [{}, {}]
-    for n in (1, 2):
-        for g in kept[n]:
-            more[n - 1].setdefault(g[:-1], []).append(g)
+    kept = [count[0], *({g: c for g, c in grams.items() if c >= least} for grams in count[1:])]
+    more = {}
+    for grams in kept[1:]:
+        for g in grams:
+            more.setdefault(g[:-1], []).append(g)
 
     def chance(g):
         if len(g) == 1:
             return (count[0][g] - discount) / total if g in count[0] else discount * len(count[0]) / total
         if g in kept[len(g) - 1]:
             return (kept[len(g) - 1][g] - 0.5) / count[len(g) - 2][g[:-1]]
-        rest = more[len(g) - 2].get(g[:-1], [])
-        return chance(g[1:]) * (1 - sum(map(chance, rest))) / (1 - sum(chance(x[1:]) for x in rest))
+        rest = more.get(g[:-1], [])
+        return chance(g[1:]) * max(1 - sum(map(chance, rest)), 1e-12) / max(1 - sum(chance(x[1:]) for x in rest), 1e-12)
 
-    return [sum(math.log10(chance(tuple(ws[max(0, i - 2):i + 1]))) for i in range(len(ws))) for ws in tokens]
+    return tokens, count[0], chance
 
 
-@pytest.mark.parametrize("states", [1 << 17, 64, 4])
-def test_language_model_keeps_all_repeated_ngrams(spark, monkeypatch, states):
-    """Whatever share of the n-grams goes to every task, all count."""
-    monkeypatch.setattr(language_model, "STATES", states)
-    monkeypatch.setattr(language_model, "HEAD", min(language_model.HEAD, 4 * states))
+def plain_scores(texts, held, order=3, least=2):
+    tokens, _, chance = plain_model(texts, held, order, least)
+    return [sum(math.log10(chance(tuple(ws[max(0, i - order + 1):i + 1]))) for i in range(len(ws))) for ws in tokens]
+
+
+def held_out(texts):
+    return [zlib.crc32(str(i + 10).encode()) % 7 == 2 for i in range(len(texts))]
+
+
+def test_language_model_probabilities_sum_to_one():
+    """Of the model that the scores below are held against."""
+    texts = corpus()
+    tokens, words, chance = plain_model(texts, held_out(texts))
+    for context in ((), tuple(tokens[0][:1]), tuple(tokens[0][:2]), tuple(tokens[1][3:5]), ("no", "such")):
+        assert sum(chance((*context, *w)) for w in words) + chance((*context, "unknown!")) == pytest.approx(1)
+
+
+@pytest.mark.parametrize(("size", "segment"), [(1 << 20, 256), (300, 4), (1, 1)])
+def test_language_model_is_the_plain_model(spark, monkeypatch, size, segment):
+    """However the texts are cut into blocks and segments."""
+    monkeypatch.setattr(language_model, "BLOCK_TOKENS", size)
+    monkeypatch.setattr(language_model, "SEGMENT", segment)
     texts = corpus()
-    held = [zlib.crc32(str(i + 10).encode()) % 7 == 2 for i in range(len(texts))]
     got = {r.doc_id: r.score for r in language_model.score(docs(spark, texts)).collect()}
-    assert [got[i + 10] for i in range(len(texts))] == pytest.approx(plain_scores(texts, held))
+    assert [got[i + 10] for i in range(len(texts))] == pytest.approx(plain_scores(texts, held_out(texts)))
+
+
+@pytest.mark.parametrize(("order", "least"), [(1, 2), (2, 1), (3, 1), (4, 2)])
+def test_language_model_orders(spark, order, least):
+    texts = corpus()
+    got = {r.doc_id: r.score for r in language_model.score(docs(spark, texts), order=order, least=least).collect()}
+    assert [got[i + 10] for i in range(len(texts))] == pytest.approx(plain_scores(texts, held_out(texts), order, least))
+
+
+def test_language_model_edges(spark):
+    """Null keys, clashing names, repeated rows, a very long text, a table
+    without training texts, an empty one."""
+    long = " ".join(f"w{i % 997}" for i in range(60000))
+    rows = spark.createDataFrame([(None, "a b c", 1), (None, None, 2), (7, "a b c", 3), (7, "a b c", 3), (8, long, 4)], "key bigint, text string, block int")
+    got = language_model.score(rows, key="key").collect()
+    assert sorted((r.key or 0, r.n_tokens) for r in got) == [(0, 1), (0, 4), (7, 4), (7, 4), (8, 60001)]
+    assert len({r.score for r in got if r.n_tokens == 4}) == 1
+    only = [k for k in range(50) if zlib.crc32(str(k).encode()) % 7 == 2]
+    got = language_model.score(spark.createDataFrame([(k, "a b") for k in only], "doc_id bigint, text string")).collect()
+    assert len(got) == len(only) and all((r.held_out, r.n_known, r.train_tokens, r.base_score) == (True, 0, 0, 0.0) for r in got)
+    assert language_model.score(rows.limit(0), key="key").count() == 0
 
 
 def test_nearest(spark):
