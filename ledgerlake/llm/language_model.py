@@ -174,7 +174,7 @@ class Block:
         ends = np.flatnonzero(arc.at >= 0)
         of, less = np.zeros(len(arc.keys), np.int64), np.zeros(len(arc.keys))
         of[arc.at[ends]] = state.at[ends - 1]
-        less[arc.at[ends]] = state.of(state.log)[ends]
+        less[arc.at[ends]] = state.of(state.log, ends)
         used = np.bincount(of, share * np.power(10.0, arc.log), len(state.keys))
         known = np.bincount(of, share * np.power(10.0, less), len(state.keys))
         some = np.flatnonzero(state.count >= least)
