@@ -18,6 +18,7 @@ from ..sources import export_fixtures as X
 from ..sources import files as FL
 from ..sources import schema as SC
 from ..sources import sinks as SK
+from ..sources import slices as SL
 from ..sources import split_files as SF
 
 M2 = "DECIMAL(18,2)"
@@ -29,6 +30,7 @@ ROUTING_RULES = [
     ("bill_xml", "*/xml/*.txt", "ods_el_fin"),
 ]
 SKIP = ["*/_SUCCESS", "*.crc"]
+ALIAS_BUCKETS = 16          # of the alias dimension, a row per store and platform
 
 
 def _rel(root, path="path"):
@@ -259,12 +261,12 @@ def sink_replace_partition(v):
     """Daily loads replace only their own ``dt`` partitions (idempotent)."""
     path = scratch_path(v.spark, f"ods_fin_line/{X.new_root(v.spark).split('/')[-1]}")
     f = v.fin_line.select("order_no", "line_no", "fee_type", "amount", "dt")
-    SK.replace_partition(f, path)
+    SL.replace(f, path, "dt")
     # reload two days: same rows again plus a marker, then reload them clean
     days = f.where(F.col("dt").isin(F.lit("1996-01-02").cast("date"), F.lit("1996-01-03").cast("date")))
-    SK.replace_partition(days.withColumn("fee_type", F.lit("stale")), path)
-    SK.replace_partition(days, path)
-    return v.spark.read.parquet(path)
+    SL.replace(days.withColumn("fee_type", F.lit("stale")), path, "dt")
+    SL.replace(days, path, "dt")
+    return SL.read(v.spark, path)
 
 
 @query("sink_upsert_last_wins")
@@ -280,7 +282,11 @@ def sink_upsert_last_wins(v):
                  F.concat(F.lit("Newer-"), F.col("n_name")).alias("store_name"),
                  F.lit("淘宝闪购").alias("platform"), F.col("n_name").alias("store_short_name"),
                  F.lit(2).alias("_pos")))
-    return SK.upsert_last_wins(tgt, src, ["platform_store_id", "platform"], "_pos")
+    path = scratch_path(v.spark, f"dim_alias/{X.new_root(v.spark).split('/')[-1]}")
+    keys = ["platform_store_id", "platform"]
+    SL.create_keyed(tgt, path, keys, ALIAS_BUCKETS)
+    SL.upsert(src, path, keys, "_pos", ALIAS_BUCKETS)
+    return SL.read_keyed(v.spark, path)
 
 
 reg("sink_upsert_last_wins", ["store_alias"], """
@@ -380,6 +386,25 @@ def schema_conform(v):
     return SC.conform(v.order_export.drop("receivable_fmt"), schema).drop("_load_time")
 
 
+@query("schema_evolve")
+def schema_evolve(v):
+    """Finance lines landed in two loads: days before 1996 without the amount
+    column and with an int width, later ones with the amount and a wider
+    number.  Both are read together under the newest columns."""
+    path = scratch_path(v.spark, f"ods_evolving/{X.new_root(v.spark).split('/')[-1]}")
+    f = v.fin_line.select("order_no", F.length("order_no").alias("width"), "fee_type", "amount", "dt")
+    early = F.col("dt") < F.lit("1996-01-01").cast("date")
+    SL.replace(f.where(early).drop("amount"), path, "dt")
+    SL.replace(f.where(~early).withColumn("width", F.col("width").cast("bigint")), path, "dt")
+    return SL.read(v.spark, path)
+
+
+reg("schema_evolve", ["fin_line"], """
+SELECT order_no, CAST(LENGTH(order_no) AS BIGINT) AS width, fee_type,
+       CASE WHEN dt >= DATE '1996-01-01' THEN amount END AS amount, dt
+FROM fin_line WHERE dt IS NOT NULL""")
+
+
 @query("schema_drift_report")
 def schema_drift_report(v):
     """Declared vs existing columns of the order export: new / extra / ok, with
