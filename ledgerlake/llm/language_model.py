@@ -43,7 +43,7 @@ ORDER = 3
 LEAST = 2                   # occurrences of a kept n-gram of two words or more
 DISCOUNT = 0.5              # of the counts of n-grams of two words or more
 FOLDS, HELD_OUT = 7, 2
-BLOCK_TOKENS = 1 << 20      # tokens of a block, or one text
+BLOCK_TOKENS = 1 << 19      # tokens of a block, or one text
 PART_BYTES = 32 << 20       # text bytes for each part of the key space
 SEGMENT = 256               # tokens of a text that are read one after the other
 END = np.uint64(0x656E64206F662074)         # the end token's hash
@@ -67,12 +67,16 @@ def joined(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """64-bit values, first bytes first: bytes that are mostly zero compress."""
-    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Values compressed byte by byte: all first bytes, all second ones, ..;
+    high bytes are mostly zero."""
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T)
+    return planes.nbytes.to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
 
 def unpacked(raw: bytes, kind=np.uint64) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(kind).ravel()
+    planes = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def steps(keys: np.ndarray) -> np.ndarray:
@@ -135,7 +139,8 @@ class Block:
     def __init__(self, row: dict, corpus: Corpus):
         self.corpus = corpus
         words = np.cumsum(unpacked(row["word"]), dtype=np.uint64)
-        number = np.frombuffer(row["token"], np.uint32)
+        frequent = unpacked(row["rank"], np.uint32)             # words, the most frequent first
+        number = frequent[unpacked(row["token"], np.uint32)]
         size = np.frombuffer(row["size"], np.int64)
         self.first = np.append(0, np.cumsum(size))
         self.train = np.repeat(~np.frombuffer(row["held"], bool), size)
@@ -222,7 +227,7 @@ class Block:
 
 
 def cut(rows: DataFrame) -> DataFrame:
-    """(block, keys, held, size, word, token): the texts of ``rows`` (key,
+    """(block, keys, held, size, word, rank, token): the texts of ``rows`` (key,
     text, held) in blocks of BLOCK_TOKENS tokens, or of one text."""
     kind, key_type = rows.schema["key"].dataType.simpleString(), to_arrow_type(rows.schema["key"].dataType)
     most = BLOCK_TOKENS
@@ -232,12 +237,15 @@ def cut(rows: DataFrame) -> DataFrame:
 
         def send() -> pa.RecordBatch:
             keys = pa.concat_arrays([x[0].cast(key_type) for x in held])
-            words, number = np.unique(np.concatenate([x[3] for x in held]), return_inverse=True)
-            raw = [np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held]).astype(np.int64), number.astype(np.uint32)]
+            words, number, times = np.unique(np.concatenate([x[3] for x in held]), return_inverse=True, return_counts=True)
+            frequent = np.argsort(-times, kind="stable").astype(np.uint32)
+            rank = np.empty(len(words), np.uint32)
+            rank[frequent] = np.arange(len(words))
+            raw = [np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held]).astype(np.int64)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([name]), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), *[pa.array([x.tobytes()], pa.binary()) for x in raw[:2]],
-                 pa.array([packed(steps(words))], pa.binary()), pa.array([raw[2].tobytes()], pa.binary())],
-                ["block", "keys", "held", "size", "word", "token"])
+                [pa.array([name]), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), *[pa.array([x.tobytes()], pa.binary()) for x in raw],
+                 *[pa.array([packed(x)], pa.binary()) for x in (steps(words), frequent, rank[number])]],
+                ["block", "keys", "held", "size", "word", "rank", "token"])
 
         for batch in batches:
             for one in blocks(batch, "text"):
@@ -250,7 +258,7 @@ def cut(rows: DataFrame) -> DataFrame:
         if held:
             yield send()
 
-    return rows.mapInArrow(make, f"block bigint, keys array<{kind}>, held binary, size binary, word binary, token binary")
+    return rows.mapInArrow(make, f"block bigint, keys array<{kind}>, held binary, size binary, word binary, rank binary, token binary")
 
 
 def _gathered(texts: DataFrame, answers: list[DataFrame], homes: int, work: Callable, schema: str) -> DataFrame:
