@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
@@ -287,9 +288,13 @@ def _gathered(texts: DataFrame, answers: list[DataFrame], homes: int, work: Call
     return laid.mapInArrow(each, schema)
 
 
-def _sent(block: int, keys: np.ndarray, columns: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
-    """Ascending keys and what belongs to them, one row for each part."""
+def _sent(block: int, keys: np.ndarray, columns: list[np.ndarray], parts: int, piece: int = 0, pieces: int = 1) -> Iterator[pa.RecordBatch]:
+    """Ascending keys and what belongs to them, one row for each part of this
+    piece (every ``pieces``-th part)."""
     part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+    if pieces > 1:
+        some = part % pieces == piece
+        part, keys, columns = part[some], keys[some], [c[some] for c in columns]
     found, at = np.unique(part, return_index=True)
     ends = [*at[1:].tolist(), len(keys)]
     raw = [[packed(c[i:j]) for i, j in zip(at.tolist(), ends, strict=False)] for c in columns]
@@ -298,7 +303,7 @@ def _sent(block: int, keys: np.ndarray, columns: list[np.ndarray], parts: int) -
                                      ["part", "block", "keys", *[f"sum{k}" for k in range(len(columns))]])
 
 
-def _summed(sent: DataFrame, parts: int, kind, answer: Callable, figures: bool = False) -> DataFrame:
+def _summed(sent: DataFrame, parts: int, kind, answer: Callable, figures: bool = False, pieces: int = 1) -> DataFrame:
     """(block, part, answer, ..): for each row sent, what ``answer`` makes of
     the sums of its keys over all blocks."""
     sums = [c for c in sent.columns if c.startswith("sum")]
@@ -324,7 +329,7 @@ def _summed(sent: DataFrame, parts: int, kind, answer: Callable, figures: bool =
             of_all = [int(count.sum()), int((count > 0).sum()), int((count == 1).sum()), int((count == 2).sum())]
             yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([held[0][1]], pa.int32()), pa.nulls(1, pa.binary()), *[pa.array([x]) for x in of_all]], names)
 
-    return sent.repartitionById(parts, "part").mapInArrow(whole, "block bigint, part int, answer binary, total bigint, kinds bigint, ones bigint, twos bigint")
+    return sent.repartitionById(-(-parts // pieces), F.floor(F.col("part") / pieces).cast("int")).mapInArrow(whole, "block bigint, part int, answer binary, total bigint, kinds bigint, ones bigint, twos bigint")
 
 
 def _joined(found: list[bytes], kind) -> np.ndarray:
@@ -380,13 +385,16 @@ def fit(texts: DataFrame, parts: int, order: int = ORDER, least: int = LEAST) ->
             corpus = Corpus(sums.total, sums.kinds, discount)
     counts = list(answers)
     for n in range(1, order):
-        def offer(row: dict, found: dict, n=n) -> Iterator[pa.RecordBatch]:
-            block = _rebuilt(row, found, corpus, order, least)
-            some, used, known = block.states(n, least)
-            yield from _sent(row["block"], block.levels[n - 1].keys[some], [used, known], parts)
-
-        sent = _gathered(texts, counts[:n + 1], parts, offer, f"{kinds}, sum1 binary")
-        answers.append(land(_summed(sent, parts, np.float64, _weight), f"lm-weights{n}"))
+        landed = []
+        for piece in range(n):                      # longer states are more: one piece after the other, so that shuffle files stay small
+            def offer(row: dict, found: dict, n=n, piece=piece) -> Iterator[pa.RecordBatch]:
+                block = _rebuilt(row, found, corpus, n + 1, least)
+                some, used, known = block.states(n, least)
+                yield from _sent(row["block"], block.levels[n - 1].keys[some], [used, known], parts, piece, n)
+
+            sent = _gathered(texts, counts[:n + 1], parts, offer, f"{kinds}, sum1 binary")
+            landed.append(land(_summed(sent, parts, np.float64, _weight, pieces=n), f"lm-weights{n}"))
+        answers.append(reduce(DataFrame.unionByName, landed))
     return corpus, answers
 
 
