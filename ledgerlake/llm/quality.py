@@ -7,9 +7,11 @@ logistic regressions over yes/no features.  Over some rounds each labels the
 unlabelled documents that it is surest of, for the other to learn from.  A
 held-out part of the labelled rows then calibrates the two views together.
 
-Fitting uses a bounded sample (SAMPLE_LABELLED labelled and SAMPLE_PLAIN
-unlabelled documents, the first by a hash of the key); every document is
-scored.
+Fitting uses a bounded sample of labelled documents (SAMPLE_LABELLED, the
+first by a hash of the key).  Pseudo-labels come from all unlabelled
+documents: each round scores every one, and each view labels those it is
+surest of for each class (SHARE of all, PSEUDO at most), equal documents once.
+Every document is scored.
 """
 
 from __future__ import annotations
@@ -23,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.store import land
 from ledgerlake.llm.textarrays import ALNUM, Words, blocks
 
 SAMPLE_LABELLED = 8000
-SAMPLE_PLAIN = 4000
 ROUNDS = 4
 SURE = 0.97                 # least probability of a pseudo-label
-SHARE = 0.05                # of the unlabelled documents, most that a view labels in a round for each class
+SHARE, PSEUDO = 0.05, 200   # unlabelled documents that a view labels in a round for each class: a share, and at most
 KEEP_GOOD = 0.995           # share of good held-out documents that the cut must keep
 CUT = 0.5                   # highest cut
 WORD_BITS = 18
@@ -145,67 +147,116 @@ def labelled(labels: DataFrame) -> DataFrame:
     return rows.groupBy(F.col("doc_id").alias("key")).agg(F.min(good.cast("int")).alias("good"))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
-    """Fit on the bounded sample.  Without labels of both classes the model
-    keeps every document (score: the share of good labels, 1 if none)."""
-    rows, marks = _prepared(docs, key, text), labelled(labels)
-    ids = rows.select("key").where(F.col("key").isNotNull())
-    order = F.xxhash64(F.col("key"))
-    some = ids.distinct().join(marks, "key").orderBy(order, "key").limit(SAMPLE_LABELLED)
-    rest = ids.distinct().join(marks, "key", "left_anti").withColumn("good", F.lit(-1)).orderBy(order, "key").limit(SAMPLE_PLAIN)
-    every = rows.join(F.broadcast(some.unionByName(rest)), "key")       # at most the two bounds
-    others = [c for c in every.columns if c != "key"]                   # of rows with one key, the first by hash
-    sample = every.groupBy("key").agg(F.min_by(F.struct(*others), F.xxhash64(*others)).alias("r")).select("key", "r.*").select(*every.columns)
+def _features(rows: DataFrame, select: np.ndarray | None = None) -> pa.Table:
+    """name, good, word, stats, meta of ``rows`` (name, good and what the
+    views read), in order of the name's hash; with ``select``, only those
+    words that the content view uses.  The caller bounds the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
                 views = Views(block)
                 cut = np.searchsorted(views.word_doc, np.arange(views.n + 1))
+                words = [views.word[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+                if select is not None:
+                    words = [w[select[w] >= 0] for w in words]
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("key").cast(pa.string()), block.column("good"),
-                     pa.array([views.word[a:b].astype("<i4").tobytes() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], pa.binary()),
-                     pa.array([r.astype("<i4").tobytes() for r in views.stats], pa.binary()), pa.array([r.astype("<i4").tobytes() for r in views.meta], pa.binary())],
-                    ["key", "good", "word", "stats", "meta"])
+                    [block.column("name").cast(pa.string()), block.column("good"), *[pa.array([r.astype("<i4").tobytes() for r in x], pa.binary()) for x in (words, views.stats, views.meta)]],
+                    ["name", "good", "word", "stats", "meta"])
 
-    got = sample.mapInArrow(run, "key string, good int, word binary, stats binary, meta binary").toArrow()
-    got = got.take(np.argsort(np.array([zlib.crc32(k.encode()) for k in got["key"].to_pylist()], np.int64), kind="stable"))
-    y = np.array(got["good"].to_pylist(), np.int64)
-    none = Model(np.full(1 << WORD_BITS, -1), np.zeros(_STATS * 16 + 1), np.zeros(_META + 1), np.zeros(3), 0.0)
-    if not (y == 1).any() or not (y == 0).any():
-        share = ((y == 1).sum() + 1) / ((y >= 0).sum() + 1)
-        none.mixed[2] = np.log(share / max(1 - share, 1e-9))
-        return none
+    got = rows.mapInArrow(run, "name string, good int, word binary, stats binary, meta binary").toArrow()
+    names = got["name"].to_pylist()
+    return got.take(np.array(sorted(range(len(names)), key=lambda i: (zlib.crc32(names[i].encode()), names[i])), np.int64))
+
+
+def _views(got: pa.Table) -> Views:
     words = [np.frombuffer(x, "<i4") for x in got["word"].to_pylist()]
     views = Views.__new__(Views)
-    views.n, views.word_doc, views.word = len(y), np.repeat(np.arange(len(y)), [len(w) for w in words]), np.concatenate(words).astype(np.int64)
+    views.n, views.word_doc, views.word = len(words), np.repeat(np.arange(len(words)), [len(w) for w in words]), np.concatenate([np.empty(0, "<i4"), *words]).astype(np.int64)
     views.stats = np.stack([np.frombuffer(x, "<i4") for x in got["stats"].to_pylist()]).astype(np.int64)
     views.meta = np.stack([np.frombuffer(x, "<i4") for x in got["meta"].to_pylist()]).astype(np.int64)
+    return views
+
+
+def surest(rows: DataFrame, marks: DataFrame, model: Model, taken: list[set[int]], pseudo: int) -> list[tuple[int, int, int]]:
+    """(view, good, row) of the pseudo-labels that the other view gives.
 
-    known = np.flatnonzero(y >= 0)
-    held = known[np.arange(len(known)) % 4 == 0]                # a quarter calibrates
-    fit, plain = np.setdiff1d(known, held), np.flatnonzero(y < 0)
+    ``rows`` has key, row (a hash of what the views read) and what the views
+    read; rows whose key is in ``marks`` are labelled and get none, nor do
+    those in ``taken`` for the view.  Each view labels, of all others, the
+    ``pseudo`` surest of each class, by probability to three decimals and then
+    by a hash; a probability under SURE is no label.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(model)        # its size is fixed
+    kind = rows.schema["key"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                a, b, _ = shared.value.scores(Views(block))
+                sure = pa.array(np.maximum(np.abs(a - 0.5), np.abs(b - 0.5)) >= SURE - 0.5)
+                yield pa.RecordBatch.from_arrays([block.column("key"), block.column("row"), pa.array(a), pa.array(b)], ["key", "row", "p0", "p1"]).filter(sure)
+
+    scored = rows.mapInArrow(run, f"key {kind}, row bigint, p0 double, p1 double").join(marks.select("key"), "key", "left_anti")
+    scored = land(scored.groupBy("row").agg(F.max("p0").alias("p0"), F.max("p1").alias("p1")), "quality-sure")
+    out = []
+    for mine, other in ((0, 1), (1, 0)):
+        for good in (1, 0):
+            p = F.col(f"p{mine}") if good else 1 - F.col(f"p{mine}")
+            free = scored.where((p >= SURE) & ~F.col("row").isin(list(taken[other]))) if taken[other] else scored.where(p >= SURE)
+            some = free.orderBy(F.desc(F.round(p, 3)), F.xxhash64("row"), "row").limit(pseudo).select("row")
+            out += [(other, good, r.row) for r in some.collect()]
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
+    """Fit on the bounded sample of labelled rows and on pseudo-labels of the
+    others.  Without labels of both classes the model keeps every document
+    (score: the share of good labels, 1 if none)."""
+    read = ["text", "lang", "source", "n_chars"]
+    rows, marks = _prepared(docs, key, text), labelled(labels)
+    ids = rows.select("key").where(F.col("key").isNotNull())
+    some = ids.distinct().join(marks, "key").orderBy(F.xxhash64("key"), "key").limit(SAMPLE_LABELLED)
+    every = rows.join(F.broadcast(some), "key").withColumnRenamed("key", "name")        # of rows with one key, the first by hash
+    got = _features(every.groupBy("name").agg(F.min_by(F.struct("good", *read), F.xxhash64(*read)).alias("r")).select("name", "r.*"))
+    y = np.array(got["good"].to_pylist(), np.int64)
+    none = Model(np.full(1 << WORD_BITS, -1), np.zeros(_STATS * 16 + 1), np.zeros(_META + 1), np.zeros(3), 0.0)
+    if not (y == 1).any() or not (y == 0).any():
+        share = ((y == 1).sum() + 1) / (len(y) + 1)
+        none.mixed[2] = np.log(share / max(1 - share, 1e-9))
+        return none
+    views, known = _views(got), np.arange(len(y))
+    held = known[known % 4 == 0]                                # a quarter calibrates
+    fit = np.setdiff1d(known, held)
     if any(len(np.unique(y[part])) < 2 for part in (held, fit)):
         held = fit = known                                      # too few labels to part them
     teach = np.zeros(len(y), bool)
     teach[fit] = True
     model = none
     model.select = _select(views, teach, y)
-    doc, feature = _content(views, model.select)
-    meta_doc, meta_feature = np.repeat(np.arange(len(y)), views.meta.shape[1]), views.meta.ravel()
-    target = [np.where(teach, y, 0).astype(float) for _ in range(2)]
-    weight = [teach.astype(float) for _ in range(2)]
+    pool = rows.withColumn("row", F.xxhash64(*read))
+    most = max(1, min(PSEUDO, int(SHARE * rows.select("key").join(marks, "key", "left_anti").count())))
+    given: list[dict[int, int]] = [{}, {}]                      # pseudo-labels of each view by row
+    extra = got.slice(0, 0)                                     # features of the rows that have one
     for round_ in range(ROUNDS + 1):
-        model.content = _fit(doc, feature, len(y), _STATS * 16 + SELECTED, target[0], weight[0])
-        model.metadata = _fit(meta_doc, meta_feature, len(y), _META, target[1], weight[1])
-        if round_ == ROUNDS or not len(plain):
+        seen = _views(pa.concat_tables([got, extra]))
+        names = [int(x) for x in extra["name"].to_pylist()]
+        target = [np.concatenate([y, [g.get(x, 0) for x in names]]).astype(float) for g in given]
+        weight = [np.concatenate([teach, [0.5 * (x in g) for x in names]]).astype(float) for g in given]
+        doc, feature = _content(seen, model.select)
+        model.content = _fit(doc, feature, seen.n, _STATS * 16 + SELECTED, target[0], weight[0])
+        model.metadata = _fit(np.repeat(np.arange(seen.n), seen.meta.shape[1]), seen.meta.ravel(), seen.n, _META, target[1], weight[1])
+        if round_ == ROUNDS:
+            break
+        new = surest(pool, marks, model, [set(g) for g in given], most)
+        for view, good, row in new:
+            given[view][row] = good
+        wanted = sorted({row for _, _, row in new} - set(names))
+        if not new:
             break
-        view = model.scores(views)[:2]
-        for mine, other in ((0, 1), (1, 0)):
-            for label, p in ((1, view[mine]), (0, 1 - view[mine])):
-                new = plain[(p[plain] >= SURE) & (weight[other][plain] == 0)]
-                new = new[np.argsort(-p[new], kind="stable")][:max(1, int(SHARE * len(plain)))]
-                target[other][new], weight[other][new] = label, 0.5
+        if wanted:                                              # 4 * PSEUDO rows at most
+            few = pool.where(F.col("row").isin(wanted)).groupBy(F.col("row").alias("name")).agg(F.first(F.struct(*read)).alias("r"))
+            extra = pa.concat_tables([extra, _features(few.select("name", F.lit(-1).alias("good"), "r.*"), model.select)])
     model.mixed = _calibrate(model, views, held, y)
     good = np.sort(model.scores(views)[2][held][y[held] == 1])
     model.cut = float(min(CUT, good[int((1 - KEEP_GOOD) * len(good))]))
