@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -397,9 +398,10 @@ PLATFORMS = ("mt", "el", "jd")
 
 def store_rollups(v, w: Window) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Per platform: the shop rollup of matched / pending anchors (the only
-    stage that touches order and finance rows), materialised once, and its
-    store-label rollup."""
-    shops = {p: materialize(shop_rollup(match(v, w, p))) for p in PLATFORMS}
+    stage that touches order and finance rows), and its store-label rollup.
+    The three shop rollups run as one job and are materialised together."""
+    every = materialize(reduce(DataFrame.unionByName, [shop_rollup(match(v, w, p)).withColumn("_of", F.lit(p)) for p in PLATFORMS]))
+    shops = {p: every.where(F.col("_of") == p).drop("_of") for p in PLATFORMS}
     by_store = {p: settle_from_shops(shops[p], v.store_alias, v.dim_store, p) for p in PLATFORMS}
     return shops, by_store
 
