@@ -73,7 +73,32 @@ def _sharding() -> str:
 FROM (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % {sharding.TABLE_SIZE} AS slot FROM documents)"""
 
 
+#: Sets of shingles, links between different sets, and the smallest id that
+#: links reach, a set's documents counting as one.
+_JACCARD = r"""WITH RECURSIVE words AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY doc_id, text) AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+grams AS MATERIALIZED (
+  SELECT DISTINCT r, list_slice(w, k, k + 4) AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM words WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM grams GROUP BY r),
+sets AS MATERIALIZED (SELECT min(r) AS s, n, list(r) AS rs FROM (SELECT r, count(*) AS n, list(g ORDER BY g) AS key FROM grams GROUP BY r) GROUP BY key, n),
+few AS MATERIALIZED (SELECT s, n, g FROM sets JOIN grams ON r = s),
+links AS MATERIALIZED (
+  SELECT s AS a, t AS b FROM (
+    SELECT x.s AS s, y.s AS t, x.n AS n, y.n AS m, count(*) AS shared FROM few x JOIN few y ON x.g = y.g AND x.s <> y.s AND 4 * x.n >= 3 * y.n AND 4 * y.n >= 3 * x.n GROUP BY ALL)
+  WHERE 100 * shared >= 75 * (n + m - shared)),
+reach(a, b) AS (
+  SELECT s, s FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+roots AS (SELECT a, min(doc_id) AS root FROM reach JOIN sets ON s = b JOIN words ON list_contains(rs, r) GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM words LEFT JOIN sizes USING (r)
+LEFT JOIN (SELECT unnest(rs) AS r, root FROM sets JOIN roots ON a = s) USING (r)"""
+
+
 ORACLES: dict[str, str] = {
+    "op4_jaccard": _JACCARD,
     "op8_sharding": _sharding(),
     "op11_vector_codes": _vector_codes(),
     "op12_collocations": _COLLOCATIONS,
