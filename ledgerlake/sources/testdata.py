@@ -13,6 +13,7 @@ Rows of the three platforms live in the same export tables and carry a
 from __future__ import annotations
 
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -362,54 +363,58 @@ def view_sql(name: str, dialect: str = "spark", sf_dir: str = "") -> str:
     return VIEWS[name].format(**tables)
 
 
-def _fingerprint(sf_dir: str, name: str) -> str:
-    """Identity of a landed view: its SQL text and the base files it reads."""
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Identity of a landed view: its SQL text and the base files it reads
+    (bytes, files and time of change, as their store tells them)."""
     import hashlib
-    import os
     h = hashlib.sha1(VIEWS[name].encode() + b"|layout:dt-sorted-files")
-    h.update(os.path.realpath(sf_dir).encode())
     for t in BASE_TABLES:
-        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
+        p, fs = _folder(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        if fs.exists(p):
+            whole = fs.getContentSummary(p)
+            h.update(f"{fs.makeQualified(p)}:{whole.getLength()}:{whole.getFileCount()}:{fs.getFileStatus(p).getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("text").load(f"{path}/_SUCCESS")
-        return True
-    except Exception:  # noqa: BLE001 - path not found
-        return False
-
-
 _LAND_LOCK = threading.Lock()
 
 
 def land(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Land a raw export view as an ODS parquet table under the shared
-    checkpoint folder, once per application and source state (the path holds
-    the application id, so concurrent applications never share a writer);
+    checkpoint folder, once per source state and for all applications;
     day-carrying tables are sorted by ``dt`` within each file so day filters
     skip row groups."""
     from ..session import scratch_path
-    app = spark.sparkContext.applicationId
-    path = scratch_path(spark, f"ods/{app}/{name}-{_fingerprint(sf_dir, name)}")
+    path = scratch_path(spark, f"ods/{name}-{_fingerprint(spark, sf_dir, name)}")
     with _LAND_LOCK:
         _land_once(spark, sf_dir, name, path)
     return path
 
 
 def _land_once(spark: SparkSession, sf_dir: str, name: str, path: str) -> None:
-    if not _exists(spark, path):
-        df = spark.sql(view_sql(name, "spark", sf_dir))
-        if "dt" in df.columns:
-            # sorted by day inside every write task (no shuffle): row-group
-            # min/max statistics let day filters skip, and no day — however
-            # hot — is funnelled into one task
-            df = df.sortWithinPartitions("dt")
-        df.write.mode("overwrite").parquet(path)
+    """Rows are written aside and the folder is renamed when it is complete:
+    of several applications that land the same view one wins, and none reads
+    or overwrites half a table."""
+    target, fs = _folder(spark, path)
+    if fs.exists(target):
+        return
+    df = spark.sql(view_sql(name, "spark", sf_dir))
+    if "dt" in df.columns:
+        # sorted by day inside every write task (no shuffle): row-group
+        # min/max statistics let day filters skip, and no day — however
+        # hot — is funnelled into one task
+        df = df.sortWithinPartitions("dt")
+    aside, _ = _folder(spark, f"{path.rsplit('/', 1)[0]}/_{name}-{uuid.uuid4().hex}")      # readers skip such a name
+    df.write.parquet(str(aside.toString()))
+    if fs.exists(target) or not fs.rename(aside, target):
+        if not fs.exists(target):
+            raise OSError(f"{aside.toString()} could not be renamed to {path}")
+        fs.delete(aside, True)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, landed: bool = True) -> DataFrame:
