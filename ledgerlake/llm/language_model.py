@@ -13,8 +13,8 @@ into blocks of bounded size, written once as word numbers.  A block sends its
 distinct words to the parts of the key space with its own counts, and gets
 their counts over all blocks; then the n-grams of one word more, as far as
 their first and last words are kept; at last its states, with its share of
-the discounted and of the lower probability of their arcs, for the weights of
-failure arcs.  So it ends up with exactly the states and arcs that its own
+the probability that their arcs leave and of these arcs' lower probability, for
+the weights of failure arcs.  So it ends up with exactly the states and arcs that its own
 texts can reach, and reads its texts on them from left to right, carrying the
 state from token to token.
 
@@ -44,7 +44,7 @@ ORDER = 3
 LEAST = 2                   # occurrences of a kept n-gram of two words or more
 DISCOUNT = 0.5              # of the counts of n-grams of two words or more
 FOLDS, HELD_OUT = 7, 2
-BLOCK_TOKENS = 1 << 19      # tokens of a block, or one text
+BLOCK_TOKENS = 1 << 20      # tokens of a block, or one text
 PART_BYTES = 32 << 20       # text bytes for each part of the key space
 SEGMENT = 256               # tokens of a text that are read one after the other
 END = np.uint64(0x656E64206F662074)         # the end token's hash
@@ -172,8 +172,10 @@ class Block:
 
     def states(self, n: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The n-grams of n words that occur ``least`` times: their numbers,
-        and this block's shares of their arcs' discounted probability and of
-        what these arcs' last words have by the state of one word less."""
+        and this block's shares of the probability that their arcs leave, and
+        of what these arcs' last words have by the state of one word less.
+
+        Both are sums of positive numbers, sent in 32 bits."""
         state, arc = self.levels[n - 1], self.levels[n]
         share = np.zeros(len(arc.keys))
         np.divide(arc.local, arc.count, out=share, where=arc.count > 0)
@@ -181,10 +183,12 @@ class Block:
         of, less = np.zeros(len(arc.keys), np.int64), np.zeros(len(arc.keys))
         of[arc.at[ends]] = state.at[ends - 1]
         less[arc.at[ends]] = state.of(state.log, ends)
-        used = np.bincount(of, share * np.power(10.0, arc.log), len(state.keys))
+        inner = np.flatnonzero((state.at >= 0) & self.train & np.append(self.since[1:] > 0, False))     # another token follows
+        left = np.bincount(state.at[inner], minlength=len(state.keys)) - np.bincount(of, np.where(arc.count > 0, arc.local, 0), len(state.keys))
+        left = left + DISCOUNT * np.bincount(of, share, len(state.keys))
         known = np.bincount(of, share * np.power(10.0, less), len(state.keys))
         some = np.flatnonzero(state.count >= least)
-        return some, used[some], known[some]
+        return some, (left[some] / state.count[some]).astype(np.float32), known[some].astype(np.float32)
 
     def read(self) -> np.ndarray:
         """log10 probability of each token, read from left to right.
@@ -356,9 +360,9 @@ def _rebuilt(row: dict, found: dict[int, list[bytes]], corpus: Corpus, order: in
     return block
 
 
-def _weight(used: np.ndarray, known: np.ndarray) -> np.ndarray:
+def _weight(left: np.ndarray, known: np.ndarray) -> np.ndarray:
     """log10 weights of failure arcs; 1 for states without arcs."""
-    return np.log10(np.maximum(1 - used, 1e-12) / np.maximum(1 - known, 1e-12))
+    return np.where(known > 0, np.log10(np.maximum(left, 1e-12) / np.maximum(1 - known, 1e-12)), 0.0)
 
 
 def fit(texts: DataFrame, parts: int, order: int = ORDER, least: int = LEAST) -> tuple[Corpus, list[DataFrame]]:
@@ -389,11 +393,11 @@ def fit(texts: DataFrame, parts: int, order: int = ORDER, least: int = LEAST) ->
         for piece in range(n):                      # longer states are more: one piece after the other, so that shuffle files stay small
             def offer(row: dict, found: dict, n=n, piece=piece) -> Iterator[pa.RecordBatch]:
                 block = _rebuilt(row, found, corpus, n + 1, least)
-                some, used, known = block.states(n, least)
-                yield from _sent(row["block"], block.levels[n - 1].keys[some], [used, known], parts, piece, n)
+                some, left, known = block.states(n, least)
+                yield from _sent(row["block"], block.levels[n - 1].keys[some], [left, known], parts, piece, n)
 
             sent = _gathered(texts, counts[:n + 1], parts, offer, f"{kinds}, sum1 binary")
-            landed.append(land(_summed(sent, parts, np.float64, _weight, pieces=n), f"lm-weights{n}"))
+            landed.append(land(_summed(sent, parts, np.float32, _weight, pieces=n), f"lm-weights{n}"))
         answers.append(reduce(DataFrame.unionByName, landed))
     return corpus, answers
 
