@@ -4,6 +4,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from ledgerlake.llm import html_text, jaccard, licenses, quality, secrets_scan
 
 SCHEMA = "doc_id bigint, text string, n int, root int, score double, lang string"
@@ -88,3 +90,24 @@ def test_few_labels_fit(spark):
         assert {i for i in range(1, 60, 2)} <= kept
         if marked == 18:
             assert not kept & set(range(0, 60, 2))
+
+
+def test_quality_pseudo_labels_come_from_all_unlabelled_rows(spark):
+    """The surest rows of each view, against a plain choice from all scores."""
+    docs_, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs_, labels)
+    marks = quality.labelled(labels)
+    read = ["text", "lang", "source", "n_chars"]
+    pool = quality._prepared(docs_.unionByName(docs_.limit(30)), "doc_id", "text").withColumn("row", F.xxhash64(*read))     # repeated rows count once
+    known = {r.key for r in marks.collect()}
+    rows = {r.key: r.row for r in pool.select("key", "row").collect() if r.key not in known}
+    shown = {r.doc_id: (r.content_score, r.metadata_score) for r in quality.score(docs_, labels, model=model).collect()}
+    order = {r.row: r.h for r in pool.select("row", F.xxhash64("row").alias("h")).collect()}
+    taken = [set(list(rows.values())[:5]), set()]
+    got = quality.surest(pool, marks, model, taken, 7)
+    for mine, other in ((0, 1), (1, 0)):
+        for good in (1, 0):
+            p = {rows[k]: (s[mine] if good else 1 - s[mine]) for k, s in shown.items() if k in rows}
+            want = sorted((x for x in p if p[x] >= quality.SURE and x not in taken[other]), key=lambda x: (-round(p[x], 3), order[x], x))[:7]
+            assert [row for v, g, row in got if (v, g) == (other, good)] == want
+    assert any(got) and len(rows) > 50
