@@ -71,11 +71,13 @@ class Views:
         words = Words(block.column("text"), ALNUM)
         n = self.n = block.num_rows
         doc = words.doc_of_word()
-        code = np.unique(doc.astype(np.uint64) << np.uint64(WORD_BITS) | words.hash >> np.uint64(64 - WORD_BITS))
-        self.word_doc, self.word = (code >> np.uint64(WORD_BITS)).astype(np.int64), (code & np.uint64((1 << WORD_BITS) - 1)).astype(np.int64)
+        code = doc.astype(np.uint64) << np.uint64(WORD_BITS) | words.hash >> np.uint64(64 - WORD_BITS)
+        code = np.sort(code.astype(np.uint32) if n < 1 << (32 - WORD_BITS) else code).astype(np.int64)
+        code = code[np.append(code[1:] != code[:-1], True)] if len(code) else code
+        self.word_doc, self.word = code >> WORD_BITS, code & ((1 << WORD_BITS) - 1)
         size = np.maximum(1, np.diff(words.offsets))
         n_words = np.maximum(1, words.per_doc)
-        shares = [np.diff(np.concatenate([[0], np.cumsum(c[words.data])])[words.offsets]) / size for c in _CLASSES]
+        shares = [np.diff(np.searchsorted(np.flatnonzero(c[words.data]), words.offsets)) / size for c in _CLASSES]
         lines = shares[3] * size
         again = np.bincount(doc[1:][(words.hash[1:] == words.hash[:-1]) & (doc[1:] == doc[:-1])], minlength=n) / n_words
         after = np.bincount(doc[7:][(words.hash[7:] == words.hash[:-7])], minlength=n) / n_words if len(doc) > 7 else np.zeros(n)
