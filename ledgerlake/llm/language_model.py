@@ -356,13 +356,13 @@ def _rebuilt(row: dict, found: dict[int, list[bytes]], corpus: Corpus, order: in
         if one is not None and one.count is not None:
             one.back = np.zeros(len(one.keys))
             if order + n - 1 in found:
-                one.back[np.flatnonzero(one.count >= least)] = _joined(found[order + n - 1], np.float64)
+                one.back[np.flatnonzero(one.count >= least)] = _joined(found[order + n - 1], np.float32)
     return block
 
 
 def _weight(left: np.ndarray, known: np.ndarray) -> np.ndarray:
     """log10 weights of failure arcs; 1 for states without arcs."""
-    return np.where(known > 0, np.log10(np.maximum(left, 1e-12) / np.maximum(1 - known, 1e-12)), 0.0)
+    return np.where(known > 0, np.log10(np.maximum(left, 1e-12) / np.maximum(1 - known, 1e-12)), 0.0).astype(np.float32)
 
 
 def fit(texts: DataFrame, parts: int, order: int = ORDER, least: int = LEAST) -> tuple[Corpus, list[DataFrame]]:
