@@ -90,7 +90,7 @@ def op8_sharding(spark, sf_dir):
 def op9_secrets(spark, sf_dir):
     """Secrets in every document."""
     found = secrets_scan.scan(table(spark, sf_dir, "documents"))
-    n = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(secrets_scan.KINDS[:3])]
+    n = [secrets_scan.count_kind(F.col("base"), k).alias(f"n_{name}") for k, name in enumerate(secrets_scan.KINDS[:3])]
     return found.select("doc_id", *n, F.sha2(secrets_scan.digest(F.col("base")).cast("binary"), 256).alias("base_sha256"), secrets_scan.digest(F.col("spans")).alias("spans"))
 
 

@@ -164,6 +164,11 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: tuple[s
     return found.select(key, *keep, "base", F.array_sort(F.concat("base", _spans(t, CANDIDATE, 3, accepted))).alias("spans"))
 
 
+def count_kind(spans: Column, kind: int) -> Column:
+    """Number of spans of a kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")    # a second argument would be the index
+
+
 def digest(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])
