@@ -110,7 +110,11 @@ def replace(df: DataFrame, path: str, slice_column: str, slices: list | None = N
     columns = merged_columns(before.columns, df.schema)
     load = uuid.uuid4().hex
     fitted = df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in columns if f.name in df.columns])
-    fitted.write.mode("errorifexists").partitionBy(slice_column).parquet(f"{path}/load={load}")
+    folder, fs = _path(spark, f"{path}/load={load}")
+    fs.mkdirs(folder)       # first, so that ``drop_unused`` finds a load that is stopped at any time
+    # a slice's rows come together, a large slice's in pieces: files grow with
+    # the rows, not with tasks times slices
+    fitted.hint("rebalance", slice_column).write.mode("append").partitionBy(slice_column).parquet(f"{path}/load={load}")
     present = [c.partition("=")[2] for c in _children(spark, f"{path}/load={load}") if "=" in c]
     loads = dict(before.loads)
     if present:
