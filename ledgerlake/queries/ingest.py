@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..catalog import money_all, query
 from ..functions import cleaning as C
 from ..oracle_sql import ORACLES, clean, gate, reg, tnull
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch_path, stored
 from ..sources import export_fixtures as X
 from ..sources import files as FL
 from ..sources import schema as SC
@@ -162,7 +162,7 @@ def src_sheet_multi(v):
     days = lines.groupBy("shop_id", "dt").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit(0))
     summary = X.sheet_cells(days, _book("账单-"), {"dt": "日期", "n": "笔数"}, ["dt"], sheet="账单明细")
     wanted = (("订单明细", 2), ("账单明细", 0), ("处罚&赔付", 0))
-    cells = materialize(FL.workbook_cells(X.workbooks(detail.unionByName(summary)), [s for s, _ in wanted], header_rows=0))
+    cells = stored(FL.workbook_cells(X.workbooks(detail.unionByName(summary)), [s for s, _ in wanted], header_rows=0))
     out = None
     for sheet, header_row in wanted:
         s = cells.where(F.col("sheet") == sheet)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, stored
 from .files import CELL_SCHEMA, _GB18030_CHARS, _GBK_CHARS, _unescape, enable_charsets
 
 ORDER = ["file", "block", "id"]
@@ -254,13 +254,13 @@ def html_cells(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """
     starts = F.col("tag").isin("td", "th")
     ends = F.col("tag").isin("/td", "/th", "tr", "/tr", "table", "/table")
-    tags = materialize(states(materialize(_tags(spark, paths)), starts, starts | ~ends, "open"))
-    tags = materialize(running(tags, {"tables": F.col("tag") == "table", "closed": F.col("tag") == "/table", "row": F.col("tag") == "tr", "cell": starts}))
+    tags = stored(states(stored(_tags(spark, paths)), starts, starts | ~ends, "open"))
+    tags = stored(running(tags, {"tables": F.col("tag") == "table", "closed": F.col("tag") == "/table", "row": F.col("tag") == "tr", "cell": starts}))
     first = (F.col("tables") >= 1) & (F.col("closed") - (F.col("tag") == "/table").cast("long") == 0)
     found = _cells(tags, first, ["td", "th"])
     text = F.btrim(_unescape(F.regexp_replace(F.coalesce("text", F.lit("")), r"(?s)<!--.*?-->", "")), F.lit(" \r\n"))
     span = lambda name, most: F.least(F.lit(most), F.greatest(F.lit(1), F.coalesce(_attribute(name), F.lit(1))))       # noqa: E731
-    found = materialize(found.select("file", (F.col("row") - 1).cast("int").alias("row"), "cell", span("colspan", 1000).alias("wide"), span("rowspan", MOST_SPANNED).alias("tall"),
+    found = stored(found.select("file", (F.col("row") - 1).cast("int").alias("row"), "cell", span("colspan", 1000).alias("wide"), span("rowspan", MOST_SPANNED).alias("tall"),
                                      F.when(text != "nan", text).alias("text")))
     # rows with or under a row span; a group starts at a row under none
     spans = found.where(F.col("tall") > 1)
@@ -288,11 +288,11 @@ def spreadsheetml_cells(spark: SparkSession, paths: list[str] | str) -> DataFram
     """
     starts = (F.col("tag") == "data") & ~F.col("attributes").endswith("/")
     ends = F.col("tag").isin("/data", "cell", "/cell", "row", "/row", "worksheet")
-    tags = materialize(states(materialize(_tags(spark, paths)), starts, starts | ~ends, "open"))
+    tags = stored(states(stored(_tags(spark, paths)), starts, starts | ~ends, "open"))
     is_row = F.col("tag") == "row"
     place = F.when(is_row, _attribute("Index"))
     tags = running(tags, {"sheets": F.col("tag") == "worksheet", "row": is_row, "cell": F.col("tag") == "cell"}).withColumn("place", place)
-    tags = materialize(tags)
+    tags = stored(tags)
     found = _cells(tags, F.col("sheets") == 1, ["cell"])
     text = F.replace(_unescape(F.regexp_replace("text", _UNKNOWN, "")), F.lit("&apos;"), F.lit("'"))
     cells = F.array_sort(F.collect_list(F.struct("cell", _attribute("Index").alias("place"), text.alias("value"))))

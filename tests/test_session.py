@@ -1,6 +1,6 @@
 """Shared checkpoint folder: the session's setting wins; materialise cuts lineage."""
 
-from ledgerlake.session import ensure_checkpoint_dir, materialize, scratch_path
+from ledgerlake.session import ensure_checkpoint_dir, materialize, scratch_path, stored
 
 
 def test_checkpoint_dir_from_session(spark):
@@ -25,3 +25,9 @@ def test_running_session_keeps_its_settings(spark):
         assert get_spark("local[1]", shuffle_partitions=5).conf.get("spark.sql.shuffle.partitions") == "37"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_stored_keeps_rows_and_types(spark):
+    df = spark.createDataFrame([(1, None, True), (None, "a (b)/c", None), (1, None, True)], "`n (x)` bigint, s string, b boolean")
+    got = stored(df)
+    assert got.schema == df.schema and sorted(map(repr, got.collect())) == sorted(map(repr, df.collect()))
