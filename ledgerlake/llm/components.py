@@ -19,7 +19,7 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
     edges come to the driver.  A node with very many neighbours is a skewed
     join key, which adaptive execution splits.
     """
-    now = land(edges.where(F.col("x") != F.col("y")).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), name)
+    now = land(edges.where(F.col("x") != F.col("y")).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), name, ids=True)
     before = None
     while True:
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)")).alias("h")).head()
@@ -31,7 +31,7 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
         larger = both.join(least, "x").where(F.col("y") > F.col("x")).select(F.col("y").alias("x"), F.col("m").alias("y")).distinct()
         least = larger.groupBy("x").agg(F.min("y").alias("m"))
         smaller = larger.join(least, "x").select(F.explode(F.array(F.struct("x", F.col("m").alias("y")), F.struct(F.col("y").alias("x"), F.col("m").alias("y")))).alias("e"))
-        now = land(smaller.select("e.*").where(F.col("x") != F.col("y")).distinct(), name)
+        now = land(smaller.select("e.*").where(F.col("x") != F.col("y")).distinct(), name, ids=True)
     roots = now.select(F.col("y").alias("node"), F.col("y").alias("root")).distinct()
     return now.select(F.col("x").alias("node"), F.col("y").alias("root")).unionByName(roots)
 

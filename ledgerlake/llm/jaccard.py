@@ -17,8 +17,8 @@ n) + 1 in any fixed order of all shingles.  The join runs in five parts:
    the positional filter fails, and a set's overlaps derived from those of a
    highly similar set by the few shingles in which the two differ.
 5. In groups of several chunks, the sets outside the group's prevailing
-   component are sent to its other chunks.  The links' components are the
-   result.
+   component are sent to those of its other chunks that have one of their
+   first shingles.  The links' components are the result.
 
 Shingles and sets are told apart by 64-bit hashes.
 """
@@ -29,19 +29,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
 from ledgerlake.llm.components import connected, forest
+from ledgerlake.llm.language_model import packed, unpacked
 from ledgerlake.llm.store import land, partitions
 from ledgerlake.llm.textarrays import Words, blocks, mix, ragged
 
 SIZE = 5                    # words of a shingle
 SHARE = 75                  # least 100 * intersection / union of linked sets
 COUNTERS = 1 << 18          # hashed counters of the shingle order
+SLOTS = 1 << 24             # hashed slots that tell which rows a join may need
 CHUNK_SETS = 512
 CHUNK_SHINGLES = 1 << 20
 FLUSH = 1 << 21             # postings that a task sorts at once
@@ -89,22 +91,41 @@ def _counter(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
 
+def _order(rows: DataFrame, counts: np.ndarray) -> Broadcast:
+    """The counters, as the tasks that order shingles read them."""
+    return rows.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 24) - 1).astype(np.uint64))     # COUNTERS numbers
+
+
+def _first(hashes: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, of which two linked sets share one, as
+    numbers that order them."""
+    ranks, k = order[_counter(hashes)] << np.uint64(40) | mix(hashes) >> np.uint64(24), prefix_length(len(hashes))
+    return np.partition(ranks, k - 1)[:k]
+
+
 def _survey(rows: DataFrame, kind: str, parts: int) -> DataFrame:
-    """(key, n, node, alone) per document: its set's size and id, and how many
-    of its shingles no other set has.
+    """(key, n, node, low, lows, fresh) per document: its set's size and id,
+    the least number of places that one of its shingles has, how many of them
+    have that number, and whether it is the first of its set in a block.
+
+    A block holds the distinct sets of some of a task's documents; each set of
+    each block is a place of its shingles.  A set has as many places as it has
+    fresh documents, and a shingle with just as many is in no other set.
 
     Shingles go to the part of their hash with 32 more bits of it; sets that
     differ only there would seem to share a shingle, which does no harm.
+    Documents and numbers travel as compressed differences and byte planes: in
+    many parts, a document has few shingles in each.
     """
     key_type = to_arrow_type(DataType.fromDDL(kind))            # all of its fields may be null
-    names = ["part", "task", "key", "n", "node", "row", "hash", "doc", "size", "owner"]
-    schema = f"part int, task bigint, key {kind}, n bigint, node bigint, row int, hash binary, doc binary, size binary, owner binary"
-    types = [pa.int32(), pa.int64(), key_type, pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    names = ["part", "task", "key", "n", "node", "row", "fresh", "hash", "doc", "size", "low"]
+    schema = f"part int, task bigint, key {kind}, n bigint, node bigint, row int, fresh int, hash binary, doc binary, size binary, low binary"
+    types = [pa.int32(), pa.int64(), key_type, pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 
     def batch_of(count: int, /, **columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([columns[n] if n in columns else pa.nulls(count, t) for n, t in zip(names, types, strict=True)], names)
 
-    def flush(task: int, sets: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
+    def flush(task: int, sets: list[np.ndarray]) -> pa.RecordBatch:
         spread = mix(np.concatenate(sets))
         doc = np.repeat(np.arange(len(sets), dtype=np.int64), [len(s) for s in sets])
         place = ((spread >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64) * len(sets) + doc
@@ -113,83 +134,88 @@ def _survey(rows: DataFrame, kind: str, parts: int) -> DataFrame:
         at = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         size = np.diff(np.append(at, len(place))).astype(np.uint32)
         part, doc = np.divmod(place[at], len(sets))
-        owner = (mix(np.array(nodes, np.int64)[doc].view(np.uint64) + part.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
         found, first = np.unique(part, return_index=True)
-        last = np.append(first[1:], len(part))
         cut = np.append(at, len(place))
-        pieces = list(zip(first.tolist(), last.tolist(), strict=True))
-        raw = lambda a: pa.array([a[i:j].tobytes() for i, j in pieces], pa.binary())
-        return batch_of(len(found), part=pa.array(found, pa.int32()), task=pa.array(np.full(len(found), task)), doc=raw(doc.astype(np.uint32)), size=raw(size), owner=raw(owner),
+        pieces = list(zip(first.tolist(), np.append(first[1:], len(part)).tolist(), strict=True))
+        return batch_of(len(found), part=pa.array(found, pa.int32()), task=pa.array(np.full(len(found), task)), size=pa.array([packed(size[i:j]) for i, j in pieces], pa.binary()),
+                        doc=pa.array([packed(np.diff(doc[i:j], prepend=0).astype(np.uint32)) for i, j in pieces], pa.binary()),
                         hash=pa.array([short[cut[i]:cut[j]].tobytes() for i, j in pieces], pa.binary()))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, sets_, nodes, rows_of, held = TaskContext.get().partitionId() << 32, [], [], {}, 0
+        task, sets_, rows_of, held = TaskContext.get().partitionId() << 32, [], {}, 0
         for batch in batches:
             for block in blocks(batch, "text"):
                 size, ids, sets = shingles(block.column("text"))
-                row = []
+                row, fresh = [], []
                 for n, node, members in zip(size.tolist(), ids.tolist(), sets, strict=True):
-                    if n and node not in rows_of:
-                        rows_of[node] = len(nodes)
-                        nodes.append(node)
+                    fresh.append(int(n > 0 and node not in rows_of))
+                    if fresh[-1]:
+                        rows_of[node] = len(sets_)
                         sets_.append(members)
                         held += n
                     row.append(rows_of[node] if n else -1)
                 count = len(row)
-                yield batch_of(count, part=pa.array((np.arange(count) % parts).astype(np.int32)), task=pa.array(np.full(count, task)), key=block.column("key").cast(key_type), n=pa.array(size), node=pa.array(ids), row=pa.array(row, pa.int32()))
+                yield batch_of(count, part=pa.array((np.arange(count) % parts).astype(np.int32)), task=pa.array(np.full(count, task)), key=block.column("key").cast(key_type), n=pa.array(size), node=pa.array(ids),
+                               row=pa.array(row, pa.int32()), fresh=pa.array(fresh, pa.int32()))
                 if held >= FLUSH:
-                    yield flush(task, sets_, nodes)
-                    task, sets_, nodes, rows_of, held = task + 1, [], [], {}, 0
+                    yield flush(task, sets_)
+                    task, sets_, rows_of, held = task + 1, [], {}, 0
         if held:
-            yield flush(task, sets_, nodes)
+            yield flush(task, sets_)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per part, task and set, the number of shingles of no other set."""
+        """Per part, block and set, the least number of places of a shingle,
+        and how many have it."""
         held: dict[int, list] = {}
         for batch in batches:
             whole = batch.filter(batch.column("hash").is_null())
             if whole.num_rows:
                 yield whole
             some = batch.filter(batch.column("hash").is_valid())
-            for part, task, *arrays in zip(some.column("part").to_pylist(), some.column("task").to_pylist(), *(some.column(c) for c in ("hash", "doc", "size", "owner")), strict=True):
-                held.setdefault(part, []).append((task, *[np.frombuffer(a.as_buffer(), np.uint32) for a in arrays]))
+            for part, task, h, doc, size in zip(*(some.column(c).to_pylist() for c in ("part", "task")), some.column("hash"), *(some.column(c).to_pylist() for c in ("doc", "size")), strict=True):
+                held.setdefault(part, []).append((task, np.frombuffer(h.as_buffer(), np.uint32), doc, unpacked(size, np.uint32).astype(np.int64)))
         for part, found in sorted(held.items()):
-            code = np.concatenate([h.astype(np.uint64) << np.uint64(32) | np.repeat(o, s) for _, h, _, s, o in found])
-            pairs = np.unique(code) >> np.uint64(32)                        # (shingle, set) once each
-            inner = pairs[1:] == pairs[:-1]
-            shared = pairs[1:][inner]                                       # shingles of several sets
-            at = np.searchsorted(shared, code >> np.uint64(32))
-            at[at == len(shared)] = 0
-            alone = (shared[at] != code >> np.uint64(32)) if len(shared) else np.ones(len(code), bool)
-            total, first = np.concatenate([[0], np.cumsum(alone)]), 0
-            for task, h, doc, size, _ in found:
-                ends = first + np.cumsum(size.astype(np.int64))
-                own = (total[ends] - total[ends - size]).astype(np.uint32)
+            code = np.concatenate([h for _, h, _, _ in found]).astype(np.uint64) << np.uint64(32)
+            code |= np.arange(len(code), dtype=np.uint64)
+            code.sort()
+            start = np.flatnonzero(np.concatenate([[True], code[1:] >> np.uint64(32) != code[:-1] >> np.uint64(32)]))
+            places = np.diff(np.append(start, len(code))).astype(np.uint32)
+            seen = np.empty(len(code), np.uint32)
+            seen[(code & np.uint64(0xFFFFFFFF)).astype(np.int64)] = np.repeat(places, places)
+            first = 0
+            for task, h, doc, size in found:
+                mine, at = seen[first:first + len(h)], np.cumsum(size) - size
+                low = np.minimum.reduceat(mine, at)
+                lows = np.add.reduceat((mine == np.repeat(low, size)).astype(np.uint32), at, dtype=np.uint32)
                 first += len(h)
-                yield batch_of(1, part=pa.array([part], pa.int32()), task=pa.array([task]), doc=pa.array([doc.tobytes()], pa.binary()), size=pa.array([own.tobytes()], pa.binary()))
+                yield batch_of(1, part=pa.array([part], pa.int32()), task=pa.array([task]), doc=pa.array([doc], pa.binary()), size=pa.array([packed(lows)], pa.binary()), low=pa.array([packed(low)], pa.binary()))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, list[pa.RecordBatch]] = {}
-        alone: dict[int, list] = {}
+        found: dict[int, list] = {}
         for batch in batches:
             task = batch.column("task").to_numpy()
             whole = batch.column("row").is_valid().to_numpy(zero_copy_only=False)
             for t in np.unique(task[whole]).tolist():
-                kept.setdefault(t, []).append(batch.select(["key", "n", "node", "row"]).filter(pa.array(whole & (task == t))))
+                kept.setdefault(t, []).append(batch.select(["key", "n", "node", "row", "fresh"]).filter(pa.array(whole & (task == t))))
             some = batch.filter(pa.array(~whole))
-            for t, doc, own in zip(some.column("task").to_pylist(), some.column("doc"), some.column("size"), strict=True):
-                alone.setdefault(t, []).append((np.frombuffer(doc.as_buffer(), np.uint32), np.frombuffer(own.as_buffer(), np.uint32)))
-        for t, found in kept.items():
-            for piece in found:
+            for t, *raw in zip(*(some.column(c).to_pylist() for c in ("task", "doc", "low", "size")), strict=True):
+                found.setdefault(t, []).append(raw)
+        for t, pieces in kept.items():
+            count = max(int(p.column("row").to_numpy().max(initial=0)) for p in pieces) + 1
+            low, lows = np.full(count, np.iinfo(np.int64).max), np.zeros(count, np.int64)
+            for raw in found.pop(t, []):
+                doc, part_low, part_lows = (unpacked(r, np.uint32).astype(np.int64) for r in raw)
+                doc = np.cumsum(doc)                                        # each once
+                lows[doc] = np.where(part_low < low[doc], part_lows, lows[doc] + np.where(part_low == low[doc], part_lows, 0))
+                low[doc] = np.minimum(low[doc], part_low)
+            for piece in pieces:
                 row = piece.column("row").to_numpy()
-                if piece is found[0]:
-                    total = np.zeros(max(int(p.column("row").to_numpy().max(initial=0)) for p in found) + 1, np.int64)
-                    for doc, own in alone.pop(t, []):
-                        total += np.bincount(doc, own, len(total)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([piece.column("key").cast(key_type), piece.column("n"), piece.column("node"), pa.array(np.where(row >= 0, total[row], 0))], ["key", "n", "node", "alone"])
+                yield pa.RecordBatch.from_arrays([piece.column("key").cast(key_type), piece.column("n"), piece.column("node"), *[pa.array(np.where(row >= 0, a[row], 0)) for a in (low, lows)], piece.column("fresh")],
+                                                 ["key", "n", "node", "low", "lows", "fresh"])
 
     compared = rows.mapInArrow(send, schema).repartition(parts, "part").mapInArrow(compare, schema)
-    return compared.repartition(parts, "task").mapInArrow(finish, f"key {kind}, n bigint, node bigint, alone bigint")
+    return compared.repartition(parts, "task").mapInArrow(finish, f"key {kind}, n bigint, node bigint, low bigint, lows bigint, fresh int")
 
 
 def _counters(rows: DataFrame) -> np.ndarray:
@@ -209,12 +235,8 @@ def _counters(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def _candidates(rows: DataFrame, counts: np.ndarray, parts: int) -> DataFrame:
+def _candidates(rows: DataFrame, order: Broadcast, parts: int) -> DataFrame:
     """Edges (x, y) whose components hold together all sets that may link."""
-    order = rows.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 24) - 1).astype(np.uint64))     # COUNTERS numbers
-
-    def rank(hashes: np.ndarray) -> np.ndarray:
-        return order.value[_counter(hashes)] << np.uint64(40) | mix(hashes) >> np.uint64(24)
 
     def flush(tokens: list[np.ndarray], nodes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         token, node = np.concatenate(tokens), np.concatenate(nodes)
@@ -239,10 +261,9 @@ def _candidates(rows: DataFrame, counts: np.ndarray, parts: int) -> DataFrame:
                 for n, node, members in zip(size.tolist(), ids.tolist(), sets, strict=True):
                     if n and node not in seen:
                         seen.add(node)
-                        k, ranks = prefix_length(n), rank(members)
-                        tokens.append(np.partition(ranks, k - 1)[:k])
-                        nodes.append(np.full(k, node, np.int64))
-                        held += k
+                        tokens.append(_first(members, order.value))
+                        nodes.append(np.full(len(tokens[-1]), node, np.int64))
+                        held += len(tokens[-1])
                 if held >= FLUSH:
                     yield from flush(tokens, nodes)
                     tokens, nodes, held, seen = [], [], 0, set()
@@ -454,13 +475,12 @@ def _classes(docs: DataFrame, text: str, key: str) -> DataFrame:
     kind = rows.schema["key"].dataType.simpleString()
     parts = partitions(rows)
     each = land(_survey(rows, kind, parts), "jaccard-survey")
-    nodes = each.where("n > 0").groupBy("node", "key").agg(F.first("n").alias("n"), F.min("alone").alias("alone"), F.count("*").alias("copies"))
-    nodes = nodes.groupBy("node").agg(F.min(F.struct("key", "copies")).alias("of"), F.first("n").alias("n"), F.min("alone").alias("alone"))
-    nodes = nodes.where(f"alone < {100 - SHARE} * n div 100 + 1").select("node", F.col("of.key.id").alias("__id"), F.col("of.key.text").alias("__text"), "of.copies", "n")
-    one = rows.join(nodes, (F.col("key.text") == F.col("__text")) & F.col("key.id").eqNullSafe(F.col("__id")))
-    one = one.where("copies = 1").unionByName(one.where("copies > 1").dropDuplicates(["node"]))
-    some = land(_confirmed(one), "jaccard-texts")
-    group = connected(_candidates(some, _counters(some), parts), "jaccard-candidates")
+    nodes = each.where("n > 0").groupBy("node").agg(F.min("key").alias("of"), *[F.first(c).alias(c) for c in ("n", "low", "lows")], F.sum("fresh").alias("places"))
+    nodes = nodes.where(f"low > places OR lows < {100 - SHARE} * n div 100 + 1")      # the others have too many shingles alone
+    nodes = land(nodes.select("node", F.col("of.id").alias("__id"), F.col("of.text").alias("__text"), "n"), "jaccard-chosen")
+    some = land(_confirmed(_rows_of(_needed(rows, nodes), nodes)), "jaccard-texts")
+    order = _order(some, _counters(some))
+    group = connected(_candidates(some, order, parts), "jaccard-candidates")
 
     # chunks of the candidate groups; a group that fits is one chunk
     nodes = some.select("node", "n").distinct().join(group.select("node", F.col("root").alias("cand")), "node")
@@ -468,7 +488,7 @@ def _classes(docs: DataFrame, text: str, key: str) -> DataFrame:
     totals = nodes.groupBy("cand").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).select("cand", fits.alias("fits"))
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / SHARE))).cast("int")
     # written, so that the join's skewed partitions can be split
-    nodes = land(nodes.join(totals, "cand").withColumn("bucket", F.when(F.col("fits"), -1).otherwise(step)), "jaccard-nodes")
+    nodes = land(nodes.join(totals, "cand").withColumn("bucket", F.when(F.col("fits"), -1).otherwise(step)), "jaccard-nodes", ids=True)
     salts = F.ceil(F.greatest(F.count("*") / CHUNK_SETS, F.sum("n") / CHUNK_SHINGLES)).cast("int")
     salted = nodes.groupBy("cand", "bucket").agg(salts.alias("salts"))
     salt = F.when(F.col("fits"), 0).otherwise(F.pmod(F.xxhash64("node"), F.col("salts"))).cast("int")
@@ -478,22 +498,44 @@ def _classes(docs: DataFrame, text: str, key: str) -> DataFrame:
     edges = land(_joined(sets.withColumn("asked", F.lit(False)), parts, True), "jaccard-links")
     large = sets.where("bucket >= 0")
     if large.limit(1).count():
-        for step_ in ("representatives", "all"):
-            edges = edges.unionByName(land(_across(large, edges, parts, step_ == "representatives"), "jaccard-links"))
+        routes = land(_routes(large, order), "jaccard-routes", ids=True)
+        first = land(_sent(large, routes, edges, True), "jaccard-sent", ids=True)
+        edges = edges.unionByName(land(_across(large, routes, first, parts), "jaccard-links"))
+        rest = land(_sent(large, routes, edges, False).join(first, first.columns, "left_anti"), "jaccard-sent", ids=True)
+        if rest.limit(1).count():
+            edges = edges.unionByName(land(_across(large, routes, rest, parts), "jaccard-links"))
     roots = connected(edges, "jaccard-components")
 
-    return each.drop("alone").join(roots, "node", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("root", "node")))
+    return each.select("key", "n", "node").join(roots, "node", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("root", "node")))
+
+
+def _rows_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows with a ``key`` of ``wanted`` (its columns __id and __text)."""
+    return rows.join(wanted, (F.col("key.text") == F.col("__text")) & F.col("key.id").eqNullSafe(F.col("__id")))
+
+
+def _needed(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows with a ``key`` of ``wanted``, and some more: hashes of keys are
+    cut to SLOTS slots, bits of a table that is broadcast, so that the join
+    need not shuffle the texts of rows that it drops."""
+    word, bit = (lambda h: F.floor(F.pmod(h, F.lit(SLOTS)) / 64)), (lambda h: F.pmod(h, F.lit(64)).cast("int"))
+    mine, theirs = F.xxhash64("key.id", "key.text"), F.xxhash64("__id", "__text")
+    table = wanted.groupBy(word(theirs).alias("__word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit(theirs))).alias("__bits"))
+    return rows.join(F.broadcast(table), (word(mine) == F.col("__word")) & (F.getbit("__bits", bit(mine)) == 1), "left_semi")
 
 
 def _confirmed(rows: DataFrame) -> DataFrame:
     """(node, n, text) where the text's set is the node's; another row with
-    the same key may have another."""
+    the same key may have another.  Of equal rows, each task keeps one (one
+    of several tasks' is as good as the other, and they do no harm)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for block in blocks(batch, "text"):
-                same = pa.array(shingles(block.column("text"))[1] == block.column("node").to_numpy())
-                yield block.filter(same)
+                nodes = block.column("node").to_pylist()
+                kept = [a == b and not (b in seen or seen.add(b)) for a, b in zip(shingles(block.column("text"))[1].tolist(), nodes, strict=True)]
+                yield block.filter(pa.array(kept, pa.bool_()))
 
     return rows.select("node", "n", "text").mapInArrow(run, "node bigint, n bigint, text string")
 
@@ -511,13 +553,33 @@ def _with_sets(rows: DataFrame) -> DataFrame:
     return rows.select(*kept, "text").mapInArrow(run, "cand bigint, bucket int, salt int, node bigint, members binary")
 
 
-def _across(sets: DataFrame, edges: DataFrame, parts: int, representatives: bool) -> DataFrame:
-    """Links between chunks of one candidate group, of like sizes.
+def _routes(sets: DataFrame, order: Broadcast) -> DataFrame:
+    """(cand, token, bucket, salt, node): first shingles of the sets, but those
+    that a candidate group has in one chunk only."""
+    place = ["cand", "bucket", "salt", "node"]
 
-    A set is sent to the group's other chunks unless its component is the one
-    that prevails in the group: of two sets in different components, one at
-    least is sent to the other's chunk.  With ``representatives``, only one
-    set of each chunk and component is sent.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, CHUNK_SETS):
+                some = batch.slice(i, CHUNK_SETS)
+                tokens = [_first(np.frombuffer(m.as_buffer(), np.uint64), order.value).view(np.int64) for m in some.column("members")]
+                at = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+                yield pa.RecordBatch.from_arrays([*[some.column(c).take(pa.array(at)) for c in place], pa.array(np.concatenate(tokens))], [*place, "token"])
+
+    heads = sets.select(*place, "members").mapInArrow(run, "cand bigint, bucket int, salt int, node bigint, token bigint")
+    same = Window.partitionBy("cand", "token")
+    chunk = F.struct("bucket", "salt")
+    return heads.select("*", F.min(chunk).over(same).alias("least"), F.max(chunk).over(same).alias("most")).where("least != most").drop("least", "most")
+
+
+def _sent(sets: DataFrame, routes: DataFrame, edges: DataFrame, representatives: bool) -> DataFrame:
+    """(cand, bucket, salt, node): chunks of a set's candidate group, of like
+    sizes, to which it is sent.
+
+    A set is sent to the other chunks that have one of its first shingles,
+    unless its component is the one that prevails in the group: of two sets in
+    different components, one at least is sent to the other's chunk.  With
+    ``representatives``, only one set of each chunk and component is sent.
     """
     roots = connected(edges, "jaccard-across")
     place = ["cand", "bucket", "salt"]
@@ -526,13 +588,22 @@ def _across(sets: DataFrame, edges: DataFrame, parts: int, representatives: bool
     prevails = shares.groupBy("cand", "class").agg(F.sum("n").alias("n")).groupBy("cand").agg(F.max_by("class", F.struct("n", "class")).alias("prevails"))
     if representatives:
         named = shares.select(*place, F.col("first").alias("node"), "class")
-    to = shares.select("cand", F.col("bucket").alias("to_bucket"), F.col("salt").alias("to_salt")).distinct()
+    senders = named.join(prevails, "cand").where(F.col("class") != F.col("prevails")).select("node")
+    to = routes.select("cand", "token", F.col("bucket").alias("to_bucket"), F.col("salt").alias("to_salt")).distinct()
     other = (F.col("bucket") != F.col("to_bucket")) | (F.col("salt") != F.col("to_salt"))
-    sent = named.join(prevails, "cand").where(F.col("class") != F.col("prevails")).join(to, "cand").where((F.abs(F.col("bucket") - F.col("to_bucket")) <= 1) & other)
-    guests = sent.select("cand", F.col("to_bucket").alias("bucket"), F.col("to_salt").alias("salt"), F.lit(True).alias("asked"), "node").join(sets.select("node", "members"), "node")
-    guests = guests.select(*place, "asked", "node", "members")
-    hosts = sets.join(sent.select("cand").distinct(), "cand", "left_semi").select(*place, F.lit(False).alias("asked"), "node", "members")
-    return _joined(hosts.unionByName(guests), parts, False)
+    sent = routes.join(senders, "node", "left_semi").join(to, ["cand", "token"]).where((F.abs(F.col("bucket") - F.col("to_bucket")) <= 1) & other)
+    return sent.select("cand", F.col("to_bucket").alias("bucket"), F.col("to_salt").alias("salt"), "node").distinct()
+
+
+def _across(sets: DataFrame, routes: DataFrame, sent: DataFrame, parts: int) -> DataFrame:
+    """Links of the sets that are sent with those of the chunks that they are
+    sent to.  Of a chunk, only sets that have a first shingle of one sent go."""
+    place = ["cand", "bucket", "salt"]
+    tokens = routes.join(sent.select("node").distinct(), "node", "left_semi").select("cand", "token").distinct()
+    hosts = routes.join(tokens, ["cand", "token"], "left_semi").join(sent.select(*place).distinct(), place, "left_semi").select(*place, "node").distinct()
+    asked = hosts.withColumn("asked", F.lit(False)).unionByName(sent.withColumn("asked", F.lit(True)))
+    asked = land(asked, "jaccard-asked", ids=True)
+    return _joined(asked.join(sets.select("node", "members"), "node"), parts, False)
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -544,10 +615,10 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     """
     rows = _classes(docs, text, key)
     first = rows.where("n > 0").groupBy("class", "key").agg(F.count("*").alias("copies")).groupBy("class").agg(F.min(F.struct("key", "copies")).alias("f"))
-    first = first.select(F.col("f.key.id").alias("__id"), F.col("f.key.text").alias("__text"), F.col("f.copies").alias("copies"))
+    first = land(first.select(F.col("f.key.id").alias("__id"), F.col("f.key.text").alias("__text"), F.col("f.copies").alias("copies")), "jaccard-first")
     names = docs.columns
-    marked = docs.select(F.struct(*names).alias("__row"), _row_key(key, text).alias("__key"))
-    kept = marked.join(first, (F.col("__key.text") == F.col("__text")) & F.col("__key.id").eqNullSafe(F.col("__id")))
-    single, several = kept.where("copies = 1"), kept.where("copies > 1").dropDuplicates(["__key"])
+    marked = docs.select(F.struct(*names).alias("__row"), _row_key(key, text).alias("key"))
+    single, several = first.where("copies = 1"), first.where("copies > 1")
+    single, several = _rows_of(marked, single), _rows_of(_needed(marked, several), several).dropDuplicates(["key"])
     wordless = marked.where(~F.coalesce(F.col(f"__row.`{text}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     return single.unionByName(several).select("__row.*").unionByName(wordless.select("__row.*")).select(*names)
