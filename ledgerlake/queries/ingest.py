@@ -114,7 +114,7 @@ def src_html_table(v):
     """Courier HTML pages (first table) → rows; text 'nan' → null."""
     root = X.new_root(v.spark)
     path = X.export_html(v, root)
-    cells = SF.html_cells(v.spark, f"{path}/*/*/*.txt")
+    cells = SF.html_cells(v.spark, f"{path}/*/*/*.txt.gz", by_row=True)
     return FL.cells_to_rows(cells, FL.header_names(cells, 0), 1, drop_blank=False).drop("file", "sheet", "row")
 
 
@@ -123,7 +123,7 @@ def src_spreadsheetml(v):
     """SpreadsheetML bill workbooks → rows (sparse indexes filled, entities cleaned)."""
     root = X.new_root(v.spark)
     path = X.export_spreadsheetml(v, root)
-    cells = SF.spreadsheetml_cells(v.spark, f"{path}/*/*/*.txt")
+    cells = SF.spreadsheetml_cells(v.spark, f"{path}/*/*/*.txt.gz", by_row=True)
     return FL.cells_to_rows(cells, FL.header_names(cells, 0, numbered=True), 1).drop("file", "sheet", "row")
 
 

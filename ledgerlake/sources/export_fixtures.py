@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, shuffles_removed, stored
 
 # Export header names of the order export (as in the platform files).
 ORDER_HEADERS = {"order_no": "订单编号", "order_seq": "订单序号", "shop_name": "门店名称（全称）",
@@ -37,8 +37,11 @@ ROWS_PER_FILE = 100_000
 def in_parts(df: DataFrame, keys: list[str], spread: list[str], rows: int = ROWS_PER_FILE) -> DataFrame:
     """``df`` with ``part``: the file of its shop that a row goes to.  A shop
     has as many files as it has ``rows`` rows, the rows dealt by hash, so that
-    no file, task or window group grows with a large shop."""
-    count = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    no file, task or window group grows with a large shop.  The counts, a row
+    a shop, are stored first: their size is known then, and rows need no
+    shuffle to meet them."""
+    with shuffles_removed(df.sparkSession):
+        count = stored(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).coalesce(1))
     parts = F.ceil(F.col("_n") / rows)
     return df.join(count, keys).withColumn("part", F.pmod(F.xxhash64(*spread), parts)).drop("_n")
 
@@ -47,7 +50,7 @@ def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def export_csv(v, root: str, narrow: tuple[str, ...] = ()) -> str:
+def export_csv(v, root: str, narrow: tuple[str, ...] = (), compression: str = "none") -> str:
     """Order export as CSV, a folder per platform and shop; MT files in GBK.
     The platforms in ``narrow`` lack the display column."""
     from .files import enable_charsets
@@ -57,10 +60,11 @@ def export_csv(v, root: str, narrow: tuple[str, ...] = ()) -> str:
     for plats, enc in ((["mt"], "GBK"), (["el", "jd"], "UTF-8")):
         left_out = "金额/展示" if set(plats) <= set(narrow) else None
         rows = o.where(F.col("platform").isin(*plats)).repartition(_tasks(o), "platform", "shop_id", "part")
-        (rows.select("platform", "shop_id", *[F.col(c).alias(h) for c, h in ORDER_HEADERS.items() if h != left_out])
-         .write.mode("append").option("header", True).option("encoding", enc)
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-         .partitionBy("platform", "shop_id").csv(base))
+        rows = rows.select("platform", "shop_id", *[F.col(c).alias(h) for c, h in ORDER_HEADERS.items() if h != left_out])
+        with shuffles_removed(v.spark):
+            (rows.write.mode("append").option("header", True).option("encoding", enc).option("compression", compression)
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+             .partitionBy("platform", "shop_id").csv(base))
     return base
 
 
@@ -71,16 +75,20 @@ def _xml_text(c: Column) -> Column:
 
 
 def _write_documents(rows: DataFrame, order: list[str], line: Column, path: str, head: Column, tail: Column) -> None:
-    """Rows with ``key`` and ``part`` → one text file for each of both, a line
-    a row by ``order``: the header is put before the first line and the footer
-    after the last."""
+    """Rows with ``key`` and ``part`` → one compressed text file for each of
+    both, a line a row by ``order``: the header is put before the first line
+    and the footer after the last.  Rows are shuffled and sorted once; their
+    lines are made after that."""
     w = Window.partitionBy("key", "part")
     seq = F.row_number().over(w.orderBy(*order))
-    body = rows.select("key", "part", seq.alias("seq"), F.count(F.lit(1)).over(w).alias("n"), line.alias("line"))
-    text = F.concat(F.when(F.col("seq") == 1, F.concat(head, F.lit("\n"))).otherwise(F.lit("")), F.col("line"),
-                    F.when(F.col("seq") == F.col("n"), F.concat(F.lit("\n"), tail)).otherwise(F.lit("")))
-    (body.select("key", "part", "seq", text.alias("line")).repartition(_tasks(rows), "key", "part").sortWithinPartitions("key", "part", "seq")
-     .select("key", "part", "line").write.mode("overwrite").partitionBy("key", "part").text(path))
+    rows = rows.repartition(_tasks(rows), "key", "part")
+    body = rows.withColumns({"_seq": seq, "_n": F.count(F.lit(1)).over(w)})
+    text = F.concat(F.when(F.col("_seq") == 1, F.concat(head, F.lit("\n"))).otherwise(F.lit("")), line,
+                    F.when(F.col("_seq") == F.col("_n"), F.concat(F.lit("\n"), tail)).otherwise(F.lit("")))
+    # in the order that the window has already: no second sort
+    body = body.select("key", "part", *[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], text.alias("line")).sortWithinPartitions("key", "part", *[f"_{i}" for i in range(len(order))])
+    with shuffles_removed(rows.sparkSession):
+        (body.select("key", "part", "line").write.mode("overwrite").option("compression", "gzip").partitionBy("key", "part").text(path))
 
 
 def export_html(v, root: str) -> str:

@@ -10,6 +10,9 @@ format (CSV, xlsx, HTML table, SpreadsheetML) shares the same header logic:
   ``split_files``;
 * xlsx is unzipped per file inside ``mapInPandas`` (stdlib ``zipfile`` +
   ``ElementTree``) and emitted as cells — one task per file, no driver hop;
+* a reader may give **cell rows** instead, a record ``(file, sheet, row, cols,
+  values)`` a row: ``cols`` names the values' columns, null stands for the
+  first ones in order.  They need no grouping to become table rows;
 * header rows become column names with Column expressions (sanitise,
   de-duplicate, merged two-row headers) and the data rows are pivoted on
   the (small, known) list of names.
@@ -20,12 +23,15 @@ from __future__ import annotations
 import fnmatch
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
+
 CELL_SCHEMA = T.StructType([
     T.StructField("file", T.StringType()), T.StructField("sheet", T.StringType()),
     T.StructField("row", T.IntegerType()), T.StructField("col", T.IntegerType()),
@@ -49,20 +55,26 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
                      F.col("length").alias("bytes"))
 
 
+#: suffixes by which Spark's readers know a compressed file
+COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst)$"
+
+
 def route_files(files: DataFrame, rules: list[tuple[str, str, str]], skip: Iterable[str] = (),
                 on: str = "path") -> DataFrame:
     """Attach (rule, target) to every file: ``rules`` = ordered (name, glob,
     target); the first matching glob wins; files matching a ``skip`` glob or
-    no rule get a null target (reported, not loaded)."""
+    no rule get a null target (reported, not loaded).  A compressed file may
+    also match by its name without the suffix that says so."""
     key = F.col(on)
+    inner = F.regexp_replace(key, COMPRESSED, "")
     rule = target = None
     for name, glob, tgt in rules:
-        cond = key.rlike(fnmatch.translate(glob))
+        cond = key.rlike(fnmatch.translate(glob)) | inner.rlike(fnmatch.translate(glob))
         rule = F.when(cond, F.lit(name)) if rule is None else rule.when(cond, F.lit(name))
         target = F.when(cond, F.lit(tgt)) if target is None else target.when(cond, F.lit(tgt))
     skipped = F.lit(False)
     for g in skip:
-        skipped = skipped | key.rlike(fnmatch.translate(g))
+        skipped = skipped | key.rlike(fnmatch.translate(g)) | inner.rlike(fnmatch.translate(g))
     return files.select("*", F.when(~skipped, rule).alias("rule"),
                         F.when(~skipped, target).alias("target"),
                         F.when(skipped, F.lit("skipped")).when(rule.isNull(), F.lit("unmatched"))
@@ -301,9 +313,21 @@ def dedupe_names(headers: DataFrame) -> DataFrame:
                               .otherwise(F.concat_ws("_", "name", rn.cast("string"))))
 
 
+def unpacked(rows: DataFrame) -> DataFrame:
+    """Cell rows as a cell table."""
+    place = F.coalesce("cols", F.sequence(F.lit(0), F.size("values") - 1))
+    cells = rows.where(F.size("values") > 0).select("file", "sheet", "row", F.explode(F.arrays_zip(place.alias("col"), F.col("values").alias("value"))).alias("c"))
+    return cells.select("file", "sheet", "row", "c.col", "c.value").to(CELL_SCHEMA)
+
+
+def _cells(cells: DataFrame) -> DataFrame:
+    return unpacked(cells) if "values" in cells.columns else cells
+
+
 def _all_columns(cells: DataFrame) -> DataFrame:
     """(file, sheet, col) for every column up to the last used one of a sheet."""
-    return (cells.groupBy("file", "sheet").agg(F.max("col").alias("_m"))
+    last = F.coalesce(F.array_max("cols"), F.size("values") - 1) if "values" in cells.columns else F.col("col")
+    return (cells.groupBy("file", "sheet").agg(F.max(last).alias("_m"))
             .select("file", "sheet", F.explode(F.sequence(F.lit(0), F.col("_m"))).alias("col")))
 
 
@@ -311,7 +335,7 @@ def header_names(cells: DataFrame, header_row: int = 0, numbered: bool = False)
     """(file, sheet, col, name) from one header row, sanitised and de-duplicated,
     for every column present anywhere in the sheet.  A missing header cell is
     'unnamed', or 'col_<i>' if ``numbered`` (as in SpreadsheetML exports)."""
-    v = (cells.where(F.col("row") == header_row).groupBy("file", "sheet", "col")
+    v = (_cells(cells.where(F.col("row") == header_row)).groupBy("file", "sheet", "col")
          .agg(F.max("value").alias("v")))
     h = (_all_columns(cells).join(v, ["file", "sheet", "col"], "left")
          .select("file", "sheet", "col", sanitize_name(
@@ -323,7 +347,7 @@ def header_names(cells: DataFrame, header_row: int = 0, numbered: bool = False)
 def merged_header_names(cells: DataFrame, header_row: int = 0) -> DataFrame:
     """Two-row header → ``group_sub``: the group carries forward across
     columns; an empty sub becomes ``col_<i>``; no prefix when group == sub."""
-    two = (cells.where(F.col("row").isin(header_row, header_row + 1)).groupBy("file", "sheet", "col")
+    two = (_cells(cells.where(F.col("row").isin(header_row, header_row + 1))).groupBy("file", "sheet", "col")
            .agg(F.max(F.when(F.col("row") == header_row, F.trim("value"))).alias("g"),
                 F.max(F.when(F.col("row") == header_row + 1, F.trim("value"))).alias("s")))
     pair = _all_columns(cells).join(two, ["file", "sheet", "col"], "left")
@@ -336,6 +360,26 @@ def merged_header_names(cells: DataFrame, header_row: int = 0) -> DataFrame:
     return dedupe_names(pair.select("file", "sheet", "col", sanitize_name(name).alias("name")))
 
 
+def _rows_laid_out(rows: DataFrame, headers: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Cell rows → (file, sheet, row, a column for each header name), and the
+    names.  Only distinct layouts (names in column order) come to the driver;
+    files that all have the same need no join."""
+    headers = stored(headers)
+    names = [r[0] for r in headers.select("name").distinct().orderBy("name").collect()]
+    of_sheet = headers.groupBy("file", "sheet").agg(F.sort_array(F.collect_list(F.struct("col", "name"))).alias("layout"))
+    layouts = of_sheet.select("layout").distinct().limit(2).collect()
+    if len(layouts) == 1:
+        place = {n: F.lit(next((c for c, x in layouts[0][0] if x == n), None)).cast("int") for n in names}
+    else:
+        place = {n: F.col(f"_at{i}") for i, n in enumerate(names)}
+        where = headers.groupBy("file", "sheet").agg(F.lit(1).alias("_one"), *[F.min(F.when(F.col("name") == n, F.col("col"))).alias(f"_at{i}") for i, n in enumerate(names)])
+        rows = rows.join(stored(where), ["file", "sheet"])
+    index = {n: F.when(F.col("cols").isNull(), p).otherwise(F.array_position("cols", p).cast("int") - 1) for n, p in place.items()}
+    known = [F.coalesce((i >= 0) & (i < F.size("values")), F.lit(False)) for i in index.values()]
+    rows = rows.where(reduce(Column.__or__, known, F.lit(False)))
+    return rows.select("file", "sheet", "row", *[F.get("values", i).alias(n) for n, i in index.items()]), names
+
+
 def cells_to_rows(cells: DataFrame, headers: DataFrame, first_data_row: int,
                   drop_blank: bool = True) -> DataFrame:
     """Data rows of the cell table pivoted into named text columns.
@@ -343,8 +387,11 @@ def cells_to_rows(cells: DataFrame, headers: DataFrame, first_data_row: int,
     The pivot list is the distinct header names (metadata: one value per
     column).  Rows with every business cell blank are dropped when
     ``drop_blank``.  Columns missing in some files stay null for them
-    (union by name).
+    (union by name).  Cell rows are laid out one by one, without a shuffle.
     """
+    if "values" in cells.columns:
+        wide, names = _rows_laid_out(cells.where(F.col("row") >= first_data_row), headers)
+        return wide.na.drop(how="all", subset=names) if drop_blank and names else wide
     names = [r[0] for r in headers.select("name").distinct().orderBy("name").collect()]
     data = cells.where(F.col("row") >= first_data_row).join(headers, ["file", "sheet", "col"], "inner")
     wide = data.groupBy("file", "sheet", "row").pivot("name", names).agg(F.first("value"))

@@ -13,13 +13,15 @@ scans over that order make up for what a byte range can't know by itself:
 
 Both work within ranges first and then on one row per range.  So no task holds
 a whole file, and a file of any size is the work of as many tasks as it has
-ranges.
+ranges.  HTML tables and SpreadsheetML, which have many more tags than lines,
+are read by ``tag_rows`` in one pass over a range's bytes.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import re
 from collections import Counter
 
 import pandas as pd
@@ -27,7 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, stored
-from .files import CELL_SCHEMA, _GB18030_CHARS, _GBK_CHARS, _unescape, enable_charsets
+from . import tag_rows as TR
+from .files import CELL_SCHEMA, _GB18030_CHARS, _GBK_CHARS, enable_charsets, unpacked
 
 ORDER = ["file", "block", "id"]
 
@@ -188,39 +191,44 @@ def read_csv(spark: SparkSession, paths: list[str] | str, declared: str | None =
 # ---------------------------------------------------------------------------
 # tags: HTML tables and SpreadsheetML
 # ---------------------------------------------------------------------------
-_TAG = r"(?s)^(.*)<(/?[A-Za-z][A-Za-z0-9:_-]*)([^<]*)$"
+#: bytes of a file that a task may hold
+WHOLE_FILE = 32 << 20
 
 
-def _tags(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """The files cut at every ``>``: the text before a tag, the tag's name
-    (lower case, without a prefix ``ss:``) and its attributes.  A ``>`` that
-    ends no tag is text; one inside an attribute has to be escaped."""
-    cut = pieces(spark, paths, ">")
-    name = F.regexp_replace(F.lower(F.regexp_extract("value", _TAG, 2)), "^(/?)ss:", "$1")
-    text = F.when(name == "", F.concat("value", F.lit(">"))).otherwise(F.regexp_extract("value", _TAG, 1))
-    return cut.select(*ORDER, name.alias("tag"), F.regexp_extract("value", _TAG, 3).alias("attributes"), text.alias("text"))
+def _range_bytes(spark: SparkSession) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
 
 
-def _cells(tagged: DataFrame, keep: Column, cell: list[str]) -> DataFrame:
-    """(file, row, cell, attributes, text) from tags with running numbers
-    ``row`` and ``cell`` (of the tags ``cell``) and the state ``open`` (in
-    the cell's content)."""
-    starts = F.col("tag").isin(*cell)
-    parts = F.array(F.struct((F.col("cell") - starts.cast("long")).alias("cell"), F.lit(None).cast("long").alias("row"), F.lit(None).cast("string").alias("attributes"), F.when(F.col("open"), F.col("text")).alias("text")),
-                    F.struct(F.when(starts, F.col("cell")).alias("cell"), F.when(starts, F.col("row")).alias("row"), F.when(starts, F.col("attributes")).alias("attributes"), F.lit(None).cast("string").alias("text")))
-    each = tagged.where(keep).select(*ORDER, F.explode(parts).alias("p")).select(*ORDER, "p.*").where(F.col("row").isNotNull() | F.col("text").isNotNull())
-    texts = F.transform(F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("block", "id", "text")))), lambda x: x["text"])
-    return (each.groupBy("file", "cell").agg(F.max("row").alias("row"), F.max("attributes").alias("attributes"), F.size(texts).alias("n"), F.array_join(texts, "").alias("text"))
-            .where(F.col("row").isNotNull()).select("file", "row", "cell", "attributes", F.when(F.col("n") > 0, F.col("text")).alias("text")))
+def _scanned(spark: SparkSession, paths: list[str] | str, kind: type) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The files' ranges as ``tag_rows`` reads them: their complete rows, the
+    other records, of which each range has a few, and what comes before each
+    range in its file: (file, block, regions, closings, rows, ahead).
 
-
-def _attribute(name: str) -> Column:
-    """A number among the attributes, else null."""
-    return F.regexp_extract("attributes", rf"(?i)(?:^|[\s:]){name}\s*=\s*[\"']?\s*([0-9]+)", 1).try_cast("int")
+    A file that fits a range is read as it is; of the others, a row for each
+    ``>``, only the names come to the driver."""
+    files = spark.read.format("binaryFile").load(paths)
+    one_range = (F.col("length") <= min(WHOLE_FILE, _range_bytes(spark))) & ~F.col("path").rlike(r"\.(deflate|lz4|snappy|zst)$")
+    scan = files.where(one_range).select(F.col("_metadata.file_path").alias("file"), "content").mapInArrow(TR.whole_files(kind), TR.SCANNED)
+    if large := [r[0] for r in files.where(~one_range).select("path").collect()]:
+        cut = pieces(spark, [re.sub(r"([\\*?\[\]{}])", r"\\\1", x) for x in large], ">")
+        scan = scan.unionByName(cut.select("file", "block", F.col("value").cast("binary").alias("value")).mapInArrow(TR.scanner(kind), TR.SCANNED))
+    scan = stored(scan)
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))       # noqa: E731
+    few = stored(scan.where(F.col("kind") != TR.WHOLE).coalesce(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    ranges = few.where(F.col("kind") == TR.TOTAL).select(
+        "file", "block", before("region").alias("regions"), before("closed").alias("closings"), before("row").alias("rows"))
+    # of the first worksheet: how far a row's place is ahead of its number
+    sheets = few.where(F.col("kind") == TR.SHEET).join(ranges, ["file", "block"]).where(F.col("regions") + F.col("region") == 1)
+    ahead = sheets.groupBy("file", "block").agg(F.max(F.col("moved") - F.col("rows")).alias("ahead"))
+    ranges = ranges.join(ahead, ["file", "block"], "left")
+    return scan.where(F.col("kind") == TR.WHOLE), few, stored(ranges.withColumn("ahead", F.max("ahead").over(earlier)))
 
 
-#: rows that a cell may span, as browsers have it
-MOST_SPANNED = 65534
+def _joined(parts: DataFrame, columns) -> DataFrame:
+    """The rows that parts of ranges make up."""
+    of_row = F.sort_array(F.collect_list(F.struct("block", "seq", "began", "open", "lead", "cells", "moved"))).alias("parts")
+    return stored(parts.groupBy("file", "row").agg(of_row).mapInArrow(TR.joiner(columns), TR.JOINED))
 
 
 def _fill_spans(group: pd.DataFrame) -> pd.DataFrame:
@@ -241,9 +249,9 @@ def _fill_spans(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["file", "row", "col", "value"])
 
 
-def html_cells(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+def html_cells(spark: SparkSession, paths: list[str] | str, by_row: bool = False) -> DataFrame:
     """First ``<table>`` of each file (a web page saved as .xlsx), up to its
-    end tag → cells.
+    end tag → cells, or cell rows (``by_row``).
 
     Tags and comments inside cells are dropped, entities decoded, text ``nan``
     is null; end tags of rows and cells may be missing.  A cell that spans
@@ -252,59 +260,47 @@ def html_cells(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     each other; the others are filled in groups that end where no span reaches
     on.
     """
-    starts = F.col("tag").isin("td", "th")
-    ends = F.col("tag").isin("/td", "/th", "tr", "/tr", "table", "/table")
-    tags = stored(states(stored(_tags(spark, paths)), starts, starts | ~ends, "open"))
-    tags = stored(running(tags, {"tables": F.col("tag") == "table", "closed": F.col("tag") == "/table", "row": F.col("tag") == "tr", "cell": starts}))
-    first = (F.col("tables") >= 1) & (F.col("closed") - (F.col("tag") == "/table").cast("long") == 0)
-    found = _cells(tags, first, ["td", "th"])
-    text = F.btrim(_unescape(F.regexp_replace(F.coalesce("text", F.lit("")), r"(?s)<!--.*?-->", "")), F.lit(" \r\n"))
-    span = lambda name, most: F.least(F.lit(most), F.greatest(F.lit(1), F.coalesce(_attribute(name), F.lit(1))))       # noqa: E731
-    found = stored(found.select("file", (F.col("row") - 1).cast("int").alias("row"), "cell", span("colspan", 1000).alias("wide"), span("rowspan", MOST_SPANNED).alias("tall"),
-                                     F.when(text != "nan", text).alias("text")))
+    whole, few, ranges = _scanned(spark, paths, TR.Html)
+    first = (F.col("regions") + F.col("region") >= 1) & (F.col("closings") + F.col("closed") == 0)
+    row = (F.col("rows") + F.col("row") - 1).cast("int").alias("row")
+    parts = few.where(F.col("kind") == TR.PART).join(ranges, ["file", "block"]).where(first).withColumn("row", F.col("rows") + F.col("row"))
+    parts = _joined(parts, TR.html_row).select("file", (F.col("row") - 1).cast("int").alias("row"), "texts", "wide", "tall")
+    found = whole.join(ranges, ["file", "block"]).where(first).select("file", row, "texts", "wide", "tall").unionByName(parts)
+    columns = F.when(F.col("wide").isNull(), F.col("texts")).otherwise(F.flatten(F.zip_with("texts", "wide", lambda t, n: F.array_repeat(t, n))))
+    plain = lambda of: of.select("file", F.lit("html").alias("sheet"), "row", F.lit(None).cast("array<int>").alias("cols"), columns.alias("values"))      # noqa: E731
     # rows with or under a row span; a group starts at a row under none
-    spans = found.where(F.col("tall") > 1)
-    under = spans.select("file", F.explode(F.sequence(F.col("row") + 1, F.col("row") + F.col("tall") - 1)).alias("row")).distinct().withColumn("under", F.lit(True))
-    tied = spans.select("file", "row").distinct().join(under, ["file", "row"], "full").withColumn("first", F.col("under").isNull())
-    tied = running(tied.select("file", F.floor(F.col("row") / MOST_SPANNED).alias("block"), F.col("row").alias("id"), "first"), {"group": F.col("first")}).select("file", F.col("id").alias("row"), "group")
-    both = found.join(tied, ["file", "row"], "left")
-    filled = both.where(F.col("group").isNotNull()).groupBy("file", "group").applyInPandas(_fill_spans, "file string, row int, col int, value string")
-    cells = F.array_sort(F.collect_list(F.struct("cell", "wide", "text")))
-    plain = both.where(F.col("group").isNull()).groupBy("file", "row").agg(cells.alias("cells"))
-    wide = F.flatten(F.transform("cells", lambda c: F.array_repeat(c["text"], c["wide"])))
-    plain = plain.select("file", "row", F.posexplode(wide).alias("col", "value"))
-    return plain.unionByName(filled).select("file", F.lit("html").alias("sheet"), "row", "col", "value").to(CELL_SCHEMA)
-
-
-_UNKNOWN = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#[xX][0-9a-fA-F]+);)[A-Za-z0-9#]+;"
-
-
-def spreadsheetml_cells(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """SpreadsheetML (XML workbook), first worksheet → cells.
+    if few.where(F.col("kind") == TR.TOTAL).select("tall").unionAll(parts.select("tall")).where(F.array_max("tall") > 1).isEmpty():
+        out = plain(found)
+    else:
+        spans = stored(found.where(F.array_max("tall") > 1).select("file", "row", F.array_max("tall").alias("tall")))
+        under = spans.select("file", F.explode(F.sequence(F.col("row") + 1, F.col("row") + F.col("tall") - 1)).alias("row")).distinct().withColumn("under", F.lit(True))
+        tied = spans.select("file", "row").distinct().join(under, ["file", "row"], "full").withColumn("first", F.col("under").isNull())
+        tied = running(tied.select("file", F.floor(F.col("row") / TR.MOST_SPANNED).alias("block"), F.col("row").alias("id"), "first"), {"group": F.col("first")}).select("file", F.col("id").alias("row"), "group")
+        both = found.join(stored(tied), ["file", "row"], "left")
+        ones = F.array_repeat(F.lit(1), F.size("texts"))
+        cells = both.where(F.col("group").isNotNull()).select("file", "group", "row", F.posexplode(F.arrays_zip(
+            F.coalesce("wide", ones).alias("wide"), F.coalesce("tall", ones).alias("tall"), F.col("texts").alias("text"))).alias("cell", "c")).select("file", "group", "row", "cell", "c.*")
+        filled = cells.groupBy("file", "group").applyInPandas(_fill_spans, "file string, row int, col int, value string")
+        of_row = F.sort_array(F.collect_list(F.struct("col", "value"))).alias("c")
+        filled = stored(filled.groupBy("file", "row").agg(of_row).select("file", F.lit("html").alias("sheet"), "row", F.col("c.col").alias("cols"), F.col("c.value").alias("values")))
+        out = plain(both.where(F.col("group").isNull())).unionByName(filled)
+    return out if by_row else unpacked(out)
+
+
+def spreadsheetml_cells(spark: SparkSession, paths: list[str] | str, by_row: bool = False) -> DataFrame:
+    """SpreadsheetML (XML workbook), first worksheet → cells, or cell rows
+    (``by_row``).
 
     Unknown entities are removed.  A cell's or a row's 1-based ``ss:Index``
     sets its place, the next ones go on from there; ragged rows have fewer
     cells.
     """
-    starts = (F.col("tag") == "data") & ~F.col("attributes").endswith("/")
-    ends = F.col("tag").isin("/data", "cell", "/cell", "row", "/row", "worksheet")
-    tags = stored(states(stored(_tags(spark, paths)), starts, starts | ~ends, "open"))
-    is_row = F.col("tag") == "row"
-    place = F.when(is_row, _attribute("Index"))
-    tags = running(tags, {"sheets": F.col("tag") == "worksheet", "row": is_row, "cell": F.col("tag") == "cell"}).withColumn("place", place)
-    tags = stored(tags)
-    found = _cells(tags, F.col("sheets") == 1, ["cell"])
-    text = F.replace(_unescape(F.regexp_replace("text", _UNKNOWN, "")), F.lit("&apos;"), F.lit("'"))
-    cells = F.array_sort(F.collect_list(F.struct("cell", _attribute("Index").alias("place"), text.alias("value"))))
-    rows = found.groupBy("file", "row").agg(cells.alias("cells"))
-    # a place in force counts from its cell; without one, from the row's first
-    at = F.transform("cells", lambda c, i: F.struct(c["value"].alias("value"), i.alias("i"), c["place"].alias("place")))
-    rows = rows.select("file", "row", F.explode(at).alias("c"))
-    upto = Window.partitionBy("file", "row").orderBy("c.i").rowsBetween(Window.unboundedPreceding, 0)
-    shift = F.coalesce(F.last(F.col("c.place") - 1 - F.col("c.i"), ignorenulls=True).over(upto), F.lit(0))
-    rows = rows.select("file", "row", (F.col("c.i") + shift).cast("int").alias("col"), F.col("c.value").alias("value"))
+    whole, few, ranges = _scanned(spark, paths, TR.SpreadsheetMl)
     # a row with a place moves itself and all later ones; places only grow
-    at_row = tags.where((F.col("sheets") == 1) & (F.col("tag") == "row")).select(*ORDER, "row", (F.col("place") - F.col("row")).alias("by"))
-    moved = running(at_row, {"shift": F.col("by")}, greatest=True).select("file", "row", F.coalesce("shift", F.lit(0)).alias("shift"))
-    rows = rows.join(moved, ["file", "row"])
-    return rows.select("file", F.lit("xml").alias("sheet"), (F.col("row") - 1 + F.col("shift")).cast("int").alias("row"), "col", "value").to(CELL_SCHEMA)
+    earlier = F.when(F.col("region") == 0, F.col("ahead"))
+    moved = F.coalesce(F.greatest(F.col("moved") - F.col("rows"), earlier), F.lit(0))
+    first = lambda of: of.join(ranges, ["file", "block"]).where(F.col("regions") + F.col("region") == 1).withColumns({"moved": moved, "row": F.col("rows") + F.col("row")})      # noqa: E731
+    parts = _joined(first(few.where(F.col("kind") == TR.PART)), TR.xml_row).where(F.col("began"))
+    found = first(whole).select("file", "row", "moved", "cols", "texts").unionByName(parts.select("file", "row", "moved", "cols", "texts"))
+    out = found.select("file", F.lit("xml").alias("sheet"), (F.col("row") - 1 + F.col("moved")).cast("int").alias("row"), "cols", F.col("texts").alias("values"))
+    return out if by_row else unpacked(out)
