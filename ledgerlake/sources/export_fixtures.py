@@ -10,7 +10,14 @@ layouts are derived as cell tables (``sheet_cells``) and packed into workbooks
 
 from __future__ import annotations
 
+import io
+import re
 import uuid
+import zipfile
+from collections.abc import Iterable
+from functools import cache
+from itertools import groupby
+from xml.sax.saxutils import escape, quoteattr
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -130,10 +137,13 @@ def export_spreadsheetml(v, root: str) -> str:
 
 def sheet_cells(df: DataFrame, file_col: Column, columns: dict[str, str], order: list[str],
                 sheet: str = "Sheet1", title_rows: int = 0, group_row: dict[str, str] | None = None,
-                blank_every: int = 0) -> DataFrame:
+                blank_every: int = 0, by_row: bool = False) -> DataFrame:
     """A worksheet per file as a cell table: optional title rows, an optional
     group header row (merged two-row header), the header row, then data rows.
-    ``blank_every`` inserts an all-blank row after every n-th data row."""
+    ``blank_every`` inserts an all-blank row after every n-th data row.
+
+    ``by_row``: as cell rows, those of a file together and in order, from one
+    pass over ``df``."""
     names = list(columns)
     hdr_rows = title_rows + (2 if group_row else 1)
     w = Window.partitionBy("file").orderBy(*order)
@@ -144,6 +154,14 @@ def sheet_cells(df: DataFrame, file_col: Column, columns: dict[str, str], order:
         row = row + F.floor(F.col("_n") / blank_every)
     arr = F.array(*[F.struct(F.lit(i).alias("col"), F.col(c).cast("string").alias("value"))
                     for i, c in enumerate(names)])
+    if by_row:
+        above = ([{0: f"报表标题{t + 1}"} for t in range(title_rows)] + ([{i: group_row.get(c) for i, c in enumerate(names)}] if group_row else [])
+                 + [dict(enumerate(columns.values()))])
+        record = lambda r, cells: F.struct(r.cast("int").alias("row"), F.filter(cells, lambda c: c["value"].isNotNull()).alias("cells"))      # noqa: E731
+        head = [record(F.lit(r), F.array(*[F.struct(F.lit(i).alias("col"), F.lit(x).cast("string").alias("value")) for i, x in cells.items()])) for r, cells in enumerate(above)]
+        own = F.array(record(row, arr))
+        d = d.select("file", F.explode(F.when(F.col("_n") == 0, F.concat(F.array(*head), own)).otherwise(own)).alias("r"))
+        return d.where(F.size("r.cells") > 0).select("file", F.lit(sheet).alias("sheet"), "r.row", F.col("r.cells.col").alias("cols"), F.col("r.cells.value").alias("values"))
     data = d.select("file", row.cast("int").alias("row"), F.explode(arr).alias("c")).select(
         "file", "row", "c.col", "c.value")
     files = d.select("file").distinct()
@@ -166,6 +184,7 @@ def sheet_cells(df: DataFrame, file_col: Column, columns: dict[str, str], order:
                       "value").where(F.col("value").isNotNull())
 
 
+@cache
 def _letters(col: int) -> str:
     """Column letters of a 0-based column."""
     out = ""
@@ -174,40 +193,94 @@ def _letters(col: int) -> str:
     return out
 
 
-def _pack(file: str, sheets: dict[str, list[tuple[int, int, str]]], merges: dict[str, list[str]]) -> bytes:
-    """A minimal workbook: inline strings, sheets in name order."""
-    import io
-    import zipfile
-    from itertools import groupby
-    from xml.sax.saxutils import escape, quoteattr
+_MARKUP = re.compile(r"[&<>\t]")
+
+
+def _escaped(x: str) -> str:
+    return escape(x, {"\t": "&#9;"}) if _MARKUP.search(x) else x
+
+
+class _Book:
+    """A minimal workbook: inline strings, sheets and rows one after the other."""
 
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    names, buf = sorted(sheets), io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets>' + "".join(
-            f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(names, 1)) + "</sheets></workbook>")
-        z.writestr("xl/_rels/workbook.xml.rels",
-                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(
-                       f'<Relationship Id="r{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1))
-                   + "</Relationships>")
-        for i, n in enumerate(names, 1):
-            with z.open(f"xl/worksheets/sheet{i}.xml", "w") as out:
-                out.write(f'<worksheet xmlns="{main}"><sheetData>'.encode())
-                for r, cells in groupby(sorted(sheets[n]), lambda x: x[0]):
-                    out.write((f'<row r="{r + 1}">' + "".join(
-                        f'<c r="{_letters(c)}{r + 1}" t="inlineStr"><is><t xml:space="preserve">{escape(x, {chr(9): "&#9;"})}</t></is></c>'
-                        for _, c, x in cells) + "</row>").encode())
-                merged = "".join(f'<mergeCell ref="{ref}"/>' for ref in merges.get(n, ()))
-                out.write(("</sheetData>" + (f"<mergeCells>{merged}</mergeCells>" if merged else "") + "</worksheet>").encode())
-    return buf.getvalue()
+
+    def __init__(self, merges: dict[str, list[str]]):
+        self.merges, self.names, self.bytes, self.out = merges, [], io.BytesIO(), None
+        self.zip = zipfile.ZipFile(self.bytes, "w", zipfile.ZIP_DEFLATED)
+
+    def add(self, sheet: str, row: int, cells: Iterable[tuple[int, str]]) -> None:
+        if self.out is None or sheet != self.names[-1]:
+            if sheet in self.names:
+                raise ValueError(f"rows of sheet {sheet} are not together")
+            self._end_sheet()
+            self.names.append(sheet)
+            self.out = self.zip.open(f"xl/worksheets/sheet{len(self.names)}.xml", "w")
+            self.lines = [f'<worksheet xmlns="{self.main}"><sheetData>']
+        self.lines.append(f'<row r="{row + 1}">' + "".join([
+            f'<c r="{_letters(c)}{row + 1}" t="inlineStr"><is><t xml:space="preserve">{_escaped(x)}</t></is></c>' for c, x in cells]) + "</row>")
+        if len(self.lines) >= 1000:
+            self._write()
+
+    def _write(self) -> None:
+        self.out.write("".join(self.lines).encode())
+        self.lines = []
+
+    def _end_sheet(self) -> None:
+        if self.out is not None:
+            merged = "".join(f'<mergeCell ref="{ref}"/>' for ref in self.merges.get(self.names[-1], ()))
+            self.lines.append("</sheetData>" + (f"<mergeCells>{merged}</mergeCells>" if merged else "") + "</worksheet>")
+            self._write()
+            self.out.close()
+
+    def content(self) -> bytes:
+        self._end_sheet()
+        self.zip.writestr("xl/workbook.xml", f'<workbook xmlns="{self.main}" xmlns:r="{self.office}"><sheets>' + "".join(
+            f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(self.names, 1)) + "</sheets></workbook>")
+        self.zip.writestr("xl/_rels/workbook.xml.rels",
+                          '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(
+                              f'<Relationship Id="r{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(self.names) + 1))
+                          + "</Relationships>")
+        self.zip.close()
+        return self.bytes.getvalue()
+
+
+def _pack(sheets: dict[str, list[tuple[int, int, str]]], merges: dict[str, list[str]]) -> bytes:
+    """A workbook with its sheets in name order."""
+    book = _Book(merges)
+    for n in sorted(sheets):
+        for r, cells in groupby(sorted(sheets[n]), lambda x: x[0]):
+            book.add(n, r, [(c, x) for _, c, x in cells])
+    return book.content()
 
 
 def workbooks(cells: DataFrame, merges: dict[str, list[str]] | None = None) -> DataFrame:
     """A cell table as (path, content): the bytes of one xlsx workbook per
     file, as the binary file source gives them.  ``merges``: merged ranges of
-    each sheet."""
+    each sheet.  Cell rows, as ``sheet_cells`` gives them, are packed as they
+    come: a task holds one compressed workbook, not a file's cells."""
     import pandas as pd
+    import pyarrow as pa
+
+    def pack_rows(batches):
+        file, book, done = None, None, set()
+        result = lambda: pa.RecordBatch.from_arrays([pa.array([file], pa.string()), pa.array([book.content()], pa.binary())], ["path", "content"])      # noqa: E731
+        for b in batches:
+            for of, sheet, row, cols, values in zip(*(b.column(n).to_pylist() for n in ("file", "sheet", "row", "cols", "values"))):
+                if book is None or of != file:
+                    if book is not None:
+                        yield result()
+                    if of in done:
+                        raise ValueError(f"rows of {of} are not together")
+                    done.add(of)
+                    file, book = of, _Book(merges or {})
+                book.add(sheet, row, zip(cols, values))
+        if book is not None:
+            yield result()
+
+    if "values" in cells.columns:
+        return cells.mapInArrow(pack_rows, "path string, content binary")
 
     def pack(batches):
         for b in batches:
@@ -215,7 +288,7 @@ def workbooks(cells: DataFrame, merges: dict[str, list[str]] | None = None) -> D
                 sheets: dict[str, list] = {}
                 for x in rows:
                     sheets.setdefault(x["sheet"], []).append((x["row"], x["col"], x["value"]))
-                yield pd.DataFrame([(file, _pack(file, sheets, merges or {}))], columns=["path", "content"])
+                yield pd.DataFrame([(file, _pack(sheets, merges or {}))], columns=["path", "content"])
 
     per_file = cells.repartition(_tasks(cells), "file").groupBy("file").agg(F.collect_list(F.struct("sheet", "row", "col", "value")).alias("cells"))
     return per_file.mapInPandas(pack, "path string, content binary")

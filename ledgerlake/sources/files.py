@@ -23,7 +23,7 @@ from __future__ import annotations
 import fnmatch
 import re
 from collections.abc import Iterable
-from functools import reduce
+from functools import cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -132,6 +132,7 @@ _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _RNS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
+@cache
 def _col_index(letters: str) -> int:
     n = 0
     for ch in letters:
@@ -182,6 +183,57 @@ def _closing(stream, *tags: str):
                 above[-1].remove(e)
 
 
+def _sheet_elements(stream):
+    """(is it a merged range, attributes, text of ``v``, text of all ``t``) of
+    a sheet's cells and merged ranges as they end; nothing else is kept."""
+    from xml.parsers import expat
+
+    cell_tag, merge_tag, v_tag, t_tag = (_NS[1:] + x for x in ("c", "mergeCell", "v", "t"))
+    found, cell, v, t, into, depth = [], None, None, "", 0, 0
+
+    def start(name, attributes):
+        nonlocal cell, v, t, into, depth
+        if cell is not None:
+            depth += 1
+            into = 0
+            if name == t_tag:
+                into = 2
+            elif name == v_tag and depth == 1 and v is None:
+                v, into = "", 1
+        elif name == cell_tag:
+            cell, v, t, into, depth = attributes, None, "", 0, 0
+        elif name == merge_tag:
+            found.append((True, attributes, None, ""))
+
+    def end(name):
+        nonlocal cell, into, depth
+        if cell is None:
+            return
+        into = 0
+        if depth:
+            depth -= 1
+        else:
+            found.append((False, cell, v, t))
+            cell = None
+
+    def text(x):
+        nonlocal v, t
+        if into == 2:
+            t += x
+        elif into:
+            v += x
+
+    parser = expat.ParserCreate(namespace_separator="}")
+    parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text
+    while piece := stream.read(1 << 16):
+        parser.Parse(piece)
+        yield from found
+        found.clear()
+    parser.Parse(b"", True)
+    yield from found
+
+
 def decode_xlsx(path: str, data: bytes, sheets: list[str] | None = None, header_rows: int = 2):
     """One workbook → cell tuples (file, sheet, row, col, text), sheet by sheet.
 
@@ -211,8 +263,8 @@ def decode_xlsx(path: str, data: bytes, sheets: list[str] | None = None, header_
         if (sheets is not None and name not in sheets) or member not in names:
             continue
         top: dict[tuple[int, int], str] = {}                    # cells of the header rows
-        for c in _closing(z.open(member), f"{_NS}c", f"{_NS}mergeCell"):
-            if c.tag == f"{_NS}mergeCell":
+        for merge, c, v, inline in _sheet_elements(z.open(member)):
+            if merge:
                 a, _, b = c.get("ref", "").partition(":")
                 ma, mb = _REF.match(a), _REF.match(b or a)
                 if not (ma and mb):
@@ -223,13 +275,13 @@ def decode_xlsx(path: str, data: bytes, sheets: list[str] | None = None, header_
                     for cc in range(c0, c1 + 1):
                         if (r, cc) not in top and (r0, c0) in top:
                             yield path, name, r, cc, top[r0, c0]
-            m = _REF.match(c.get("r", "")) if c.tag == f"{_NS}c" else None
+                continue
+            m = _REF.match(c.get("r", ""))
             if not m:
                 continue
-            kind, v = c.get("t"), c.find(f"{_NS}v")
-            text = None if v is None else (v.text or "")
+            kind, text = c.get("t"), v
             if kind == "inlineStr":
-                text = "".join(x.text or "" for x in c.iter(f"{_NS}t"))
+                text = inline
             elif kind == "s" and text is not None:
                 text = shared[int(text)]
             elif kind in (None, "n") and text and int(c.get("s", 0)) in dates:
@@ -244,9 +296,10 @@ def decode_xlsx(path: str, data: bytes, sheets: list[str] | None = None, header_
 CELLS_AT_ONCE = 20_000
 
 
-def workbook_cells(files: DataFrame, sheets: list[str] | None = None, header_rows: int = 2) -> DataFrame:
+def workbook_cells(files: DataFrame, sheets: list[str] | None = None, header_rows: int = 2, by_row: bool = False) -> DataFrame:
     """Workbooks given as (path, content) → cell table, in pieces of bounded
-    size; missing sheets are skipped silently."""
+    size; missing sheets are skipped silently.  ``by_row``: → cell rows,
+    stored."""
     from itertools import chain, islice
 
     def decode(batches):
@@ -256,9 +309,56 @@ def workbook_cells(files: DataFrame, sheets: list[str] | None = None, header_row
             while rows := list(islice(cells, CELLS_AT_ONCE)):
                 yield pd.DataFrame(rows, columns=["file", "sheet", "row", "col", "value"])
 
+    if by_row:
+        return _workbook_rows(files, sheets, header_rows)
     return files.select("path", "content").mapInPandas(decode, CELL_SCHEMA)
 
 
+def rows_of_cells(cells: Iterable[tuple], header_rows: int):
+    """One workbook's cells, in the order of ``decode_xlsx`` → (file, sheet,
+    row, cols, values, again).  Header rows, which merged ranges add to, come
+    at their sheet's end; ``again``: the sheet is not in the order of its rows,
+    so that there may be more of this row."""
+    from itertools import groupby
+
+    for (file, sheet), own in groupby(cells, lambda c: (c[0], c[1])):
+        held, last = {}, -1
+        for row, some in groupby(own, lambda c: c[2]):
+            cols, values = map(list, zip(*((c[3], c[4]) for c in some)))
+            if row < header_rows:
+                for kept, x in zip(held.setdefault(row, ([], [])), (cols, values)):
+                    kept += x
+            else:
+                yield file, sheet, row, cols, values, row <= last
+                last = max(row, last)
+        for row, (cols, values) in sorted(held.items()):
+            yield file, sheet, row, cols, values, False
+
+
+def _workbook_rows(files: DataFrame, sheets: list[str] | None, header_rows: int) -> DataFrame:
+    import pyarrow as pa
+    from itertools import islice
+
+    types = pa.schema([("file", pa.string()), ("sheet", pa.string()), ("row", pa.int32()), ("cols", pa.list_(pa.int32())),
+                       ("values", pa.list_(pa.string())), ("again", pa.bool_())])
+
+    def decode(batches):
+        for b in batches:
+            for p, content in zip(b.column("path"), b.column("content")):
+                found = rows_of_cells(decode_xlsx(p.as_py(), content.as_py(), sheets, header_rows), header_rows)
+                while rows := list(islice(found, CELLS_AT_ONCE // 5)):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), types)], schema=types)
+
+    rows = stored(files.select("path", "content").mapInArrow(decode, "file string, sheet string, row int, cols array<int>, values array<string>, again boolean"))
+    mixed = rows.where("again").select("file", "sheet").distinct()
+    if mixed.isEmpty():
+        return rows.drop("again")
+    whole = (rows.join(mixed, ["file", "sheet"], "left_semi").groupBy("file", "sheet", "row")
+             .agg(F.flatten(F.collect_list(F.arrays_zip("cols", "values"))).alias("c"))
+             .select("file", "sheet", "row", F.col("c.cols").alias("cols"), F.col("c.values").alias("values")))
+    return rows.join(mixed, ["file", "sheet"], "left_anti").drop("again").unionByName(whole)
+
+
 def xlsx_cells(spark: SparkSession, paths: list[str] | str, sheets: list[str] | None = None,
                header_rows: int = 2) -> DataFrame:
     """Workbook files → cell table."""

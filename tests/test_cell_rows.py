@@ -77,6 +77,22 @@ def test_rows_of_one_layout_are_laid_out_without_a_shuffle(spark):
     assert sorted(map(tuple, got)) == [("f", 1, "1", "2", None), ("f", 2, None, "3", None), ("f", 4, None, "4", None), ("g", 1, None, "6", "7")]
 
 
+def test_cell_rows_are_packed_as_they_come(spark):
+    df = spark.createDataFrame([(s, i, None if i % 3 == 0 else f"a&{i}") for s in "pq" for i in range(30)], "shop string, n int, v string")
+    make = lambda by_row: X.sheet_cells(df, F.col("shop"), {"n": "N", "v": ""}, ["n"], title_rows=1, group_row={"n": "G"}, blank_every=4, by_row=by_row)     # noqa: E731
+    books = X.workbooks(make(True), {"Sheet1": ["A2:B2"]})
+    plan = books._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    plain = FL.workbook_cells(X.workbooks(make(False), {"Sheet1": ["A2:B2"]}), header_rows=3)
+    got = FL.unpacked(FL.workbook_cells(books, header_rows=3, by_row=True))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_rows_that_come_again_are_one_row(spark):
+    cells = [("f", "s", r, c, f"{r}{c}") for r, c in ((0, 0), (2, 0), (1, 0), (2, 1), (0, 1))]
+    assert [(x[2], x[3], x[5]) for x in FL.rows_of_cells(cells, 1)] == [(2, [0], False), (1, [0], True), (2, [1], True), (0, [0, 1], False)]
+
+
 def test_documents_are_shuffled_once_and_compressed(spark, tmp_path):
     df = spark.createDataFrame([(k, str(i % 7), i) for k in "ab" for i in range(50)], "key string, o string, i int")
     parted = X.in_parts(df, ["key"], ["i"], rows=30)
