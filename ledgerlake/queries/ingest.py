@@ -42,7 +42,7 @@ def _rel(root, path="path"):
 
 def _export_all(v):
     root = X.new_root(v.spark)
-    X.export_csv(v, root)
+    X.export_csv(v, root, compression="gzip")
     X.export_html(v, root)
     X.export_spreadsheetml(v, root)
     return root

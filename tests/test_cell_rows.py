@@ -93,6 +93,12 @@ def test_rows_that_come_again_are_one_row(spark):
     assert [(x[2], x[3], x[5]) for x in FL.rows_of_cells(cells, 1)] == [(2, [0], False), (1, [0], True), (2, [1], True), (0, [0, 1], False)]
 
 
+def test_compressed_files_are_routed_by_the_name_within(spark):
+    files = spark.createDataFrame([("/x/csv/a.csv.gz",), ("/x/csv/a.csv",), ("/x/a.tmp.gz",), ("/x/a.gzip",)], "path string")
+    got = {r.path: (r.rule, r.status) for r in FL.route_files(files, [("any", "*.csv", "t")], skip=["*.tmp"]).collect()}
+    assert got == {"/x/csv/a.csv.gz": ("any", "routed"), "/x/csv/a.csv": ("any", "routed"), "/x/a.tmp.gz": (None, "skipped"), "/x/a.gzip": (None, "unmatched")}
+
+
 def test_documents_are_shuffled_once_and_compressed(spark, tmp_path):
     df = spark.createDataFrame([(k, str(i % 7), i) for k in "ab" for i in range(50)], "key string, o string, i int")
     parted = X.in_parts(df, ["key"], ["i"], rows=30)
